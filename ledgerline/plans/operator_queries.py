@@ -1,0 +1,11 @@
+"""Operator-level queries (one per SURVEY section 2 row) and their oracle SQL."""
+
+from __future__ import annotations
+
+
+def queries():
+    return {}
+
+
+def oracle_sql():
+    return {}
