@@ -43,7 +43,7 @@ def status_predicate(status: Column | None = None) -> Column:
             | (all_nonzero & inactive) | (any_nonzero & inactive))
 
 
-def status_filter(report: DataFrame, participant: DataFrame) -> DataFrame:
+def status_filter(report: DataFrame, participant: DataFrame, keep_status: bool = False) -> DataFrame:
     """Keep report rows whose participant status and balances pass the test.
 
     The status lookup matches the report's output keys to the participant
@@ -55,4 +55,6 @@ def status_filter(report: DataFrame, participant: DataFrame) -> DataFrame:
     known = participant.where(F.col("part_status_desc").isNotNull())
     joined = left_join_on(report, known, sentinel_keys(*STATUS_KEYS), sentinel_keys(*STATUS_KEYS),
                           [F.col("part_status_desc").alias("_status")], how="inner")
-    return joined.where(status_predicate(F.col("_status"))).select(*report.columns)
+    kept = joined.where(status_predicate(F.col("_status")))
+    extra = [F.col("_status").alias("part_status_desc")] if keep_status else []
+    return kept.select(*report.columns, *extra)

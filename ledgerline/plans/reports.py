@@ -188,32 +188,39 @@ def plan_core_loan(t: BalanceTables, cadence: str, as_of: _dt.date | None = None
     return J.full_outer_merge(core, loan, ["client_id", "plan_number"], "defaulted", C.report_date(as_of, 1))
 
 
+def plan_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
+                   prefilter: bool = True) -> DataFrame:
+    """Merged plan rows with life totals: by plan only when daily (one row per
+    valuation date), by plan and defaulted date otherwise."""
+    merged = plan_core_loan(t, cadence, as_of, prefilter)
+    life_in = t.life
+    if cadence == "quarterly" and prefilter:
+        life_in = life_in.where(C.quarter_candidate("valuation_date"))
+    life = S.life_sums(life_in, ["plan_number", "valuation_date"])
+    payload = ["life_cash_value_amount", "valuation_date"]
+    if cadence == "daily":
+        return J.left_join_on(merged, life, J.sentinel_keys("plan_number"), J.sentinel_keys("plan_number"), payload)
+    y = C.report_date(as_of, 1)
+    return J.left_join_on(merged, life, J.sentinel_keys("plan_number") + [F.coalesce(F.col(D), y)],
+                          J.sentinel_keys("plan_number") + [F.coalesce(F.col("valuation_date"), y)], payload)
+
+
 def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
                   count_method: str = "two_step") -> DataFrame:
-    """Merged plan rows with life totals and participant counts attached.
+    """Plan rows with life totals and participant counts attached.
 
-    Daily: life by plan only (one row per valuation date), counts by plan.
-    Monthly: life by plan and defaulted date; counts are grouped by plan,
-    client and date but matched on plan and strict date only, so a plan shared
-    by several clients repeats once per client.
+    Daily counts are per plan.  Period counts are grouped by plan, client and
+    date but matched on plan and strict date only, so a plan shared by several
+    clients repeats once per client, and an undated row gets no counts.
     """
-    merged = plan_core_loan(t, cadence, as_of, prefilter)
-    life_in, part_in = t.life, t.participant
+    with_life = plan_with_life(t, cadence, as_of, prefilter)
+    part_in = t.participant
     if cadence == "quarterly" and prefilter:
-        life_in = life_in.where(C.quarter_candidate("valuation_date"))
         part_in = part_in.where(C.is_quarter_month(D))   # strict date match: undated never joins
-    life = S.life_sums(life_in, ["plan_number", "valuation_date"])
-    plan = J.sentinel_keys("plan_number")
     if cadence == "daily":
-        with_life = J.left_join_on(merged, life, plan, J.sentinel_keys("plan_number"),
-                                   ["life_cash_value_amount", "valuation_date"])
         counts = K.participant_counts(part_in, ["plan_number"], count_method)
         return J.left_join_on(with_life, counts, J.sentinel_keys("plan_number"), J.sentinel_keys("plan_number"),
                               list(K.COUNT_COLUMNS))
-    y = C.report_date(as_of, 1)
-    with_life = J.left_join_on(merged, life, plan + [F.coalesce(F.col(D), y)],
-                               J.sentinel_keys("plan_number") + [F.coalesce(F.col("valuation_date"), y)],
-                               ["life_cash_value_amount", "valuation_date"])
     counts = K.participant_counts(part_in, ["plan_number", "client_id", D], count_method)
     return J.left_join_on(with_life, counts, J.sentinel_keys("plan_number") + [F.col(D)],
                           J.sentinel_keys("plan_number") + [F.col(D)], list(K.COUNT_COLUMNS))
@@ -299,23 +306,40 @@ def client_core_loan(t: BalanceTables, cadence: str, prefilter: bool = True,
     return J.full_outer_merge(core, loan, ["client_id"], "strict")
 
 
-def client_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
-                  broadcast_max_rows: int = J.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Client balances with client names: ``daily``, ``monthly`` or ``quarterly``.
+def client_keys_merged(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
+                       prefilter: bool = True) -> DataFrame:
+    """Merged client rows with the three-way key / date defaults and casts.
 
     Undated rows fall back to today (daily, quarterly) or yesterday (monthly).
-    The quarterly test reads the defaulted date.
     """
     merged = client_core_loan(t, cadence, prefilter, as_of)
     fallback = C.report_date(as_of, 1 if cadence == "monthly" else 0)
-    z = merged.select(
+    return merged.select(
         C.sentinel("client_id").alias("client_id"),
         F.coalesce(F.col(D), fallback).alias(D),
         _dec2("total_client_balance").alias("total_client_balance"),
         _dec2("sdba_cash_value_amount").alias("sdba_cash_value_amount"),
         _dec2("loan_cash_value_amt").alias("client_loan_balance"))
+
+
+def client_named(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
+                 broadcast_max_rows: int = J.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Client rows with the client name looked up by sentinel key.
+
+    The client dimension is broadcast only after its row count is checked.
+    """
+    z = client_keys_merged(t, cadence, as_of, prefilter)
     names = J.bounded_broadcast(t.client, broadcast_max_rows)
-    out = J.left_join_on(z, names, J.sentinel_keys("client_id"), J.sentinel_keys("client_id"), ["client_name"])
+    return J.left_join_on(z, names, J.sentinel_keys("client_id"), J.sentinel_keys("client_id"), ["client_name"])
+
+
+def client_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
+                  broadcast_max_rows: int = J.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Client balances with client names: ``daily``, ``monthly`` or ``quarterly``.
+
+    The quarterly test reads the defaulted date.
+    """
+    out = client_named(t, cadence, as_of, prefilter, broadcast_max_rows)
     if cadence == "quarterly":
         out = FL.quarter_filter(out)
     return out.select(
@@ -338,15 +362,24 @@ DIV_SUB_COLUMNS = [
 _ACCOUNT = ["client_id", "plan_number", "participant_id"]
 
 
-def core_with_div_sub(t: BalanceTables) -> DataFrame:
-    """Daily core sums per (trimmed client, plan, div/sub, date).
+def core_rows_with_div_sub(t: BalanceTables) -> DataFrame:
+    """Row-level lookup: daily core rows with the participant's division.
 
-    The division comes from the participant table by plain equality on
-    (plan, client, participant): NULL keys never match, and a participant with
-    several rows counts its balance once per row.  Balances are first summed
-    per (client, plan, participant, date), which is exact because sums
-    distribute over the lookup's row duplication, so the join moves one row
-    per participant-date instead of every fund / money-type row.
+    Plain equality on (plan, client, participant): NULL keys never match, and
+    a participant with several rows repeats the balance row.
+    """
+    div = t.participant.select(*_ACCOUNT, "div_sub_id")
+    return J.left_join_on(t.core_daily, div, [F.col(k) for k in _ACCOUNT], [F.col(k) for k in _ACCOUNT],
+                          ["div_sub_id"])
+
+
+def core_sums_div_sub(t: BalanceTables) -> DataFrame:
+    """Daily core sums per (trimmed client, plan, div/sub, date), no fund exclusion.
+
+    Balances are first summed per (client, plan, participant, date) and only
+    then matched to the division; this is exact because sums distribute over
+    the lookup's row duplication, and it moves one row per participant-date
+    through the join instead of every fund / money-type row.
     """
     per_account = S.core_sums(t.core_daily, _ACCOUNT + [D], exclude_funds=False)
     div = t.participant.select(*_ACCOUNT, "div_sub_id")
@@ -357,8 +390,17 @@ def core_with_div_sub(t: BalanceTables) -> DataFrame:
     return joined.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in S.CORE_MEASURES])
 
 
-def loan_with_div_sub(t: BalanceTables) -> DataFrame:
-    """Positive loans per (plan, div/sub, client), division looked up by sentinel keys."""
+def loan_rows_with_div_sub(t: BalanceTables) -> DataFrame:
+    """Row-level lookup: positive loans with the division (sentinel-matched keys)."""
+    div = t.participant.select(*_ACCOUNT, "div_sub_id")
+    loans = S.positive_loans(t.loan).select(*_ACCOUNT, "loan_cash_value_amt")
+    joined = J.left_join_on(loans, div, J.sentinel_keys(*_ACCOUNT), J.sentinel_keys(*_ACCOUNT),
+                            [F.col("div_sub_id").alias("_div")])
+    return joined.select(*_ACCOUNT, C.blank_to_sentinel("_div").alias("div_sub_id"), "loan_cash_value_amt")
+
+
+def loan_sums_div_sub(t: BalanceTables) -> DataFrame:
+    """Positive loans per (plan, div/sub, client); summed per account before the lookup."""
     per_account = S.loan_sums(t.loan, _ACCOUNT)
     div = t.participant.select(*_ACCOUNT, "div_sub_id")
     joined = J.left_join_on(per_account, div, J.sentinel_keys(*_ACCOUNT), J.sentinel_keys(*_ACCOUNT),
@@ -367,31 +409,52 @@ def loan_with_div_sub(t: BalanceTables) -> DataFrame:
         F.sum("loan_cash_value_amt").alias("loan_cash_value_amt"))
 
 
-def life_with_div_sub(t: BalanceTables) -> DataFrame:
-    """Life totals per (plan, raw div/sub, valuation date).
+def participant_div_sub_distinct(t: BalanceTables) -> DataFrame:
+    """Distinct (plan, participant, div/sub) rows of the participant table."""
+    return t.participant.select("plan_number", "participant_id", "div_sub_id").distinct()
 
-    The division comes from distinct (plan, participant, div/sub) rows matched
-    by sentinel keys; life is summed per (plan, participant, date) first.
-    """
+
+def life_rows_with_div_sub(t: BalanceTables) -> DataFrame:
+    """Row-level lookup: life rows with the division of the distinct participant rows."""
+    keys = ("plan_number", "participant_id")
+    return J.left_join_on(t.life, participant_div_sub_distinct(t), J.sentinel_keys(*keys), J.sentinel_keys(*keys),
+                          ["div_sub_id"])
+
+
+def life_sums_div_sub(t: BalanceTables) -> DataFrame:
+    """Life totals per (plan, raw div/sub, valuation date); summed per participant first."""
     per_account = S.life_sums(t.life, ["plan_number", "participant_id", "valuation_date"])
-    div = t.participant.select("plan_number", "participant_id", "div_sub_id").distinct()
     keys = ("plan_number", "participant_id")
-    joined = J.left_join_on(per_account, div, J.sentinel_keys(*keys), J.sentinel_keys(*keys), ["div_sub_id"])
+    joined = J.left_join_on(per_account, participant_div_sub_distinct(t), J.sentinel_keys(*keys),
+                            J.sentinel_keys(*keys), ["div_sub_id"])
     return joined.groupBy("plan_number", "div_sub_id", "valuation_date").agg(
         F.sum("life_cash_value_amount").alias("life_cash_value_amount"))
 
 
-def div_sub_enriched(t: BalanceTables, count_method: str = "two_step") -> DataFrame:
-    merged = J.full_outer_merge(core_with_div_sub(t), loan_with_div_sub(t),
-                                ["client_id", "plan_number", "div_sub_id"], "none")
-    pd_keys = lambda: J.sentinel_keys("plan_number", "div_sub_id")
-    with_life = J.left_join_on(merged, life_with_div_sub(t), pd_keys(), pd_keys(),
-                               ["life_cash_value_amount", "valuation_date"])
-    # Counts are grouped per client but matched without it: one row per client.
-    counts = K.participant_counts(
-        t.participant, ["plan_number", ("div_sub_id", C.blank_to_sentinel("div_sub_id")), "client_id"],
+def div_sub_core_loan(t: BalanceTables) -> DataFrame:
+    return J.full_outer_merge(core_sums_div_sub(t), loan_sums_div_sub(t),
+                              ["client_id", "plan_number", "div_sub_id"], "none")
+
+
+def div_sub_with_life(t: BalanceTables) -> DataFrame:
+    keys = J.sentinel_keys("plan_number", "div_sub_id")
+    return J.left_join_on(div_sub_core_loan(t), life_sums_div_sub(t), keys,
+                          J.sentinel_keys("plan_number", "div_sub_id"), ["life_cash_value_amount", "valuation_date"])
+
+
+def participant_counts_div_sub(t: BalanceTables, count_method: str = "two_step") -> DataFrame:
+    """Counts per (plan, client, defaulted div/sub)."""
+    return K.participant_counts(
+        t.participant, ["plan_number", "client_id", ("div_sub_id", C.blank_to_sentinel("div_sub_id"))],
         count_method)
-    return J.left_join_on(with_life, counts, pd_keys(), pd_keys(), list(K.COUNT_COLUMNS))
+
+
+def div_sub_enriched(t: BalanceTables, count_method: str = "two_step") -> DataFrame:
+    """Merged div/sub rows with life totals (one row per valuation date) and
+    counts (grouped per client but matched without it: one row per client)."""
+    return J.left_join_on(div_sub_with_life(t), participant_counts_div_sub(t, count_method),
+                          J.sentinel_keys("plan_number", "div_sub_id"), J.sentinel_keys("plan_number", "div_sub_id"),
+                          list(K.COUNT_COLUMNS))
 
 
 def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool = True,
