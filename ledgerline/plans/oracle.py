@@ -27,6 +27,14 @@ def with_fixtures(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
+def without_fixtures(sql: str) -> str:
+    """The same statement over real input tables instead of fixture CTEs."""
+    prefix = "WITH " + fixture_ctes_sql() + ",\n"
+    if not sql.startswith(prefix):
+        raise ValueError("statement does not start with the fixture CTEs")
+    return "WITH " + sql[len(prefix):]
+
+
 def sk(expr: str) -> str:
     """Sentinel-defaulted key."""
     return f"coalesce({expr}, {S})"
