@@ -74,6 +74,23 @@ def left_join_on(left: DataFrame, right: DataFrame, left_keys: Sequence[Column],
     return lhs.join(rhs, on=names, how=how).drop(*names)
 
 
+def attach_all(left: DataFrame, left_keys: Sequence[Column],
+               lookups: Sequence[tuple[DataFrame, Sequence[Column], Sequence[Column | str]]],
+               how: str = "left") -> DataFrame:
+    """Several LEFT lookups on the same key expressions, keys computed once.
+
+    Every lookup joins on the same named key columns, so after the first
+    sort-merge join the left side is already partitioned on them and the
+    following joins add no exchange of the (possibly fanned-out) left rows.
+    """
+    names = [f"_k{i}" for i in range(len(left_keys))]
+    out = left.select("*", *[k.alias(n) for k, n in zip(left_keys, names)])
+    for right, right_keys, payload in lookups:
+        rhs = right.select(*[k.alias(n) for k, n in zip(right_keys, names)], *payload)
+        out = out.join(rhs, on=names, how=how)
+    return out.drop(*names)
+
+
 def sentinel_keys(*cols: str | Column) -> list[Column]:
     return [C.sentinel(c) for c in cols]
 

@@ -213,14 +213,18 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
     date but matched on plan and strict date only, so a plan shared by several
     clients repeats once per client, and an undated row gets no counts.
     """
-    with_life = plan_with_life(t, cadence, as_of, prefilter)
     part_in = t.participant
     if cadence == "quarterly" and prefilter:
         part_in = part_in.where(C.is_quarter_month(D))   # strict date match: undated never joins
     if cadence == "daily":
+        # Life and counts both match on the plan alone: one key, one exchange.
+        merged = plan_core_loan(t, cadence, as_of, prefilter)
+        life = S.life_sums(t.life, ["plan_number", "valuation_date"])
         counts = K.participant_counts(part_in, ["plan_number"], count_method)
-        return J.left_join_on(with_life, counts, J.sentinel_keys("plan_number"), J.sentinel_keys("plan_number"),
-                              list(K.COUNT_COLUMNS))
+        plan = J.sentinel_keys("plan_number")
+        return J.attach_all(merged, plan, [(life, plan, ["life_cash_value_amount", "valuation_date"]),
+                                           (counts, plan, list(K.COUNT_COLUMNS))])
+    with_life = plan_with_life(t, cadence, as_of, prefilter)
     counts = K.participant_counts(part_in, ["plan_number", "client_id", D], count_method)
     return J.left_join_on(with_life, counts, J.sentinel_keys("plan_number") + [F.col(D)],
                           J.sentinel_keys("plan_number") + [F.col(D)], list(K.COUNT_COLUMNS))
@@ -451,10 +455,15 @@ def participant_counts_div_sub(t: BalanceTables, count_method: str = "two_step")
 
 def div_sub_enriched(t: BalanceTables, count_method: str = "two_step") -> DataFrame:
     """Merged div/sub rows with life totals (one row per valuation date) and
-    counts (grouped per client but matched without it: one row per client)."""
-    return J.left_join_on(div_sub_with_life(t), participant_counts_div_sub(t, count_method),
-                          J.sentinel_keys("plan_number", "div_sub_id"), J.sentinel_keys("plan_number", "div_sub_id"),
-                          list(K.COUNT_COLUMNS))
+    counts (grouped per client but matched without it: one row per client).
+
+    Both lookups match on (plan, div/sub), so they share one key and one
+    exchange of the merged rows.
+    """
+    keys = lambda: J.sentinel_keys("plan_number", "div_sub_id")
+    return J.attach_all(div_sub_core_loan(t), keys(), [
+        (life_sums_div_sub(t), keys(), ["life_cash_value_amount", "valuation_date"]),
+        (participant_counts_div_sub(t, count_method), keys(), list(K.COUNT_COLUMNS))])
 
 
 def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool = True,
@@ -484,4 +493,9 @@ def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool =
         F.coalesce(F.col(D), y).alias(D),
         F.lit(None).cast("string").alias("plan_key"),
     )
-    return out.orderBy(F.desc("plan_number"), F.desc("div_sub_id")) if sort else out
+    if not sort:
+        return out
+    # ORDER BY plan_number DESC, div_sub_id DESC.  Ties may come in any order;
+    # the extra keys only let the range partitioner split a hot (plan, div/sub)
+    # over several tasks instead of sorting it in one.
+    return out.orderBy(F.desc("plan_number"), F.desc("div_sub_id"), "client_id", D, "life_valuation_date")
