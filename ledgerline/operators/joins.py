@@ -75,19 +75,26 @@ def left_join_on(left: DataFrame, right: DataFrame, left_keys: Sequence[Column],
 
 
 def attach_all(left: DataFrame, left_keys: Sequence[Column],
-               lookups: Sequence[tuple[DataFrame, Sequence[Column], Sequence[Column | str]]],
-               how: str = "left") -> DataFrame:
+               lookups: Sequence[tuple], how: str = "left") -> DataFrame:
     """Several LEFT lookups on the same key expressions, keys computed once.
 
+    ``lookups`` holds ``(right, right_keys, payload)`` or
+    ``(right, right_keys, payload, left_condition)``; a left condition (a
+    predicate on left columns only) must also hold for a row to match.
+
     Every lookup joins on the same named key columns, so after the first
     sort-merge join the left side is already partitioned on them and the
     following joins add no exchange of the (possibly fanned-out) left rows.
     """
     names = [f"_k{i}" for i in range(len(left_keys))]
     out = left.select("*", *[k.alias(n) for k, n in zip(left_keys, names)])
-    for right, right_keys, payload in lookups:
-        rhs = right.select(*[k.alias(n) for k, n in zip(right_keys, names)], *payload)
-        out = out.join(rhs, on=names, how=how)
+    for i, (right, right_keys, payload, *cond) in enumerate(lookups):
+        rnames = [f"{n}_r{i}" for n in names]
+        rhs = right.select(*[k.alias(n) for k, n in zip(right_keys, rnames)], *payload)
+        on = [out[n] == rhs[r] for n, r in zip(names, rnames)]
+        if cond:
+            on.append(cond[0])
+        out = out.join(rhs, on=on, how=how).drop(*rnames)
     return out.drop(*names)
 
 

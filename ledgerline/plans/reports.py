@@ -209,25 +209,32 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
                   count_method: str = "two_step") -> DataFrame:
     """Plan rows with life totals and participant counts attached.
 
-    Daily counts are per plan.  Period counts are grouped by plan, client and
-    date but matched on plan and strict date only, so a plan shared by several
-    clients repeats once per client, and an undated row gets no counts.
+    Daily: life and counts both match on the plan alone.  Periods: life
+    matches plan and defaulted date; counts are grouped by plan, client and
+    date but matched on plan and *strict* date only, so a plan shared by
+    several clients repeats once per client and an undated row gets no counts.
+    Strict date equality is the defaulted-date equality restricted to dated
+    rows on both sides, so counts use the life join's key (one key, one
+    exchange of the merged rows) with undated count rows dropped and a
+    "left row is dated" condition.
     """
-    part_in = t.participant
+    merged = plan_core_loan(t, cadence, as_of, prefilter)
+    life_in, part_in = t.life, t.participant
     if cadence == "quarterly" and prefilter:
+        life_in = life_in.where(C.quarter_candidate("valuation_date"))
         part_in = part_in.where(C.is_quarter_month(D))   # strict date match: undated never joins
+    life = S.life_sums(life_in, ["plan_number", "valuation_date"])
+    life_payload = ["life_cash_value_amount", "valuation_date"]
+    plan = J.sentinel_keys("plan_number")
     if cadence == "daily":
-        # Life and counts both match on the plan alone: one key, one exchange.
-        merged = plan_core_loan(t, cadence, as_of, prefilter)
-        life = S.life_sums(t.life, ["plan_number", "valuation_date"])
         counts = K.participant_counts(part_in, ["plan_number"], count_method)
-        plan = J.sentinel_keys("plan_number")
-        return J.attach_all(merged, plan, [(life, plan, ["life_cash_value_amount", "valuation_date"]),
-                                           (counts, plan, list(K.COUNT_COLUMNS))])
-    with_life = plan_with_life(t, cadence, as_of, prefilter)
-    counts = K.participant_counts(part_in, ["plan_number", "client_id", D], count_method)
-    return J.left_join_on(with_life, counts, J.sentinel_keys("plan_number") + [F.col(D)],
-                          J.sentinel_keys("plan_number") + [F.col(D)], list(K.COUNT_COLUMNS))
+        return J.attach_all(merged, plan, [(life, plan, life_payload), (counts, plan, list(K.COUNT_COLUMNS))])
+    y = C.report_date(as_of, 1)
+    counts = K.participant_counts(part_in.where(F.col(D).isNotNull()), ["plan_number", "client_id", D], count_method)
+    return J.attach_all(merged, plan + [F.coalesce(F.col(D), y)], [
+        (life, plan + [F.coalesce(F.col("valuation_date"), y)], life_payload),
+        (counts, plan + [F.col(D)], list(K.COUNT_COLUMNS), F.col(D).isNotNull()),
+    ])
 
 
 def plan_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
