@@ -64,35 +64,35 @@ PARTICIPANT_PERIOD_COLUMNS = [
 
 
 def participant_core_loan(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                          prefilter: bool = True) -> DataFrame:
+                          prefilter: bool = True, narrow: bool = False) -> DataFrame:
     """Core and loan sums per participant, FULL OUTER merged (before life)."""
     _check(cadence)
     if cadence == "daily":
         keys = ["participant_id", "plan_number", "retirement_account_id", "client_id"]
-        core = S.core_sums(t.core_daily, keys + [D])
-        loan = S.loan_sums(t.loan, keys)
+        core = S.core_sums(t.core_daily, keys + [D], narrow=narrow)
+        loan = S.loan_sums(t.loan, keys, narrow=narrow)
         return J.full_outer_merge(core, loan, keys, "none")
     core_in, loan_in = t.core_monthly, t.loan
     if cadence == "quarterly" and prefilter:
         core_in, loan_in = core_in.where(C.quarter_candidate(D)), loan_in.where(C.quarter_candidate(D))
     keys = ["client_id", "participant_id", "plan_number"]
-    core = S.core_sums(core_in, keys + [D])
-    loan = S.loan_sums(loan_in, keys + [D])
+    core = S.core_sums(core_in, keys + [D], narrow=narrow)
+    loan = S.loan_sums(loan_in, keys + [D], narrow=narrow)
     return J.full_outer_merge(core, loan, keys, "defaulted", C.report_date(as_of, 1))
 
 
 def participant_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                          prefilter: bool = True) -> DataFrame:
+                          prefilter: bool = True, narrow: bool = False) -> DataFrame:
     """Merged core/loan rows with the participant's life-fund totals attached.
 
     Daily matches life on (participant, plan) only, so a row repeats once per
     valuation date; monthly also matches the defaulted snapshot date.
     """
-    merged = participant_core_loan(t, cadence, as_of, prefilter)
+    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow)
     life_in = t.life
     if cadence == "quarterly" and prefilter:
         life_in = life_in.where(C.quarter_candidate("valuation_date"))
-    life = S.life_sums(life_in, ["participant_id", "plan_number", "valuation_date"])
+    life = S.life_sums(life_in, ["participant_id", "plan_number", "valuation_date"], narrow=narrow)
     lkeys, rkeys = J.sentinel_keys("participant_id", "plan_number"), J.sentinel_keys("participant_id", "plan_number")
     if cadence != "daily":
         y = C.report_date(as_of, 1)
@@ -104,7 +104,7 @@ def participant_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None
 def participant_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
                        prefilter: bool = True) -> DataFrame:
     """Participant balances: ``daily``, ``monthly`` or ``quarterly``."""
-    m = participant_with_life(t, cadence, as_of, prefilter)
+    m = participant_with_life(t, cadence, as_of, prefilter, narrow=True)
     y = C.report_date(as_of, 1)
     if cadence == "daily":
         return m.select(
@@ -173,30 +173,31 @@ def plan_period_columns(cadence: str) -> list[str]:
 
 
 def plan_core_loan(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                   prefilter: bool = True) -> DataFrame:
+                   prefilter: bool = True, narrow: bool = False) -> DataFrame:
     """Core and loan sums per (client, plan[, date]), FULL OUTER merged."""
     _check(cadence)
     if cadence == "daily":
-        core = S.core_sums(t.core_daily, ["client_id", ("plan_number", F.trim("plan_number")), D])
-        loan = S.loan_sums(t.loan, ["plan_number", "client_id"])
+        core = S.core_sums(t.core_daily, ["client_id", ("plan_number", F.trim("plan_number")), D], narrow=narrow)
+        loan = S.loan_sums(t.loan, ["plan_number", "client_id"], narrow=narrow)
         return J.full_outer_merge(core, loan, ["client_id", "plan_number"], "none")
     core_in, loan_in = t.core_monthly, t.loan
     if cadence == "quarterly" and prefilter:
         core_in, loan_in = core_in.where(C.quarter_candidate(D)), loan_in.where(C.quarter_candidate(D))
-    core = S.core_sums(core_in, ["client_id", "plan_number", D], S.CORE_MEASURES + ("total_shares",))
-    loan = S.loan_sums(loan_in, ["plan_number", D, "client_id"])
+    core = S.core_sums(core_in, ["client_id", "plan_number", D], S.CORE_MEASURES + ("total_shares",),
+                       narrow=narrow)
+    loan = S.loan_sums(loan_in, ["plan_number", D, "client_id"], narrow=narrow)
     return J.full_outer_merge(core, loan, ["client_id", "plan_number"], "defaulted", C.report_date(as_of, 1))
 
 
 def plan_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                   prefilter: bool = True) -> DataFrame:
+                   prefilter: bool = True, narrow: bool = False) -> DataFrame:
     """Merged plan rows with life totals: by plan only when daily (one row per
     valuation date), by plan and defaulted date otherwise."""
-    merged = plan_core_loan(t, cadence, as_of, prefilter)
+    merged = plan_core_loan(t, cadence, as_of, prefilter, narrow)
     life_in = t.life
     if cadence == "quarterly" and prefilter:
         life_in = life_in.where(C.quarter_candidate("valuation_date"))
-    life = S.life_sums(life_in, ["plan_number", "valuation_date"])
+    life = S.life_sums(life_in, ["plan_number", "valuation_date"], narrow=narrow)
     payload = ["life_cash_value_amount", "valuation_date"]
     if cadence == "daily":
         return J.left_join_on(merged, life, J.sentinel_keys("plan_number"), J.sentinel_keys("plan_number"), payload)
@@ -206,7 +207,7 @@ def plan_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None
 
 
 def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
-                  count_method: str = "two_step") -> DataFrame:
+                  count_method: str = "two_step", narrow: bool = False) -> DataFrame:
     """Plan rows with life totals and participant counts attached.
 
     Daily: life and counts both match on the plan alone.  Periods: life
@@ -218,12 +219,12 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
     exchange of the merged rows) with undated count rows dropped and a
     "left row is dated" condition.
     """
-    merged = plan_core_loan(t, cadence, as_of, prefilter)
+    merged = plan_core_loan(t, cadence, as_of, prefilter, narrow)
     life_in, part_in = t.life, t.participant
     if cadence == "quarterly" and prefilter:
         life_in = life_in.where(C.quarter_candidate("valuation_date"))
         part_in = part_in.where(C.is_quarter_month(D))   # strict date match: undated never joins
-    life = S.life_sums(life_in, ["plan_number", "valuation_date"])
+    life = S.life_sums(life_in, ["plan_number", "valuation_date"], narrow=narrow)
     life_payload = ["life_cash_value_amount", "valuation_date"]
     plan = J.sentinel_keys("plan_number")
     if cadence == "daily":
@@ -240,7 +241,7 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
 def plan_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
                 count_method: str = "two_step") -> DataFrame:
     """Plan balances: ``daily``, ``monthly`` or ``quarterly`` (rows)."""
-    m = plan_enriched(t, cadence, as_of, prefilter, count_method)
+    m = plan_enriched(t, cadence, as_of, prefilter, count_method, narrow=True)
     y = C.report_date(as_of, 1)
     plan_key = F.lit(None).cast("string").alias("plan_key")
     if cadence == "daily":
@@ -300,18 +301,18 @@ CLIENT_COLUMNS = ["client_id", D, "client_name", "cash_value_amount", "total_loa
 
 
 def client_core_loan(t: BalanceTables, cadence: str, prefilter: bool = True,
-                     as_of: _dt.date | None = None) -> DataFrame:
+                     as_of: _dt.date | None = None, narrow: bool = False) -> DataFrame:
     """Client sums (no fund exclusion) merged with client loan sums."""
     _check(cadence)
     measures = ("total_client_balance", "sdba_cash_value_amount")
     if cadence == "daily":
-        core = S.core_sums(t.core_daily, ["client_id", D], measures, exclude_funds=False)
-        return J.full_outer_merge(core, S.loan_sums(t.loan, ["client_id"]), ["client_id"], "none")
+        core = S.core_sums(t.core_daily, ["client_id", D], measures, exclude_funds=False, narrow=narrow)
+        return J.full_outer_merge(core, S.loan_sums(t.loan, ["client_id"], narrow=narrow), ["client_id"], "none")
     core_in, loan_in = t.core_monthly, t.loan
     if cadence == "quarterly" and prefilter:
         core_in, loan_in = core_in.where(C.quarter_candidate(D)), loan_in.where(C.quarter_candidate(D))
-    core = S.core_sums(core_in, ["client_id", D], measures, exclude_funds=False)
-    loan = S.loan_sums(loan_in, ["client_id", D])
+    core = S.core_sums(core_in, ["client_id", D], measures, exclude_funds=False, narrow=narrow)
+    loan = S.loan_sums(loan_in, ["client_id", D], narrow=narrow)
     if cadence == "monthly":
         return J.full_outer_merge(core, loan, ["client_id"], "defaulted", C.report_date(as_of, 1))
     return J.full_outer_merge(core, loan, ["client_id"], "strict")
@@ -323,7 +324,7 @@ def client_keys_merged(t: BalanceTables, cadence: str, as_of: _dt.date | None =
 
     Undated rows fall back to today (daily, quarterly) or yesterday (monthly).
     """
-    merged = client_core_loan(t, cadence, prefilter, as_of)
+    merged = client_core_loan(t, cadence, prefilter, as_of, narrow=True)
     fallback = C.report_date(as_of, 1 if cadence == "monthly" else 0)
     return merged.select(
         C.sentinel("client_id").alias("client_id"),
@@ -384,7 +385,7 @@ def core_rows_with_div_sub(t: BalanceTables) -> DataFrame:
                           ["div_sub_id"])
 
 
-def core_sums_div_sub(t: BalanceTables) -> DataFrame:
+def core_sums_div_sub(t: BalanceTables, narrow: bool = False) -> DataFrame:
     """Daily core sums per (trimmed client, plan, div/sub, date), no fund exclusion.
 
     Balances are first summed per (client, plan, participant, date) and only
@@ -398,7 +399,7 @@ def core_sums_div_sub(t: BalanceTables) -> DataFrame:
                             ["div_sub_id"])
     keys = [F.trim("client_id").alias("client_id"), F.trim("plan_number").alias("plan_number"),
             F.trim("div_sub_id").alias("div_sub_id"), F.col(D)]
-    return joined.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in S.CORE_MEASURES])
+    return joined.groupBy(*keys).agg(*[S.narrowed(F.sum(m), 2, narrow).alias(m) for m in S.CORE_MEASURES])
 
 
 def loan_rows_with_div_sub(t: BalanceTables) -> DataFrame:
@@ -410,14 +411,14 @@ def loan_rows_with_div_sub(t: BalanceTables) -> DataFrame:
     return joined.select(*_ACCOUNT, C.blank_to_sentinel("_div").alias("div_sub_id"), "loan_cash_value_amt")
 
 
-def loan_sums_div_sub(t: BalanceTables) -> DataFrame:
+def loan_sums_div_sub(t: BalanceTables, narrow: bool = False) -> DataFrame:
     """Positive loans per (plan, div/sub, client); summed per account before the lookup."""
     per_account = S.loan_sums(t.loan, _ACCOUNT)
     div = t.participant.select(*_ACCOUNT, "div_sub_id")
     joined = J.left_join_on(per_account, div, J.sentinel_keys(*_ACCOUNT), J.sentinel_keys(*_ACCOUNT),
                             [F.col("div_sub_id").alias("_div")])
     return joined.groupBy("plan_number", C.blank_to_sentinel("_div").alias("div_sub_id"), "client_id").agg(
-        F.sum("loan_cash_value_amt").alias("loan_cash_value_amt"))
+        S.narrowed(F.sum("loan_cash_value_amt"), 2, narrow).alias("loan_cash_value_amt"))
 
 
 def participant_div_sub_distinct(t: BalanceTables) -> DataFrame:
@@ -432,24 +433,24 @@ def life_rows_with_div_sub(t: BalanceTables) -> DataFrame:
                           ["div_sub_id"])
 
 
-def life_sums_div_sub(t: BalanceTables) -> DataFrame:
+def life_sums_div_sub(t: BalanceTables, narrow: bool = False) -> DataFrame:
     """Life totals per (plan, raw div/sub, valuation date); summed per participant first."""
     per_account = S.life_sums(t.life, ["plan_number", "participant_id", "valuation_date"])
     keys = ("plan_number", "participant_id")
     joined = J.left_join_on(per_account, participant_div_sub_distinct(t), J.sentinel_keys(*keys),
                             J.sentinel_keys(*keys), ["div_sub_id"])
     return joined.groupBy("plan_number", "div_sub_id", "valuation_date").agg(
-        F.sum("life_cash_value_amount").alias("life_cash_value_amount"))
+        S.narrowed(F.sum("life_cash_value_amount"), 2, narrow).alias("life_cash_value_amount"))
 
 
-def div_sub_core_loan(t: BalanceTables) -> DataFrame:
-    return J.full_outer_merge(core_sums_div_sub(t), loan_sums_div_sub(t),
+def div_sub_core_loan(t: BalanceTables, narrow: bool = False) -> DataFrame:
+    return J.full_outer_merge(core_sums_div_sub(t, narrow), loan_sums_div_sub(t, narrow),
                               ["client_id", "plan_number", "div_sub_id"], "none")
 
 
-def div_sub_with_life(t: BalanceTables) -> DataFrame:
+def div_sub_with_life(t: BalanceTables, narrow: bool = False) -> DataFrame:
     keys = J.sentinel_keys("plan_number", "div_sub_id")
-    return J.left_join_on(div_sub_core_loan(t), life_sums_div_sub(t), keys,
+    return J.left_join_on(div_sub_core_loan(t, narrow), life_sums_div_sub(t, narrow), keys,
                           J.sentinel_keys("plan_number", "div_sub_id"), ["life_cash_value_amount", "valuation_date"])
 
 
@@ -460,7 +461,7 @@ def participant_counts_div_sub(t: BalanceTables, count_method: str = "two_step")
         count_method)
 
 
-def div_sub_enriched(t: BalanceTables, count_method: str = "two_step") -> DataFrame:
+def div_sub_enriched(t: BalanceTables, count_method: str = "two_step", narrow: bool = False) -> DataFrame:
     """Merged div/sub rows with life totals (one row per valuation date) and
     counts (grouped per client but matched without it: one row per client).
 
@@ -468,8 +469,8 @@ def div_sub_enriched(t: BalanceTables, count_method: str = "two_step") -> DataFr
     exchange of the merged rows.
     """
     keys = lambda: J.sentinel_keys("plan_number", "div_sub_id")
-    return J.attach_all(div_sub_core_loan(t), keys(), [
-        (life_sums_div_sub(t), keys(), ["life_cash_value_amount", "valuation_date"]),
+    return J.attach_all(div_sub_core_loan(t, narrow), keys(), [
+        (life_sums_div_sub(t, narrow), keys(), ["life_cash_value_amount", "valuation_date"]),
         (participant_counts_div_sub(t, count_method), keys(), list(K.COUNT_COLUMNS))])
 
 
@@ -480,7 +481,7 @@ def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool =
     The exclusion test reads the merged, un-defaulted division, so NULL, ``''``
     and ``'-9999'`` divisions all drop.
     """
-    m = FL.div_sub_not_in(div_sub_enriched(t, count_method))
+    m = FL.div_sub_not_in(div_sub_enriched(t, count_method, narrow=True))
     y = C.report_date(as_of, 1)
     out = m.select(
         C.sentinel("client_id").alias("client_id"),
