@@ -102,11 +102,15 @@ def sentinel_keys(*cols: str | Column) -> list[Column]:
     return [C.sentinel(c) for c in cols]
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the plain
-    DataFrame is returned and the planner shuffles (or AQE converts to a
-    broadcast from measured sizes).
+    Above the bound the plain DataFrame is returned and the planner shuffles
+    (or AQE converts to a broadcast from measured sizes).
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df

@@ -474,16 +474,9 @@ def div_sub_enriched(t: BalanceTables, count_method: str = "two_step", narrow: b
         (participant_counts_div_sub(t, count_method), keys(), list(K.COUNT_COLUMNS))])
 
 
-def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool = True,
-                   count_method: str = "two_step") -> DataFrame:
-    """Division / sub-division balances (daily), optionally sorted descending.
-
-    The exclusion test reads the merged, un-defaulted division, so NULL, ``''``
-    and ``'-9999'`` divisions all drop.
-    """
-    m = FL.div_sub_not_in(div_sub_enriched(t, count_method, narrow=True))
+def _div_sub_finish(m: DataFrame, as_of: _dt.date | None) -> DataFrame:
     y = C.report_date(as_of, 1)
-    out = m.select(
+    return m.select(
         C.sentinel("client_id").alias("client_id"),
         C.blank_to_sentinel("plan_number").alias("plan_number"),
         C.blank_to_sentinel("div_sub_id").alias("div_sub_id"),
@@ -501,9 +494,42 @@ def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool =
         F.coalesce(F.col(D), y).alias(D),
         F.lit(None).cast("string").alias("plan_key"),
     )
+
+
+def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool = True,
+                   count_method: str = "two_step",
+                   broadcast_max_rows: int = J.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Division / sub-division balances (daily), optionally sorted descending.
+
+    The exclusion test reads the merged, un-defaulted division, so NULL, ``''``
+    and ``'-9999'`` divisions all drop (before the fan-out lookups).
+
+    Sorted output (``ORDER BY plan_number DESC, div_sub_id DESC``): the life
+    and count lookups multiply every merged row (one per valuation date and
+    per client), so sorting after them would shuffle, and sample, the whole
+    fanned-out result.  When both lookup tables pass a row-count bound, the
+    merged rows are range-partitioned by the output sort keys first, the
+    lookups are broadcast (a broadcast join keeps the partitioning), and each
+    partition is sorted locally: same order, and only the pre-fan-out rows
+    move.  Ties may come in any order; the extra sort keys (client, date,
+    valuation date) only let the range partitioner split a hot (plan, div/sub)
+    over several tasks.  Above the bound it falls back to the shuffled joins
+    and a global sort.
+    """
     if not sort:
-        return out
-    # ORDER BY plan_number DESC, div_sub_id DESC.  Ties may come in any order;
-    # the extra keys only let the range partitioner split a hot (plan, div/sub)
-    # over several tasks instead of sorting it in one.
-    return out.orderBy(F.desc("plan_number"), F.desc("div_sub_id"), "client_id", D, "life_valuation_date")
+        return _div_sub_finish(FL.div_sub_not_in(div_sub_enriched(t, count_method, narrow=True)), as_of)
+    order = [F.desc("plan_number"), F.desc("div_sub_id"), F.asc("client_id"), F.asc(D), F.asc("life_valuation_date")]
+    life = life_sums_div_sub(t, narrow=True)
+    counts = participant_counts_div_sub(t, count_method)
+    if not (J.fits(life, broadcast_max_rows) and J.fits(counts, broadcast_max_rows)):
+        return _div_sub_finish(FL.div_sub_not_in(div_sub_enriched(t, count_method, narrow=True)), as_of).orderBy(*order)
+    y = C.report_date(as_of, 1)
+    merged = FL.div_sub_not_in(div_sub_core_loan(t, narrow=True))
+    ranged = merged.repartitionByRange(
+        F.desc(C.blank_to_sentinel("plan_number")), F.desc(C.blank_to_sentinel("div_sub_id")),
+        F.asc(C.sentinel("client_id")), F.asc(F.coalesce(F.col(D), y)))
+    keys = lambda: J.sentinel_keys("plan_number", "div_sub_id")
+    enriched = J.attach_all(ranged, keys(), [
+        (F.broadcast(life), keys(), ["life_cash_value_amount", "valuation_date"]),
+        (F.broadcast(counts), keys(), list(K.COUNT_COLUMNS))])
+    return _div_sub_finish(enriched, as_of).sortWithinPartitions(*order)
