@@ -26,6 +26,7 @@ from ..operators import counts as K
 from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import sums as S
+from ..session import materialize
 from ..sources.tables import BalanceTables
 
 D = "source_cycle_date"
@@ -519,8 +520,10 @@ def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool =
     if not sort:
         return _div_sub_finish(FL.div_sub_not_in(div_sub_enriched(t, count_method, narrow=True)), as_of)
     order = [F.desc("plan_number"), F.desc("div_sub_id"), F.asc("client_id"), F.asc(D), F.asc("life_valuation_date")]
-    life = life_sums_div_sub(t, narrow=True)
-    counts = participant_counts_div_sub(t, count_method)
+    # Computed once into the checkpoint folder: the size checks and the joins
+    # then read the stored rows instead of re-running the lookups' plans.
+    life = materialize(life_sums_div_sub(t, narrow=True))
+    counts = materialize(participant_counts_div_sub(t, count_method))
     if not (J.fits(life, broadcast_max_rows) and J.fits(counts, broadcast_max_rows)):
         return _div_sub_finish(FL.div_sub_not_in(div_sub_enriched(t, count_method, narrow=True)), as_of).orderBy(*order)
     y = C.report_date(as_of, 1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the report plans are designed around.
 SQL_CONF = {
@@ -50,14 +50,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local runs, tests) is a private
-    scratch folder created and registered.
+    When the session leaves it unset, a private scratch folder is created and
+    registered only for a local master (tests, single-machine runs); on a
+    cluster ``None`` is returned, since a machine-local folder would not
+    survive the loss of that machine.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d
+    if sc.master.startswith("local"):
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+        sc.setCheckpointDir(d)
+        return d
+    return None
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the checkpoint folder and cut its lineage.
+
+    Used for small lookup tables that are both size-checked and joined, so
+    their plan runs once.  Without a shared checkpoint folder (cluster with
+    none configured) the DataFrame is returned unchanged: still correct, the
+    plan is just evaluated twice.
+    """
+    if checkpoint_dir(df.sparkSession) is None:
+        return df
+    return df.checkpoint(eager=True)
