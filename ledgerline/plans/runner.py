@@ -40,6 +40,32 @@ STATUS_REPORTS = {f"participant_{c}_status": f"participant_{c}" for c in R.CADEN
 ALL_REPORTS = list(report_builders(None)) + list(STATUS_REPORTS)
 
 
+def build_report(name: str, tables: BalanceTables, as_of: _dt.date | None = None) -> DataFrame:
+    """Any report by name (see ``ALL_REPORTS``), as a lazy DataFrame."""
+    if name in STATUS_REPORTS:
+        return R.participant_status_report(tables, STATUS_REPORTS[name].rsplit("_", 1)[1], as_of)
+    builders = report_builders(as_of)
+    if name not in builders:
+        raise ValueError(f"unknown report {name!r}; expected one of {ALL_REPORTS}")
+    return builders[name](tables)
+
+
+def register_report_views(spark: SparkSession, tables: BalanceTables, as_of: _dt.date | None = None,
+                          names: list[str] | None = None, prefix: str = "") -> list[str]:
+    """Register reports as temporary views (``<prefix><report>``) for SQL users.
+
+    Views are lazy: ``spark.sql("SELECT ... FROM participant_monthly WHERE ...")``
+    plans the report together with the query, so filters and column choices
+    of the SQL reach the report's scans.
+    """
+    as_of = as_of or _dt.date.today()
+    registered = []
+    for name in names or ALL_REPORTS:
+        build_report(name, tables, as_of).createOrReplaceTempView(prefix + name)
+        registered.append(prefix + name)
+    return registered
+
+
 def run(spark: SparkSession, tables: BalanceTables, output: str, names: list[str] | None = None,
         as_of: _dt.date | None = None) -> dict[str, str]:
     """Write each requested report; returns report name -> output path.

@@ -13,3 +13,15 @@ def test_runner_writes_reports_and_status_from_written_base(spark, fixture_table
     assert multiset(got.collect()) == multiset(want.collect())
     got = spark.read.parquet(out["client_monthly"]).select(*R.CLIENT_COLUMNS)
     assert multiset(got.collect()) == multiset(R.client_report(fixture_tables, "monthly", AS_OF).collect())
+
+
+def test_build_report_and_sql_views(spark, fixture_tables):
+    from ledgerline.plans.runner import ALL_REPORTS, build_report, register_report_views
+    assert len(ALL_REPORTS) == 14
+    names = register_report_views(spark, fixture_tables, AS_OF, ["plan_monthly", "participant_daily_status"],
+                                  prefix="t_")
+    assert names == ["t_plan_monthly", "t_participant_daily_status"]
+    got = spark.sql("SELECT count(*) AS n FROM t_plan_monthly").collect()[0].n
+    assert got == build_report("plan_monthly", fixture_tables, AS_OF).count()
+    want = R.participant_status_report(fixture_tables, "daily", AS_OF)
+    assert multiset(spark.table("t_participant_daily_status").collect()) == multiset(want.collect())
