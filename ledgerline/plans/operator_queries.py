@@ -199,10 +199,8 @@ def oracle_sql() -> dict[str, str]:
         sql[name] = _sel(body=(f"SELECT participant_id, fund_iv, client_id, {O.core_expr(excl)} "
                                f"AS core_cash_value_amount FROM {O.CORE_M}"))
     sql["ee_er_split"] = _sel(body=(
-        "SELECT participant_id, money_type_description, "
-        "CASE WHEN money_type_description = 'EE' THEN cash_value_amount END AS ee_cash_value_amount, "
-        "CASE WHEN money_type_description = 'ER' THEN cash_value_amount END AS er_cash_value_amount "
-        f"FROM {O.CORE_M}"))
+        f"SELECT participant_id, money_type_description, {O.money_type_expr(C.EE)} AS ee_cash_value_amount, "
+        f"{O.money_type_expr(C.ER)} AS er_cash_value_amount FROM {O.CORE_M}"))
     sql["loan_amount"] = _sel(body=f"SELECT participant_id, source_system, {O.LOAN_EXPR} AS loan_cash_value_amt "
                                    f"FROM {O.LOAN}")
     part_m = O.participant_enriched_ctes("monthly")

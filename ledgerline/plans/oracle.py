@@ -15,7 +15,7 @@ from ..sources.fixtures import FIXTURE_AS_OF, fixture_ctes_sql
 TODAY = f"DATE '{FIXTURE_AS_OF.isoformat()}'"
 YESTERDAY = f"(DATE '{FIXTURE_AS_OF.isoformat()}' - INTERVAL 1 DAY)"
 YESTERDAY = f"CAST({YESTERDAY} AS DATE)"
-Q = "(3, 6, 9, 12)"
+Q = "(" + ", ".join(str(m) for m in C.QUARTER_END_MONTHS) + ")"
 S = f"'{C.SENTINEL}'"
 
 CORE_D, CORE_M = "participant_core_balance", "participant_core_balance_monthly"
@@ -48,26 +48,37 @@ def s_on(left: str, right: str, keys: list[str]) -> str:
     return on([(sk(f"{left}.{k}"), sk(f"{right}.{k}")) for k in keys])
 
 
-# --- Row-level amounts ---------------------------------------------------------
+# --- Row-level amounts (fixed values come from functions.columns) -----------------
+
+def lit(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+FUNDS = ", ".join(lit(f) for f in C.EXCLUDED_FUNDS)
+
 
 def core_expr(exclude: bool) -> str:
     if not exclude:
         return "coalesce(cash_value_amount, 0.00)"
-    return ("CASE WHEN fund_iv IN ('70', '90', '91') AND client_id <> 'NG' THEN 0.0 "
+    return (f"CASE WHEN fund_iv IN ({FUNDS}) AND client_id <> {lit(C.EXEMPT_CLIENT)} THEN 0.0 "
             "ELSE coalesce(cash_value_amount, 0.00) END")
 
 
-EE_EXPR = "coalesce(CASE WHEN money_type_description = 'EE' THEN cash_value_amount END, 0.00)"
-ER_EXPR = "coalesce(CASE WHEN money_type_description = 'ER' THEN cash_value_amount END, 0.00)"
-LOAN_EXPR = ("CASE WHEN source_system = 'PREMIER' THEN outstanding_principal_balance "
+def money_type_expr(money_type: str) -> str:
+    return f"CASE WHEN money_type_description = {lit(money_type)} THEN cash_value_amount END"
+
+
+EE_EXPR = f"coalesce({money_type_expr(C.EE)}, 0.00)"
+ER_EXPR = f"coalesce({money_type_expr(C.ER)}, 0.00)"
+LOAN_EXPR = (f"CASE WHEN source_system = {lit(C.PREMIER)} THEN outstanding_principal_balance "
              "ELSE loan_balance END")
-ALLOC_ID = ("CASE WHEN source_system = 'VRP-PB' OR source_system = 'VRP_SP' THEN "
-            "CASE WHEN account_type_code = 'ALLOC' THEN participant_id END "
-            "WHEN source_system = 'PREMIER' THEN participant_id END")
-ACTIVE_ID = ("CASE WHEN source_system = 'VRP-PB' OR source_system = 'VRP-SP' THEN "
-             "CASE WHEN try_cast(participant_status_code AS INTEGER) <= 16 THEN participant_id END "
-             "WHEN source_system = 'PREMIER' THEN "
-             "CASE WHEN participant_status_code = 'A' THEN participant_id END END")
+ALLOC_ID = (f"CASE WHEN source_system = {lit(C.VRP_PB)} OR source_system = {lit(C.VRP_SP_ALT)} THEN "
+            f"CASE WHEN account_type_code = {lit(C.ALLOCATED_ACCOUNT)} THEN participant_id END "
+            f"WHEN source_system = {lit(C.PREMIER)} THEN participant_id END")
+ACTIVE_ID = (f"CASE WHEN source_system = {lit(C.VRP_PB)} OR source_system = {lit(C.VRP_SP)} THEN "
+             f"CASE WHEN try_cast(participant_status_code AS INTEGER) <= {C.ACTIVE_STATUS_MAX} "
+             f"THEN participant_id END WHEN source_system = {lit(C.PREMIER)} THEN "
+             f"CASE WHEN participant_status_code = {lit(C.PREMIER_ACTIVE_STATUS)} THEN participant_id END END")
 
 
 def core_sums(name: str, table: str, keys: list[str], exclude: bool = True, shares: bool = False,
@@ -210,15 +221,20 @@ def participant_report(cadence: str) -> str:
     return with_fixtures(*participant_enriched_ctes(cadence), body=participant_select(cadence))
 
 
-STATUS_PREDICATE = """(
-  (r.core_cash_value_amount = 0 AND r.life_cash_value_amount_monthly = 0 AND r.sdba_cash_value_amount = 0
-   AND r.loan_cash_value_amount = 0 AND r.noncore_cash_value_amount = 0 AND b.part_status_desc = 'ACTIVE')
-  OR ((r.core_cash_value_amount <> 0 OR (r.life_cash_value_amount_monthly <> 0 AND r.sdba_cash_value_amount <> 0)
-       OR r.loan_cash_value_amount <> 0 OR r.noncore_cash_value_amount <> 0) AND b.part_status_desc = 'ACTIVE')
-  OR (r.core_cash_value_amount <> 0 AND r.life_cash_value_amount_monthly <> 0 AND r.sdba_cash_value_amount <> 0
-      AND r.loan_cash_value_amount <> 0 AND r.noncore_cash_value_amount <> 0 AND b.part_status_desc <> 'ACTIVE')
-  OR ((r.core_cash_value_amount <> 0 OR r.life_cash_value_amount_monthly <> 0 OR r.sdba_cash_value_amount <> 0
-       OR r.loan_cash_value_amount <> 0 OR r.noncore_cash_value_amount <> 0) AND b.part_status_desc <> 'ACTIVE'))"""
+def _status_predicate() -> str:
+    amounts = ["r.core_cash_value_amount", "r.life_cash_value_amount_monthly", "r.sdba_cash_value_amount",
+               "r.loan_cash_value_amount", "r.noncore_cash_value_amount"]
+    core, life, sdba, loan, noncore = amounts
+    active, inactive = f"b.part_status_desc = {lit(C.ACTIVE_DESC)}", f"b.part_status_desc <> {lit(C.ACTIVE_DESC)}"
+    zero = " AND ".join(f"{a} = 0" for a in amounts)
+    nonzero_all = " AND ".join(f"{a} <> 0" for a in amounts)
+    nonzero_any = " OR ".join(f"{a} <> 0" for a in amounts)
+    grouped = f"{core} <> 0 OR ({life} <> 0 AND {sdba} <> 0) OR {loan} <> 0 OR {noncore} <> 0"
+    return (f"(({zero} AND {active}) OR (({grouped}) AND {active}) "
+            f"OR ({nonzero_all} AND {inactive}) OR (({nonzero_any}) AND {inactive}))")
+
+
+STATUS_PREDICATE = _status_predicate()
 
 
 def status_report(cadence: str) -> str:
@@ -347,8 +363,7 @@ def div_sub_ctes() -> list[str]:
     core_rows = (f"dr AS (SELECT trim(b.client_id) AS client_id, trim(b.plan_number) AS plan_number, "
                  f"trim(p.div_sub_id) AS div_sub_id, b.source_cycle_date, "
                  f"coalesce(b.cash_value_amount, 0.00) AS core_v, "
-                 f"coalesce(CASE WHEN b.money_type_description = 'EE' THEN b.cash_value_amount END, 0.00) AS ee_v, "
-                 f"coalesce(CASE WHEN b.money_type_description = 'ER' THEN b.cash_value_amount END, 0.00) AS er_v, "
+                 f"{EE_EXPR} AS ee_v, {ER_EXPR} AS er_v, "
                  f"coalesce(b.sdba_cash_value_amount, 0.00) AS sdba_v, coalesce(b.ytd_contributions, 0.00) AS ytd_v "
                  f"FROM {CORE_D} b LEFT JOIN {PART} p ON b.plan_number = p.plan_number "
                  f"AND b.client_id = p.client_id AND b.participant_id = p.participant_id)")
