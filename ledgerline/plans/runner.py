@@ -19,7 +19,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.filters import status_filter
-from ..session import configure
+from ..session import configure, size_for_input, stored_bytes
 from ..sources.sinks import write_report
 from ..sources.tables import BalanceTables, read_catalog_tables, read_parquet_tables
 from . import reports as R
@@ -110,6 +110,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--reports", default=",".join(ALL_REPORTS))
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.getOrCreate())
+    if args.input:
+        size_for_input(spark, stored_bytes(spark, args.input))
     tables = read_parquet_tables(spark, args.input) if args.input else read_catalog_tables(spark, args.database)
     for name, path in run(spark, tables, args.output, args.reports.split(","), args.as_of).items():
         print(f"{name}\t{path}")

@@ -32,6 +32,36 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+MB = 1024 * 1024
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 * MB,
+                   shuffle_ratio: float = 0.25, min_partitions: int = 200,
+                   max_partitions: int = 100_000) -> int:
+    """Size shuffles and scan splits for ``input_bytes`` of stored input.
+
+    The first exchange of every report carries partial aggregates of the
+    balance rows, at most ``shuffle_ratio`` of the input in practice; the
+    initial partition count gives each reducer about
+    ``target_partition_bytes`` of it, so partitions fit in executor memory
+    without spilling, and AQE then coalesces the later, smaller exchanges
+    toward the same advisory size.  Returns the partition count set.
+    """
+    n = int(min(max_partitions, max(min_partitions, -(-int(input_bytes * shuffle_ratio) // target_partition_bytes))))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_partition_bytes, 512 * MB)))
+    return n
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop FileSystem metadata call)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "ledgerline",
                   driver_memory: str = "16g", event_log_dir: str | None = None) -> SparkSession:
     """Local session: UI off, AQE on, shuffle partitions sized to the cores."""

@@ -25,3 +25,18 @@ def test_build_report_and_sql_views(spark, fixture_tables):
     assert got == build_report("plan_monthly", fixture_tables, AS_OF).count()
     want = R.participant_status_report(fixture_tables, "daily", AS_OF)
     assert multiset(spark.table("t_participant_daily_status").collect()) == multiset(want.collect())
+
+
+def test_size_for_input(spark):
+    from ledgerline.session import MB, size_for_input, stored_bytes
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+                                          "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        assert size_for_input(spark, 10 * MB) == 200                      # floor
+        assert size_for_input(spark, 100 * 1024 ** 4) == 100_000          # 100 TB: capped
+        assert size_for_input(spark, 1024 ** 4) == 1024                    # 1 TB -> 256 GB of partials / 256 MB
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1024"
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert stored_bytes(spark, "/root/testdata/sf0.001/nation.parquet") > 0
