@@ -55,3 +55,26 @@ def test_scans_read_only_needed_columns(spark, fixture_tables):
     df = R.client_report(fixture_tables, "monthly", AS_OF)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "money_type_description" not in text and "fund_iv" not in text
+
+
+def test_bucketed_inputs_skip_the_aggregation_shuffle(spark, fixture_tables, tmp_path):
+    from ledgerline.sources.tables import conform
+    from tests.helpers import multiset
+    t = fixture_tables
+    for name, df in (("t_core_m_b", t.core_monthly), ("t_loan_b", t.loan)):
+        df.write.mode("overwrite").option("path", str(tmp_path / name)).bucketBy(4, "participant_id") \
+            .saveAsTable(name)
+    tb = t.with_(core_monthly=conform(spark.table("t_core_m_b"), "core_monthly"),
+                 loan=conform(spark.table("t_loan_b"), "loan"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = R.participant_core_loan(t, "monthly", AS_OF, narrow=True)
+        bucketed = R.participant_core_loan(tb, "monthly", AS_OF, narrow=True)
+        count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")  # noqa
+        assert count(bucketed) == 2 and count(plain) > 2
+        assert multiset(bucketed.collect()) == multiset(plain.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS t_core_m_b")
+        spark.sql("DROP TABLE IF EXISTS t_loan_b")
