@@ -82,14 +82,8 @@ def participant_core_loan(t: BalanceTables, cadence: str, as_of: _dt.date | None
     return J.full_outer_merge(core, loan, keys, "defaulted", C.report_date(as_of, 1))
 
 
-def participant_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                          prefilter: bool = True, narrow: bool = False) -> DataFrame:
-    """Merged core/loan rows with the participant's life-fund totals attached.
-
-    Daily matches life on (participant, plan) only, so a row repeats once per
-    valuation date; monthly also matches the defaulted snapshot date.
-    """
-    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow)
+def _attach_participant_life(merged: DataFrame, t: BalanceTables, cadence: str, as_of: _dt.date | None,
+                             prefilter: bool, narrow: bool) -> DataFrame:
     life_in = t.life
     if cadence == "quarterly" and prefilter:
         life_in = life_in.where(C.quarter_candidate("valuation_date"))
@@ -102,10 +96,18 @@ def participant_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None
     return J.left_join_on(merged, life, lkeys, rkeys, ["life_cash_value_amount", "valuation_date"])
 
 
-def participant_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                       prefilter: bool = True) -> DataFrame:
-    """Participant balances: ``daily``, ``monthly`` or ``quarterly``."""
-    m = participant_with_life(t, cadence, as_of, prefilter, narrow=True)
+def participant_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
+                          prefilter: bool = True, narrow: bool = False) -> DataFrame:
+    """Merged core/loan rows with the participant's life-fund totals attached.
+
+    Daily matches life on (participant, plan) only, so a row repeats once per
+    valuation date; monthly also matches the defaulted snapshot date.
+    """
+    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow)
+    return _attach_participant_life(merged, t, cadence, as_of, prefilter, narrow)
+
+
+def _participant_finish(m: DataFrame, cadence: str, as_of: _dt.date | None, extra: tuple = ()) -> DataFrame:
     y = C.report_date(as_of, 1)
     if cadence == "daily":
         return m.select(
@@ -124,6 +126,7 @@ def participant_report(t: BalanceTables, cadence: str, as_of: _dt.date | None =
             _noncore("sdba_cash_value_amount", "loan_cash_value_amt", "life_cash_value_amount")
             .alias("noncore_cash_value_amount"),
             F.col("valuation_date").alias("life_valuation_date"),
+            *extra,
         )
     if cadence == "quarterly":
         m = FL.quarter_filter(m)
@@ -144,13 +147,39 @@ def participant_report(t: BalanceTables, cadence: str, as_of: _dt.date | None =
         _noncore("life_cash_value_amount", "sdba_cash_value_amount", "loan_cash_value_amt")
         .alias("noncore_cash_value_amount"),
         amt("ytd_contributions").alias("ytd_contributions"),
+        *extra,
     )
 
 
+def participant_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
+                       prefilter: bool = True) -> DataFrame:
+    """Participant balances: ``daily``, ``monthly`` or ``quarterly``."""
+    return _participant_finish(participant_with_life(t, cadence, as_of, prefilter, narrow=True), cadence, as_of)
+
+
 def participant_status_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
                               prefilter: bool = True) -> DataFrame:
-    """Participant report restricted by participant status and balances."""
-    return FL.status_filter(participant_report(t, cadence, as_of, prefilter), t.participant)
+    """Participant report restricted by participant status and balances.
+
+    The status lookup matches the report's *output* keys (sentinel ids, and
+    for daily the blank-to-sentinel plan) to the participant table, and the
+    predicate then tests the report's amounts (``operators.filters``).  Those
+    output keys are functions of the merged core/loan row alone, so the
+    lookup is attached before the life join rather than after it: same rows
+    (an inner lookup and a LEFT join on other keys commute), but the lookup
+    moves the merged rows instead of the rows fanned out by valuation date.
+    The predicate rejects NULL status, so the lookup is an inner join on
+    participants with a known status.
+    """
+    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow=True)
+    out_plan = C.blank_to_sentinel("plan_number") if cadence == "daily" else C.sentinel("plan_number")
+    known = t.participant.where(F.col("part_status_desc").isNotNull())
+    with_status = J.left_join_on(
+        merged, known, [C.sentinel("participant_id"), out_plan, C.sentinel("client_id")],
+        J.sentinel_keys(*FL.STATUS_KEYS), [F.col("part_status_desc").alias("_status")], how="inner")
+    m = _attach_participant_life(with_status, t, cadence, as_of, prefilter, narrow=True)
+    out = _participant_finish(m, cadence, as_of, extra=(F.col("_status"),))
+    return out.where(FL.status_predicate(F.col("_status"))).drop("_status")
 
 
 # ---------------------------------------------------------------------------
