@@ -99,3 +99,75 @@ def test_t18_div_sub_filter_drops_null_blank_and_sentinel(spark):
                                        div_sub_id=div))
     got = R.div_sub_report(spark_tables(spark, rows), AS_OF).collect()
     assert [r.div_sub_id for r in got] == ["D1"]
+
+
+def test_t10_t11_daily_life_repeats_per_valuation_date_and_ignores_client(spark):
+    rows = empty_rows()
+    rows["core_daily"] = [row("core_daily", participant_id="1", client_id=c, plan_number="P",
+                              retirement_account_id="RA0", source_cycle_date=D0, cash_value_amount=m(1))
+                          for c in ("C1", "C2")]
+    rows["life"] = [row("life", participant_id="1", plan_number="P", valuation_date=d, cash_value_amt=m(2))
+                    for d in (dt.date(2001, 5, 31), dt.date(2001, 6, 30))]
+    got = R.participant_report(spark_tables(spark, rows), "daily", AS_OF).collect()
+    # 2 clients x 2 valuation dates; the same life total lands on both clients.
+    assert sorted((r.client_id, r.life_valuation_date) for r in got) == [
+        ("C1", dt.date(2001, 5, 31)), ("C1", dt.date(2001, 6, 30)),
+        ("C2", dt.date(2001, 5, 31)), ("C2", dt.date(2001, 6, 30))]
+    assert {r.life_cash_value_amount_monthly for r in got} == {m(2)}
+
+
+def test_t15_plan_total_is_null_for_loan_only_rows(spark):
+    rows = empty_rows()
+    rows["loan"] = [row("loan", client_id="C", plan_number="P", source_cycle_date=D0, source_system="VRP-PB",
+                        loan_balance=m(9))]
+    got = R.plan_report(spark_tables(spark, rows), "monthly", AS_OF).collect()
+    assert len(got) == 1
+    r = got[0]
+    assert (r.core_cash_value_amount, r.noncore_cash_value_amount, r.total_cash_amount) == (m(0), m(9), None)
+
+
+def test_t16_trim_applies_to_core_keys_only(spark):
+    rows = empty_rows()
+    rows["core_daily"] = [row("core_daily", client_id="C", plan_number=" P05 ", source_cycle_date=D0,
+                              cash_value_amount=m(1))]
+    rows["loan"] = [row("loan", client_id="C", plan_number=" P05 ", source_system="VRP-PB", loan_balance=m(4))]
+    got = R.plan_report(spark_tables(spark, rows), "daily", AS_OF).collect()
+    # Core plan is trimmed to 'P05', loan plan is not: two rows that never merge.
+    assert sorted((r.plan_number, r.core_cash_value_amount, r.loan_cash_value_amount) for r in got) == [
+        (" P05 ", m(0), m(4)), ("P05", m(1), m(0))]
+
+
+def test_t20_participant_with_two_rows_doubles_div_sub_balances(spark):
+    rows = empty_rows()
+    rows["core_daily"] = [row("core_daily", participant_id="1", client_id="C", plan_number="P",
+                              source_cycle_date=D0, cash_value_amount=m(5))]
+    rows["participant"] = [row("participant", participant_id="1", client_id="C", plan_number="P", div_sub_id="D1",
+                               source_cycle_date=d) for d in (dt.date(2001, 6, 30), dt.date(2001, 7, 31))]
+    got = R.div_sub_report(spark_tables(spark, rows), AS_OF).collect()
+    assert [(r.div_sub_id, r.core_cash_value_amount, r.participant_count) for r in got] == [("D1", m(10), 1)]
+
+
+@pytest.mark.parametrize("as_of,expected", [(dt.date(2001, 8, 1), []), (dt.date(2001, 9, 15), [dt.date(2001, 9, 15)])])
+def test_t21_t23_client_quarterly_tests_the_defaulted_date(spark, as_of, expected):
+    rows = empty_rows()
+    rows["core_monthly"] = [row("core_monthly", client_id="C", source_cycle_date=None, cash_value_amount=m(1))]
+    t = spark_tables(spark, rows)
+    got = R.client_report(t, "quarterly", as_of).collect()
+    # An undated client row falls back to *today* and passes when today is in a quarter-end month.
+    assert [r.source_cycle_date for r in got] == expected
+    # The participant report tests the raw date: the undated row never passes.
+    assert R.participant_report(t, "quarterly", as_of).count() == 0
+
+
+def test_t26_quarterly_participant_amounts_stay_null_for_loan_only_rows(spark):
+    rows = empty_rows()
+    rows["loan"] = [row("loan", participant_id="1", client_id="C", plan_number="P",
+                        source_cycle_date=dt.date(2001, 6, 30), source_system="PREMIER",
+                        outstanding_principal_balance=m(3))]
+    t = spark_tables(spark, rows)
+    q = R.participant_report(t, "quarterly", AS_OF).collect()[0]
+    mo = R.participant_report(t, "monthly", AS_OF).collect()[0]
+    assert (q.core_cash_value_amount, q.sdba_cash_value_amount, q.ytd_contributions) == (None, None, None)
+    assert (q.loan_cash_value_amount, q.noncore_cash_value_amount, q.life_cash_value_amount_monthly) == \
+        (m(3), m(3), m(0))
+    assert (mo.core_cash_value_amount, mo.sdba_cash_value_amount) == (m(0), m(0))
