@@ -88,8 +88,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     cluster ``None`` is returned, since a machine-local folder would not
     survive the loss of that machine.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; use the setting as is
+        return configured
+    d = configured or sc.getCheckpointDir()
     if d:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
