@@ -8,6 +8,7 @@ quarter tests (T21, T22) and the status join (T28, T29) together.
 """
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -71,7 +72,11 @@ def spark_reports(t):
     return out
 
 
-@pytest.mark.parametrize("seed", [0, 1, 2, 3])
+# More seeds on demand: LEDGERLINE_RANDOM_SEEDS=30 python -m pytest tests/test_random_oracle.py
+SEEDS = list(range(int(os.environ.get("LEDGERLINE_RANDOM_SEEDS", "4"))))
+
+
+@pytest.mark.parametrize("seed", SEEDS)
 def test_reports_match_oracle_on_random_inputs(spark, seed):
     rows = random_rows(seed)
     t = spark_tables(spark, rows)
