@@ -76,21 +76,32 @@ PARTICIPANT_PERIOD_COLUMNS = [
 
 
 def participant_core_loan(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                          prefilter: bool = True, narrow: bool = False) -> DataFrame:
-    """Core and loan sums per participant, FULL OUTER merged (before life)."""
+                          prefilter: bool = True, narrow: bool = False, colocate: bool = False) -> DataFrame:
+    """Core and loan sums per participant, FULL OUTER merged (before life).
+
+    ``colocate`` (off by default) shuffles raw rows once on the merge's
+    sentinel keys instead of shuffling partial sums on the grouping keys and
+    then again on the sentinel keys; see ``operators.joins.colocate``.
+    """
     _check(cadence)
     if cadence == "daily":
         keys = ["participant_id", "plan_number", "retirement_account_id", "client_id"]
-        core = S.core_sums(t.core_daily, keys + [D], narrow=narrow)
-        loan = S.loan_sums(t.loan, keys, narrow=narrow)
-        return J.full_outer_merge(core, loan, keys, "none")
-    core_in, loan_in = t.core_monthly, t.loan
-    if cadence == "quarterly" and prefilter:
-        core_in, loan_in = core_in.where(C.quarter_candidate(D)), loan_in.where(C.quarter_candidate(D))
-    keys = ["client_id", "participant_id", "plan_number"]
-    core = S.core_sums(core_in, keys + [D], narrow=narrow)
-    loan = S.loan_sums(loan_in, keys + [D], narrow=narrow)
-    return J.full_outer_merge(core, loan, keys, "defaulted", C.report_date(as_of, 1))
+        core_in, loan_in, mode, fallback = t.core_daily, t.loan, "none", None
+        core_keys, loan_keys = keys + [D], list(keys)
+    else:
+        core_in, loan_in = t.core_monthly, t.loan
+        if cadence == "quarterly" and prefilter:
+            core_in, loan_in = core_in.where(C.quarter_candidate(D)), loan_in.where(C.quarter_candidate(D))
+        keys = ["client_id", "participant_id", "plan_number"]
+        mode, fallback = "defaulted", C.report_date(as_of, 1)
+        core_keys, loan_keys = keys + [D], keys + [D]
+    if colocate:
+        core_in, loan_in = J.colocate(core_in, keys, mode, fallback), J.colocate(loan_in, keys, mode, fallback)
+        joined = J.colocated_keys(keys, mode)
+        core_keys, loan_keys = joined + core_keys, joined + loan_keys
+    core = S.core_sums(core_in, core_keys, narrow=narrow)
+    loan = S.loan_sums(loan_in, loan_keys, narrow=narrow)
+    return J.full_outer_merge(core, loan, keys, mode, fallback)
 
 
 def _attach_participant_life(merged: DataFrame, t: BalanceTables, cadence: str, as_of: _dt.date | None,
@@ -108,13 +119,13 @@ def _attach_participant_life(merged: DataFrame, t: BalanceTables, cadence: str,
 
 
 def participant_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                          prefilter: bool = True, narrow: bool = False) -> DataFrame:
+                          prefilter: bool = True, narrow: bool = False, colocate: bool = False) -> DataFrame:
     """Merged core/loan rows with the participant's life-fund totals attached.
 
     Daily matches life on (participant, plan) only, so a row repeats once per
     valuation date; monthly also matches the defaulted snapshot date.
     """
-    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow)
+    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow, colocate)
     return _attach_participant_life(merged, t, cadence, as_of, prefilter, narrow)
 
 
@@ -163,13 +174,14 @@ def _participant_finish(m: DataFrame, cadence: str, as_of: _dt.date | None, extr
 
 
 def participant_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                       prefilter: bool = True) -> DataFrame:
+                       prefilter: bool = True, colocate: bool = False) -> DataFrame:
     """Participant balances: ``daily``, ``monthly`` or ``quarterly``."""
-    return _participant_finish(participant_with_life(t, cadence, as_of, prefilter, narrow=True), cadence, as_of)
+    m = participant_with_life(t, cadence, as_of, prefilter, narrow=True, colocate=colocate)
+    return _participant_finish(m, cadence, as_of)
 
 
 def participant_status_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                              prefilter: bool = True) -> DataFrame:
+                              prefilter: bool = True, colocate: bool = False) -> DataFrame:
     """Participant report restricted by participant status and balances.
 
     The status lookup matches the report's *output* keys (sentinel ids, and
@@ -182,7 +194,7 @@ def participant_status_report(t: BalanceTables, cadence: str, as_of: _dt.date |
     The predicate rejects NULL status, so the lookup is an inner join on
     participants with a known status.
     """
-    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow=True)
+    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow=True, colocate=colocate)
     out_plan = C.blank_to_sentinel("plan_number") if cadence == "daily" else C.sentinel("plan_number")
     known = t.participant.where(F.col("part_status_desc").isNotNull())
     with_status = J.left_join_on(
