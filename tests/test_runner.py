@@ -60,3 +60,22 @@ def test_runner_cli_end_to_end(spark, fixture_tables, tmp_path, capsys):
     assert "client_quarterly" in printed and "participant_quarterly_status" in printed
     got = spark.read.parquet(str(out / "client_quarterly")).select(*R.CLIENT_COLUMNS)
     assert multiset(got.collect()) == multiset(R.client_report(fixture_tables, "quarterly", AS_OF).collect())
+
+
+def test_report_output_columns_are_the_documented_api(fixture_tables):
+    t = fixture_tables
+    expected = {
+        "client_daily": R.CLIENT_COLUMNS, "client_monthly": R.CLIENT_COLUMNS, "client_quarterly": R.CLIENT_COLUMNS,
+        "plan_daily": R.PLAN_DAILY_COLUMNS, "plan_monthly": R.plan_period_columns("monthly"),
+        "plan_quarterly": R.plan_period_columns("quarterly"), "div_sub_daily": R.DIV_SUB_COLUMNS,
+        "participant_daily": R.PARTICIPANT_DAILY_COLUMNS, "participant_monthly": R.PARTICIPANT_PERIOD_COLUMNS,
+        "participant_quarterly": R.PARTICIPANT_PERIOD_COLUMNS,
+        "participant_daily_status": R.PARTICIPANT_DAILY_COLUMNS,
+        "participant_monthly_status": R.PARTICIPANT_PERIOD_COLUMNS,
+        "participant_quarterly_status": R.PARTICIPANT_PERIOD_COLUMNS,
+        "plan_quarterly_count": ["row_count"],
+    }
+    from ledgerline.plans.runner import ALL_REPORTS, build_report
+    assert set(expected) == set(ALL_REPORTS)
+    for name, cols in expected.items():
+        assert build_report(name, t, AS_OF).columns == cols, name
