@@ -2,7 +2,10 @@
 
 On a cluster the session normally exists already; ``configure`` only applies
 the SQL settings the plans rely on.  ``build_session`` is for local runs and
-tests.
+tests.  For batch report jobs also set the static
+``spark.python.sql.dataFrameDebugging.enabled=false`` in the job's Spark
+configuration: it stops PySpark from capturing the Python call site of every
+Column call, which roughly halves the time to build a report's plan.
 """
 
 from __future__ import annotations
@@ -68,6 +71,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         # Batch jobs: skip capturing the Python call site of every Column
+         # call for error messages (several py4j round-trips per call).
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.driver.memory", driver_memory)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)))
