@@ -1,0 +1,83 @@
+"""Operators in isolation, on hand-made rows."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from ledgerline.operators import counts as K
+from ledgerline.operators import joins as J
+from tests.helpers import multiset
+
+D0, D1 = dt.date(2001, 7, 31), dt.date(2001, 6, 30)
+
+
+def Y():  # noqa: N802 - the fallback date as a Column (needs a live session)
+    return F.lit(D0)
+
+
+def _core(spark, rows):
+    return spark.createDataFrame(rows, "k string, source_cycle_date date, core decimal(17,2)")
+
+
+def _loan(spark, rows):
+    return spark.createDataFrame(rows, "k string, source_cycle_date date, loan_cash_value_amt decimal(17,2)")
+
+
+def test_full_outer_merge_sentinel_collision_multiplies(spark):
+    # NULL and literal '-9999' are different core rows; both meet the one loan row.
+    core = _core(spark, [(None, D0, Decimal(1)), ("-9999", D0, Decimal(2)), ("a", D0, Decimal(3))])
+    loan = spark.createDataFrame([(None, Decimal(5)), ("b", Decimal(7))], "k string, loan_cash_value_amt decimal(17,2)")
+    got = J.full_outer_merge(core, loan, ["k"], "none").collect()
+    assert multiset(got) == multiset([
+        (None, D0, Decimal(1), Decimal(5)), ("-9999", D0, Decimal(2), Decimal(5)),
+        ("a", D0, Decimal(3), None), ("b", None, None, Decimal(7))])
+
+
+def test_full_outer_merge_date_modes(spark):
+    core = _core(spark, [("a", None, Decimal(1)), ("a", D1, Decimal(2))])
+    loan = _loan(spark, [("a", D0, Decimal(5)), ("a", D1, Decimal(6))])
+    defaulted = J.full_outer_merge(core, loan, ["k"], "defaulted", Y()).collect()
+    # The undated core row meets the loan dated with the fallback and takes its date.
+    assert multiset(defaulted) == multiset([("a", D0, Decimal(1), Decimal(5)), ("a", D1, Decimal(2), Decimal(6))])
+    strict = J.full_outer_merge(core, loan, ["k"], "strict").collect()
+    assert multiset(strict) == multiset([("a", None, Decimal(1), None), ("a", D0, None, Decimal(5)),
+                                         ("a", D1, Decimal(2), Decimal(6))])
+
+
+def test_attach_all_shares_keys_and_honours_left_condition(spark):
+    left = spark.createDataFrame([("p", D0), ("p", None)], "plan string, d date")
+    life = spark.createDataFrame([("p", D0, 1), ("p", D1, 2)], "plan string, v date, life int")
+    counts = spark.createDataFrame([("p", D0, 9)], "plan string, d date, n int")
+    out = J.attach_all(left, [F.col("plan"), F.coalesce(F.col("d"), Y())], [
+        (life, [F.col("plan"), F.coalesce(F.col("v"), Y())], ["life"]),
+        (counts, [F.col("plan"), F.col("d")], ["n"], F.col("d").isNotNull()),
+    ])
+    assert out.columns == ["plan", "d", "life", "n"]
+    # The undated row meets life dated with the fallback, but gets no counts (strict date).
+    assert multiset(out.collect()) == multiset([("p", D0, 1, 9), ("p", None, 1, None)])
+
+
+def test_participant_counts_ignore_null_ids_and_match_count_distinct(spark):
+    rows = [("P", "1", "PREMIER", "ALLOC", "A"), ("P", "1", "VRP-PB", "UNALLOC", "3"),
+            ("P", "2", "VRP-SP", "ALLOC", "20"), ("P", None, "PREMIER", "ALLOC", "A"), ("Q", None, "PREMIER", None, None)]
+    df = spark.createDataFrame(rows, "plan_number string, participant_id string, source_system string, "
+                                     "account_type_code string, participant_status_code string")
+    two = {r.plan_number: tuple(r)[1:] for r in K.participant_counts(df, ["plan_number"]).collect()}
+    lit = {r.plan_number: tuple(r)[1:] for r in K.participant_counts(df, ["plan_number"], "distinct").collect()}
+    # Participant 2 is on VRP-SP (not in the allocated test) with status 20 (not active).
+    assert two == lit == {"P": (1, 1, 2), "Q": (0, 0, 0)}
+
+
+def test_bounded_broadcast_switches_on_the_row_bound(spark):
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda rhs: big.join(rhs, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(J.bounded_broadcast(small, max_rows=100))
+        assert "BroadcastHashJoin" not in plan(J.bounded_broadcast(big, max_rows=100))
+        assert J.fits(small, 10) and not J.fits(small, 9)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
