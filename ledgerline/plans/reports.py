@@ -186,14 +186,19 @@ def participant_status_report(t: BalanceTables, cadence: str, as_of: _dt.date |
 
     The status lookup matches the report's *output* keys (sentinel ids, and
     for daily the blank-to-sentinel plan) to the participant table, and the
-    predicate then tests the report's amounts (``operators.filters``).  Those
-    output keys are functions of the merged core/loan row alone, so the
-    lookup is attached before the life join rather than after it: same rows
-    (an inner lookup and a LEFT join on other keys commute), but the lookup
-    moves the merged rows instead of the rows fanned out by valuation date.
-    The predicate rejects NULL status, so the lookup is an inner join on
+    predicate then tests the report's amounts (``operators.filters``).  The
+    predicate rejects NULL status, so the lookup is an inner join on
     participants with a known status.
+
+    Daily: the life join fans every merged row out per valuation date, and
+    the lookup's keys are functions of the merged row alone, so the lookup is
+    attached before the life join (an inner lookup and a LEFT join on other
+    keys commute): same rows, but the lookup moves the merged rows instead of
+    the fanned-out ones.  Monthly / quarterly life joins do not fan out, so
+    the lookup runs on the finished report as written.
     """
+    if cadence != "daily":
+        return FL.status_filter(participant_report(t, cadence, as_of, prefilter, colocate), t.participant)
     merged = participant_core_loan(t, cadence, as_of, prefilter, narrow=True, colocate=colocate)
     out_plan = C.blank_to_sentinel("plan_number") if cadence == "daily" else C.sentinel("plan_number")
     known = t.participant.where(F.col("part_status_desc").isNotNull())
