@@ -76,9 +76,18 @@ def loan_amount() -> Column:
             .otherwise(F.col("loan_balance")))
 
 
+# The status code is a string compared with a number.  Spark without ANSI
+# mode casts it to INT: surrounding blanks trimmed, a fractional part
+# truncated ('16.5' -> 16), anything else (letters, exponents, overflow) NULL.
+# The same, without the ANSI error: take the integer part of a string that is
+# an integer with an optional fraction, then try_cast.
+STATUS_AS_INT_SQL = ("try_cast(regexp_extract(trim(participant_status_code), "
+                     "'^([+-]?[0-9]+)(?:[.][0-9]*)?$', 1) as int)")
+
+
 def _status_number() -> Column:
     # A non-numeric status is "not active" rather than an error.
-    return F.expr("try_cast(participant_status_code as int)")
+    return F.expr(STATUS_AS_INT_SQL)
 
 
 def allocated_flag() -> Column:

@@ -76,7 +76,7 @@ ALLOC_ID = (f"CASE WHEN source_system = {lit(C.VRP_PB)} OR source_system = {lit(
             f"CASE WHEN account_type_code = {lit(C.ALLOCATED_ACCOUNT)} THEN participant_id END "
             f"WHEN source_system = {lit(C.PREMIER)} THEN participant_id END")
 ACTIVE_ID = (f"CASE WHEN source_system = {lit(C.VRP_PB)} OR source_system = {lit(C.VRP_SP)} THEN "
-             f"CASE WHEN try_cast(participant_status_code AS INTEGER) <= {C.ACTIVE_STATUS_MAX} "
+             f"CASE WHEN {C.STATUS_AS_INT_SQL} <= {C.ACTIVE_STATUS_MAX} "
              f"THEN participant_id END WHEN source_system = {lit(C.PREMIER)} THEN "
              f"CASE WHEN participant_status_code = {lit(C.PREMIER_ACTIVE_STATUS)} THEN participant_id END END")
 

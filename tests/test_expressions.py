@@ -63,3 +63,15 @@ def test_quarter_candidate(spark):
 def test_report_date_literal():
     import datetime as dt
     assert "2001-07-31" in str(C.report_date(dt.date(2001, 8, 1), 1))
+
+
+def test_status_code_compares_like_a_non_ansi_int_cast(spark):
+    # T5: Spark without ANSI casts the string code to INT (blanks trimmed,
+    # fraction truncated, anything else NULL); reproduced without ANSI errors.
+    codes = ["16", "16.5", "17", " 3", "A", "1e1", "016", None, "-2", "99999999999"]
+    got = _one(spark, [(c,) for c in codes], "participant_status_code string", F.expr(C.STATUS_AS_INT_SQL))
+    assert got == [16, 16, 17, 3, None, None, 16, None, -2, None]
+    rows = [(f"p{i}", "VRP-PB", "ALLOC", c) for i, c in enumerate(codes)]
+    schema = "participant_id string, source_system string, account_type_code string, participant_status_code string"
+    active = _one(spark, rows, schema, C.active_id())
+    assert active == ["p0", "p1", None, "p3", None, None, "p6", None, "p8", None]
