@@ -18,7 +18,6 @@ from pyspark.sql.types import DecimalType
 from ..functions import columns as C
 from ..operators import counts as K
 from ..operators import filters as FL
-from ..operators import joins as J
 from ..operators import sums as S
 from ..sources.fixtures import FIXTURE_AS_OF, derive_tables
 from ..sources.tables import SCHEMAS, TABLE_NAMES, BalanceTables
