@@ -1,0 +1,24 @@
+"""Session helpers: checkpoint folder and materialisation."""
+
+from ledgerline.session import SQL_CONF, checkpoint_dir, materialize
+
+
+def test_checkpoint_dir_on_a_local_master(spark):
+    d = checkpoint_dir(spark)
+    assert d and spark.sparkContext.getCheckpointDir()
+    # Spark registers a per-application sub-folder under the chosen folder.
+    bare = lambda p: p.removeprefix("file:").rstrip("/")
+    assert bare(checkpoint_dir(spark)).startswith(bare(d))
+
+
+def test_materialize_keeps_rows_and_cuts_lineage(spark):
+    df = spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count()
+    m = materialize(df)
+    assert sorted(m.collect()) == sorted(df.collect())
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan        # reads the checkpointed rows, not the aggregation
+
+
+def test_session_settings_applied(spark):
+    for k, v in SQL_CONF.items():
+        assert spark.conf.get(k).lower() == v.lower(), k
