@@ -23,6 +23,11 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only from proven sizes: never from compile-time estimates,
+    # only when AQE has measured a side's shuffle output (or an explicit,
+    # row-count-checked hint in the plans).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     # ANSI stays on: a DECIMAL(13,2) overflow must fail loudly, not become NULL.
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
