@@ -85,6 +85,19 @@ STATUS_AS_INT_SQL = ("try_cast(regexp_extract(trim(participant_status_code), "
                      "'^([+-]?[0-9]+)(?:[.][0-9]*)?$', 1) as int)")
 
 
+def loan_amount_positive() -> Column:
+    """``loan_amount() > 0`` in a form the Parquet scan can take as a pushed filter.
+
+    Same truth value for every row: a PREMIER row tests the principal, any
+    other row (a NULL system included, as in the CASE's ELSE) the loan
+    balance, and NULL amounts never pass.
+    """
+    system = F.col("source_system")
+    premier = system == F.lit(PREMIER)
+    return ((premier & (F.col("outstanding_principal_balance") > 0))
+            | ((~premier | system.isNull()) & (F.col("loan_balance") > 0)))
+
+
 def _status_number() -> Column:
     # A non-numeric status is "not active" rather than an error.
     return F.expr(STATUS_AS_INT_SQL)

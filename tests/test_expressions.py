@@ -75,3 +75,14 @@ def test_status_code_compares_like_a_non_ansi_int_cast(spark):
     schema = "participant_id string, source_system string, account_type_code string, participant_status_code string"
     active = _one(spark, rows, schema, C.active_id())
     assert active == ["p0", "p1", None, "p3", None, None, "p6", None, "p8", None]
+
+
+def test_pushable_loan_filter_equals_the_case_filter(spark):
+    import itertools
+    amounts = [None, Decimal("0.00"), Decimal("-1.00"), Decimal("5.00")]
+    rows = list(itertools.product(["PREMIER", "VRP-PB", None], amounts, amounts))
+    schema = "source_system string, outstanding_principal_balance decimal(17,2), loan_balance decimal(17,2)"
+    df = spark.createDataFrame(rows, schema)
+    got = df.select((C.loan_amount_positive()).alias("a"), (C.loan_amount() > 0).alias("b")).collect()
+    assert len(got) == 48
+    assert all((r.a is True) == (r.b is True) for r in got)
