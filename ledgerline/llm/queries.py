@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import host_rules, license_rules, mixing
+from . import byte_bpe, chat_grammar, host_rules, license_rules, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_rules": license_rules.query,
     "op3_mixing": mixing.query,
+    "op4_byte_bpe": byte_bpe.query,
     "op6_host_rules": host_rules.query,
+    "op9_chat_grammar": chat_grammar.query,
 }
 
 ORACLES: dict[str, str] = {
     "op2_license_rules": license_rules.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op6_host_rules": host_rules.ORACLE,
+    "op9_chat_grammar": chat_grammar.ORACLE,
 }
