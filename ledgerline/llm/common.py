@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def slices(batches: Iterator[pa.RecordBatch], chars: int = 4_000_000, text: str
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text))
-        ends = np.cumsum(np.nan_to_num(np.asarray(pa.compute.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.float64)))
+        ends = np.cumsum(np.nan_to_num(np.asarray(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.float64)))
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0.0

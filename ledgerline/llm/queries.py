@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_grammar, host_rules, license_rules, mixing
+from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, mixing, pivot_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fm_classifier": fm_classifier.query,
     "op2_license_rules": license_rules.query,
     "op3_mixing": mixing.query,
     "op4_byte_bpe": byte_bpe.query,
     "op6_host_rules": host_rules.query,
+    "op7_pivot_index": pivot_index.query,
     "op9_chat_grammar": chat_grammar.query,
 }
 
@@ -20,5 +22,6 @@ ORACLES: dict[str, str] = {
     "op2_license_rules": license_rules.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op6_host_rules": host_rules.ORACLE,
+    "op7_pivot_index": pivot_index.ORACLE,
     "op9_chat_grammar": chat_grammar.ORACLE,
 }
