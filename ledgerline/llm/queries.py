@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, mixing, pivot_index
+from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, mixing, pivot_index, recompression
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fm_classifier": fm_classifier.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": byte_bpe.query,
     "op6_host_rules": host_rules.query,
     "op7_pivot_index": pivot_index.query,
+    "op8_recompression": recompression.query,
     "op9_chat_grammar": chat_grammar.query,
 }
 
@@ -23,5 +24,6 @@ ORACLES: dict[str, str] = {
     "op3_mixing": mixing.ORACLE,
     "op6_host_rules": host_rules.ORACLE,
     "op7_pivot_index": pivot_index.ORACLE,
+    "op8_recompression": recompression.ORACLE,
     "op9_chat_grammar": chat_grammar.ORACLE,
 }
