@@ -76,16 +76,16 @@ class WordHashes(dict):
 
     LIMIT = 300_000
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         import xxhash
 
         if len(self) >= self.LIMIT:
             self.clear()
-        value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        value = xxhash.xxh3_64_intdigest(word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass"))
         self[word] = value
         return value
 
-    def array(self, words: list[str]) -> np.ndarray:
+    def array(self, words: list[str] | list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 

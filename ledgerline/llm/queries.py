@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, mixing, pivot_index, recompression
+from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, minhash_join, mixing, pivot_index, recompression
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fm_classifier": fm_classifier.query,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pivot_index": pivot_index.query,
     "op8_recompression": recompression.query,
     "op9_chat_grammar": chat_grammar.query,
+    "op10_minhash_join": minhash_join.query,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLES: dict[str, str] = {
     "op7_pivot_index": pivot_index.ORACLE,
     "op8_recompression": recompression.ORACLE,
     "op9_chat_grammar": chat_grammar.ORACLE,
+    "op10_minhash_join": minhash_join.ORACLE,
 }
