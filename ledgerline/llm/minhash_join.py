@@ -14,16 +14,19 @@ values, ordered by how many classes share them (then by the value), all but the
 must meet in both prefixes, and the lists of very common values are hardly
 ever read.
 
-A list of many near copies would make quadratically many pairs.  Links only
-matter up to connectivity, so in rounds each list first offers one hub (drawn
-anew each round), each class tries the hubs it collides with most, and components grow.
-Then all remaining pairs, those of different components in one list, are
-tried: no link between different components is lost.  A tried pair must match
-in ``MATCHES`` coordinates and is confirmed on the full shingle sets, which
-meet in blocks of one hub and at most ``BLOCK`` others.
-
-Components are found by alternating star contraction on the confirmed links,
-staged after each round.
+Links only matter up to connectivity.  So first each list offers one hub, its
+class with the most common values, and each class tries the ``HUBS`` hubs it
+collides with most: such a pair must match in ``MATCHES`` coordinates and is
+confirmed on the full shingle sets, which meet in blocks of one hub and at most
+``BLOCK`` others.  That joins most of a large group of near copies in a pair a
+class.  Then classes that lists connect form clusters, and inside each cluster
+every class outside the largest component is held against all classes of other
+components, again on full sets: an inverted index of shingles in memory counts
+the intersections, in blocks of at most about ``BLOCK_BYTES``, and only links leave the
+task.  So no link between different components is lost, and no list of pairs
+is ever written.
+
+Components are found by alternating star contraction on staged links.
 
 Nulls: a null or empty text has the empty set and is linked with nothing; a
 row without id is linked with nothing, has no component and is kept.  Rows that
@@ -47,10 +50,9 @@ from . import common
 # Words of a shingle, and the similarity of a link in percent.
 SHINGLE, PERCENT = 3, 85
 COORDINATES, MATCHES = 32, 10
-# Hubs that a class tries in each round.
-HUBS = (1, 3, 5)
-# Others in a block with one hub.
-BLOCK = 256
+# Hubs that a class tries, others in a block with one hub, and bytes of sets in a block of a cluster.
+HUBS = 2
+BLOCK, BLOCK_BYTES = 256, 4 << 20
 # Bits of the filter of ids whose sets are needed (its size is fixed; fuller, it only lets more through).
 FILTER_BITS, PIECE = 1 << 22, 1 << 15
 
@@ -155,6 +157,54 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], names=["a", "b"])
 
 
+class _Block:
+    """Sets of one block of a cluster, as an inverted index."""
+
+    def __init__(self, name: tuple):
+        self.name, self.sets, self.keys, self.components = name, [], [], []
+        self.values = None
+
+    def build(self) -> None:
+        self.sizes = np.array([len(s) for s in self.sets])
+        values = np.concatenate(self.sets)
+        order = np.argsort(values, kind="stable")
+        self.values, self.owners = values[order], np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+        self.member = np.array(self.components, dtype=np.int64)
+        self.sets = []
+
+    def links(self, found: np.ndarray, component: int) -> list[int]:
+        """One linked class of each other component."""
+        if self.values is None:
+            self.build()
+        low, high = (np.searchsorted(self.values, found, side=x) for x in ("left", "right"))
+        count = high - low
+        at = np.repeat(high - np.cumsum(count), count) + np.arange(count.sum())
+        both = np.bincount(self.owners[at], minlength=len(self.sizes))
+        hit = np.flatnonzero((100 * both >= PERCENT * (len(found) + self.sizes - both)) & (self.member != component))
+        _, one = np.unique(self.member[hit], return_index=True)
+        return [self.keys[k] for k in hit[one].tolist()]
+
+
+def _cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block, all sets of the block first (asks: false), then those held against it -> links."""
+    block = None
+    for batch in batches:
+        links: tuple[list, list] = ([], [])
+        for k, (cluster, x, y, asks, key, component) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(6)))):
+            found = _unpack(batch.column(6)[k].as_py())
+            if not asks:
+                if block is None or block.name != (cluster, x, y):
+                    block = _Block((cluster, x, y))
+                block.sets.append(found)
+                block.keys.append(key)
+                block.components.append(component)
+            elif block is not None and block.name == (cluster, x, y):
+                for other in block.links(found, component):
+                    links[0].append(key)
+                    links[1].append(other)
+        yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], names=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component: its smallest node) of all nodes in ``links`` (a, b), by alternating star contraction."""
     edges = common.staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -193,16 +243,17 @@ class NearDuplicates:
         self.sets = self._needed_sets()
 
     def _postings(self) -> DataFrame:
-        """(token, key, n, tokens: all shared ones): the prefix lists."""
+        """(token, key, n, common: how often its values are shared): the prefix lists."""
         tokens = self.classes.select("key", "n", F.explode("tokens").alias("token"))
         shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
         ranked = tokens.join(shared, "token").groupBy("key").agg(
             F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
         ranked = ranked.filter(F.size("t") >= MATCHES).select(
-            "key", "n", F.transform("t", lambda x: x["token"]).alias("tokens"))
+            "key", "n", F.transform("t", lambda x: x["token"]).alias("tokens"),
+            F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a + x["f"]).alias("common"))
+        self.candidates = common.staged(ranked, "candidates")
         prefix = F.slice("tokens", F.lit(1), F.size("tokens") - (MATCHES - 1))
-        self.candidates = common.staged(ranked.withColumn("prefix", prefix), "candidates")
-        return self.candidates.select(F.explode("prefix").alias("token"), "key", "n")
+        return self.candidates.select(F.explode(prefix).alias("token"), "key", "n", "common")
 
     def _needed_sets(self) -> DataFrame:
         """(key, set) of the classes in any list, made from their smallest documents' texts.
@@ -239,57 +290,50 @@ class NearDuplicates:
         rows = hubs.unionByName(others).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
         return rows.select("a", "b", "set").mapInArrow(_confirm, "a long, b long")
 
-    def _open_lists(self, member: DataFrame | None) -> DataFrame:
-        """Postings with the component of each class, of the lists that hold more than one."""
-        if member is None:
-            return self.postings.withColumn("component", F.col("key"))
-        rows = self.postings.join(member, self.postings["key"] == member["node"], "left")
-        rows = rows.select("token", "key", "n", F.coalesce("component", "key").alias("component"))
-        mixed = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        return rows.join(mixed.select("token"), "token", "left_semi")
-
-    def _hub_pairs(self, lists: DataFrame, turn: int, hubs: int) -> DataFrame:
-        drawn = F.xxhash64("key", F.lit(turn))
-        hub = lists.groupBy("token").agg(F.min_by(F.struct(F.col("key").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")),
-                                                  F.struct(drawn, "key")).alias("hub"))
-        met = lists.join(hub.select("token", "hub.*"), "token")
-        met = met.filter((F.col("ca") != F.col("component")) & _comparable(F.col("na"), F.col("n")))
-        collisions = met.groupBy("a", F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("hits"))
+    def _hubs(self) -> DataFrame:
+        """(token, a, na): the hub of each list."""
+        hub = F.min_by(F.struct(F.col("key").alias("a"), F.col("n").alias("na")), F.struct(-F.col("common"), F.col("key")))
+        return self.postings.groupBy("token").agg(hub.alias("hub")).select("token", "hub.*")
+
+    def _collisions(self) -> DataFrame:
+        """(a, b, na, n, hits): hubs, the classes they collide with, and in how many lists."""
+        met = self.postings.join(self._hubs(), "token").filter(F.col("a") != F.col("key"))
+        return met.groupBy("a", F.col("key").alias("b"), "na", "n").agg(F.count(F.lit(1)).alias("hits"))
+
+    def _cluster_rows(self, cluster: DataFrame, member: DataFrame) -> DataFrame:
+        """Rows of the clusters that hold several components, dealt to blocks."""
+        facts = self.candidates.select("key", "n").join(cluster.select(F.col("node").alias("key"), F.col("component").alias("cluster")), "key")
+        facts = facts.join(member.withColumnRenamed("node", "key"), "key", "left")
+        facts = facts.withColumn("component", F.coalesce("component", "key"))
+        parts = facts.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+        top = F.max_by(F.struct("component", "n"), F.struct("c", "component"))
+        whole = parts.groupBy("cluster").agg(top.alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+        blocks = lambda n: F.ceil(6 * n / BLOCK_BYTES).cast("int")
+        whole = whole.filter("parts > 1").select("cluster", F.col("top.component").alias("top"), blocks(F.col("n")).alias("ys"),
+                                                 blocks(F.col("n") - F.col("top.n")).alias("xs"))
+        rows = facts.drop("n").join(whole, "cluster").join(self.sets, "key")
+        place = F.xxhash64("key")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        columns = ["cluster", "x", "y", "asks", "key", "component", "set"]
+        told = rows.withColumn("y", F.pmod(place, F.col("ys")).cast("int")).withColumn("x", every("xs")).withColumn("asks", F.lit(False))
+        asks = rows.filter(F.col("component") != F.col("top")).withColumn("x", F.pmod(place, F.col("xs")).cast("int"))
+        asks = asks.withColumn("y", every("ys")).withColumn("asks", F.lit(True))
+        return told.select(*columns).unionByName(asks.select(*columns))
+
+    def links(self) -> DataFrame:
+        """(node, component) of the linked classes."""
+        met = common.staged(self._collisions(), "collisions")
+        cluster = components(met.select("a", "b"))
         best = Window.partitionBy("b").orderBy(F.col("hits").desc(), "a")
-        return collisions.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= hubs).select("a", "b")
-
-    def _rest_pairs(self, lists: DataFrame, tried: DataFrame) -> DataFrame:
-        """All pairs of different components in a list; each at the first value that both prefixes share."""
-        rows = lists.join(self.candidates.select("key", "tokens", "prefix"), "key")
-        x = rows.select("token", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "component", "tokens", "prefix")])
-        y = rows.select(F.col("token").alias("y_token"), *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "component", "tokens", "prefix")])
-        pairs = x.join(y, (F.col("token") == F.col("y_token")) & (F.col("x_key") < F.col("y_key"))
-                       & (F.col("x_component") != F.col("y_component")) & _comparable(F.col("x_n"), F.col("y_n"))
-                       & (F.size(F.array_intersect("x_tokens", "y_tokens")) >= MATCHES)
-                       & (F.array_min(F.array_intersect("x_prefix", "y_prefix")) == F.col("token")))
-        pairs = pairs.select(F.col("x_key").alias("a"), F.col("y_key").alias("b"))
-        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        return pairs.join(known, ["a", "b"], "left_anti")
-
-    def links(self) -> tuple[DataFrame | None, DataFrame | None]:
-        """(components of linked classes, the links that made them)."""
-        found = tried = member = None
-        for turn in range(len(HUBS) + 1):
-            lists = common.staged(self._open_lists(member), "lists")
-            if turn < len(HUBS):
-                pairs = common.staged(self._hub_pairs(lists, turn, HUBS[turn]), "hubs")
-                tried = pairs if tried is None else tried.unionByName(pairs)
-            else:
-                pairs = self._rest_pairs(lists, tried)
-            new = common.staged(self.confirmed(pairs), "links")
-            found = new if found is None else found.unionByName(new)
-            member = components(found)
-        return member, found
+        pairs = met.filter(_comparable(F.col("na"), F.col("n"))).withColumn("place", F.row_number().over(best))
+        first = common.staged(self.confirmed(pairs.filter(F.col("place") <= HUBS).select("a", "b")), "links")
+        rows = self._cluster_rows(cluster, components(first))
+        rows = rows.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "asks", "key")
+        return components(first.unionByName(rows.mapInArrow(_cluster_links, "a long, b long")))
 
     def rows(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept: one row a document."""
-        member, _ = self.links()
-        reps = self.classes.select("key", "rep").join(member, F.col("key") == F.col("node"), "left")
+        reps = self.classes.select("key", "rep").join(self.links(), F.col("key") == F.col("node"), "left")
         reps = reps.select("key", "rep", F.coalesce("component", "key").alias("_c"))
         least = reps.groupBy("_c").agg(F.min("rep").alias("_component"))
         reps = reps.join(least, "_c").select("key", "_component")
