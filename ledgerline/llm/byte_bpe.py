@@ -257,7 +257,7 @@ def encode(docs: DataFrame, path: str, pattern: str, carry: Sequence[str] = ("do
     rows = docs.select(*carry, F.col("text").alias("text") if "text" not in carry else F.col("text").alias("_text"))
     kept = rows.schema.fields[:len(carry)]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["ids binary"] + ["decoded binary"] * decoded)
-    return rows.mapInArrow(_worker(vocabulary(path), pattern, list(carry), decoded), schema)
+    return common.map_arrow(rows, _worker(vocabulary(path), pattern, list(carry), decoded), schema)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -273,7 +273,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, carry: Sequence[str] = (
 
     rows = encoded.select(*carry, "ids")
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]] + ["decoded binary"])
-    return rows.mapInArrow(run, schema)
+    return common.map_arrow(rows, run, schema)
 
 
 def public_vocabulary() -> tuple[str, str]:

@@ -132,7 +132,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
         F.coalesce(F.col("text"), F.lit("")).alias("text")).alias("t"))
     grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     turns = F.transform("ts", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return grouped.select("conv_id", turns.alias("turns")).mapInArrow(_format, FORMATTED)
+    return common.map_arrow(grouped.select("conv_id", turns.alias("turns")), _format, FORMATTED)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
                             "formatted_chars": len(text)})
             yield pa.RecordBatch.from_pylist(out, schema=TURNS_ARROW)
 
-    return formatted.select("conv_id", "formatted", "loss_spans").mapInArrow(run, TURNS)
+    return common.map_arrow(formatted.select("conv_id", "formatted", "loss_spans"), run, TURNS)
 
 
 def digests(back: DataFrame) -> DataFrame:

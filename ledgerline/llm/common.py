@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,29 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="ledgerline-package-")) / "ledgerline_package.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the tasks."""
+    ship(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, UPPER, LOWER)

@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     # Repeated rows of a document teach once.
     rows = sample.groupBy("doc_id").agg(F.min("_label").alias("_label"), F.min(F.struct("text", "n_chars")).alias("_d"))
     rows = rows.orderBy("doc_id").select("_label", F.col("_d.n_chars").alias("n_chars"), F.col("_d.text").alias("text"))
-    table = rows.mapInArrow(_sparse, "label int, places array<int>, values array<float>, dense array<double>").toArrow()
+    table = common.map_arrow(rows, _sparse, "label int, places array<int>, values array<float>, dense array<double>").toArrow()
     lists = [[np.asarray(x.values) for x in table.column(c)] for c in ("places", "values")]
     dense = np.array(table.column("dense").to_pylist(), dtype=np.float64).reshape(-1, len(STATISTICS))
     return Machine().fit(*lists, dense, np.asarray(table.column("label"), dtype=np.float64))
@@ -194,7 +194,7 @@ def score(docs: DataFrame, machine: Machine, carry: Sequence[str] = ("doc_id",))
             yield pa.RecordBatch.from_arrays([*part.columns[:len(carry)], scores], names=[*carry, "score"])
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:len(carry)]]
-    return rows.mapInArrow(run, ", ".join([*kept, "score double"]))
+    return common.map_arrow(rows, run, ", ".join([*kept, "score double"]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -116,9 +116,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key[counts > 0], tokens[counts > 0] = fingerprints(hashes, counts), signatures(hashes, counts)
         offsets = pa.array(np.arange(0, tokens.size + 1, COORDINATES), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(counts.astype(np.int64)), pa.array(key.view(np.int64)),
+            [part.column(0), part.column(1), pa.array(counts.astype(np.int64)), pa.array(key.view(np.int64)),
              pa.ListArray.from_arrays(offsets, pa.array(tokens.reshape(-1).view(np.int64)))],
-            names=["doc_id", "n_shingles", "key", "tokens"])
+            names=["doc_id", "text_hash", "n_shingles", "key", "tokens"])
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,9 +233,9 @@ class NearDuplicates:
     """The stages of one run; ``signed`` is its only full table, with a signature a row."""
 
     def __init__(self, docs: DataFrame):
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        self.signed = common.staged(self.docs.mapInArrow(
-            _signed, "doc_id long, n_shingles long, key long, tokens array<long>"), "signatures")
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+        self.signed = common.staged(common.map_arrow(
+            self.docs, _signed, "doc_id long, text_hash long, n_shingles long, key long, tokens array<long>"), "signatures")
         linked = self.signed.filter("n_shingles > 0 and doc_id is not null")
         self.classes = linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                                                  F.first("tokens").alias("tokens"))
@@ -270,7 +270,7 @@ class NearDuplicates:
         rows = self.docs.filter("doc_id is not null").withColumn("_piece", F.floor(place / PIECE).cast("int"))
         rows = rows.join(F.broadcast(bits), "_piece")  # at most FILTER_BITS / PIECE rows of PIECE bits
         rows = rows.filter(F.getbit(byte, spot % 8) == 1)
-        sets = rows.select("doc_id", "text").mapInArrow(_full, "key long, set binary")
+        sets = common.map_arrow(rows.select("doc_id", "text"), _full, "key long, set binary")
         sets = sets.join(needed.select("key"), "key", "left_semi").groupBy("key").agg(F.first("set").alias("set"))
         return common.staged(sets, "sets")
 
@@ -288,7 +288,7 @@ class NearDuplicates:
         others = kept.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
         others = others.join(self.sets.withColumnRenamed("key", "b"), "b").select("a", "b", "set", "block")
         rows = hubs.unionByName(others).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
-        return rows.select("a", "b", "set").mapInArrow(_confirm, "a long, b long")
+        return common.map_arrow(rows.select("a", "b", "set"), _confirm, "a long, b long")
 
     def _hubs(self) -> DataFrame:
         """(token, a, na): the hub of each list."""
@@ -329,25 +329,35 @@ class NearDuplicates:
         first = common.staged(self.confirmed(pairs.filter(F.col("place") <= HUBS).select("a", "b")), "links")
         rows = self._cluster_rows(cluster, components(first))
         rows = rows.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "asks", "key")
-        return components(first.unionByName(rows.mapInArrow(_cluster_links, "a long, b long")))
+        return components(first.unionByName(common.map_arrow(rows, _cluster_links, "a long, b long")))
 
     def rows(self) -> DataFrame:
-        """doc_id, n_shingles, component_id, kept: one row a document."""
+        """doc_id, n_shingles, component_id, kept, text_hash: one row a document."""
         reps = self.classes.select("key", "rep").join(self.links(), F.col("key") == F.col("node"), "left")
         reps = reps.select("key", "rep", F.coalesce("component", "key").alias("_c"))
         least = reps.groupBy("_c").agg(F.min("rep").alias("_component"))
         reps = reps.join(least, "_c").select("key", "_component")
-        rows = self.signed.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
+        rows = self.signed.select("doc_id", "text_hash", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
                                                                  F.col("key")).alias("key"))
         rows = rows.join(reps, "key", "left")
         component = F.coalesce("_component", "doc_id")
         return rows.select("doc_id", "n_shingles", component.alias("component_id"),
-                           F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+                           F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_hash")
+
+
+def one_of_each(docs: DataFrame, columns: Sequence[str] = common.DOCUMENT_COLUMNS) -> DataFrame:
+    """The documents to keep, with ``columns``: those of a component's smallest id, repeated rows once; all without id."""
+    rows = docs.select(*columns).withColumn("_hash", F.xxhash64("text")).withColumn("_doc", F.col("doc_id").cast("long"))
+    gone = NearDuplicates(docs).rows().filter(~F.col("kept")).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+    left = rows.join(gone.distinct(), ["_doc", "_hash"], "left_anti")
+    again = Window.partitionBy("_doc", "_hash").orderBy(*columns)
+    left = left.withColumn("_again", F.when(F.col("_doc").isNull(), 1).otherwise(F.row_number().over(again)))
+    return left.filter("_again = 1").select(*columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op10: near-duplicate components of all documents."""
-    return NearDuplicates(common.read_table(spark, sf_dir, "documents")).rows()
+    return NearDuplicates(common.read_table(spark, sf_dir, "documents")).rows().drop("text_hash")
 
 
 ORACLE = r"""

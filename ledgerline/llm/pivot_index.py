@@ -188,8 +188,8 @@ def build_index(vectors: DataFrame) -> tuple[Geometry, DataFrame, list[tuple]] |
     sample = vectors.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
     exact = (facts[3] or 0) ** 2 * dim < 2 ** 53
     geometry = Geometry(dim, facts[2], matrix(sample.column("v"), dim), exact)
-    keyed = common.staged(vectors.select("vec_id", "v").mapInArrow(
-        _keys(geometry), "vec_id long, v array<long>, pivot int, ring int, dist double"), "pivot-index")
+    keyed = common.staged(common.map_arrow(
+        vectors.select("vec_id", "v"), _keys(geometry), "vec_id long, v array<long>, pivot int, ring int, dist double"), "pivot-index")
     rings = [(r["pivot"], r["ring"], r["lo"], r["hi"], r["n"], math.ceil(r["n"] / BLOCK))
              for r in keyed.groupBy("pivot", "ring").agg(F.min("dist").alias("lo"), F.max("dist").alias("hi"),
                                                          F.count(F.lit(1)).alias("n")).orderBy("pivot", "ring").collect()]
@@ -217,8 +217,8 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         if found is not None:
             kth = found.filter(F.col("rank") == top).select("query_id", F.col("score").alias("floor"))
             floors = asked.join(kth, "query_id", "left")
-        routed = floors.select("query_id", "q", "floor", "query_block").mapInArrow(
-            _route(geometry, rings, first, last),
+        routed = common.map_arrow(
+            floors.select("query_id", "q", "floor", "query_block"), _route(geometry, rings, first, last),
             "pivot int, ring int, block int, query_id long, q array<long>, floor long, query_block int")
         met = rows.groupBy(*keys).cogroup(routed.groupBy(*keys)).applyInArrow(_meet(geometry, top), RESULT)
         if found is not None:

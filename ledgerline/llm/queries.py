@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, minhash_join, mixing, pivot_index, recompression
+from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, minhash_join, mixing, pivot_index, pyp_lm, recompression
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fm_classifier": fm_classifier.query,
     "op2_license_rules": license_rules.query,
     "op3_mixing": mixing.query,
     "op4_byte_bpe": byte_bpe.query,
+    "op5_pyp_lm": pyp_lm.query,
     "op6_host_rules": host_rules.query,
     "op7_pivot_index": pivot_index.query,
     "op8_recompression": recompression.query,

@@ -293,9 +293,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, first, last: runs of windows (by the place of their first word) to remove."""
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    symbols = rows.mapInArrow(_symbols, ROW)
+    symbols = common.map_arrow(rows, _symbols, ROW)
     sorted_ = symbols.repartition("name").sortWithinPartitions("name", "doc_id")
-    found = common.staged(sorted_.mapInArrow(_settle, FOUND), "repeats")
+    found = common.staged(common.map_arrow(sorted_, _settle, FOUND), "repeats")
     unsettled = found.filter("key is not null")
     smallest = unsettled.groupBy("key").agg(F.min("doc_id").alias("_least"))
     late = unsettled.join(smallest, "key").filter(F.col("doc_id") > F.col("_least"))
@@ -337,7 +337,7 @@ def remove_repeats(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataF
     joined = rows.join(found, (F.col("_doc") == F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left")
     joined = joined.select(*[F.col(c) for c in carry], "_text", "_runs")
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:len(carry)]]
-    return joined.mapInArrow(_cut(list(carry)), ", ".join([*kept, "kept string, n_words long, n_removed long"]))
+    return common.map_arrow(joined, _cut(list(carry)), ", ".join([*kept, "kept string, n_words long, n_removed long"]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
