@@ -18,8 +18,8 @@ from ..functions import columns as C
 
 DATE = "source_cycle_date"
 
-# Rows above this are never broadcast by ``bounded_broadcast``.
-DEFAULT_BROADCAST_MAX_ROWS = 200_000
+# Parts that the rows of one key are dealt to in ``attach_lists``.
+SPREAD = 8
 
 
 def full_outer_merge(core: DataFrame, loan: DataFrame, keys: Sequence[str], date_mode: str = "none",
@@ -99,43 +99,60 @@ def left_join_on(left: DataFrame, right: DataFrame, left_keys: Sequence[Column],
     return lhs.join(rhs, on=names, how=how).drop(*names)
 
 
-def attach_all(left: DataFrame, left_keys: Sequence[Column],
-               lookups: Sequence[tuple], how: str = "left") -> DataFrame:
-    """Several LEFT lookups on the same key expressions, keys computed once.
+def attach_lists(left: DataFrame, left_keys: Sequence[Column], lookups: Sequence[tuple],
+                 spread: Sequence[Column]) -> tuple[DataFrame, list[tuple[str, list[str]]]]:
+    """Several LEFT lookups on the same key in one join, without their fan-out.
 
     ``lookups`` holds ``(right, right_keys, payload)`` or
     ``(right, right_keys, payload, left_condition)``; a left condition (a
-    predicate on left columns only) must also hold for a row to match.
-
-    Every lookup joins on the same named key columns, so after the first
-    sort-merge join the left side is already partitioned on them and the
-    following joins add no exchange of the (possibly fanned-out) left rows.
+    predicate on left columns only) must also hold for a row to match.  Each
+    lookup's rows are first collected into one list a key (keys have one row
+    a date or a client, so the lists are short where their product is not),
+    and all lists of a key sit in one row.  So the left rows move once, each
+    meets at most one row, and what moves is the sum of the lookups' rows, not
+    their product.  ``unfold`` then makes the rows the plain joins would give.
+
+    A key may hold most of the left rows.  The join's key therefore has a part
+    drawn from ``spread`` (left columns), and the small lookup is repeated for
+    each of the ``SPREAD`` parts; it is a single join over two exchanges, so
+    adaptive execution may split its partitions further.
     """
     names = [f"_k{i}" for i in range(len(left_keys))]
-    out = left.select("*", *[k.alias(n) for k, n in zip(left_keys, names)])
-    for i, (right, right_keys, payload, *cond) in enumerate(lookups):
-        rnames = [f"{n}_r{i}" for n in names]
-        rhs = right.select(*[k.alias(n) for k, n in zip(right_keys, rnames)], *payload)
-        on = [out[n] == rhs[r] for n, r in zip(names, rnames)]
+    parts = None
+    for i, (right, right_keys, payload, *_) in enumerate(lookups):
+        rows = right.select(*[k.alias(n) for k, n in zip(right_keys, names)], F.struct(*payload).alias(f"_list{i}"))
+        parts = rows if parts is None else parts.unionByName(rows, allowMissingColumns=True)
+    lists = [f"_list{i}" for i in range(len(lookups))]
+    lookup = parts.groupBy(*names).agg(*[F.collect_list(c).alias(c) for c in lists])
+    lookup = lookup.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    out = left.select("*", *[k.alias(n) for k, n in zip(left_keys, names)],
+                      F.pmod(F.xxhash64(*spread), F.lit(SPREAD)).cast("int").alias("_part"))
+    out = out.join(lookup, on=[*names, "_part"], how="left").drop(*names, "_part")
+    for c, (_, _, _, *cond) in zip(lists, lookups):
         if cond:
-            on.append(cond[0])
-        out = out.join(rhs, on=on, how=how).drop(*rnames)
-    return out.drop(*names)
+            out = out.withColumn(c, F.when(cond[0], F.col(c)))
+    fields = [[p if isinstance(p, str) else _name_of(right.select(p)) for p in payload] for right, _, payload, *_ in lookups]
+    return out, list(zip(lists, fields))
 
 
-def sentinel_keys(*cols: str | Column) -> list[Column]:
-    return [C.sentinel(c) for c in cols]
+def _name_of(one: DataFrame) -> str:
+    return one.columns[0]
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def unfold(rows: DataFrame, lists: Sequence[tuple[str, list[str]]]) -> DataFrame:
+    """One row for each combination of list elements (an empty or missing list gives NULLs)."""
+    for name, fields in lists:
+        kept = [c for c in rows.columns if c != name]
+        rows = rows.select(*kept, F.explode_outer(name).alias(name))
+        rows = rows.select(*kept, *[F.col(f"{name}.{f}").alias(f) for f in fields])
+    return rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
+def attach_all(left: DataFrame, left_keys: Sequence[Column], lookups: Sequence[tuple],
+               spread: Sequence[Column]) -> DataFrame:
+    """Several LEFT lookups on the same key: ``attach_lists``, unfolded."""
+    return unfold(*attach_lists(left, left_keys, lookups, spread))
 
-    Above the bound the plain DataFrame is returned and the planner shuffles
-    (or AQE converts to a broadcast from measured sizes).
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
+
+def sentinel_keys(*cols: str | Column) -> list[Column]:
+    return [C.sentinel(c) for c in cols]

@@ -75,8 +75,15 @@ LOAN_EXPR = (f"CASE WHEN source_system = {lit(C.PREMIER)} THEN outstanding_princ
 ALLOC_ID = (f"CASE WHEN source_system = {lit(C.VRP_PB)} OR source_system = {lit(C.VRP_SP_ALT)} THEN "
             f"CASE WHEN account_type_code = {lit(C.ALLOCATED_ACCOUNT)} THEN participant_id END "
             f"WHEN source_system = {lit(C.PREMIER)} THEN participant_id END")
+# The status code as a whole number, written without the engine's expression: a sign, digits and a dot are the only
+# characters, a digit comes first, and there is one dot at most; what stands before the dot is the number.
+_CODE = "trim(participant_status_code)"
+_DIGITS = f"ltrim({_CODE}, '+-')"
+STATUS_NUMBER = (f"CASE WHEN length({_CODE}) - length({_DIGITS}) <= 1 AND {_DIGITS} <> '' AND translate({_DIGITS}, '0123456789.', '') = '' "
+                 f"AND substr({_DIGITS}, 1, 1) <> '.' AND length({_DIGITS}) - length(replace({_DIGITS}, '.', '')) <= 1 "
+                 f"THEN try_cast(split_part({_CODE}, '.', 1) AS INTEGER) END")
 ACTIVE_ID = (f"CASE WHEN source_system = {lit(C.VRP_PB)} OR source_system = {lit(C.VRP_SP)} THEN "
-             f"CASE WHEN {C.STATUS_AS_INT_SQL} <= {C.ACTIVE_STATUS_MAX} "
+             f"CASE WHEN {STATUS_NUMBER} <= {C.ACTIVE_STATUS_MAX} "
              f"THEN participant_id END WHEN source_system = {lit(C.PREMIER)} THEN "
              f"CASE WHEN participant_status_code = {lit(C.PREMIER_ACTIVE_STATUS)} THEN participant_id END END")
 

@@ -37,7 +37,6 @@ from ..operators import counts as K
 from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import sums as S
-from ..session import materialize
 from ..sources.tables import BalanceTables
 
 D = "source_cycle_date"
@@ -273,9 +272,10 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
     date but matched on plan and *strict* date only, so a plan shared by
     several clients repeats once per client and an undated row gets no counts.
     Strict date equality is the defaulted-date equality restricted to dated
-    rows on both sides, so counts use the life join's key (one key, one
-    exchange of the merged rows) with undated count rows dropped and a
-    "left row is dated" condition.
+    rows on both sides, so counts use the life join's key (one key, one join
+    of the merged rows) with undated count rows dropped and a "left row is
+    dated" condition.  A plan that holds most rows is spread over several
+    tasks by client and date.
     """
     merged = plan_core_loan(t, cadence, as_of, prefilter, narrow)
     life_in, part_in = t.life, t.participant
@@ -287,13 +287,14 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
     plan = J.sentinel_keys("plan_number")
     if cadence == "daily":
         counts = K.participant_counts(part_in, ["plan_number"], count_method)
-        return J.attach_all(merged, plan, [(life, plan, life_payload), (counts, plan, list(K.COUNT_COLUMNS))])
+        return J.attach_all(merged, plan, [(life, plan, life_payload), (counts, plan, list(K.COUNT_COLUMNS))],
+                            [F.col("client_id"), F.col(D)])
     y = C.report_date(as_of, 1)
     counts = K.participant_counts(part_in.where(F.col(D).isNotNull()), ["plan_number", "client_id", D], count_method)
     return J.attach_all(merged, plan + [F.coalesce(F.col(D), y)], [
         (life, plan + [F.coalesce(F.col("valuation_date"), y)], life_payload),
         (counts, plan + [F.col(D)], list(K.COUNT_COLUMNS), F.col(D).isNotNull()),
-    ])
+    ], [F.col("client_id"), F.col(D)])
 
 
 def plan_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
@@ -392,24 +393,22 @@ def client_keys_merged(t: BalanceTables, cadence: str, as_of: _dt.date | None =
         _dec2("loan_cash_value_amt").alias("client_loan_balance"))
 
 
-def client_named(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
-                 broadcast_max_rows: int = J.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def client_named(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True) -> DataFrame:
     """Client rows with the client name looked up by sentinel key.
 
-    The client dimension is broadcast only after its row count is checked.
+    A plain join: adaptive execution broadcasts the client dimension where
+    its measured size allows.
     """
     z = client_keys_merged(t, cadence, as_of, prefilter)
-    names = J.bounded_broadcast(t.client, broadcast_max_rows)
-    return J.left_join_on(z, names, J.sentinel_keys("client_id"), J.sentinel_keys("client_id"), ["client_name"])
+    return J.left_join_on(z, t.client, J.sentinel_keys("client_id"), J.sentinel_keys("client_id"), ["client_name"])
 
 
-def client_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
-                  broadcast_max_rows: int = J.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def client_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True) -> DataFrame:
     """Client balances with client names: ``daily``, ``monthly`` or ``quarterly``.
 
     The quarterly test reads the defaulted date.
     """
-    out = client_named(t, cadence, as_of, prefilter, broadcast_max_rows)
+    out = client_named(t, cadence, as_of, prefilter)
     if cadence == "quarterly":
         out = FL.quarter_filter(out)
     return out.select(
@@ -443,18 +442,28 @@ def core_rows_with_div_sub(t: BalanceTables) -> DataFrame:
                           ["div_sub_id"])
 
 
-def core_sums_div_sub(t: BalanceTables, narrow: bool = False) -> DataFrame:
+def usable_division(c: str | Column) -> Column:
+    """The report's exclusion test on a division: not NULL, ``''`` or the sentinel."""
+    return ~(F.col(c) if isinstance(c, str) else c).isin(C.SENTINEL, "")
+
+
+def core_sums_div_sub(t: BalanceTables, narrow: bool = False, usable: bool = False) -> DataFrame:
     """Daily core sums per (trimmed client, plan, div/sub, date), no fund exclusion.
 
     Balances are first summed per (client, plan, participant, date) and only
     then matched to the division; this is exact because sums distribute over
     the lookup's row duplication, and it moves one row per participant-date
     through the join instead of every fund / money-type row.
+
+    ``usable``: only divisions the report keeps; then participants are
+    filtered at their scan and the lookup is an inner join.
     """
     per_account = S.core_sums(t.core_daily, _ACCOUNT + [D], exclude_funds=False)
     div = t.participant.select(*_ACCOUNT, "div_sub_id")
+    if usable:
+        div = div.where(usable_division(F.trim("div_sub_id")))
     joined = J.left_join_on(per_account, div, [F.col(k) for k in _ACCOUNT], [F.col(k) for k in _ACCOUNT],
-                            ["div_sub_id"])
+                            ["div_sub_id"], how="inner" if usable else "left")
     keys = [F.trim("client_id").alias("client_id"), F.trim("plan_number").alias("plan_number"),
             F.trim("div_sub_id").alias("div_sub_id"), F.col(D)]
     return joined.groupBy(*keys).agg(*[S.narrowed(F.sum(m), 2, narrow).alias(m) for m in S.CORE_MEASURES])
@@ -469,12 +478,17 @@ def loan_rows_with_div_sub(t: BalanceTables) -> DataFrame:
     return joined.select(*_ACCOUNT, C.blank_to_sentinel("_div").alias("div_sub_id"), "loan_cash_value_amt")
 
 
-def loan_sums_div_sub(t: BalanceTables, narrow: bool = False) -> DataFrame:
-    """Positive loans per (plan, div/sub, client); summed per account before the lookup."""
+def loan_sums_div_sub(t: BalanceTables, narrow: bool = False, usable: bool = False) -> DataFrame:
+    """Positive loans per (plan, div/sub, client); summed per account before the lookup.
+
+    ``usable``: only divisions the report keeps (see ``core_sums_div_sub``).
+    """
     per_account = S.loan_sums(t.loan, _ACCOUNT)
     div = t.participant.select(*_ACCOUNT, "div_sub_id")
+    if usable:
+        div = div.where(usable_division("div_sub_id"))
     joined = J.left_join_on(per_account, div, J.sentinel_keys(*_ACCOUNT), J.sentinel_keys(*_ACCOUNT),
-                            [F.col("div_sub_id").alias("_div")])
+                            [F.col("div_sub_id").alias("_div")], how="inner" if usable else "left")
     return joined.groupBy("plan_number", C.blank_to_sentinel("_div").alias("div_sub_id"), "client_id").agg(
         S.narrowed(F.sum("loan_cash_value_amt"), 2, narrow).alias("loan_cash_value_amt"))
 
@@ -501,8 +515,16 @@ def life_sums_div_sub(t: BalanceTables, narrow: bool = False) -> DataFrame:
         S.narrowed(F.sum("life_cash_value_amount"), 2, narrow).alias("life_cash_value_amount"))
 
 
-def div_sub_core_loan(t: BalanceTables, narrow: bool = False) -> DataFrame:
-    return J.full_outer_merge(core_sums_div_sub(t, narrow), loan_sums_div_sub(t, narrow),
+def div_sub_core_loan(t: BalanceTables, narrow: bool = False, usable: bool = False) -> DataFrame:
+    """Core and loan sums per (client, plan, div/sub[, date]), FULL OUTER merged.
+
+    ``usable`` filters divisions before the merge.  Exact for a report that
+    drops merged rows without a usable division: a core row with a missing,
+    blank or sentinel division meets loans of the sentinel division at most
+    (loan divisions are blank-to-sentinel already), so such rows only merge
+    into rows that the report drops, and never into others.
+    """
+    return J.full_outer_merge(core_sums_div_sub(t, narrow, usable), loan_sums_div_sub(t, narrow, usable),
                               ["client_id", "plan_number", "div_sub_id"], "none")
 
 
@@ -519,17 +541,26 @@ def participant_counts_div_sub(t: BalanceTables, count_method: str = "two_step")
         count_method)
 
 
+def _div_sub_lists(t: BalanceTables, count_method: str, narrow: bool, prefilter: bool):
+    """Merged div/sub rows, each with the lists of its life totals and of its counts."""
+    keys = lambda: J.sentinel_keys("plan_number", "div_sub_id")
+    merged = div_sub_core_loan(t, narrow, usable=prefilter)
+    life, counts = life_sums_div_sub(t, narrow), participant_counts_div_sub(t, count_method)
+    if prefilter:  # a kept merged row's division is usable, so no other lookup row can match
+        life, counts = life.where(usable_division("div_sub_id")), counts.where(usable_division("div_sub_id"))
+    return J.attach_lists(merged, keys(), [
+        (life, keys(), ["life_cash_value_amount", "valuation_date"]),
+        (counts, keys(), list(K.COUNT_COLUMNS))], [F.col("client_id"), F.col(D)])
+
+
 def div_sub_enriched(t: BalanceTables, count_method: str = "two_step", narrow: bool = False) -> DataFrame:
     """Merged div/sub rows with life totals (one row per valuation date) and
     counts (grouped per client but matched without it: one row per client).
 
-    Both lookups match on (plan, div/sub), so they share one key and one
-    exchange of the merged rows.
+    Both lookups match on (plan, div/sub), so they share one join of the
+    merged rows.
     """
-    keys = lambda: J.sentinel_keys("plan_number", "div_sub_id")
-    return J.attach_all(div_sub_core_loan(t, narrow), keys(), [
-        (life_sums_div_sub(t, narrow), keys(), ["life_cash_value_amount", "valuation_date"]),
-        (participant_counts_div_sub(t, count_method), keys(), list(K.COUNT_COLUMNS))])
+    return J.unfold(*_div_sub_lists(t, count_method, narrow, prefilter=False))
 
 
 def _div_sub_finish(m: DataFrame, as_of: _dt.date | None) -> DataFrame:
@@ -555,41 +586,30 @@ def _div_sub_finish(m: DataFrame, as_of: _dt.date | None) -> DataFrame:
 
 
 def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool = True,
-                   count_method: str = "two_step",
-                   broadcast_max_rows: int = J.DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                   count_method: str = "two_step", prefilter: bool = True) -> DataFrame:
     """Division / sub-division balances (daily), optionally sorted descending.
 
     The exclusion test reads the merged, un-defaulted division, so NULL, ``''``
-    and ``'-9999'`` divisions all drop (before the fan-out lookups).
+    and ``'-9999'`` divisions all drop; ``prefilter`` drops them at the
+    participant scan already (exact, see ``div_sub_core_loan``).
 
     Sorted output (``ORDER BY plan_number DESC, div_sub_id DESC``): the life
     and count lookups multiply every merged row (one per valuation date and
     per client), so sorting after them would shuffle, and sample, the whole
-    fanned-out result.  When both lookup tables pass a row-count bound, the
-    merged rows are range-partitioned by the output sort keys first, the
-    lookups are broadcast (a broadcast join keeps the partitioning), and each
-    partition is sorted locally: same order, and only the pre-fan-out rows
-    move.  Ties may come in any order; the extra sort keys (client, date,
-    valuation date) only let the range partitioner split a hot (plan, div/sub)
-    over several tasks.  Above the bound it falls back to the shuffled joins
-    and a global sort.
+    fanned-out result.  Instead the merged rows, each with its two lists, are
+    range-partitioned by the output sort keys; the lists unfold behind that
+    exchange and each partition is sorted locally.  Same order, one plan at
+    every size, and only the rows before the fan-out move.  Ties may come in
+    any order; the extra sort keys (client, date, valuation date) let the range
+    partitioner split a hot (plan, div/sub) over several tasks.
     """
+    rows, lists = _div_sub_lists(t, count_method, narrow=True, prefilter=prefilter)
+    rows = FL.div_sub_not_in(rows)
     if not sort:
-        return _div_sub_finish(FL.div_sub_not_in(div_sub_enriched(t, count_method, narrow=True)), as_of)
-    order = [F.desc("plan_number"), F.desc("div_sub_id"), F.asc("client_id"), F.asc(D), F.asc("life_valuation_date")]
-    # Computed once into the checkpoint folder: the size checks and the joins
-    # then read the stored rows instead of re-running the lookups' plans.
-    life = materialize(life_sums_div_sub(t, narrow=True))
-    counts = materialize(participant_counts_div_sub(t, count_method))
-    if not (J.fits(life, broadcast_max_rows) and J.fits(counts, broadcast_max_rows)):
-        return _div_sub_finish(FL.div_sub_not_in(div_sub_enriched(t, count_method, narrow=True)), as_of).orderBy(*order)
+        return _div_sub_finish(J.unfold(rows, lists), as_of)
     y = C.report_date(as_of, 1)
-    merged = FL.div_sub_not_in(div_sub_core_loan(t, narrow=True))
-    ranged = merged.repartitionByRange(
+    ranged = rows.repartitionByRange(
         F.desc(C.blank_to_sentinel("plan_number")), F.desc(C.blank_to_sentinel("div_sub_id")),
         F.asc(C.sentinel("client_id")), F.asc(F.coalesce(F.col(D), y)))
-    keys = lambda: J.sentinel_keys("plan_number", "div_sub_id")
-    enriched = J.attach_all(ranged, keys(), [
-        (F.broadcast(life), keys(), ["life_cash_value_amount", "valuation_date"]),
-        (F.broadcast(counts), keys(), list(K.COUNT_COLUMNS))])
-    return _div_sub_finish(enriched, as_of).sortWithinPartitions(*order)
+    return _div_sub_finish(J.unfold(ranged, lists), as_of).sortWithinPartitions(
+        F.desc("plan_number"), F.desc("div_sub_id"), F.asc("client_id"), F.asc(D), F.asc("life_valuation_date"))

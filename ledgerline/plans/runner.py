@@ -5,10 +5,10 @@
 
 Inputs are read either from Parquet datasets under ``--input`` (one directory
 per table name) or from catalog tables in ``--database``.  Each report is
-written to ``<output>/<report>``.  A status-filtered participant report reads
-its base report back from the written table rather than re-running the base
-plan, so its lineage starts at stored data: a lost executor re-runs only the
-status join, never the whole balance pipeline.
+written to ``<output>/<report>``, partitioned by snapshot date, so a run
+replaces the dates it computes and leaves all others as they are.  Every
+report, the status-filtered ones included, is built from this run's inputs
+alone, never from what earlier runs have written.
 """
 
 from __future__ import annotations
@@ -18,8 +18,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.filters import status_filter
-from ..session import configure, size_for_input, stored_bytes
+from ..session import configure, size_for_input, stored_bytes, tables_bytes, today
 from ..sources.sinks import write_report
 from ..sources.tables import BalanceTables, read_catalog_tables, read_parquet_tables
 from . import reports as R
@@ -32,12 +31,15 @@ def report_builders(as_of: _dt.date | None) -> dict[str, object]:
         b[f"plan_{cad}"] = lambda t, c=cad: R.plan_report(t, c, as_of)
         b[f"participant_{cad}"] = lambda t, c=cad: R.participant_report(t, c, as_of)
     b["plan_quarterly_count"] = lambda t: R.plan_quarterly_count(t, as_of)
-    b["div_sub_daily"] = lambda t: R.div_sub_report(t, as_of, sort=True)
+    b["div_sub_daily"] = lambda t: R.div_sub_report(t, as_of, sort=False)
+    b["div_sub_daily_sorted"] = lambda t: R.div_sub_report(t, as_of, sort=True)
     return b
 
 
 STATUS_REPORTS = {f"participant_{c}_status": f"participant_{c}" for c in R.CADENCES}
 ALL_REPORTS = list(report_builders(None)) + list(STATUS_REPORTS)
+# Order of rows inside the written files.
+SORTED_BY = {"div_sub_daily_sorted": ("plan_number", "div_sub_id")}
 
 
 def build_report(name: str, tables: BalanceTables, as_of: _dt.date | None = None) -> DataFrame:
@@ -58,7 +60,7 @@ def register_report_views(spark: SparkSession, tables: BalanceTables, as_of: _dt
     plans the report together with the query, so filters and column choices
     of the SQL reach the report's scans.
     """
-    as_of = as_of or _dt.date.today()
+    as_of = as_of or today(spark)
     registered = []
     for name in names or ALL_REPORTS:
         build_report(name, tables, as_of).createOrReplaceTempView(prefix + name)
@@ -70,34 +72,23 @@ def run(spark: SparkSession, tables: BalanceTables, output: str, names: list[str
         as_of: _dt.date | None = None) -> dict[str, str]:
     """Write each requested report; returns report name -> output path.
 
-    With ``as_of=None`` the date is fixed once for the whole run (today), so
-    every report of the run agrees on "today" and "yesterday".
+    With ``as_of=None`` the date is fixed once for the whole run (the
+    session's current date), so every report of the run agrees on "today" and
+    "yesterday".
     """
-    as_of = as_of or _dt.date.today()
+    as_of = as_of or today(spark)
     names = names or ALL_REPORTS
     unknown = set(names) - set(ALL_REPORTS)
     if unknown:
         raise ValueError(f"unknown reports: {sorted(unknown)}")
-    builders = report_builders(as_of)
-    # Base participant reports needed by a status variant are written first.
-    order = [n for n in names if n not in STATUS_REPORTS]
-    for s in names:
-        if s in STATUS_REPORTS and STATUS_REPORTS[s] not in order:
-            order.append(STATUS_REPORTS[s])
     written: dict[str, str] = {}
-    for name in order:
-        path = f"{output}/{name}"
-        write_report(builders[name](tables), path, partition_by_date=name != "div_sub_daily")
-        written[name] = path
     for name in names:
-        if name in STATUS_REPORTS:
-            base: DataFrame = spark.read.parquet(written[STATUS_REPORTS[name]])
-            base = base.select(*R.PARTICIPANT_DAILY_COLUMNS if name.endswith("daily_status")
-                               else R.PARTICIPANT_PERIOD_COLUMNS)
-            path = f"{output}/{name}"
-            write_report(status_filter(base, tables.participant), path)
-            written[name] = path
-    return {n: written[n] for n in names}
+        written[name] = f"{output}/{name}"
+        # The sink orders rows inside its files, so the report need not be sorted as a whole.
+        report = (R.div_sub_report(tables, as_of, sort=False) if name == "div_sub_daily_sorted"
+                  else build_report(name, tables, as_of))
+        write_report(report, written[name], order=SORTED_BY.get(name, ()))
+    return written
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -110,9 +101,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--reports", default=",".join(ALL_REPORTS))
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.getOrCreate())
-    if args.input:
-        size_for_input(spark, stored_bytes(spark, args.input))
     tables = read_parquet_tables(spark, args.input) if args.input else read_catalog_tables(spark, args.database)
+    size_for_input(spark, stored_bytes(spark, args.input) if args.input else tables_bytes(spark, tables))
     for name, path in run(spark, tables, args.output, args.reports.split(","), args.as_of).items():
         print(f"{name}\t{path}")
 

@@ -10,6 +10,7 @@ Column call, which roughly halves the time to build a report's plan.
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 import tempfile
 
@@ -70,6 +71,22 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
+def tables_bytes(spark: SparkSession, tables) -> int:
+    """Total size of the files behind a ``BalanceTables`` bundle (each file once)."""
+    jvm, total = spark.sparkContext._jvm, 0
+    files = {f for name in tables.__dataclass_fields__ for f in getattr(tables, name).inputFiles()}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in files}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        total += int(path.getFileSystem(conf).getContentSummary(path).getLength())
+    return total
+
+
+def today(spark: SparkSession) -> _dt.date:
+    """The session's current date (its time zone, not the driver machine's)."""
+    return spark.sql("SELECT current_date()").first()[0]
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "ledgerline",
                   driver_memory: str = "16g", event_log_dir: str | None = None) -> SparkSession:
     """Local session: UI off, AQE on, shuffle partitions sized to the cores."""
@@ -114,16 +131,3 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         sc.setCheckpointDir(d)
         return d
     return None
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the checkpoint folder and cut its lineage.
-
-    Used for small lookup tables that are both size-checked and joined, so
-    their plan runs once.  Without a shared checkpoint folder (cluster with
-    none configured) the DataFrame is returned unchanged: still correct, the
-    plan is just evaluated twice.
-    """
-    if checkpoint_dir(df.sparkSession) is None:
-        return df
-    return df.checkpoint(eager=True)

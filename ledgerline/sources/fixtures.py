@@ -43,7 +43,8 @@ ACCT_COLUMNS: list[tuple[str, str]] = [
 ]
 
 _CORE_COMMON: list[tuple[str, str]] = [
-    ("participant_id", "a.participant_id"),
+    # One customer in eleven has balances under another participant id, so their loans stand alone.
+    ("participant_id", "case when o_custkey % 11 = 0 then 'X' || a.participant_id else a.participant_id end"),
     ("client_id", "a.client_id"),
     ("plan_number", "a.plan_number"),
     ("retirement_account_id", "'RA' || cast(o_orderkey % 2 as string)"),
@@ -66,11 +67,9 @@ CORE_DAILY_COLUMNS: list[tuple[str, str]] = _CORE_COMMON + [
                           "then date '2001-07-30' else date '2001-07-31' end end"),
 ]
 
-# Balance rows only for customers outside this filter get loans alone.
-CORE_WHERE = "o_custkey % 11 <> 0"
-
 LOAN_COLUMNS: list[tuple[str, str]] = [
-    ("participant_id", "a.participant_id"),
+    # Two orders in three become loans of participants without balances.
+    ("participant_id", "case when o_orderkey % 3 = 0 then a.participant_id else 'L' || a.participant_id end"),
     ("client_id", "a.client_id"),
     ("plan_number", "a.plan_number"),
     ("source_system", "a.source_system"),
@@ -81,15 +80,14 @@ LOAN_COLUMNS: list[tuple[str, str]] = [
     ("loan_balance", "case when o_orderkey % 9 = 0 then cast(0 as decimal(17,2)) when o_orderkey % 15 = 0 "
                      "then cast(-25 as decimal(17,2)) else cast(o_totalprice as decimal(17,2)) end"),
 ]
-LOAN_WHERE = "o_orderkey % 3 = 0"
 
 LIFE_COLUMNS: list[tuple[str, str]] = [
-    ("participant_id", "a.participant_id"),
+    # Four orders in five become life-fund rows of participants without balances.
+    ("participant_id", "case when o_orderkey % 5 = 0 then a.participant_id else 'F' || a.participant_id end"),
     ("plan_number", "a.plan_number"),
     ("valuation_date", "case when o_orderkey % 227 = 0 then null else last_day(cast(o_orderdate as date)) end"),
     ("cash_value_amt", "case when o_orderkey % 8 = 0 then null else cast(o_totalprice as decimal(17,2)) end"),
 ]
-LIFE_WHERE = "o_orderkey % 5 = 0"
 
 PARTICIPANT_ATTRS = ["participant_id", "client_id", "plan_number", "div_sub_id", "source_system",
                      "account_type_code", "participant_status_code", "part_status_desc"]
@@ -98,10 +96,11 @@ ORDER_MONTH_END = "last_day(cast(o_orderdate as date))"
 PARTICIPANT_SECOND_ROW_WHERE = "o_custkey % 50 = 0"
 
 CLIENT_COLUMNS: list[tuple[str, str]] = [
-    ("client_id", "case when n_nationkey = 3 then 'NG' else 'C' || lpad(cast(n_nationkey as string),2,'0') end"),
+    # One nation in eight is listed under another client id, so its clients have no name.
+    ("client_id", "case when n_nationkey = 3 then 'NG' when n_nationkey % 8 = 7 then 'X' || lpad(cast(n_nationkey as string),2,'0') "
+                  "else 'C' || lpad(cast(n_nationkey as string),2,'0') end"),
     ("client_name", "n_name"),
 ]
-CLIENT_WHERE = "n_nationkey % 8 <> 7"
 
 
 def _select(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
@@ -119,8 +118,8 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> BalanceTables:
     acct = _acct(customer)
 
     line_orders = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    line_acct = line_orders.join(acct, F.col("a.c_custkey") == F.col("o_custkey")).where(CORE_WHERE)
-    order_acct = lambda where: orders.join(acct, F.col("a.c_custkey") == F.col("o_custkey")).where(where)
+    line_acct = line_orders.join(acct, F.col("a.c_custkey") == F.col("o_custkey"))
+    order_acct = orders.join(acct, F.col("a.c_custkey") == F.col("o_custkey"))
 
     month_end = F.expr(ORDER_MONTH_END)
     latest = orders.groupBy("o_custkey").agg(F.max(month_end).alias("d"))
@@ -134,10 +133,10 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> BalanceTables:
     return BalanceTables(
         core_daily=conform(_select(line_acct, CORE_DAILY_COLUMNS), "core_daily"),
         core_monthly=conform(_select(line_acct, CORE_MONTHLY_COLUMNS), "core_monthly"),
-        loan=conform(_select(order_acct(LOAN_WHERE), LOAN_COLUMNS), "loan"),
-        life=conform(_select(order_acct(LIFE_WHERE), LIFE_COLUMNS), "life"),
+        loan=conform(_select(order_acct, LOAN_COLUMNS), "loan"),
+        life=conform(_select(order_acct, LIFE_COLUMNS), "life"),
         participant=conform(participant, "participant"),
-        client=conform(_select(nation.where(CLIENT_WHERE), CLIENT_COLUMNS), "client"),
+        client=conform(_select(nation, CLIENT_COLUMNS), "client"),
     )
 
 
@@ -153,18 +152,18 @@ def fixture_ctes_sql() -> str:
     """``name AS (...)`` CTE list defining the six inputs over the raw views."""
     acct = f"acct AS (SELECT {_cols_sql(ACCT_COLUMNS)} FROM customer)"
     line = ("FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
-            f"JOIN acct a ON a.c_custkey = o_custkey WHERE {CORE_WHERE}")
+            "JOIN acct a ON a.c_custkey = o_custkey")
     core_m = f"participant_core_balance_monthly AS (SELECT {_cols_sql(CORE_MONTHLY_COLUMNS)} {line})"
     core_d = f"participant_core_balance AS (SELECT {_cols_sql(CORE_DAILY_COLUMNS)} {line})"
     loan = (f"participant_loan AS (SELECT {_cols_sql(LOAN_COLUMNS)} FROM orders JOIN acct a "
-            f"ON a.c_custkey = o_custkey WHERE {LOAN_WHERE})")
+            "ON a.c_custkey = o_custkey)")
     life = (f"participant_life_fund_monthly AS (SELECT {_cols_sql(LIFE_COLUMNS)} FROM orders JOIN acct a "
-            f"ON a.c_custkey = o_custkey WHERE {LIFE_WHERE})")
+            "ON a.c_custkey = o_custkey)")
     snaps = (f"snap AS (SELECT o_custkey, max({ORDER_MONTH_END}) AS d FROM orders GROUP BY o_custkey "
              f"UNION ALL SELECT o_custkey, min({ORDER_MONTH_END}) AS d FROM orders "
              f"WHERE {PARTICIPANT_SECOND_ROW_WHERE} GROUP BY o_custkey)")
     attrs = ", ".join(f"a.{c}" for c in PARTICIPANT_ATTRS)
     participant = (f"participant AS (SELECT {attrs}, m.d AS source_cycle_date FROM acct a "
                    "JOIN snap m ON m.o_custkey = a.c_custkey)")
-    client = f"client AS (SELECT {_cols_sql(CLIENT_COLUMNS)} FROM nation WHERE {CLIENT_WHERE})"
+    client = f"client AS (SELECT {_cols_sql(CLIENT_COLUMNS)} FROM nation)"
     return ",\n".join([acct, core_m, core_d, loan, life, snaps, participant, client])

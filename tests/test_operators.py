@@ -52,7 +52,7 @@ def test_attach_all_shares_keys_and_honours_left_condition(spark):
     out = J.attach_all(left, [F.col("plan"), F.coalesce(F.col("d"), Y())], [
         (life, [F.col("plan"), F.coalesce(F.col("v"), Y())], ["life"]),
         (counts, [F.col("plan"), F.col("d")], ["n"], F.col("d").isNotNull()),
-    ])
+    ], [F.col("d")])
     assert out.columns == ["plan", "d", "life", "n"]
     # The undated row meets life dated with the fallback, but gets no counts (strict date).
     assert multiset(out.collect()) == multiset([("p", D0, 1, 9), ("p", None, 1, None)])
@@ -69,15 +69,14 @@ def test_participant_counts_ignore_null_ids_and_match_count_distinct(spark):
     assert two == lit == {"P": (1, 1, 2), "Q": (0, 0, 0)}
 
 
-def test_bounded_broadcast_switches_on_the_row_bound(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = lambda rhs: big.join(rhs, "k")._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(J.bounded_broadcast(small, max_rows=100))
-        assert "BroadcastHashJoin" not in plan(J.bounded_broadcast(big, max_rows=100))
-        assert J.fits(small, 10) and not J.fits(small, 9)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_attach_lists_moves_no_fan_out(spark):
+    left = spark.createDataFrame([("p", i) for i in range(50)], "plan string, c int")
+    life = spark.createDataFrame([("p", i) for i in range(7)] + [("q", 1)], "plan string, life int")
+    counts = spark.createDataFrame([("p", i) for i in range(5)], "plan string, n int")
+    rows, lists = J.attach_lists(left, [F.col("plan")], [(life, [F.col("plan")], ["life"]), (counts, [F.col("plan")], ["n"])],
+                                 [F.col("c")])
+    assert rows.count() == 50
+    assert lists == [("_list0", ["life"]), ("_list1", ["n"])]
+    out = J.unfold(rows, lists)
+    assert out.columns == ["plan", "c", "life", "n"] and out.count() == 50 * 7 * 5
+    assert out.distinct().count() == 50 * 7 * 5

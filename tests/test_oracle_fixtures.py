@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ledgerline.plans import registry
 from tests.conftest import SF_SMALL
 from tests.helpers import multiset
 
@@ -18,8 +19,8 @@ def duck():
     return con
 
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():

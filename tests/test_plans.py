@@ -2,6 +2,9 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from ledgerline.operators import joins as J
 from ledgerline.plans.runner import report_builders
 from ledgerline.plans import reports as R
 from tests.helpers import AS_OF
@@ -38,13 +41,96 @@ def test_every_sum_is_partially_aggregated(plans):
         assert plan.count("partial_sum") >= 1 or "sum" not in plan, name
 
 
-def test_only_checked_broadcasts(plans):
-    # Static broadcasts come only from explicit, size-checked hints: the client
-    # dimension (client reports) and the div/sub lookups of the sorted report.
+def test_no_static_broadcasts(plans):
+    # Broadcasts are adaptive execution's choice alone, from measured sizes.
     for name, plan in plans.items():
-        n = plan.count("BroadcastHashJoin")
-        allowed = {"client_daily": 1, "client_monthly": 1, "client_quarterly": 1, "div_sub_daily": 2}.get(name, 0)
-        assert n <= allowed, f"{name}: {n} broadcast joins"
+        assert "BroadcastHashJoin" not in plan, name
+
+
+def test_sorted_div_sub_moves_rows_before_the_fan_out_only(plans):
+    plan = plans["div_sub_daily_sorted"]
+    lines = plan.splitlines()
+    ranges = [i for i, x in enumerate(lines) if "rangepartitioning" in x and "Exchange" in x]
+    unfolds = [i for i, x in enumerate(lines) if "Generate explode(_list" in x]
+    assert len(ranges) == 1 and len(unfolds) == 2
+    assert max(unfolds) < ranges[0]            # printed from the top: the lists unfold above the range exchange
+    # Each lookup is computed once: one collected list a lookup, final and partial.
+    assert plan.count("collect_list") == plans["div_sub_daily"].count("collect_list")
+    assert plan.count("valuation_date") and plan.count("FullOuter") == 1
+
+
+def test_hot_plan_is_dealt_to_several_tasks(spark, fixture_tables):
+    # Nine rows in ten belong to one plan; the merged rows of that plan must not meet in one task.
+    t = fixture_tables
+    hot = lambda df: df.withColumn("plan_number", F.when(F.rand(3) < 0.9, F.lit("P01")).otherwise(F.col("plan_number")))
+    tables = t.with_(core_daily=hot(t.core_daily), core_monthly=hot(t.core_monthly), loan=hot(t.loan))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = R.plan_core_loan(tables, "daily", AS_OF).where("trim(plan_number) = 'P01'")
+        rows = merged.select("client_id", "source_cycle_date")
+        parts = rows.select(F.pmod(F.xxhash64("client_id", "source_cycle_date"), F.lit(J.SPREAD)).alias("part"))
+        shares = [r["count"] for r in parts.groupBy("part").count().collect()]
+        assert len(shares) > J.SPREAD // 2 and max(shares) < 0.5 * sum(shares)
+        for plan in (R.plan_enriched(tables, c, AS_OF) for c in ("daily", "monthly")):
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            assert "_part" in text
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_adaptive_execution_splits_a_hot_part_further(spark, fixture_tables):
+    # The final plan of a skewed plan report shows the split (one join over two plain exchanges).
+    t = fixture_tables
+    hot = lambda df: df.withColumn("plan_number", F.when(F.rand(3) < 0.9, F.lit("P01")).otherwise(F.col("plan_number")))
+    many = t.core_monthly.crossJoin(spark.range(6)).withColumn("client_id", F.concat("client_id", F.col("id").cast("string"))).drop("id")
+    tables = t.with_(core_monthly=hot(many))
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    keep = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = R.plan_enriched(tables, "monthly", AS_OF)
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_division_filter_reaches_the_participant_scan(spark, tmp_path, fixture_tables):
+    from ledgerline.sources.tables import TABLE_NAMES, read_parquet_tables
+    for field, name in TABLE_NAMES.items():
+        getattr(fixture_tables, field).write.parquet(str(tmp_path / name))
+    stored = read_parquet_tables(spark, str(tmp_path))
+    plan = R.div_sub_report(stored, AS_OF, sort=False)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scans = [i for i, x in enumerate(lines) if "FileScan" in x and "div_sub_id" in x]
+    assert len(scans) == 4          # core, loan and life lookups, counts
+    for i in scans:
+        assert any("Filter" in x and "div_sub_id" in x for x in lines[i - 3:i]), lines[i]
+
+
+def test_quarter_reports_prune_date_partitions(spark, tmp_path, fixture_tables):
+    from ledgerline.sources.tables import TABLE_NAMES, read_parquet_tables
+    from tests.helpers import multiset
+    dates = {"core_daily": "source_cycle_date", "core_monthly": "source_cycle_date", "loan": "source_cycle_date", "life": "valuation_date"}
+    for field, name in TABLE_NAMES.items():
+        writer = getattr(fixture_tables, field).coalesce(1).write
+        (writer.partitionBy(dates[field]) if field in dates else writer).parquet(str(tmp_path / name))
+    stored = read_parquet_tables(spark, str(tmp_path))
+    for build, inputs in ((R.participant_report, 3), (R.plan_report, 3), (R.client_report, 2)):
+        plan = build(stored, "quarterly", AS_OF)._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.splitlines() if "FileScan" in x and any(f"{d}#" in x for d in ("source_cycle_date", "valuation_date"))]
+        dated = [x for x in scans if "PartitionFilters: []" not in x and "PartitionFilters: [" in x]
+        assert len(dated) >= inputs, build.__name__
+        assert all("month(" in x for x in dated), build.__name__
+    assert multiset(R.client_report(stored, "quarterly", AS_OF).collect()) == \
+        multiset(R.client_report(fixture_tables, "quarterly", AS_OF).collect())
 
 
 def test_scans_read_only_needed_columns(spark, fixture_tables):

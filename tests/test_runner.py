@@ -1,11 +1,13 @@
-"""The batch runner writes reports and builds status variants from the written base."""
+"""The batch runner writes reports by date, each from its own run's inputs."""
+
+import datetime as dt
 
 from ledgerline.plans import reports as R
 from ledgerline.plans.runner import run
 from tests.helpers import AS_OF, multiset
 
 
-def test_runner_writes_reports_and_status_from_written_base(spark, fixture_tables, tmp_path):
+def test_runner_writes_reports(spark, fixture_tables, tmp_path):
     out = run(spark, fixture_tables, str(tmp_path), ["client_monthly", "participant_monthly_status"], AS_OF)
     assert set(out) == {"client_monthly", "participant_monthly_status"}
     got = spark.read.parquet(out["participant_monthly_status"]).select(*R.PARTICIPANT_PERIOD_COLUMNS)
@@ -17,7 +19,7 @@ def test_runner_writes_reports_and_status_from_written_base(spark, fixture_table
 
 def test_build_report_and_sql_views(spark, fixture_tables):
     from ledgerline.plans.runner import ALL_REPORTS, build_report, register_report_views
-    assert len(ALL_REPORTS) == 14
+    assert len(ALL_REPORTS) == 15
     names = register_report_views(spark, fixture_tables, AS_OF, ["plan_monthly", "participant_daily_status"],
                                   prefix="t_")
     assert names == ["t_plan_monthly", "t_participant_daily_status"]
@@ -68,6 +70,7 @@ def test_report_output_columns_are_the_documented_api(fixture_tables):
         "client_daily": R.CLIENT_COLUMNS, "client_monthly": R.CLIENT_COLUMNS, "client_quarterly": R.CLIENT_COLUMNS,
         "plan_daily": R.PLAN_DAILY_COLUMNS, "plan_monthly": R.plan_period_columns("monthly"),
         "plan_quarterly": R.plan_period_columns("quarterly"), "div_sub_daily": R.DIV_SUB_COLUMNS,
+        "div_sub_daily_sorted": R.DIV_SUB_COLUMNS,
         "participant_daily": R.PARTICIPANT_DAILY_COLUMNS, "participant_monthly": R.PARTICIPANT_PERIOD_COLUMNS,
         "participant_quarterly": R.PARTICIPANT_PERIOD_COLUMNS,
         "participant_daily_status": R.PARTICIPANT_DAILY_COLUMNS,
@@ -79,3 +82,75 @@ def test_report_output_columns_are_the_documented_api(fixture_tables):
     assert set(expected) == set(ALL_REPORTS)
     for name, cols in expected.items():
         assert build_report(name, t, AS_OF).columns == cols, name
+
+
+def _one_day(t, day):
+    from pyspark.sql import functions as F
+    return t.with_(core_daily=t.core_daily.withColumn("source_cycle_date", F.lit(day)))
+
+
+def test_a_later_run_leaves_earlier_dates_alone(spark, fixture_tables, tmp_path):
+    from pyspark.sql import functions as F
+    from ledgerline.plans.runner import build_report
+    names = ["participant_daily_status", "div_sub_daily"]
+    d1, d2 = dt.date(2001, 7, 30), dt.date(2001, 7, 31)
+    first, second = _one_day(fixture_tables, d1), _one_day(fixture_tables, d2)
+    # On the second day every participant has two rows, so its status report has more rows.
+    second = second.with_(participant=second.participant.unionByName(second.participant))
+    out = run(spark, first, str(tmp_path), names, d2)
+    dated = lambda name, day: spark.read.parquet(out[name]).where(F.col("source_cycle_date") == F.lit(day))
+    before = {n: multiset(dated(n, d1).collect()) for n in names}
+    run(spark, second, str(tmp_path), names, d2 + dt.timedelta(days=1))
+    for n in names:
+        assert before[n] and multiset(dated(n, d1).collect()) == before[n], n
+        want = build_report(n, second, d2 + dt.timedelta(days=1)).where(F.col("source_cycle_date") == F.lit(d2))
+        got = dated(n, d2).select(*want.columns)
+        assert multiset(got.collect()) == multiset(want.collect()), n
+
+
+def test_sink_files_are_bounded_by_dates_and_large_dates_are_split(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from ledgerline.sources.sinks import write_report
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") < 40_000, 0).otherwise(F.col("id") % 30).cast("int").alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    rows = rows.select(F.date_add(F.lit(dt.date(2001, 1, 1)), F.col("k")).alias("source_cycle_date"), "v").repartition(16)
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    keep = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        write_report(rows, str(tmp_path / "r"), order=("v",))
+    finally:
+        for k, v in keep.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "r").iterdir() if d.is_dir()}
+    assert len(files) == 30
+    assert files.pop("source_cycle_date=2001-01-01") > 1          # the large date is split
+    assert sum(files.values()) <= 2 * len(files)                  # the others are in a file or two
+    assert multiset(spark.read.parquet(str(tmp_path / "r")).select(*rows.columns).collect()) == multiset(rows.collect())
+
+
+def test_runner_reads_a_catalog_database_like_parquet(spark, fixture_tables, tmp_path):
+    from ledgerline.plans.runner import main
+    from ledgerline.sources.tables import TABLE_NAMES, read_catalog_tables
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+                                           "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.sql(f"CREATE DATABASE balances_db LOCATION '{tmp_path / 'db'}'")
+    try:
+        for field, name in TABLE_NAMES.items():
+            getattr(fixture_tables, field).write.parquet(str(tmp_path / "in" / name))
+            spark.read.parquet(str(tmp_path / "in" / name)).write.saveAsTable(f"balances_db.{name}")
+        reports = "plan_quarterly_count,participant_monthly_status"
+        main(["--database", "balances_db", "--output", str(tmp_path / "a"), "--as-of", AS_OF.isoformat(), "--reports", reports])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"     # sized from the stored tables: the floor
+        main(["--input", str(tmp_path / "in"), "--output", str(tmp_path / "b"), "--as-of", AS_OF.isoformat(), "--reports", reports])
+        for name in reports.split(","):
+            a, b = (spark.read.parquet(str(tmp_path / x / name)) for x in "ab")
+            assert a.count() and multiset(a.select(*b.columns).collect()) == multiset(b.collect())
+        spark.sql("USE balances_db")
+        assert read_catalog_tables(spark).client.count() == fixture_tables.client.count()
+    finally:
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE balances_db CASCADE")
+        for k, v in keep.items():
+            spark.conf.set(k, v)

@@ -1,6 +1,6 @@
-"""Session helpers: checkpoint folder and materialisation."""
+"""Session helpers: settings, checkpoint folder, date."""
 
-from ledgerline.session import SQL_CONF, checkpoint_dir, materialize
+from ledgerline.session import SQL_CONF, checkpoint_dir, today
 
 
 def test_checkpoint_dir_on_a_local_master(spark):
@@ -11,12 +11,8 @@ def test_checkpoint_dir_on_a_local_master(spark):
     assert bare(checkpoint_dir(spark)).startswith(bare(d))
 
 
-def test_materialize_keeps_rows_and_cuts_lineage(spark):
-    df = spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count()
-    m = materialize(df)
-    assert sorted(m.collect()) == sorted(df.collect())
-    plan = m._jdf.queryExecution().optimizedPlan().toString()
-    assert "Aggregate" not in plan        # reads the checkpointed rows, not the aggregation
+def test_today_is_the_session_date(spark):
+    assert today(spark) == spark.sql("SELECT current_date()").first()[0]
 
 
 def test_session_settings_applied(spark):
