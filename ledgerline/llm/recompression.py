@@ -17,7 +17,8 @@ equal offset and equal 48-bit fingerprint are equal.  Those that also start in
 a document of a smaller id are removed with all words they cover.
 
 Skew: rows of equal name and windows inside one slice of the input travel once
-(the others are settled on the spot); a name with more than ``GROUP`` rows is
+(the others are settled on the spot, and dealt by document); equal windows
+of a long run are one row; a name with more than ``GROUP`` rows is
 settled window by window with Spark's own aggregation and join instead of in
 memory.  Nothing is dropped.
 
@@ -147,31 +148,44 @@ def _rows(words: np.ndarray, lengths: np.ndarray, ids: np.ndarray, hashes: np.nd
     prints = window_prints(words)[places]
     name, start = parse(words, doc)
     key = key_symbols(name, start, len(words), places)
-    # Windows without a key symbol (inside long runs) stand under their own fingerprint.
+    # Windows without a key symbol (inside long runs) stand under their own fingerprint; equal neighbours are one row.
     alone = key < 0
-    head = np.append(True, (key[1:] != key[:-1]) | alone[1:])
+    apart = (prints[1:] != prints[:-1]) | (places[1:] != places[:-1] + 1)
+    head = np.append(True, (key[1:] != key[:-1]) | (alone[1:] & apart))
     first = np.flatnonzero(head)
-    at = places[first]
-    named = np.where(alone[first], prints[first], name[key[first]])
-    offset = np.where(alone[first], -1, start[key[first]] - at)
+    at, alone = places[first], alone[first]
+    named = np.where(alone, prints[first], name[key[first]])
     count = np.diff(np.append(first, len(places)))
+    offset = np.where(alone, -count, start[key[first]] - at)
     owner = doc[at]
+    carried = np.repeat(~alone, count) | head  # the windows whose fingerprints travel
     # Inside the slice, rows of equal name, offset and windows travel once, for the smallest id.
-    whole = common.mix64(np.add.reduceat(common.mix64(prints ^ (places - np.repeat(at, count)).astype(np.uint64)), first)
-                         + named * np.uint64(7) + offset.astype(np.uint64) * np.uint64(13) + count.astype(np.uint64))
+    inside = np.where(carried, common.mix64(prints ^ (places - np.repeat(at, count)).astype(np.uint64)), np.uint64(0))
+    whole = common.mix64(np.add.reduceat(inside, first) + named * np.uint64(7) + np.where(alone, -1, offset).astype(np.uint64)
+                         * np.uint64(13) + np.where(alone, 1, count).astype(np.uint64))
     order = np.lexsort((ids[owner], whole))
     new = np.append(True, whole[order][1:] != whole[order][:-1])
     smallest = ids[owner][order][np.flatnonzero(new)][np.cumsum(new) - 1]
     settled = np.zeros(len(first), dtype=bool)
     settled[order] = ids[owner][order] > smallest
-    sent = np.where(settled, 0, count)
-    raw = prints[np.repeat(~settled, count)]
-    return [named.view(np.int64), ids[owner], hashes[owner], (at - first_of[owner]).astype(np.int32), offset.astype(np.int32),
-            (_packed(raw), 6 * np.cumsum(sent)), settled, count]
+    # Settled rows say how many windows go; neighbours are joined, and they are dealt by document, not by name.
+    offset = np.where(settled, count, offset)
+    join = np.append(False, settled[1:] & settled[:-1] & (at[1:] == at[:-1] + count[:-1]))
+    rows = np.flatnonzero(~join)
+    offset = np.where(settled[rows], np.add.reduceat(count, rows), offset[rows])
+    sent = np.where(settled, 0, np.where(alone, 1, count))[rows]
+    raw = prints[np.repeat(~settled, count) & carried]
+    own = common.mix64(ids[owner].astype(np.uint64) ^ hashes[owner].view(np.uint64))
+    named = np.where(settled, own, named)
+    columns = [named.view(np.int64), ids[owner], hashes[owner], (at - first_of[owner]).astype(np.int32)]
+    return [*(c[rows] for c in columns), offset.astype(np.int32), (_packed(raw), 6 * np.cumsum(sent)), settled[rows]]
 
 
 def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_hash, text) -> key-symbol rows; a settled row has its number of windows as offset."""
+    """(doc_id, text_hash, text) -> key-symbol rows.
+
+    A settled row has its number of windows as offset; a row of equal windows without key symbol minus their number.
+    """
     cache = common.WordHashes()
     for part in common.slices(batches, 2_000_000):
         words, lengths = [], []
@@ -182,8 +196,7 @@ def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = _rows(np.concatenate(words), np.array(lengths), np.asarray(part.column(0), dtype=np.int64),
                      np.asarray(part.column(1), dtype=np.int64))
         if made is not None:
-            name, ids, hashes, place, offset, (raw, ends), settled, count = made
-            offset = np.where(settled, count, offset).astype(np.int32)
+            name, ids, hashes, place, offset, (raw, ends), settled = made
             yield pa.RecordBatch.from_arrays(
                 [pa.array(name), pa.array(ids), pa.array(hashes), pa.array(place), pa.array(offset), _binary(raw, ends),
                  pa.array(settled)], names=ROW_NAMES)
@@ -195,6 +208,8 @@ class Rows:
     def __init__(self, batch: pa.RecordBatch):
         self.name, self.doc, self.text_hash = (np.asarray(batch.column(k), dtype=np.int64) for k in range(3))
         self.place, self.offset = (np.asarray(batch.column(k), dtype=np.int64) for k in (3, 4))
+        self.equal = np.maximum(1, -self.offset)  # windows that one fingerprint stands for
+        self.offset = np.maximum(-1, self.offset)
         self.prints = batch.column(5)
         self.settled = np.asarray(batch.column(6).to_numpy(zero_copy_only=False), dtype=bool)
 
@@ -217,8 +232,8 @@ class Rows:
         new = np.append(True, (row[1:] != row[:-1]) | (inside[1:] != inside[:-1] + 1)) if len(row) else np.zeros(0, dtype=bool)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(row)) - 1 if len(first) else first
-        at = self.place[row]
-        return _found(self.doc[row][first], self.text_hash[row][first], (at + inside)[first], (at + inside)[last], None)
+        at = self.place[row] + inside
+        return _found(self.doc[row][first], self.text_hash[row][first], at[first], (at + self.equal[row] - 1)[last], None)
 
 
 def _found(doc: np.ndarray, text_hash: np.ndarray, first: np.ndarray, last: np.ndarray, key: np.ndarray | None) -> pa.RecordBatch:
@@ -254,7 +269,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(part)
         row, inside, prints = rows.windows(np.arange(part.num_rows))
         at = rows.place[row] + inside
-        return _found(rows.doc[row], rows.text_hash[row], at, at, rows.keys(row, inside, prints))
+        return _found(rows.doc[row], rows.text_hash[row], at, at + rows.equal[row] - 1, rows.keys(row, inside, prints))
 
     for batch in batches:
         settled = batch.column(6)
