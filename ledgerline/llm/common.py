@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -35,17 +35,27 @@ def staging_root(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _shared_folder(spark: SparkSession, label: str) -> str:
+    return f"{staging_root(spark)}/ledgerline-{label}-{uuid.uuid4().hex}"
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
     The folder goes when the session's file system closes.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/ledgerline-{label}-{uuid.uuid4().hex}"
+    path = _shared_folder(spark, label)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _file_system(spark, path).deleteOnExit(_path(spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,12 +67,16 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
-    package = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="ledgerline-package-")) / "ledgerline_package.zip"
-    with zipfile.ZipFile(target, "w") as out:
+    package, packed = Path(__file__).resolve().parent.parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(target))
+    folder = _shared_folder(spark, "package")
+    stream = _file_system(spark, folder).create(_path(spark, f"{folder}/ledgerline_package.zip"))
+    stream.write(bytearray(packed.getvalue()))
+    stream.close()
+    _file_system(spark, folder).deleteOnExit(_path(spark, folder))
+    context.addPyFile(f"{folder}/ledgerline_package.zip")
     _shipped.add(context.applicationId)
 
 

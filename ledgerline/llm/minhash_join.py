@@ -14,17 +14,18 @@ values, ordered by how many classes share them (then by the value), all but the
 must meet in both prefixes, and the lists of very common values are hardly
 ever read.
 
-Links only matter up to connectivity.  So first each list offers one hub, its
-class with the most common values, and each class tries the ``HUBS`` hubs it
-collides with most: such a pair must match in ``MATCHES`` coordinates and is
-confirmed on the full shingle sets, which meet in blocks of one hub and at most
-``BLOCK`` others.  That joins most of a large group of near copies in a pair a
-class.  Then classes that lists connect form clusters, and inside each cluster
-every class outside the largest component is held against all classes of other
-components, again on full sets: an inverted index of shingles in memory counts
-the intersections, in blocks of at most about ``BLOCK_BYTES``, and only links leave the
-task.  So no link between different components is lost, and no list of pairs
-is ever written.
+Links only matter up to connectivity.  Each list ties its classes to its hub, the
+smallest class; classes so tied form clusters, and a pair with a common list
+is inside one cluster.  A cluster is held against itself in blocks of at most
+about ``BLOCK_BYTES`` of sets, each with the cluster's centre (the class with
+the most common values).  First the
+centre: classes linked with it are one component, and need not be compared
+with each other.  Every other class of a block is then compared with all of
+the block: an inverted index counts common coordinates, pairs with fewer than
+``MATCHES`` are out, and the others are confirmed on the full shingle sets (counted
+through an inverted index too).  Only links leave the task, so a large group
+of near copies gives about a link a class, and no list of all pairs is written.
+No link between different components is lost.
 
 Components are found by alternating star contraction on staged links.
 
@@ -42,7 +43,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -50,9 +51,8 @@ from . import common
 # Words of a shingle, and the similarity of a link in percent.
 SHINGLE, PERCENT = 3, 85
 COORDINATES, MATCHES = 32, 10
-# Hubs that a class tries, others in a block with one hub, and bytes of sets in a block of a cluster.
-HUBS = 2
-BLOCK, BLOCK_BYTES = 256, 4 << 20
+# Bytes of sets in a block of a cluster.
+BLOCK_BYTES = 4 << 20
 # Bits of the filter of ids whose sets are needed (its size is fixed; fuller, it only lets more through).
 FILTER_BITS, PIECE = 1 << 22, 1 << 15
 
@@ -138,95 +138,111 @@ def _unpack(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by block, the hub's set first -> confirmed links."""
-    hub = None
-    for batch in batches:
-        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        links: tuple[list, list] = ([], [])
-        for k in range(batch.num_rows):
-            found = _unpack(batch.column(2)[k].as_py())
-            if b[k] is None:
-                hub = found
-                continue
-            at = np.minimum(np.searchsorted(hub, found), len(hub) - 1)
-            both = int((hub[at] == found).sum())
-            if 100 * both >= PERCENT * (len(hub) + len(found) - both):
-                links[0].append(a[k])
-                links[1].append(b[k])
-        yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], names=["a", "b"])
-
-
-class _Block:
-    """Sets of one block of a cluster, as an inverted index."""
+class _Index:
+    """Inverted index of many sorted arrays: how many values each shares with another array."""
 
-    def __init__(self, name: tuple):
-        self.name, self.sets, self.keys, self.components = name, [], [], []
-        self.values = None
-
-    def build(self) -> None:
-        self.sizes = np.array([len(s) for s in self.sets])
-        values = np.concatenate(self.sets)
+    def __init__(self, arrays: Sequence[np.ndarray]):
+        self.sizes = np.array([len(x) for x in arrays])
+        values = np.concatenate(arrays)
         order = np.argsort(values, kind="stable")
-        self.values, self.owners = values[order], np.repeat(np.arange(len(self.sets)), self.sizes)[order]
-        self.member = np.array(self.components, dtype=np.int64)
-        self.sets = []
-
-    def links(self, found: np.ndarray, component: int) -> list[int]:
-        """One linked class of each other component."""
-        if self.values is None:
-            self.build()
+        self.values, self.owners = values[order], np.repeat(np.arange(len(arrays)), self.sizes)[order]
+
+    def shared(self, found: np.ndarray) -> np.ndarray:
         low, high = (np.searchsorted(self.values, found, side=x) for x in ("left", "right"))
         count = high - low
         at = np.repeat(high - np.cumsum(count), count) + np.arange(count.sum())
-        both = np.bincount(self.owners[at], minlength=len(self.sizes))
-        hit = np.flatnonzero((100 * both >= PERCENT * (len(found) + self.sizes - both)) & (self.member != component))
-        _, one = np.unique(self.member[hit], return_index=True)
-        return [self.keys[k] for k in hit[one].tolist()]
+        return np.bincount(self.owners[at], minlength=len(self.sizes))
+
+
+class _Block:
+    """One block of a cluster: the told rows as inverted indexes, and the cluster's centre."""
+
+    def __init__(self, name: tuple, centre: tuple[int, np.ndarray, np.ndarray]):
+        self.name, self.centre, self.keys, self.tokens, self.sets = name, centre, [], [], []
+        self.beside_centre = None
+
+    def _build(self) -> None:
+        self.token_index, self.set_index = _Index(self.tokens), _Index(self.sets)
+        self.tokens, self.sets = [], []
+        _, own, own_tokens = self.centre
+        self.beside_centre = np.zeros(len(self.keys), dtype=bool)
+        self.beside_centre[self._linked(own, own_tokens)] = True
+
+    def _linked(self, found: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Places of the told rows that match often enough and are linked by their full sets."""
+        near = self.token_index.shared(tokens) >= MATCHES
+        if not near.any():
+            return np.zeros(0, dtype=np.int64)
+        both = self.set_index.shared(found)
+        return np.flatnonzero(near & (100 * both >= PERCENT * (len(found) + self.set_index.sizes - both)))
+
+    def links(self, key: int, found: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
+        """Links of one asking row: with the centre (told once), else with the told rows, one of those beside the centre."""
+        centre, own, own_tokens = self.centre
+        if key == centre:
+            return []
+        if _is_linked(found, tokens, own, own_tokens):
+            return [(key, centre)] if self.name[2] == 0 else []
+        if not self.keys:
+            return []
+        if self.beside_centre is None:
+            self._build()
+        hit = self._linked(found, tokens)
+        with_centre = self.beside_centre[hit]
+        return [(key, self.keys[k]) for k in [*hit[~with_centre].tolist(), *hit[with_centre][:1].tolist()] if self.keys[k] != key]
+
+
+def _is_linked(a: np.ndarray, a_tokens: np.ndarray, b: np.ndarray, b_tokens: np.ndarray) -> bool:
+    if len(np.intersect1d(a_tokens, b_tokens, assume_unique=True)) < MATCHES:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
+CENTRE, TOLD, ASKS = 0, 1, 2
 
 
 def _cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by block, all sets of the block first (asks: false), then those held against it -> links."""
+    """Rows sorted by block and role (the centre, one side, the other side) -> links."""
     block = None
     for batch in batches:
-        links: tuple[list, list] = ([], [])
-        for k, (cluster, x, y, asks, key, component) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(6)))):
-            found = _unpack(batch.column(6)[k].as_py())
-            if not asks:
-                if block is None or block.name != (cluster, x, y):
-                    block = _Block((cluster, x, y))
-                block.sets.append(found)
+        links: list[tuple[int, int]] = []
+        for k, (cluster, x, y, role, key, tokens) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(6)))):
+            found, tokens = _unpack(batch.column(6)[k].as_py()), np.array(sorted(tokens), dtype=np.int64)
+            if role == CENTRE:
+                block = _Block((cluster, x, y), (key, found, tokens))
+            elif role == TOLD:
                 block.keys.append(key)
-                block.components.append(component)
-            elif block is not None and block.name == (cluster, x, y):
-                for other in block.links(found, component):
-                    links[0].append(key)
-                    links[1].append(other)
-        yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], names=["a", "b"])
+                block.tokens.append(tokens)
+                block.sets.append(found)
+            else:
+                links += block.links(key, found, tokens)
+        a, b = zip(*links) if links else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component: its smallest node) of all nodes in ``links`` (a, b), by alternating star contraction."""
-    edges = common.staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                          .filter("u <> v").distinct(), "edges")
-    before = None
+    """(node, component: its smallest node) of all nodes in ``links`` (a, b), by alternating star contraction.
+
+    In a round each node's larger neighbours are tied to its smallest neighbour, then
+    its smaller ones; it ends when no edge moved, with one edge a node.  Both steps are
+    windows over a node's edges, so a round is two shuffles.
+    """
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
+    node, ordered = Window.partitionBy("u"), Window.partitionBy("u").orderBy("v", F.desc("moved"))
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        root = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(root, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = common.staged(small.unionByName(root.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        after = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if after == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = after
-
-
-def _comparable(a: Column, b: Column) -> Column:
-    """Set sizes of a link differ little enough."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = both.withColumn("m", F.least("u", F.min("v").over(node))).filter("v > u")
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") != F.col("u")).alias("moved"))
+        small = large.select("u", "v", "moved", F.row_number().over(ordered).alias("place"), F.first("v").over(ordered).alias("m"),
+                             F.lag("v").over(ordered).alias("before"))
+        own = F.col("place") == 1  # a node's own edge; the others tie its further neighbours, each once
+        small = small.filter(own | ((F.col("v") != F.col("m")) & (F.col("v") != F.col("before"))))
+        edges = common.staged(small.select(F.when(own, F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"),
+                                           F.when(own, F.col("moved")).otherwise(F.lit(True)).alias("moved")), "edges")
+        if not edges.agg(F.max("moved")).first()[0]:
+            nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 class NearDuplicates:
@@ -236,24 +252,28 @@ class NearDuplicates:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
         self.signed = common.staged(common.map_arrow(
             self.docs, _signed, "doc_id long, text_hash long, n_shingles long, key long, tokens array<long>"), "signatures")
-        linked = self.signed.filter("n_shingles > 0 and doc_id is not null")
-        self.classes = linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                                 F.first("tokens").alias("tokens"))
-        self.postings = self._postings()
+        self.linked = self.signed.filter("n_shingles > 0 and doc_id is not null")
+        self.classes = self.linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
+                                                      F.first("tokens").alias("tokens"))
+        self.candidates = common.staged(self._candidates(), "candidates")
         self.sets = self._needed_sets()
 
-    def _postings(self) -> DataFrame:
-        """(token, key, n, common: how often its values are shared): the prefix lists."""
-        tokens = self.classes.select("key", "n", F.explode("tokens").alias("token"))
+    def _candidates(self) -> DataFrame:
+        """(key, rep, n, tokens: shared ones by frequency, common: how often they are shared) of classes with enough of them."""
+        tokens = self.classes.select("key", "rep", "n", F.explode("tokens").alias("token"))
         shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
         ranked = tokens.join(shared, "token").groupBy("key").agg(
-            F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
-        ranked = ranked.filter(F.size("t") >= MATCHES).select(
-            "key", "n", F.transform("t", lambda x: x["token"]).alias("tokens"),
+            F.first("rep").alias("rep"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
+        return ranked.filter(F.size("t") >= MATCHES).select(
+            "key", "rep", "n", F.transform("t", lambda x: x["token"]).alias("tokens"),
             F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a + x["f"]).alias("common"))
-        self.candidates = common.staged(ranked, "candidates")
+
+    def _ties(self) -> DataFrame:
+        """(a, b): each class of a prefix list with the list's hub."""
         prefix = F.slice("tokens", F.lit(1), F.size("tokens") - (MATCHES - 1))
-        return self.candidates.select(F.explode(prefix).alias("token"), "key", "n", "common")
+        lists = self.candidates.select(F.explode(prefix).alias("token"), "key")
+        hubs = lists.groupBy("token").agg(F.min("key").alias("a"))
+        return lists.join(hubs, "token").filter(F.col("a") != F.col("key")).select("a", F.col("key").alias("b"))
 
     def _needed_sets(self) -> DataFrame:
         """(key, set) of the classes in any list, made from their smallest documents' texts.
@@ -262,7 +282,7 @@ class NearDuplicates:
         of the Python workers; keys decide exactly.
         """
         place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-        needed = self.classes.join(self.candidates.select("key"), "key", "left_semi").select(F.col("rep").alias("doc_id"), "key")
+        needed = self.candidates.select(F.col("rep").alias("doc_id"), "key")
         bits = needed.groupBy(F.floor(place / PIECE).cast("int").alias("_piece")).agg(
             F.bitmap_construct_agg((place % PIECE).cast("long")).alias("_bits"))
         spot = (place % PIECE).cast("int")
@@ -274,69 +294,34 @@ class NearDuplicates:
         sets = sets.join(needed.select("key"), "key", "left_semi").groupBy("key").agg(F.first("set").alias("set"))
         return common.staged(sets, "sets")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Links among distinct pairs (a, b) that match often enough, by their full sets."""
-        facts = self.candidates.select("key", "tokens")
-        matches = F.size(F.array_intersect("ta", "tb"))
-        kept = (pairs.join(facts.select(F.col("key").alias("a"), F.col("tokens").alias("ta")), "a")
-                .join(facts.select(F.col("key").alias("b"), F.col("tokens").alias("tb")), "b")
-                .filter(matches >= MATCHES).select("a", "b"))
-        kept = common.staged(kept, "pairs")
-        blocks = kept.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-        hubs = blocks.join(self.sets.withColumnRenamed("key", "a"), "a").select(
-            "a", F.lit(None).cast("long").alias("b"), "set", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-        others = kept.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
-        others = others.join(self.sets.withColumnRenamed("key", "b"), "b").select("a", "b", "set", "block")
-        rows = hubs.unionByName(others).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
-        return common.map_arrow(rows.select("a", "b", "set"), _confirm, "a long, b long")
-
-    def _hubs(self) -> DataFrame:
-        """(token, a, na): the hub of each list."""
-        hub = F.min_by(F.struct(F.col("key").alias("a"), F.col("n").alias("na")), F.struct(-F.col("common"), F.col("key")))
-        return self.postings.groupBy("token").agg(hub.alias("hub")).select("token", "hub.*")
-
-    def _collisions(self) -> DataFrame:
-        """(a, b, na, n, hits): hubs, the classes they collide with, and in how many lists."""
-        met = self.postings.join(self._hubs(), "token").filter(F.col("a") != F.col("key"))
-        return met.groupBy("a", F.col("key").alias("b"), "na", "n").agg(F.count(F.lit(1)).alias("hits"))
-
-    def _cluster_rows(self, cluster: DataFrame, member: DataFrame) -> DataFrame:
-        """Rows of the clusters that hold several components, dealt to blocks."""
-        facts = self.candidates.select("key", "n").join(cluster.select(F.col("node").alias("key"), F.col("component").alias("cluster")), "key")
-        facts = facts.join(member.withColumnRenamed("node", "key"), "key", "left")
-        facts = facts.withColumn("component", F.coalesce("component", "key"))
-        parts = facts.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
-        top = F.max_by(F.struct("component", "n"), F.struct("c", "component"))
-        whole = parts.groupBy("cluster").agg(top.alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
-        blocks = lambda n: F.ceil(6 * n / BLOCK_BYTES).cast("int")
-        whole = whole.filter("parts > 1").select("cluster", F.col("top.component").alias("top"), blocks(F.col("n")).alias("ys"),
-                                                 blocks(F.col("n") - F.col("top.n")).alias("xs"))
-        rows = facts.drop("n").join(whole, "cluster").join(self.sets, "key")
-        place = F.xxhash64("key")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        columns = ["cluster", "x", "y", "asks", "key", "component", "set"]
-        told = rows.withColumn("y", F.pmod(place, F.col("ys")).cast("int")).withColumn("x", every("xs")).withColumn("asks", F.lit(False))
-        asks = rows.filter(F.col("component") != F.col("top")).withColumn("x", F.pmod(place, F.col("xs")).cast("int"))
-        asks = asks.withColumn("y", every("ys")).withColumn("asks", F.lit(True))
-        return told.select(*columns).unionByName(asks.select(*columns))
+    def _cluster_rows(self, cluster: DataFrame) -> DataFrame:
+        """Rows of the clusters, dealt to blocks: told rows to every x, asking rows to every y, the centre to all."""
+        facts = self.candidates.select("key", "n", "tokens", "common").join(
+            cluster.select(F.col("node").alias("key"), F.col("component").alias("cluster")), "key")
+        whole = facts.groupBy("cluster").agg(F.max_by("key", F.struct("common", "key")).alias("centre"),
+                                             F.ceil(6 * F.sum("n") / BLOCK_BYTES).cast("int").alias("blocks"))
+        rows = facts.drop("n", "common").join(whole, "cluster").join(self.sets, "key")
+        own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        columns = ["cluster", "x", "y", "role", "key", "tokens", "set"]
+        told = rows.withColumn("y", own).withColumn("x", every).withColumn("role", F.lit(TOLD))
+        asks = rows.withColumn("x", own).withColumn("y", every).withColumn("role", F.lit(ASKS))
+        centre = rows.filter(F.col("key") == F.col("centre")).withColumn("x", every).withColumn("y", every).withColumn("role", F.lit(CENTRE))
+        return told.select(*columns).unionByName(asks.select(*columns)).unionByName(centre.select(*columns))
 
     def links(self) -> DataFrame:
         """(node, component) of the linked classes."""
-        met = common.staged(self._collisions(), "collisions")
-        cluster = components(met.select("a", "b"))
-        best = Window.partitionBy("b").orderBy(F.col("hits").desc(), "a")
-        pairs = met.filter(_comparable(F.col("na"), F.col("n"))).withColumn("place", F.row_number().over(best))
-        first = common.staged(self.confirmed(pairs.filter(F.col("place") <= HUBS).select("a", "b")), "links")
-        rows = self._cluster_rows(cluster, components(first))
-        rows = rows.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "asks", "key")
-        return components(first.unionByName(common.map_arrow(rows, _cluster_links, "a long, b long")))
+        rows = self._cluster_rows(components(self._ties()))
+        rows = rows.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "role", "key")
+        return components(common.map_arrow(rows, _cluster_links, "a long, b long"))
 
     def rows(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept, text_hash: one row a document."""
-        reps = self.classes.select("key", "rep").join(self.links(), F.col("key") == F.col("node"), "left")
-        reps = reps.select("key", "rep", F.coalesce("component", "key").alias("_c"))
-        least = reps.groupBy("_c").agg(F.min("rep").alias("_component"))
-        reps = reps.join(least, "_c").select("key", "_component")
+        member = self.links().withColumnRenamed("node", "key").join(self.candidates.select("key", "rep"), "key")
+        least = member.groupBy("component").agg(F.min("rep").alias("_least"))
+        reps = self.linked.groupBy("key").agg(F.min("doc_id").alias("rep")).join(
+            member.join(least, "component").select("key", "_least"), "key", "left")
+        reps = reps.select("key", F.coalesce("_least", "rep").alias("_component"))
         rows = self.signed.select("doc_id", "text_hash", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
                                                                  F.col("key")).alias("key"))
         rows = rows.join(reps, "key", "left")

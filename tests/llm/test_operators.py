@@ -1,0 +1,354 @@
+"""The training-data operators against brute force, on hand-made rows: nulls, empty and long texts, ties, repeats, empty tables."""
+
+from __future__ import annotations
+
+import base64
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import (byte_bpe, chat_grammar, common, fm_classifier, host_rules, license_rules, minhash_join, mixing,
+                            pivot_index, pyp_lm, recompression)
+from tests.llm import helpers as H
+
+SF = "/root/testdata/sf0.001"
+
+
+def prose(seed, n, vocabulary=400):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def odd_rows():
+    """Documents with nulls, empty and long texts, repeats and near copies."""
+    base, passage = prose(1, 300), prose(2, 80)
+    near = base[:100] + ["changed"] + base[101:]
+    rows = [(1, " ".join(base)), (2, " ".join(base)), (3, " ".join(near)), (4, None), (5, ""), (6, " \n\t "), (7, "one"), (8, "One two"),
+            (9, "one two"), (10, " ".join(prose(3, 60) + passage + prose(4, 70))), (11, " ".join(prose(5, 90) + passage)),
+            (12, " ".join(passage + prose(6, 40))), (13, "a " * 400), (14, "a " * 300), (15, "ab cd " * 200),
+            (16, "ab cd " * 150 + "tail"), (17, "LINE one two three\n" * 30), (18, " ".join(prose(7, 6000, 50_000))),
+            (18, " ".join(prose(7, 6000, 50_000))), (19, "é ü 漢字 🙂 " * 60), (-20, " ".join(passage))]
+    for k in range(21, 40):
+        copy = list(base)
+        for j in range(k - 20):
+            copy[(37 * k + 11 * j) % 300] = f"x{k}{j}"
+        rows.append((k, " ".join(copy)))
+    return rows
+
+
+# --- mixing --------------------------------------------------------------------------------------------------------------
+
+def test_targets_share_all_words_below_their_caps(spark):
+    totals = [("a", 10), ("b", 1000), ("c", 0), (None, 500), ("d", 70), ("e", 3)]
+    rows = mixing.source_targets(spark.createDataFrame(totals, "source string, source_size long")).collect()
+    size = dict(totals)
+    order = sorted((s for s in size if s is not None)) + [None]
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    # Resharing step by step.
+    fixed, left, total = {}, set(order), sum(size.values())
+    while True:
+        rest = total - sum(fixed.values())
+        share = {s: rest * weight[s] / sum(weight[x] for x in left) for s in left}
+        over = {s for s in left if share[s] > 3 * size[s]}
+        if not over:
+            break
+        fixed |= {s: 3 * size[s] for s in over}
+        left -= over
+    want = fixed | share
+    for r in rows:
+        assert r.target == pytest.approx(want[r.source])
+    assert sum(r.target for r in rows) == pytest.approx(total)
+
+
+def test_mix_cuts_at_the_exact_word(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(["w"] * rng.randrange(0, 40)), rng.choice(["a", "a", "a", "b", None])) for i in range(400)] + [(7, None, "b")] * 2
+    docs = H.frame(spark, rows)
+    out = mixing.mix(docs, mixing.n_words(F.col("text"))).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    for source in ("a", "b", None):
+        mine = [r for r in out if r.source == source]
+        assert sum(r.taken for r in mine) == math.floor(mine[0].target)
+        assert all(0 <= r.taken <= 3 * r.size for r in mine)
+        assert sum(1 for r in mine if 0 < r.part < r.size) <= 1          # one document lies on the cut
+    again = mixing.mix(docs.repartition(7), mixing.n_words(F.col("text"))).collect()
+    assert Counter(again) == Counter(out)
+    mixed = mixing.mixed_documents(docs).collect()
+    assert sum(len(H.words(r.text)) for r in mixed) == sum(r.taken for r in out)
+    assert mixing.mixed_documents(docs).columns == list(common.DOCUMENT_COLUMNS)
+
+
+# --- host rules ------------------------------------------------------------------------------------------------------------
+
+def test_measures_equal_brute_force(spark, odd_rows):
+    rows = [r for r in odd_rows if r[0] != 18] + [(50, "x y z " * 4 + "x y"), (51, "l\nl\n\n \nl\nm"), (52, "#1 $$ a|b <c>")]
+    got = {r.doc_id: r for r in host_rules.measures(H.frame(spark, rows)).collect()}
+    for d, t in rows:
+        w, lines = H.words(t), [x for x in (t or "").split("\n") if H.words(x)]
+        assert got[d].n_words == len(w) and got[d].word_chars == sum(map(len, w)), d
+        assert got[d].n_symbols == sum(c in "#*$%&|<>" for c in t or ""), d
+        assert got[d].n_dup_lines == len(lines) - len(set(lines)), d
+        if len(w) < 1000:
+            assert got[d].n_repeat_words == H.repeat_words(w), d
+
+
+def test_bad_host_is_rejected_and_small_hosts_are_shrunk(spark):
+    good = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, good, f"h{i % 9}") for i in range(900)] + [(1000 + i, "too short", "bad") for i in range(95)]
+    rows += [(2000 + i, good, "bad") for i in range(5)] + [(3000, "too short", "tiny"), (3001, good, None), (3002, None, None)]
+    out = {r.doc_id: r for r in host_rules.judge(H.frame(spark, rows)).collect()}
+    assert len(out) == len(rows)
+    assert not out[2000].base_failed and not out[2000].kept and out[2000].host_rejected
+    assert not out[3000].host_rejected and out[3001].kept and not out[3002].kept
+    assert all(out[i].kept for i in range(900))
+
+
+# --- licences --------------------------------------------------------------------------------------------------------------
+
+def test_license_rules_match_in_order(spark):
+    apache = ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+              "the License.\nYou may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0\nUnless required by "
+              "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+              "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+              "governing permissions and limitations under the License.")
+    rows = [(1, apache), (2, "Text.\nReleased under the MIT License."), (3, "This work is licensed under the GNU General Public License, "
+            "version 3. Also: Licensed under CC BY-NC 4.0."), (4, None), (5, ""), (6, "The MIT license is nice."),
+            (7, "Also: text!\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License.\nReleased under the MIT License.")]
+    out = {r.doc_id: (r.licenses, r.verdict, r.sentence_ids) for r in license_rules.scan(H.frame(spark, rows)).collect()}
+    assert out[1] == ("Apache-2.0", "permissive", "ap2 ap3 ap4 ap5")
+    assert out[2] == ("MIT", "permissive", "mi1") and out[3][1] == "copyleft" and out[4] == out[5] == out[6] == ("", "none", "")
+    assert out[7][:2] == ("MIT,CC-BY-NC-4.0", "noncommercial")
+
+
+# --- byte-level BPE --------------------------------------------------------------------------------------------------------
+
+def test_bpe_equals_tiktoken(spark, odd_rows):
+    import public_tokenizers
+    import tiktoken
+
+    path, pattern = byte_bpe.public_vocabulary()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(3)
+    rows = odd_rows + [(100 + i, "".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x2FFF), 10, 32, 0x3000]))
+                                         for _ in range(200))) for i in range(60)]
+    rows += [(200, "x" * 5000), (201, "".join(rng.choice("etaoin") for _ in range(3000))), (202, "I'LL don't  \n\n ' s'll<|endoftext|>")]
+    docs = H.frame(spark, rows)
+    encoded = byte_bpe.encode(docs, path, pattern, carry=("doc_id", "text"), decoded=True).collect()
+    assert len(encoded) == len(rows)
+    for r in encoded:
+        assert r.ids == np.array(library.encode_ordinary(r.text or ""), dtype="<u4").tobytes(), r.doc_id
+        assert bytes(r.decoded).decode() == (r.text or "")
+    back = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern).collect()
+    assert Counter((r.doc_id, bytes(r.decoded).decode()) for r in back) == Counter((d, t or "") for d, t in rows)
+
+
+# --- language model --------------------------------------------------------------------------------------------------------
+
+def test_language_model_counts_and_held_out_gain(spark, monkeypatch):
+    monkeypatch.setattr(pyp_lm, "BUCKET_TOKENS", 20_000)      # several buckets
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = pyp_lm.score(docs).collect()
+    tokens = {r.doc_id: [*H.words(H.lower(r.text)), None] for r in docs.select("doc_id", "text").collect()}
+    counts = Counter(x for d, w in tokens.items() if H.remainder(d, 7) != 2 for x in w)
+    total, distinct = sum(counts.values()), len(counts)
+    held = [r for r in out if r.held_out]
+    assert len(out) == len(tokens) and {r.doc_id for r in held} == {d for d in tokens if H.remainder(d, 7) == 2}
+    for r in out:
+        w = tokens[r.doc_id]
+        base = sum(math.log10((counts[x] + 1) / (total + distinct + 1)) for x in w)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(x in counts for x in w), total)
+        assert r.base_score == pytest.approx(base) and r.score < 0
+    assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held)
+
+
+def test_language_model_probabilities_sum_to_one():
+    rng = np.random.default_rng(0)
+    token, context = rng.zipf(1.3, 4000).astype(np.uint64) % 300, rng.integers(0, 5, 4000)
+    order = np.lexsort((context, token))
+    token, context = token[order], context[order]
+    new = np.append(True, (token[1:] != token[:-1]) | (context[1:] != context[:-1]))
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(token))).astype("<u2")
+    seating = pyp_lm.Seating(0, 1, [pyp_lm.pack(*pyp_lm._runs(token[first]), context[first].astype("<u2"), count)])
+    assert seating.c.sum() == 4000 and all((t >= 1).all() and (t <= seating.c).all() for t, _, _ in seating.samples)
+    totals = pyp_lm.Totals(seating.totals(0))
+    words = np.unique(token)
+    scorer = pyp_lm.Scorer(seating, totals)
+    for u in (0, 3, 4000):
+        known = np.append(words, np.uint64(10 ** 9))          # the last stands for the unknown
+        data = pyp_lm.pack(known.astype("<u8"), np.ones(len(known), dtype="<u4"), np.full(len(known), u, dtype="<u2"),
+                           np.arange(len(known), dtype="<u2"))
+        score = pyp_lm.unpack(scorer.sums(data), "<u2", "<u4", "<f8", "<f8")[3]
+        assert (10 ** score).sum() == pytest.approx(1.0)
+
+
+def test_single_table_odds_are_exact():
+    # Three customers, discount d: S(3,2) = S(2,1) + (2 - 2d) S(2,2) with S(2,1) = 1 - d and S(2,2) = 1.
+    d = 0.25
+    got = pyp_lm.single_odds(np.array([3]), np.array([2]), d)[0]
+    assert got == pytest.approx((1 - d) / ((1 - d) + (2 - 2 * d)))
+
+
+def test_large_buckets_are_dealt_to_several_tasks(spark, monkeypatch):
+    rows = [(i, "the " * 50 + f"word{i % 7} other{i}") for i in range(300)]
+    plain = {r.doc_id: r for r in pyp_lm.score(H.frame(spark, rows)).collect()}
+    monkeypatch.setattr(pyp_lm, "BUCKET_TOKENS", 5_000)
+    dealt = {r.doc_id: r for r in pyp_lm.score(H.frame(spark, rows)).collect()}
+    for d, r in plain.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (dealt[d].n_tokens, dealt[d].n_known, dealt[d].train_tokens)
+        assert r.base_score == pytest.approx(dealt[d].base_score) and r.score == pytest.approx(dealt[d].score, rel=0.1)
+
+
+# --- top-k search ----------------------------------------------------------------------------------------------------------
+
+def test_search_equals_brute_force(spark, monkeypatch):
+    for name, value in (("PIVOTS", 5), ("RINGS", 3), ("BLOCK", 40), ("QUERY_BLOCK", 4), ("SAMPLE", 100)):
+        monkeypatch.setattr(pivot_index, name, value)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(700)] + [(1000 + i, [0.5] * 8) for i in range(200)]
+    rows += [(2000, None), (2100, [float("nan")] * 8), (2200, [None] * 8), (2300, [float("inf")] * 8), (None, [1.0] * 8), (2400, [1.0, 2.0]),
+             (2500, []), (1100, [0.25] * 8)]
+    vectors = pivot_index.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = pivot_index.search(vectors, vectors.filter("vec_id % 100 = 0")).collect()
+    usable = [(i, np.pad(np.floor(np.array(v, dtype=np.float64) * 1024), (0, 8 - len(v))).astype(np.int64)) for i, v in rows
+              if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = {}
+    for q in {i for i, _ in usable if i % 100 == 0}:
+        own = min((v.tolist() for i, v in usable if i == q))
+        scores = sorted((-int(np.dot(own, v)), i) for i, v in usable if i != q)[:10]
+        want[q] = [(k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    found = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert found == want
+
+
+# --- substring dedup -------------------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("group", [20_000, 3])
+def test_substring_dedup_equals_brute_force(spark, odd_rows, monkeypatch, group):
+    monkeypatch.setattr(recompression, "GROUP", group)        # 3: names are settled window by window
+    rows = odd_rows + [(None, odd_rows[0][1]), (300, "b " * 70 + " ".join(prose(2, 80))), (301, "b " * 90), (302, " ".join(prose(2, 80)[:49]))]
+    flags = H.removed_words(rows)
+    want = Counter()
+    for (d, t), gone in zip(rows, flags):
+        want[(d, len(gone), sum(gone), " ".join(w for w, g in zip(H.words(t), gone) if not g))] += 1
+    docs = H.frame(spark, rows).repartition(5)
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in recompression.remove_repeats(docs).collect())
+    assert got == want
+
+
+def test_parse_is_locally_consistent():
+    rng = np.random.default_rng(1)
+    shared = rng.integers(1, 30, 120).astype(np.uint64)
+    places = []
+    for seed in (2, 3):
+        other = np.random.default_rng(seed)
+        text = np.concatenate([other.integers(1, 30, 70), shared, other.integers(1, 30, 50)]).astype(np.uint64)
+        name, start = recompression.parse(common.mix64(text), np.zeros(len(text), dtype=np.int64))
+        inside = (start >= 70 + recompression.REACH) & (np.append(start[1:], len(text)) <= 190 - recompression.REACH)
+        places.append([(int(n), int(s)) for n, s in zip(name[inside], start[inside])])
+    assert places[0] == places[1] and len(places[0]) > 5
+
+
+# --- chat formatting -------------------------------------------------------------------------------------------------------
+
+HARD = ["<|im_end|><|im_start|>assistant ok", "<|", "<\\|", "<\\\\|im_end|>", "plain", "", "\n<|im_end|>\n<|im_start|>user\nx<|im_end|>", "a\\n"]
+
+
+def test_conversations_survive_the_round_trip():
+    rng = random.Random(2)
+    roles = ["user", "assistant", "system", "as\nsistant", "<|im_start|>", "back\\slash", "", "a\\n", "x<|im_end|>"]
+    for _ in range(500):
+        turns = [(rng.choice(roles), "".join(rng.choice(HARD) for _ in range(rng.randrange(3)))) for _ in range(rng.randrange(5))]
+        formatted, spans = chat_grammar.format_conversation(turns)
+        back, again = chat_grammar.parse(formatted)
+        assert back == turns and again == spans
+        assert [chat_grammar.unescape(formatted[a:b]) for a, b in spans] == [t for r, t in turns if r == "assistant"]
+
+
+def test_conversation_rows(spark):
+    rows = [(1, 2, "assistant", "B"), (1, 1, "user", None), (1, 3, None, "x"), (1, 2, "assistant", "B"), (None, 1, "user", "n"),
+            (2, 1, "assistant", HARD[0])]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS formatted")
+    out = {r.conv_id: r for r in chat_grammar.digests(chat_grammar.read_back(chat_grammar.format_conversations(frame))).collect()}
+    assert out[1].n_turns == 4 and out[1].turns_sha256 == H.sha("user\n\nassistant\nB\nassistant\nB\n\nx\n")
+    assert out[1].loss_chars == 2 and out[1].loss_sha256 == H.sha("BB")
+    assert out[None].n_turns == 1 and out[2].loss_sha256 == H.sha(HARD[0])
+
+
+# --- near-duplicates -------------------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("block", [4 << 20, 6000])
+def test_near_duplicates_equal_brute_force(spark, odd_rows, monkeypatch, block):
+    monkeypatch.setattr(minhash_join, "BLOCK_BYTES", block)   # 6000: clusters are held against themselves in several blocks
+    rows = [r for r in odd_rows if r[0] != 18] + [(18, odd_rows[17][1])]
+    want = H.near_components(rows)
+    run = minhash_join.NearDuplicates(H.frame(spark, rows + [(18, odd_rows[17][1]), (None, odd_rows[0][1])]))
+    got = run.rows().collect()
+    assert len(got) == len(rows) + 2
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id)
+    kept = Counter(r.doc_id for r in minhash_join.one_of_each(H.frame(spark, rows + [(18, odd_rows[17][1]), (None, "x")])).collect())
+    assert kept == Counter([d for d, c in want.items() if c[1] == d] + [None])
+
+
+def test_components_of_a_path_and_a_star(spark):
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 3), (200, 200)]
+    out = dict(tuple(r) for r in minhash_join.components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert all(out[i] == 0 for i in range(41)) and all(out[100 + i] == 100 for i in range(20))
+
+
+# --- quality classifier ----------------------------------------------------------------------------------------------------
+
+def test_classifier_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    out = fm_classifier.query(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    rows = out.filter("held_out").select("quality", "predicted", "score").collect()
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    assert sum(r.quality == r.predicted for r in rows) > 0.98 * len(rows)
+
+
+def test_sum_of_squares_identity():
+    rng = np.random.default_rng(1)
+    machine = fm_classifier.Machine()
+    machine.linear, machine.factors = rng.normal(size=fm_classifier.WIDTH), rng.normal(size=(fm_classifier.WIDTH, fm_classifier.RANK))
+    x = np.zeros((1, fm_classifier.WIDTH))
+    at = rng.choice(fm_classifier.WIDTH, 12, replace=False)
+    x[0, at] = rng.normal(size=12)
+    pairs = sum(machine.factors[i] @ machine.factors[j] * x[0, i] * x[0, j] for k, i in enumerate(at) for j in at[k + 1:])
+    assert machine._logit(x)[0][0] == pytest.approx(x[0] @ machine.linear + pairs)
+
+
+def test_classifier_scores_odd_texts_and_learns_without_labels(spark, odd_rows):
+    docs = H.frame(spark, odd_rows).withColumn("n_chars", F.when(F.col("doc_id") > 3, F.col("n_chars")))
+    machine = fm_classifier.train(docs, spark.createDataFrame([(1, None, 0)], "doc_id long, quality int, toxic int"))
+    scores = fm_classifier.score(docs, machine).collect()
+    assert len(scores) == len(odd_rows) and all(r.score == 0.5 for r in scores)
+
+
+# --- empty tables ----------------------------------------------------------------------------------------------------------
+
+def test_empty_tables_give_empty_results(spark):
+    docs = spark.createDataFrame([], H.DOCUMENTS)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert mixing.mix(docs, mixing.n_words(F.col("text"))).count() == mixing.mixed_documents(docs).count() == 0
+    assert host_rules.judge(docs).count() == license_rules.scan(docs).count() == 0
+    assert byte_bpe.encode(docs, *byte_bpe.public_vocabulary()).count() == 0
+    assert pyp_lm.score(docs).count() == 0
+    assert recompression.remove_repeats(docs).count() == 0
+    assert minhash_join.NearDuplicates(docs).rows().count() == minhash_join.one_of_each(docs).count() == 0
+    assert fm_classifier.score(docs, fm_classifier.train(docs, labels)).count() == 0
+    vectors = pivot_index.integer_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"))
+    assert pivot_index.search(vectors, vectors).count() == 0
+    rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat_grammar.read_back(chat_grammar.format_conversations(rows)).count() == 0

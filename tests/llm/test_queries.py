@@ -1,0 +1,90 @@
+"""Registered training-data queries against their SQL, and the pipeline against brute force, on sf0.001."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from ledgerline.llm import byte_bpe, common, queries
+from tests.llm import helpers as H
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+def test_each_dealt_operator_has_one_query():
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_matches_its_sql(spark, duck, name):
+    df = queries.QUERIES[name](spark, SF)
+    cur = duck.execute(queries.ORACLES[name])
+    at = {d[0]: k for k, d in enumerate(cur.description)}
+    assert set(at) == set(df.columns)
+    want = Counter(tuple(row[at[c]] for c in df.columns) for row in cur.fetchall())
+    assert Counter(tuple(r) for r in df.collect()) == want
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Each stage against a brute-force version on its own input."""
+    docs = common.read_table(spark, SF, "documents")
+    quality = {r.doc_id: r.quality for r in common.read_table(spark, SF, "labels").collect()}
+    rows = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = [tuple(r) for r in docs.collect()]
+        docs = common.staged(stage(spark, docs, SF), "test")
+        rows[name] = (before, docs.collect(), docs.columns)
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    for name in names[:-1]:
+        assert rows[name][2] == list(common.DOCUMENT_COLUMNS), name
+
+    before, after, _ = rows[names[0]]
+    assert {tuple(r) for r in after} <= set(before)
+    learned = [d for d, q in quality.items() if H.remainder(d, 3) != 1]
+    kept = {r.doc_id for r in after}
+    assert all((d in kept) == bool(quality[d]) for d in learned)
+
+    before, after, _ = rows[names[1]]
+    component = H.near_components([(r[0], r[1]) for r in before])
+    assert sorted(r.doc_id for r in after) == sorted(d for d, (_, c) in component.items() if c == d)
+
+    before, after, _ = rows[names[2]]
+    flags = H.removed_words([(r[0], r[1]) for r in before])
+    want = {r[0]: " ".join(w for w, g in zip(H.words(r[1]), f) if not g) if any(f) else r[1] for r, f in zip(before, flags)}
+    assert {r.doc_id: r.text for r in after} == want
+    assert all(r.n_chars == len(r.text) for r in after)
+
+    before, after, _ = rows[names[3]]
+    size = Counter()
+    for r in before:
+        size[r[3]] += len(H.words(r[1]))
+    taken = Counter()
+    for r in after:
+        taken[r.source] += len(H.words(r.text))
+    assert sum(taken.values()) == pytest.approx(sum(size.values()), abs=len(size))
+    assert all(taken[s] <= 3 * n for s, n in size.items())
+    texts = {r[0]: r[1] for r in before}
+    whole = Counter(r.doc_id for r in after if r.text == texts[r.doc_id])
+    assert max(whole.values()) <= 3 and all(texts[r.doc_id] == r.text or " ".join(H.words(texts[r.doc_id])).startswith(r.text) for r in after)
+
+    before, after, _ = rows[names[4]]
+    tokenizer = byte_bpe.Tokenizer(byte_bpe.vocabulary(byte_bpe.public_vocabulary()[0]), byte_bpe.public_vocabulary()[1])
+    assert len(after) == len(before) and all(r.round_trip for r in after)
+    assert all(tokenizer.decode(bytes(r.ids)).decode() == r.text and r.n_tokens == len(r.ids) // 4 for r in after)
+
+
+def test_pipeline_run(spark):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() > 100 and out.filter("not round_trip").count() == 0
