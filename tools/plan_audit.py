@@ -4,8 +4,7 @@ Usage: python tools/plan_audit.py [sf_dir]
 
 Counts hash / range / single-partition exchanges, sort-merge and broadcast
 joins, hash aggregates and Expand nodes in the executed plan, with static
-broadcasting switched off so plans look as they would on large inputs (only
-explicit, size-checked broadcast hints remain).
+broadcasting switched off so plans look as they would on large inputs.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,7 +37,7 @@ def main() -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     t = derive_tables(spark, sf_dir)
     # Count only the report's own operators: read the inputs as stored tables.
-    root = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"ledgerline-audit-{os.getpid()}")
+    root = tempfile.mkdtemp(prefix="ledgerline-audit-")
     for field, name in TABLE_NAMES.items():
         getattr(t, field).write.mode("overwrite").parquet(f"{root}/{name}")
     t = read_parquet_tables(spark, root)
