@@ -195,6 +195,35 @@ def test_single_table_odds_are_exact():
     assert got == pytest.approx((1 - d) / ((1 - d) + (2 - 2 * d)))
 
 
+@pytest.mark.parametrize("c, w", [(10, 3.0), (100, 20.0), (1000, 150.0), (100_000, 480.0)])
+def test_tables_have_the_odds_of_seating_one_by_one(c, w):
+    """Customers are added one by one to the odds of each number of tables (cut off far above the mean)."""
+    d, most = pyp_lm.DISCOUNT, min(c, int(3 * w) + 20)
+    t = np.arange(most + 1)
+    log = np.full(most + 1, -np.inf)
+    log[1] = math.log(w)
+    for n in range(1, c):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            join = np.where(t <= n, log + np.log(np.maximum(n - d * t, 1e-300)), -np.inf)
+        log = np.logaddexp(join, np.append(-np.inf, log[:-1] + math.log(w)))
+    odds = np.exp(log - log.max())
+    mean = (odds * t).sum() / odds.sum()
+    spread = math.sqrt((odds * (t - mean) ** 2).sum() / odds.sum())
+    got = pyp_lm.seat(np.random.default_rng(5), np.full(20_000, c), np.full(20_000, w), d)
+    assert got.mean() == pytest.approx(mean, rel=0.01) and got.std() == pytest.approx(spread, rel=0.05)
+    assert (got >= 1).all() and (got <= c).all()
+
+
+def test_sweeps_seat_all_customers():
+    """Sampled tables follow from counts and weights at any count, not from where they start."""
+    context, words = np.arange(50, dtype="<u2"), np.arange(1, 41, dtype="<u8")
+    blob = pyp_lm.pack(words, np.full(40, 50, dtype="<u4"), np.tile(context, 40), np.full(2000, 60_000, dtype="<u2"))
+    (last, sat, parent_t), (t, *_) = pyp_lm.Seating(0, 1, [blob]).samples[-2:]
+    weight = np.full(len(t), (pyp_lm.STRENGTH + pyp_lm.DISCOUNT * last.sum() / 50) / 40)
+    assert t.mean() == pytest.approx(pyp_lm.seat(np.random.default_rng(5), np.full(len(t), 60_000), weight, pyp_lm.DISCOUNT).mean(), rel=0.2)
+    assert t.mean() > round(60_000 ** 0.4) + 11 and parent_t.max() > 12
+
+
 def test_large_buckets_are_dealt_to_several_tasks(spark, monkeypatch):
     rows = [(i, "the " * 50 + f"word{i % 7} other{i}") for i in range(300)]
     plain = {r.doc_id: r for r in pyp_lm.score(H.frame(spark, rows)).collect()}
