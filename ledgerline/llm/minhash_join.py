@@ -6,11 +6,11 @@ coordinate with probability s^2.  Documents of equal sets form a class; below,
 a class stands for all of them.
 
 Posting lists hold the classes of each (coordinate, value).  A pair that may be
-linked agrees in ``MATCHES`` coordinates at least (at similarity 0.85 less agree
-with probability below 1e-6).  So values that one class alone has are skipped,
-as are classes with fewer than ``MATCHES`` shared values; of the others' shared
-values, ordered by how many classes share them (then by the value), all but the
-``MATCHES`` - 1 most frequent form the prefix: a pair with that many matches
+linked agrees in ``least_matches`` coordinates at least (less agree with
+probability below ``LOSS``: 10 at similarity 0.85, fewer below).  So values that one class alone has are skipped,
+as are classes with fewer shared values than that; of the others' shared
+values, ordered by how many classes share them (then by the value), all but
+that number - 1 most frequent form the prefix: a pair with that many matches
 must meet in both prefixes, and the lists of very common values are hardly
 ever read.
 
@@ -21,8 +21,8 @@ about ``BLOCK_BYTES`` of sets, each with the cluster's centre (the class with
 the most common values).  First the
 centre: classes linked with it are one component, and need not be compared
 with each other.  Every other class of a block is then compared with all of
-the block: an inverted index counts common coordinates, pairs with fewer than
-``MATCHES`` are out, and the others are confirmed on the full shingle sets (counted
+the block: an inverted index counts common coordinates, pairs with
+fewer are out, and the others are confirmed on the full shingle sets (counted
 through an inverted index too).  Only links leave the task, so a large group
 of near copies gives about a link a class, and no list of all pairs is written.
 No link between different components is lost.
@@ -38,6 +38,7 @@ read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 
@@ -48,9 +49,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-# Words of a shingle, and the similarity of a link in percent.
+# Fixed values of the op10 query: words of a shingle, and the similarity of a link in percent.
 SHINGLE, PERCENT = 3, 85
-COORDINATES, MATCHES = 32, 10
+# Coordinates of a signature, and how probable it may be that a linked pair is not found.
+COORDINATES, LOSS = 32, 1e-6
 # Bytes of sets in a block of a cluster.
 BLOCK_BYTES = 4 << 20
 # Bits of the filter of ids whose sets are needed (its size is fixed; fuller, it only lets more through).
@@ -60,14 +62,22 @@ _WORDS = re.compile(common.WORD.encode()).findall
 _PARTS = np.random.default_rng(2024).integers(1, 1 << 63, 2 * COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingles(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def least_matches(percent: int) -> int:
+    """The most coordinates of which a pair at the similarity of a link has fewer with probability below ``LOSS``."""
+    p, below, m = (percent / 100) ** 2, 0.0, 0
+    while (below := below + math.comb(COORDINATES, m) * p ** m * (1 - p) ** (COORDINATES - m)) < LOSS:
+        m += 1
+    return max(1, m)
+
+
+def shingles(words: np.ndarray, lengths: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each document, sorted inside it: (hashes, number of each document's)."""
     n = len(words)
     doc = np.repeat(np.arange(len(lengths)), lengths)
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)  # words from here to the document's end
-    size = np.minimum(np.repeat(lengths, lengths), SHINGLE)
+    size = np.minimum(np.repeat(lengths, lengths), shingle)
     hashed = common.mix64(words + np.uint64(1))
-    for k in range(1, SHINGLE):
+    for k in range(1, shingle):
         follow = np.append(words[k:], np.zeros(min(k, n), dtype=np.uint64))
         hashed = np.where(size > k, common.mix64(hashed * np.uint64(3) + follow + np.uint64(k)), hashed)
     use = left >= size
@@ -96,7 +106,7 @@ def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return tokens
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch stream (last column: text) with their shingle sets."""
     cache = common.WordHashes()
     for part in common.slices(batches, 2_000_000):
@@ -105,30 +115,36 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, n
             found = _WORDS((text or "").encode("utf-8", "surrogatepass").lower())
             words.append(cache.array(found))
             lengths.append(len(found))
-        yield (part, *shingles(np.concatenate(words), np.array(lengths)))
+        yield (part, *shingles(np.concatenate(words), np.array(lengths), shingle))
+
 
+def _signed(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, hashes, counts in _sets(batches, shingle):
+            key = np.zeros(part.num_rows, dtype=np.uint64)
+            tokens = np.zeros((part.num_rows, COORDINATES), dtype=np.uint64)
+            if len(hashes):
+                key[counts > 0], tokens[counts > 0] = fingerprints(hashes, counts), signatures(hashes, counts)
+            offsets = pa.array(np.arange(0, tokens.size + 1, COORDINATES), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(counts.astype(np.int64)), pa.array(key.view(np.int64)),
+                 pa.ListArray.from_arrays(offsets, pa.array(tokens.reshape(-1).view(np.int64)))],
+                names=["doc_id", "text_hash", "n_shingles", "key", "tokens"])
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, hashes, counts in _sets(batches):
-        key = np.zeros(part.num_rows, dtype=np.uint64)
-        tokens = np.zeros((part.num_rows, COORDINATES), dtype=np.uint64)
-        if len(hashes):
-            key[counts > 0], tokens[counts > 0] = fingerprints(hashes, counts), signatures(hashes, counts)
-        offsets = pa.array(np.arange(0, tokens.size + 1, COORDINATES), pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [part.column(0), part.column(1), pa.array(counts.astype(np.int64)), pa.array(key.view(np.int64)),
-             pa.ListArray.from_arrays(offsets, pa.array(tokens.reshape(-1).view(np.int64)))],
-            names=["doc_id", "text_hash", "n_shingles", "key", "tokens"])
+    return run
 
 
-def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, hashes, counts in _sets(batches):
-        some = counts > 0
-        if some.any():
-            raw = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).reshape(-1)
-            offsets = np.append(0, 6 * np.cumsum(counts[some])).astype(np.int32)
-            sets = pa.Array.from_buffers(pa.binary(), int(some.sum()), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
-            yield pa.RecordBatch.from_arrays([pa.array(fingerprints(hashes, counts).view(np.int64)), sets], names=["key", "set"])
+def _full(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, hashes, counts in _sets(batches, shingle):
+            some = counts > 0
+            if some.any():
+                raw = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).reshape(-1)
+                offsets = np.append(0, 6 * np.cumsum(counts[some])).astype(np.int32)
+                sets = pa.Array.from_buffers(pa.binary(), int(some.sum()), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([pa.array(fingerprints(hashes, counts).view(np.int64)), sets], names=["key", "set"])
+
+    return run
 
 
 def _unpack(raw: bytes) -> np.ndarray:
@@ -157,7 +173,8 @@ class _Index:
 class _Block:
     """One block of a cluster: the told rows as inverted indexes, and the cluster's centre."""
 
-    def __init__(self, name: tuple, centre: tuple[int, np.ndarray, np.ndarray]):
+    def __init__(self, name: tuple, centre: tuple[int, np.ndarray, np.ndarray], percent: int):
+        self.percent, self.matches = percent, least_matches(percent)
         self.name, self.centre, self.keys, self.tokens, self.sets = name, centre, [], [], []
         self.beside_centre = None
 
@@ -170,18 +187,24 @@ class _Block:
 
     def _linked(self, found: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Places of the told rows that match often enough and are linked by their full sets."""
-        near = self.token_index.shared(tokens) >= MATCHES
+        near = self.token_index.shared(tokens) >= self.matches
         if not near.any():
             return np.zeros(0, dtype=np.int64)
         both = self.set_index.shared(found)
-        return np.flatnonzero(near & (100 * both >= PERCENT * (len(found) + self.set_index.sizes - both)))
+        return np.flatnonzero(near & (100 * both >= self.percent * (len(found) + self.set_index.sizes - both)))
+
+    def _beside(self, a: np.ndarray, a_tokens: np.ndarray, b: np.ndarray, b_tokens: np.ndarray) -> bool:
+        if len(np.intersect1d(a_tokens, b_tokens, assume_unique=True)) < self.matches:
+            return False
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * both >= self.percent * (len(a) + len(b) - both)
 
     def links(self, key: int, found: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
         """Links of one asking row: with the centre (told once), else with the told rows, one of those beside the centre."""
         centre, own, own_tokens = self.centre
         if key == centre:
             return []
-        if _is_linked(found, tokens, own, own_tokens):
+        if self._beside(found, tokens, own, own_tokens):
             return [(key, centre)] if self.name[2] == 0 else []
         if not self.keys:
             return []
@@ -192,33 +215,30 @@ class _Block:
         return [(key, self.keys[k]) for k in [*hit[~with_centre].tolist(), *hit[with_centre][:1].tolist()] if self.keys[k] != key]
 
 
-def _is_linked(a: np.ndarray, a_tokens: np.ndarray, b: np.ndarray, b_tokens: np.ndarray) -> bool:
-    if len(np.intersect1d(a_tokens, b_tokens, assume_unique=True)) < MATCHES:
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
-
-
 CENTRE, TOLD, ASKS = 0, 1, 2
 
 
-def _cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cluster_links(percent: int):
     """Rows sorted by block and role (the centre, one side, the other side) -> links."""
-    block = None
-    for batch in batches:
-        links: list[tuple[int, int]] = []
-        for k, (cluster, x, y, role, key, tokens) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(6)))):
-            found, tokens = _unpack(batch.column(6)[k].as_py()), np.array(sorted(tokens), dtype=np.int64)
-            if role == CENTRE:
-                block = _Block((cluster, x, y), (key, found, tokens))
-            elif role == TOLD:
-                block.keys.append(key)
-                block.tokens.append(tokens)
-                block.sets.append(found)
-            else:
-                links += block.links(key, found, tokens)
-        a, b = zip(*links) if links else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for k, (cluster, x, y, role, key, tokens) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(6)))):
+                found, tokens = _unpack(batch.column(6)[k].as_py()), np.array(sorted(tokens), dtype=np.int64)
+                if role == CENTRE:
+                    block = _Block((cluster, x, y), (key, found, tokens), percent)
+                elif role == TOLD:
+                    block.keys.append(key)
+                    block.tokens.append(tokens)
+                    block.sets.append(found)
+                else:
+                    links += block.links(key, found, tokens)
+            a, b = zip(*links) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -246,12 +266,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 class NearDuplicates:
-    """The stages of one run; ``signed`` is its only full table, with a signature a row."""
+    """The stages of one run; ``signed`` is its only full table, with a signature a row.
+
+    Sets of shingles of so many words are linked at a similarity of so many percent.
+    """
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT):
+        self.shingle, self.percent, self.matches = shingle, percent, least_matches(percent)
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
         self.signed = common.staged(common.map_arrow(
-            self.docs, _signed, "doc_id long, text_hash long, n_shingles long, key long, tokens array<long>"), "signatures")
+            self.docs, _signed(shingle), "doc_id long, text_hash long, n_shingles long, key long, tokens array<long>"), "signatures")
         self.linked = self.signed.filter("n_shingles > 0 and doc_id is not null")
         self.classes = self.linked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                                                       F.first("tokens").alias("tokens"))
@@ -264,13 +288,13 @@ class NearDuplicates:
         shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
         ranked = tokens.join(shared, "token").groupBy("key").agg(
             F.first("rep").alias("rep"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
-        return ranked.filter(F.size("t") >= MATCHES).select(
+        return ranked.filter(F.size("t") >= self.matches).select(
             "key", "rep", "n", F.transform("t", lambda x: x["token"]).alias("tokens"),
             F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a + x["f"]).alias("common"))
 
     def _ties(self) -> DataFrame:
         """(a, b): each class of a prefix list with the list's hub."""
-        prefix = F.slice("tokens", F.lit(1), F.size("tokens") - (MATCHES - 1))
+        prefix = F.slice("tokens", F.lit(1), F.size("tokens") - (self.matches - 1))
         lists = self.candidates.select(F.explode(prefix).alias("token"), "key")
         hubs = lists.groupBy("token").agg(F.min("key").alias("a"))
         return lists.join(hubs, "token").filter(F.col("a") != F.col("key")).select("a", F.col("key").alias("b"))
@@ -290,7 +314,7 @@ class NearDuplicates:
         rows = self.docs.filter("doc_id is not null").withColumn("_piece", F.floor(place / PIECE).cast("int"))
         rows = rows.join(F.broadcast(bits), "_piece")  # at most FILTER_BITS / PIECE rows of PIECE bits
         rows = rows.filter(F.getbit(byte, spot % 8) == 1)
-        sets = common.map_arrow(rows.select("doc_id", "text"), _full, "key long, set binary")
+        sets = common.map_arrow(rows.select("doc_id", "text"), _full(self.shingle), "key long, set binary")
         sets = sets.join(needed.select("key"), "key", "left_semi").groupBy("key").agg(F.first("set").alias("set"))
         return common.staged(sets, "sets")
 
@@ -313,7 +337,7 @@ class NearDuplicates:
         """(node, component) of the linked classes."""
         rows = self._cluster_rows(components(self._ties()))
         rows = rows.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "role", "key")
-        return components(common.map_arrow(rows, _cluster_links, "a long, b long"))
+        return components(common.map_arrow(rows, _cluster_links(self.percent), "a long, b long"))
 
     def rows(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept, text_hash: one row a document."""
@@ -330,10 +354,11 @@ class NearDuplicates:
                            F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_hash")
 
 
-def one_of_each(docs: DataFrame, columns: Sequence[str] = common.DOCUMENT_COLUMNS) -> DataFrame:
+def one_of_each(docs: DataFrame, columns: Sequence[str] = common.DOCUMENT_COLUMNS, shingle: int = SHINGLE,
+                percent: int = PERCENT) -> DataFrame:
     """The documents to keep, with ``columns``: those of a component's smallest id, repeated rows once; all without id."""
     rows = docs.select(*columns).withColumn("_hash", F.xxhash64("text")).withColumn("_doc", F.col("doc_id").cast("long"))
-    gone = NearDuplicates(docs).rows().filter(~F.col("kept")).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+    gone = NearDuplicates(docs, shingle, percent).rows().filter(~F.col("kept")).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
     left = rows.join(gone.distinct(), ["_doc", "_hash"], "left_anti")
     again = Window.partitionBy("_doc", "_hash").orderBy(*columns)
     left = left.withColumn("_again", F.when(F.col("_doc").isNull(), 1).otherwise(F.row_number().over(again)))

@@ -32,16 +32,16 @@ def frame(spark, rows):
     return spark.createDataFrame(data, DOCUMENTS).selectExpr("*", "'x' AS score", "1 AS key", "2 AS size", "3 AS ids")
 
 
-def shingle_set(text):
+def shingle_set(text, size=3):
     w = words(lower(text))
-    if len(w) < 3:
+    if len(w) < size:
         return {tuple(w)} if w else set()
-    return {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+    return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)}
 
 
-def near_components(rows):
+def near_components(rows, size=3, percent=85):
     """doc_id -> (set size, smallest reachable id), over all pairs."""
-    sets = [(d, shingle_set(t)) for d, t in rows]
+    sets = [(d, shingle_set(t, size)) for d, t in rows]
     parent = {d: d for d, _ in rows}
 
     def find(x):
@@ -52,7 +52,7 @@ def near_components(rows):
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
             both = len(x & y)
-            if x and y and 100 * both >= 85 * (len(x) + len(y) - both):
+            if x and y and 100 * both >= percent * (len(x) + len(y) - both):
                 lo, hi = sorted((find(a), find(b)))
                 parent[hi] = lo
     return {d: (len(s), find(d)) for d, s in sets}

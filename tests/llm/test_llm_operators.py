@@ -331,6 +331,32 @@ def test_near_duplicates_equal_brute_force(spark, odd_rows, monkeypatch, block):
     assert kept == Counter([d for d, c in want.items() if c[1] == d] + [None])
 
 
+def test_near_dedup_takes_shingle_length_and_percent(spark):
+    """On five words and 80%: one block of 17 replaced words of 200 is a near copy, five scattered ones are not; on three and 85% the reverse."""
+    base = [f"w{k}" for k in range(200)]
+    block, scattered = list(base), list(base)
+    block[90:107] = [f"x{k}" for k in range(17)]
+    for k in (20, 60, 100, 140, 180):
+        scattered[k] = f"y{k}"
+    rows = [(1, " ".join(base)), (2, " ".join(block)), (3, " ".join(scattered)), (4, "another text")]
+    for size, percent, want in ((5, 80, [1, 3, 4]), (3, 85, [1, 2, 4])):
+        assert sorted(d for d, (_, c) in H.near_components(rows, size, percent).items() if c == d) == want
+        out = minhash_join.one_of_each(H.frame(spark, rows), shingle=size, percent=percent)
+        assert sorted(r.doc_id for r in out.collect()) == want
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = H.near_components([(r.doc_id, r.text) for r in docs.collect()], 5, 80)
+    out = minhash_join.one_of_each(docs, shingle=5, percent=80)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, (_, c) in want.items() if c == d)
+
+
+def test_matches_follow_the_similarity():
+    for percent in (85, 80):
+        p, m = (percent / 100) ** 2, minhash_join.least_matches(percent)
+        below = [sum(math.comb(32, k) * p ** k * (1 - p) ** (32 - k) for k in range(n)) for n in (m, m + 1)]
+        assert below[0] < 1e-6 <= below[1]
+    assert minhash_join.least_matches(85) == 10
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 3), (200, 200)]
     out = dict(tuple(r) for r in minhash_join.components(spark.createDataFrame(links, "a long, b long")).collect())
