@@ -3,7 +3,11 @@
 A text is cut into sentences (at line ends and after ``.``, ``!`` or ``?``
 followed by white space) and each is normalised: A-Z lowered, everything but
 a-z and 0-9 to single spaces.  A sentence that equals a known licence sentence becomes
-its identifier; the identifiers of a text, in order, form a sequence.  Licence
+its identifier; the identifiers of a text, in order, form a sequence.  A licence
+sentence is also known where it is wrapped over several lines, blank lines and
+comment or list leaders between, if it starts and ends with a line or sentence and has no
+stop inside; there the official sentences are known in full.  ``ORACLE`` knows
+sentences of one line only: on other texts it finds less.  Licence
 rules are tried in their order: a rule matches where its identifiers follow one
 another in what earlier rules have left of the sequence, and takes them out.
 
@@ -39,6 +43,13 @@ SENTENCES = {
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bs2",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bs3",
 }
+# Official sentences that go on where those above stop, and their identifiers.
+OFFICIAL = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mi2",
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": "mi3",
+    "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gp3",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "ap3",
+}
 # Ordered rules (identifier sequence, licence, kind); longer ones come first.
 RULES = (
     ("ap2 ap3 ap4 ap5", "Apache-2.0", "permissive"),
@@ -56,22 +67,39 @@ RULES = (
     ("cc2", "CC-BY-NC-4.0", "noncommercial"),
     ("cc3", "CC-BY-4.0", "permissive"),
 )
+# Words that start a comment line, and marks of a list (others are not letters or digits and go anyway).
+COMMENT, LISTED = "(?:rem|dnl|c)", "(?:[0-9]{1,2}|[ab])"
 # The strictest kind among a text's licences is its verdict.
 KINDS = ("noncommercial", "copyleft", "permissive")
 
 
-def sentences(text: Column) -> Column:
-    """Normalised, non-empty sentences of a text, in order."""
-    cut = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"([.!?])[\x20\x09-\x0D]+", "$1\n"), "\n")
-    clean = F.transform(cut, lambda s: F.trim(F.regexp_replace(common.ascii_lower(s), "[^a-z0-9]+", " ")))
-    return F.filter(clean, lambda s: s != "")
+def pieces(text: Column) -> Column:
+    """Normalised lines and sentences of a text, in order; blank ones are empty, and a stop is followed by one that is ``.``."""
+    cut = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"([.!?])[\x20\x09-\x0D]+", "$1\n.\n"), "\n")
+    return F.transform(cut, lambda s: F.when(s == ".", s).otherwise(F.trim(F.regexp_replace(common.ascii_lower(s), "[^a-z0-9]+", " "))))
+
+
+def marked(found: Column) -> Column:
+    """The pieces that are not blank, each between line ends."""
+    return F.concat(F.lit("\n"), F.array_join(F.filter(found, lambda s: s != ""), "\n"), F.lit("\n"))
+
+
+def flat(lines: Column) -> Column:
+    """Marked pieces in one line, without comment words."""
+    return F.regexp_replace(F.regexp_replace(lines, rf"\n{COMMENT}(?: |(?=\n))", "\n"), r"\n+", " ")
+
 
+def identifiers(lines: Column, line: Column) -> Column:
+    """`` ap1  mi1 ``: identifiers of the known sentences, in order, each between its own spaces.
 
-def identifiers(found: Column) -> Column:
-    """`` ap1  mi1 ``: identifiers of the known sentences, in order, each between its own spaces."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    ids = F.filter(F.transform(found, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
-    return F.concat(F.lit(" "), F.array_join(ids, "  "), F.lit(" "))
+    Of the sentences that a text contains, longer ones are replaced first.
+    """
+    known = sorted((SENTENCES | OFFICIAL).items(), key=lambda pair: -len(pair[0]))
+    gap = rf"(?: |(?:\n{COMMENT})*\n(?:{COMMENT} )?)"
+    steps = F.array(*[F.when(F.contains(line, F.lit(s)), F.struct(
+        F.lit(rf"\n(?:{COMMENT} )?(?:{LISTED} )?{s.replace(' ', gap)}(?=\n)").alias("p"), F.lit(f"\n#{i}").alias("r"))) for s, i in known])
+    ids = F.aggregate(F.filter(steps, lambda k: k.isNotNull()), lines, lambda text, k: F.regexp_replace(text, k["p"], k["r"]))
+    return F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(ids, F.lit("#([a-z0-9]+)"), F.lit(1)), "  "), F.lit(" "))
 
 
 def _needle(rule: str) -> str:
@@ -80,8 +108,11 @@ def _needle(rule: str) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_sentences, sentence_ids, licenses (distinct, in rule order) and the verdict of each text."""
-    found = docs.select("doc_id", sentences(F.col("text")).alias("_s"))
-    out = found.select("doc_id", F.size("_s").cast("long").alias("n_sentences"), identifiers(F.col("_s")).alias("_ids"))
+    found = docs.select("doc_id", pieces(F.col("text")).alias("_s"))
+    n_sentences = F.size(F.filter("_s", lambda s: ~s.isin("", ".")))
+    found = found.select("doc_id", n_sentences.cast("long").alias("n_sentences"), marked(F.col("_s")).alias("_lines"))
+    found = found.withColumn("_line", flat(F.col("_lines")))
+    out = found.select("doc_id", "n_sentences", identifiers(F.col("_lines"), F.col("_line")).alias("_ids"))
     left, hits = F.col("_ids"), []
     for rule, licence, kind in RULES:
         hits.append(F.when(F.contains(left, F.lit(_needle(rule))), F.struct(F.lit(licence).alias("l"), F.lit(kind).alias("k"))))

@@ -125,6 +125,74 @@ def test_license_rules_match_in_order(spark):
     assert out[7][:2] == ("MIT,CC-BY-NC-4.0", "noncommercial")
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """   Copyright 2020 Jane Doe
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+
+
+@pytest.mark.parametrize("leader", ["", "# ", "// ", " * ", "REM ", "dnl "])
+def test_wrapped_license_notices_are_found(spark, leader):
+    rows = [(k, "".join(f"{leader}{line}".rstrip() + "\n" for line in text.splitlines()) + "\nint main() { return 0; }\n")
+            for k, text in enumerate((MIT, BSD, APACHE, GPL))]
+    rows += [(4, "Released.\nUnder the MIT License"), (5, "x released under\nthe MIT License"), (6, MIT.replace("free of charge", "freely"))]
+    out = {r.doc_id: (r.licenses, r.sentence_ids) for r in license_rules.scan(H.frame(spark, rows)).collect()}
+    assert [out[k] for k in range(4)] == [("MIT", "mi2 mi3"), ("BSD-3-Clause", "bs1 bs2 bs3"), ("Apache-2.0", "ap2 ap3 ap4 ap5"),
+                                          ("GPL-3.0", "gp2 gp3 gp4")]
+    assert [out[k] for k in (4, 5, 6)] == [("", ""), ("", ""), ("", "mi3")]
+
+
 # --- byte-level BPE --------------------------------------------------------------------------------------------------------
 
 def test_bpe_equals_tiktoken(spark, odd_rows):
