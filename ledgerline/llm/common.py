@@ -96,6 +96,13 @@ def is_learned(doc_id: Column, modulus: int, held: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus != held
 
 
+def duckdb_crc32(text: str) -> str:
+    """SQL for DuckDB, which has no such function: the unsigned crc32 of an ASCII text, bit by bit."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda a, b: {step}), CAST(4294967295 AS BIGINT))"
+
+
 def slices(batches: Iterator[pa.RecordBatch], chars: int = 4_000_000, text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about ``chars`` bytes of text (one row at least)."""
     for batch in batches:
