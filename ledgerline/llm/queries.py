@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, merkle, minhash_join, mixing, pivot_index, pyp_lm, recompression
+from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, merkle, minhash_join, mixing, pivot_index, prefix_trie, pyp_lm, recompression
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fm_classifier": fm_classifier.query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_recompression": recompression.query,
     "op9_chat_grammar": chat_grammar.query,
     "op10_minhash_join": minhash_join.query,
+    "op11_prefix_trie": prefix_trie.query,
     "op12_merkle": merkle.query,
 }
 
@@ -30,5 +31,6 @@ ORACLES: dict[str, str] = {
     "op8_recompression": recompression.ORACLE,
     "op9_chat_grammar": chat_grammar.ORACLE,
     "op10_minhash_join": minhash_join.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op12_merkle": merkle.ORACLE,
 }
