@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, merkle, minhash_join, mixing, pivot_index, prefix_trie, pyp_lm, recompression
+from . import (byte_bpe, chat_grammar, fm_classifier, host_rules, license_rules, merkle, minhash_join, mixing, pivot_index, prefix_trie,
+               projected_knn, pyp_lm, recompression)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fm_classifier": fm_classifier.query,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_join": minhash_join.query,
     "op11_prefix_trie": prefix_trie.query,
     "op12_merkle": merkle.query,
+    "op13_projected_knn": projected_knn.query,
 }
 
 ORACLES: dict[str, str] = {
