@@ -63,6 +63,12 @@ def narrowed(total: Column, scale: int, narrow: bool) -> Column:
     return total.cast(DecimalType(AMOUNT_PRECISION, scale)) if narrow else total
 
 
+def core_rows(core: DataFrame, keys: Sequence[Key], measures: Sequence[str] = CORE_MEASURES,
+              exclude_funds: bool = True) -> DataFrame:
+    """Keys and per-row core measures (never NULL), not summed."""
+    return core.select(*key_columns(keys), *[_measure(m, exclude_funds).alias(m) for m in measures])
+
+
 def core_sums(core: DataFrame, keys: Sequence[Key], measures: Sequence[str] = CORE_MEASURES,
               exclude_funds: bool = True, narrow: bool = False) -> DataFrame:
     """Sum the per-row core measures by ``keys``.
@@ -84,6 +90,11 @@ def positive_loans(loan: DataFrame) -> DataFrame:
     return loan.where(C.loan_amount_positive()).withColumn("loan_cash_value_amt", C.loan_amount())
 
 
+def loan_rows(loan: DataFrame, keys: Sequence[Key]) -> DataFrame:
+    """Keys and amount of positive loans, not summed."""
+    return positive_loans(loan).select(*key_columns(keys), "loan_cash_value_amt")
+
+
 def loan_sums(loan: DataFrame, keys: Sequence[Key], narrow: bool = False) -> DataFrame:
     return positive_loans(loan).groupBy(*key_columns(keys)).agg(
         narrowed(F.sum("loan_cash_value_amt"), 2, narrow).alias("loan_cash_value_amt"))

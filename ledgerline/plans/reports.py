@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import counts as K
 from ..operators import filters as FL
+from ..operators import heat
 from ..operators import joins as J
 from ..operators import sums as S
 from ..sources.tables import BalanceTables
@@ -54,6 +55,10 @@ def _noncore(*parts: str) -> Column:
     return C.dec(total, 13, 2)
 
 
+def _cols(*names: str) -> list[Column]:
+    return [F.col(n) for n in names]
+
+
 def _check(cadence: str) -> None:
     if cadence not in CADENCES:
         raise ValueError(f"cadence must be one of {CADENCES}, got {cadence!r}")
@@ -75,13 +80,8 @@ PARTICIPANT_PERIOD_COLUMNS = [
 
 
 def participant_core_loan(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                          prefilter: bool = True, narrow: bool = False, colocate: bool = False) -> DataFrame:
-    """Core and loan sums per participant, FULL OUTER merged (before life).
-
-    ``colocate`` (off by default) shuffles raw rows once on the merge's
-    sentinel keys instead of shuffling partial sums on the grouping keys and
-    then again on the sentinel keys; see ``operators.joins.colocate``.
-    """
+                          prefilter: bool = True, narrow: bool = False) -> DataFrame:
+    """Core and loan sums per participant, FULL OUTER merged (before life)."""
     _check(cadence)
     if cadence == "daily":
         keys = ["participant_id", "plan_number", "retirement_account_id", "client_id"]
@@ -94,13 +94,7 @@ def participant_core_loan(t: BalanceTables, cadence: str, as_of: _dt.date | None
         keys = ["client_id", "participant_id", "plan_number"]
         mode, fallback = "defaulted", C.report_date(as_of, 1)
         core_keys, loan_keys = keys + [D], keys + [D]
-    if colocate:
-        core_in, loan_in = J.colocate(core_in, keys, mode, fallback), J.colocate(loan_in, keys, mode, fallback)
-        joined = J.colocated_keys(keys, mode)
-        core_keys, loan_keys = joined + core_keys, joined + loan_keys
-    core = S.core_sums(core_in, core_keys, narrow=narrow)
-    loan = S.loan_sums(loan_in, loan_keys, narrow=narrow)
-    return J.full_outer_merge(core, loan, keys, mode, fallback)
+    return J.full_outer_merge(S.core_rows(core_in, core_keys), S.loan_rows(loan_in, loan_keys), keys, mode, fallback, narrow)
 
 
 def _attach_participant_life(merged: DataFrame, t: BalanceTables, cadence: str, as_of: _dt.date | None,
@@ -118,13 +112,13 @@ def _attach_participant_life(merged: DataFrame, t: BalanceTables, cadence: str,
 
 
 def participant_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                          prefilter: bool = True, narrow: bool = False, colocate: bool = False) -> DataFrame:
+                          prefilter: bool = True, narrow: bool = False) -> DataFrame:
     """Merged core/loan rows with the participant's life-fund totals attached.
 
     Daily matches life on (participant, plan) only, so a row repeats once per
     valuation date; monthly also matches the defaulted snapshot date.
     """
-    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow, colocate)
+    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow)
     return _attach_participant_life(merged, t, cadence, as_of, prefilter, narrow)
 
 
@@ -173,14 +167,14 @@ def _participant_finish(m: DataFrame, cadence: str, as_of: _dt.date | None, extr
 
 
 def participant_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                       prefilter: bool = True, colocate: bool = False) -> DataFrame:
+                       prefilter: bool = True) -> DataFrame:
     """Participant balances: ``daily``, ``monthly`` or ``quarterly``."""
-    m = participant_with_life(t, cadence, as_of, prefilter, narrow=True, colocate=colocate)
+    m = participant_with_life(t, cadence, as_of, prefilter, narrow=True)
     return _participant_finish(m, cadence, as_of)
 
 
 def participant_status_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
-                              prefilter: bool = True, colocate: bool = False) -> DataFrame:
+                              prefilter: bool = True) -> DataFrame:
     """Participant report restricted by participant status and balances.
 
     The status lookup matches the report's *output* keys (sentinel ids, and
@@ -197,8 +191,8 @@ def participant_status_report(t: BalanceTables, cadence: str, as_of: _dt.date |
     the lookup runs on the finished report as written.
     """
     if cadence != "daily":
-        return FL.status_filter(participant_report(t, cadence, as_of, prefilter, colocate), t.participant)
-    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow=True, colocate=colocate)
+        return FL.status_filter(participant_report(t, cadence, as_of, prefilter), t.participant)
+    merged = participant_core_loan(t, cadence, as_of, prefilter, narrow=True)
     out_plan = C.blank_to_sentinel("plan_number") if cadence == "daily" else C.sentinel("plan_number")
     known = t.participant.where(F.col("part_status_desc").isNotNull())
     with_status = J.left_join_on(
@@ -234,16 +228,24 @@ def plan_core_loan(t: BalanceTables, cadence: str, as_of: _dt.date | None = None
     """Core and loan sums per (client, plan[, date]), FULL OUTER merged."""
     _check(cadence)
     if cadence == "daily":
-        core = S.core_sums(t.core_daily, ["client_id", ("plan_number", F.trim("plan_number")), D], narrow=narrow)
-        loan = S.loan_sums(t.loan, ["plan_number", "client_id"], narrow=narrow)
-        return J.full_outer_merge(core, loan, ["client_id", "plan_number"], "none")
+        core = S.core_rows(t.core_daily, ["client_id", ("plan_number", F.trim("plan_number")), D])
+        loan = S.loan_rows(t.loan, ["plan_number", "client_id"])
+        return J.full_outer_merge(core, loan, ["client_id", "plan_number"], "none", narrow=narrow)
     core_in, loan_in = t.core_monthly, t.loan
     if cadence == "quarterly" and prefilter:
         core_in, loan_in = core_in.where(C.quarter_candidate(D)), loan_in.where(C.quarter_candidate(D))
-    core = S.core_sums(core_in, ["client_id", "plan_number", D], S.CORE_MEASURES + ("total_shares",),
-                       narrow=narrow)
-    loan = S.loan_sums(loan_in, ["plan_number", D, "client_id"], narrow=narrow)
-    return J.full_outer_merge(core, loan, ["client_id", "plan_number"], "defaulted", C.report_date(as_of, 1))
+    core = S.core_rows(core_in, ["client_id", "plan_number", D], S.CORE_MEASURES + ("total_shares",))
+    loan = S.loan_rows(loan_in, ["plan_number", D, "client_id"])
+    return J.full_outer_merge(core, loan, ["client_id", "plan_number"], "defaulted", C.report_date(as_of, 1), narrow)
+
+
+def _hot_plans(t: BalanceTables) -> Column:
+    """Heat of the daily plan lookups' key: merged rows of a plan are no more than its core rows.
+
+    Period lookups match plan and date, where a key has one merged row a client, so
+    they need no parts.
+    """
+    return heat.hot_parts(t.core_daily, [C.sentinel(F.trim("plan_number"))])
 
 
 def plan_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
@@ -255,12 +257,11 @@ def plan_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None
     if cadence == "quarterly" and prefilter:
         life_in = life_in.where(C.quarter_candidate("valuation_date"))
     life = S.life_sums(life_in, ["plan_number", "valuation_date"], narrow=narrow)
-    payload = ["life_cash_value_amount", "valuation_date"]
+    plan, payload = J.sentinel_keys("plan_number"), ["life_cash_value_amount", "valuation_date"]
     if cadence == "daily":
-        return J.left_join_on(merged, life, J.sentinel_keys("plan_number"), J.sentinel_keys("plan_number"), payload)
+        return J.left_join_on(merged, life, plan, plan, payload, hot=_hot_plans(t), spread=_cols("client_id", D))
     y = C.report_date(as_of, 1)
-    return J.left_join_on(merged, life, J.sentinel_keys("plan_number") + [F.coalesce(F.col(D), y)],
-                          J.sentinel_keys("plan_number") + [F.coalesce(F.col("valuation_date"), y)], payload)
+    return J.left_join_on(merged, life, plan + [F.coalesce(F.col(D), y)], plan + [F.coalesce(F.col("valuation_date"), y)], payload)
 
 
 def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
@@ -274,7 +275,7 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
     Strict date equality is the defaulted-date equality restricted to dated
     rows on both sides, so counts use the life join's key (one key, one join
     of the merged rows) with undated count rows dropped and a "left row is
-    dated" condition.  A plan that holds most rows is spread over several
+    dated" condition.  Daily, a plan that holds most rows is spread over several
     tasks by client and date.
     """
     merged = plan_core_loan(t, cadence, as_of, prefilter, narrow)
@@ -288,13 +289,13 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
     if cadence == "daily":
         counts = K.participant_counts(part_in, ["plan_number"], count_method)
         return J.attach_all(merged, plan, [(life, plan, life_payload), (counts, plan, list(K.COUNT_COLUMNS))],
-                            [F.col("client_id"), F.col(D)])
+                            _cols("client_id", D), _hot_plans(t))
     y = C.report_date(as_of, 1)
     counts = K.participant_counts(part_in.where(F.col(D).isNotNull()), ["plan_number", "client_id", D], count_method)
     return J.attach_all(merged, plan + [F.coalesce(F.col(D), y)], [
         (life, plan + [F.coalesce(F.col("valuation_date"), y)], life_payload),
         (counts, plan + [F.col(D)], list(K.COUNT_COLUMNS), F.col(D).isNotNull()),
-    ], [F.col("client_id"), F.col(D)])
+    ])
 
 
 def plan_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
@@ -365,16 +366,16 @@ def client_core_loan(t: BalanceTables, cadence: str, prefilter: bool = True,
     _check(cadence)
     measures = ("total_client_balance", "sdba_cash_value_amount")
     if cadence == "daily":
-        core = S.core_sums(t.core_daily, ["client_id", D], measures, exclude_funds=False, narrow=narrow)
-        return J.full_outer_merge(core, S.loan_sums(t.loan, ["client_id"], narrow=narrow), ["client_id"], "none")
+        core = S.core_rows(t.core_daily, ["client_id", D], measures, exclude_funds=False)
+        return J.full_outer_merge(core, S.loan_rows(t.loan, ["client_id"]), ["client_id"], "none", narrow=narrow)
     core_in, loan_in = t.core_monthly, t.loan
     if cadence == "quarterly" and prefilter:
         core_in, loan_in = core_in.where(C.quarter_candidate(D)), loan_in.where(C.quarter_candidate(D))
-    core = S.core_sums(core_in, ["client_id", D], measures, exclude_funds=False, narrow=narrow)
-    loan = S.loan_sums(loan_in, ["client_id", D], narrow=narrow)
+    core = S.core_rows(core_in, ["client_id", D], measures, exclude_funds=False)
+    loan = S.loan_rows(loan_in, ["client_id", D])
     if cadence == "monthly":
-        return J.full_outer_merge(core, loan, ["client_id"], "defaulted", C.report_date(as_of, 1))
-    return J.full_outer_merge(core, loan, ["client_id"], "strict")
+        return J.full_outer_merge(core, loan, ["client_id"], "defaulted", C.report_date(as_of, 1), narrow)
+    return J.full_outer_merge(core, loan, ["client_id"], "strict", narrow=narrow)
 
 
 def client_keys_merged(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
@@ -447,8 +448,8 @@ def usable_division(c: str | Column) -> Column:
     return ~(F.col(c) if isinstance(c, str) else c).isin(C.SENTINEL, "")
 
 
-def core_sums_div_sub(t: BalanceTables, narrow: bool = False, usable: bool = False) -> DataFrame:
-    """Daily core sums per (trimmed client, plan, div/sub, date), no fund exclusion.
+def core_div_sub_rows(t: BalanceTables, usable: bool = False) -> DataFrame:
+    """Daily core amounts with trimmed client, plan and div/sub, no fund exclusion.
 
     Balances are first summed per (client, plan, participant, date) and only
     then matched to the division; this is exact because sums distribute over
@@ -466,7 +467,13 @@ def core_sums_div_sub(t: BalanceTables, narrow: bool = False, usable: bool = Fal
                             ["div_sub_id"], how="inner" if usable else "left")
     keys = [F.trim("client_id").alias("client_id"), F.trim("plan_number").alias("plan_number"),
             F.trim("div_sub_id").alias("div_sub_id"), F.col(D)]
-    return joined.groupBy(*keys).agg(*[S.narrowed(F.sum(m), 2, narrow).alias(m) for m in S.CORE_MEASURES])
+    return joined.select(*keys, *S.CORE_MEASURES)
+
+
+def core_sums_div_sub(t: BalanceTables) -> DataFrame:
+    """Daily core sums per (trimmed client, plan, div/sub, date)."""
+    return core_div_sub_rows(t).groupBy("client_id", "plan_number", "div_sub_id", D).agg(
+        *[F.sum(m).alias(m) for m in S.CORE_MEASURES])
 
 
 def loan_rows_with_div_sub(t: BalanceTables) -> DataFrame:
@@ -478,10 +485,10 @@ def loan_rows_with_div_sub(t: BalanceTables) -> DataFrame:
     return joined.select(*_ACCOUNT, C.blank_to_sentinel("_div").alias("div_sub_id"), "loan_cash_value_amt")
 
 
-def loan_sums_div_sub(t: BalanceTables, narrow: bool = False, usable: bool = False) -> DataFrame:
-    """Positive loans per (plan, div/sub, client); summed per account before the lookup.
+def loan_div_sub_rows(t: BalanceTables, usable: bool = False) -> DataFrame:
+    """Positive loans with plan, div/sub and client; summed per account before the lookup.
 
-    ``usable``: only divisions the report keeps (see ``core_sums_div_sub``).
+    ``usable``: only divisions the report keeps (see ``core_div_sub_rows``).
     """
     per_account = S.loan_sums(t.loan, _ACCOUNT)
     div = t.participant.select(*_ACCOUNT, "div_sub_id")
@@ -489,8 +496,13 @@ def loan_sums_div_sub(t: BalanceTables, narrow: bool = False, usable: bool = Fal
         div = div.where(usable_division("div_sub_id"))
     joined = J.left_join_on(per_account, div, J.sentinel_keys(*_ACCOUNT), J.sentinel_keys(*_ACCOUNT),
                             [F.col("div_sub_id").alias("_div")], how="inner" if usable else "left")
-    return joined.groupBy("plan_number", C.blank_to_sentinel("_div").alias("div_sub_id"), "client_id").agg(
-        S.narrowed(F.sum("loan_cash_value_amt"), 2, narrow).alias("loan_cash_value_amt"))
+    return joined.select("plan_number", C.blank_to_sentinel("_div").alias("div_sub_id"), "client_id", "loan_cash_value_amt")
+
+
+def loan_sums_div_sub(t: BalanceTables) -> DataFrame:
+    """Positive loans per (plan, div/sub, client)."""
+    return loan_div_sub_rows(t).groupBy("plan_number", "div_sub_id", "client_id").agg(
+        F.sum("loan_cash_value_amt").alias("loan_cash_value_amt"))
 
 
 def participant_div_sub_distinct(t: BalanceTables) -> DataFrame:
@@ -524,14 +536,21 @@ def div_sub_core_loan(t: BalanceTables, narrow: bool = False, usable: bool = Fal
     (loan divisions are blank-to-sentinel already), so such rows only merge
     into rows that the report drops, and never into others.
     """
-    return J.full_outer_merge(core_sums_div_sub(t, narrow, usable), loan_sums_div_sub(t, narrow, usable),
-                              ["client_id", "plan_number", "div_sub_id"], "none")
+    return J.full_outer_merge(core_div_sub_rows(t, usable), loan_div_sub_rows(t, usable),
+                              ["client_id", "plan_number", "div_sub_id"], "none", narrow=narrow)
+
+
+def _hot_divisions(t: BalanceTables, usable: bool = False) -> Column:
+    """Heat of the division lookups' key: a division's share of the participants."""
+    rows = t.participant.where(usable_division("div_sub_id")) if usable else t.participant
+    return heat.hot_parts(rows, [C.sentinel(F.trim(c)) for c in ("plan_number", "div_sub_id")])
 
 
 def div_sub_with_life(t: BalanceTables, narrow: bool = False) -> DataFrame:
     keys = J.sentinel_keys("plan_number", "div_sub_id")
     return J.left_join_on(div_sub_core_loan(t, narrow), life_sums_div_sub(t, narrow), keys,
-                          J.sentinel_keys("plan_number", "div_sub_id"), ["life_cash_value_amount", "valuation_date"])
+                          J.sentinel_keys("plan_number", "div_sub_id"), ["life_cash_value_amount", "valuation_date"],
+                          hot=_hot_divisions(t), spread=_cols("client_id", D))
 
 
 def participant_counts_div_sub(t: BalanceTables, count_method: str = "two_step") -> DataFrame:
@@ -550,7 +569,7 @@ def _div_sub_lists(t: BalanceTables, count_method: str, narrow: bool, prefilter:
         life, counts = life.where(usable_division("div_sub_id")), counts.where(usable_division("div_sub_id"))
     return J.attach_lists(merged, keys(), [
         (life, keys(), ["life_cash_value_amount", "valuation_date"]),
-        (counts, keys(), list(K.COUNT_COLUMNS))], [F.col("client_id"), F.col(D)])
+        (counts, keys(), list(K.COUNT_COLUMNS))], _cols("client_id", D), _hot_divisions(t, prefilter))
 
 
 def div_sub_enriched(t: BalanceTables, count_method: str = "two_step", narrow: bool = False) -> DataFrame:

@@ -45,25 +45,3 @@ def test_two_step_counts_equal_count_distinct(fixture_tables):
         a = K.participant_counts(p, keys, "two_step").collect()
         b = K.participant_counts(p, keys, "distinct").collect()
         assert multiset(a) == multiset(b)
-
-
-def test_colocate_option_is_exact_and_shuffles_each_side_once(spark, fixture_tables):
-    from ledgerline.sources.tables import BalanceTables
-    t = fixture_tables
-    for cad in R.CADENCES:
-        a = R.participant_report(t, cad, AS_OF, colocate=True).collect()
-        b = R.participant_report(t, cad, AS_OF).collect()
-        assert multiset(a) == multiset(b), cad
-    assert multiset(R.participant_status_report(t, "monthly", AS_OF, colocate=True).collect()) == \
-        multiset(R.participant_status_report(t, "monthly", AS_OF).collect())
-    # Over stored-like inputs (no upstream exchanges), the merge needs 2 exchanges instead of 4.
-    flat = BalanceTables(**{k: spark.createDataFrame(getattr(t, k).collect(), getattr(t, k).schema)
-                            for k in ("core_daily", "core_monthly", "loan", "life", "participant", "client")})
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")  # noqa
-        assert count(R.participant_core_loan(flat, "monthly", AS_OF, colocate=True)) == 2
-        assert count(R.participant_core_loan(flat, "monthly", AS_OF)) == 4
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -6,6 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledgerline.operators import counts as K
+from ledgerline.operators import heat
 from ledgerline.operators import joins as J
 from tests.helpers import multiset
 
@@ -52,7 +53,7 @@ def test_attach_all_shares_keys_and_honours_left_condition(spark):
     out = J.attach_all(left, [F.col("plan"), F.coalesce(F.col("d"), Y())], [
         (life, [F.col("plan"), F.coalesce(F.col("v"), Y())], ["life"]),
         (counts, [F.col("plan"), F.col("d")], ["n"], F.col("d").isNotNull()),
-    ], [F.col("d")])
+    ], [F.col("d")], heat.hot_parts(left, [F.col("plan"), F.coalesce(F.col("d"), Y())]))
     assert out.columns == ["plan", "d", "life", "n"]
     # The undated row meets life dated with the fallback, but gets no counts (strict date).
     assert multiset(out.collect()) == multiset([("p", D0, 1, 9), ("p", None, 1, None)])

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import joins as J
+from ledgerline.operators import sums as S
 from ledgerline.plans.runner import report_builders
 from ledgerline.plans import reports as R
 from tests.helpers import AS_OF
@@ -56,11 +57,90 @@ def test_sorted_div_sub_moves_rows_before_the_fan_out_only(plans):
     assert max(unfolds) < ranges[0]            # printed from the top: the lists unfold above the range exchange
     # Each lookup is computed once: one collected list a lookup, final and partial.
     assert plan.count("collect_list") == plans["div_sub_daily"].count("collect_list")
-    assert plan.count("valuation_date") and plan.count("FullOuter") == 1
+    assert plan.count("valuation_date") and "FullOuter" not in plan
+
+
+def test_core_and_loan_merge_in_one_exchange(spark, fixture_tables, tmp_path):
+    # On plain Parquet: one hash exchange, by sentinel key alone, with partial sums in front of it, and no join.
+    from ledgerline.sources.tables import TABLE_NAMES, read_parquet_tables
+    for field, name in TABLE_NAMES.items():
+        getattr(fixture_tables, field).write.parquet(str(tmp_path / name))
+    t = read_parquet_tables(spark, str(tmp_path))
+    keys = {R.participant_core_loan: 3, R.plan_core_loan: 2, R.client_core_loan: 1}
+    for build, n in keys.items():
+        for cad in R.CADENCES:
+            plan = build(t, cad, as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
+            lines = plan.splitlines()
+            at = [i for i, x in enumerate(lines) if "Exchange " in x]
+            assert len(at) == 1 and "Join" not in plan, (build.__name__, cad)
+            assert "hashpartitioning(_j_" in lines[at[0]]
+            assert "partial_sum" in lines[at[0] + 1] and "partial_sum" not in "".join(lines[:at[0]])
+
+
+def test_merge_keeps_the_raw_keys_of_one_sentinel_key_apart(spark):
+    # Every NULL / literal pattern of two keys and of the date, several rows each, both sides, all date modes.
+    import datetime as dt
+    import itertools
+    from decimal import Decimal
+    from tests.helpers import multiset
+    day, other = dt.date(2001, 7, 31), dt.date(2001, 6, 30)
+    values = list(itertools.product([None, "-9999", "a"], [None, "-9999"], [None, day, other]))
+    core = [(a, b, d, Decimal(i + r)) for i, (a, b, d) in enumerate(values) for r in (0, 100)]
+    loan = [(a, b, d, Decimal(i + r)) for i, (a, b, d) in enumerate(values) if i % 3 for r in (1000, 2000)] + [("z", None, None, Decimal(7))]
+    kinds = "a string, b string, source_cycle_date date, {} decimal(17,2)"
+    c, x = spark.createDataFrame(core, kinds.format("core")), spark.createDataFrame(loan, kinds.format("loan"))
+    s = lambda v: "-9999" if v is None else v
+
+    def want(mode):
+        def total(rows, dated):
+            out = {}
+            for *k, v in rows:
+                k = tuple(k) if dated else (*k[:2], None)
+                out[k] = out.get(k, 0) + v
+            return out
+
+        cs, ls, rows, met = total(core, True), total(loan, mode != "none"), [], set()
+        for (a, b, d), v in cs.items():
+            dates = {"none": lambda e: True, "defaulted": lambda e, d=d: (d or day) == (e or day), "strict": lambda e, d=d: d is not None and d == e}
+            pairs = [(k, w) for k, w in ls.items() if (s(a), s(b)) == (s(k[0]), s(k[1])) and dates[mode](k[2])]
+            met |= {k for k, _ in pairs}
+            for k, w in pairs or [((None, None, None), None)]:
+                rows.append((a if a is not None else k[0], b if b is not None else k[1], d if d is not None or mode == "none" else k[2], v, w))
+        return rows + [(*k, None, w) for k, w in ls.items() if k not in met]
+
+    for mode in ("none", "defaulted", "strict"):
+        rows = J.full_outer_merge(c, x.drop("source_cycle_date") if mode == "none" else x, ["a", "b"], mode, F.lit(day)).collect()
+        assert multiset(rows) == multiset(want(mode)), mode
+
+
+def test_parts_of_a_key_follow_its_share(spark):
+    # Nine rows in ten have one key; with adaptive execution off, nobody else splits it.
+    from ledgerline.operators import heat
+    rows = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 1999)).alias("k"), "id")
+    lookup = rows.select("k").distinct().select("k", F.length("k").alias("v"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(keep, ("false", "-1", "40")):
+            spark.conf.set(k, v)
+        hot = heat.hot_parts(rows.repartition(7), [F.col("k")])
+        key = [F.col("k")]
+        parts = {r["k"]: r["p"] for r in lookup.select("k", heat.parts_of(hot, key).alias("p")).collect()}
+        assert parts.pop("hot") == 36 and set(parts.values()) == {1}
+        # The lookup's copies: one a cold key, one a part of the hot one.
+        copies = lookup.select("k", F.explode(heat.all_parts(hot, key)).alias("part"))
+        assert copies.count() == len(parts) + 36
+        out = J.left_join_on(rows, lookup, key, key, ["v"], hot=hot, spread=[F.col("id")])
+        assert out.where("v = length(k)").count() == 20_000
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(tasks) < 20_000 / 6 and len(tasks) > 20
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
 
 
 def test_hot_plan_is_dealt_to_several_tasks(spark, fixture_tables):
-    # Nine rows in ten belong to one plan; the merged rows of that plan must not meet in one task.
+    # Nine rows in ten belong to one plan; the plan reports' lookups are joined by part, equal to plain joins.
+    from tests.helpers import multiset
     t = fixture_tables
     hot = lambda df: df.withColumn("plan_number", F.when(F.rand(3) < 0.9, F.lit("P01")).otherwise(F.col("plan_number")))
     tables = t.with_(core_daily=hot(t.core_daily), core_monthly=hot(t.core_monthly), loan=hot(t.loan))
@@ -68,14 +148,15 @@ def test_hot_plan_is_dealt_to_several_tasks(spark, fixture_tables):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        merged = R.plan_core_loan(tables, "daily", AS_OF).where("trim(plan_number) = 'P01'")
-        rows = merged.select("client_id", "source_cycle_date")
-        parts = rows.select(F.pmod(F.xxhash64("client_id", "source_cycle_date"), F.lit(J.SPREAD)).alias("part"))
-        shares = [r["count"] for r in parts.groupBy("part").count().collect()]
-        assert len(shares) > J.SPREAD // 2 and max(shares) < 0.5 * sum(shares)
-        for plan in (R.plan_enriched(tables, c, AS_OF) for c in ("daily", "monthly")):
-            text = plan._jdf.queryExecution().executedPlan().toString()
-            assert "_part" in text
+        from ledgerline.operators import heat
+        parts = tables.core_daily.limit(1).select(heat.parts_of(R._hot_plans(tables), [F.lit("P01")])).first()[0]
+        assert parts >= 0.85 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        life = S.life_sums(tables.life, ["plan_number", "valuation_date"])
+        plain = J.left_join_on(R.plan_core_loan(tables, "daily", AS_OF), life, J.sentinel_keys("plan_number"),
+                               J.sentinel_keys("plan_number"), ["life_cash_value_amount", "valuation_date"])
+        dealt = R.plan_with_life(tables, "daily", AS_OF)
+        assert "_part" in dealt._jdf.queryExecution().executedPlan().toString()
+        assert multiset(dealt.collect()) == multiset(plain.collect())
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
@@ -110,7 +191,7 @@ def test_division_filter_reaches_the_participant_scan(spark, tmp_path, fixture_t
     plan = R.div_sub_report(stored, AS_OF, sort=False)._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     scans = [i for i, x in enumerate(lines) if "FileScan" in x and "div_sub_id" in x]
-    assert len(scans) == 4          # core, loan and life lookups, counts
+    assert len(scans) >= 5          # core, loan and life lookups, counts, heat of the divisions
     for i in scans:
         assert any("Filter" in x and "div_sub_id" in x for x in lines[i - 3:i]), lines[i]
 
@@ -141,26 +222,3 @@ def test_scans_read_only_needed_columns(spark, fixture_tables):
     df = R.client_report(fixture_tables, "monthly", AS_OF)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "money_type_description" not in text and "fund_iv" not in text
-
-
-def test_bucketed_inputs_skip_the_aggregation_shuffle(spark, fixture_tables, tmp_path):
-    from ledgerline.sources.tables import conform
-    from tests.helpers import multiset
-    t = fixture_tables
-    for name, df in (("t_core_m_b", t.core_monthly), ("t_loan_b", t.loan)):
-        df.write.mode("overwrite").option("path", str(tmp_path / name)).bucketBy(4, "participant_id") \
-            .saveAsTable(name)
-    tb = t.with_(core_monthly=conform(spark.table("t_core_m_b"), "core_monthly"),
-                 loan=conform(spark.table("t_loan_b"), "loan"))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plain = R.participant_core_loan(t, "monthly", AS_OF, narrow=True)
-        bucketed = R.participant_core_loan(tb, "monthly", AS_OF, narrow=True)
-        count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")  # noqa
-        assert count(bucketed) == 2 and count(plain) > 2
-        assert multiset(bucketed.collect()) == multiset(plain.collect())
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.sql("DROP TABLE IF EXISTS t_core_m_b")
-        spark.sql("DROP TABLE IF EXISTS t_loan_b")
