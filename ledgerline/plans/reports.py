@@ -605,7 +605,7 @@ def _div_sub_finish(m: DataFrame, as_of: _dt.date | None) -> DataFrame:
 
 
 def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool = True,
-                   count_method: str = "two_step", prefilter: bool = True) -> DataFrame:
+                   count_method: str = "two_step", prefilter: bool = True, by_date: bool = False) -> DataFrame:
     """Division / sub-division balances (daily), optionally sorted descending.
 
     The exclusion test reads the merged, un-defaulted division, so NULL, ``''``
@@ -620,15 +620,16 @@ def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool =
     exchange and each partition is sorted locally.  Same order, one plan at
     every size, and only the rows before the fan-out move.  Ties may come in
     any order; the extra sort keys (client, date, valuation date) let the range
-    partitioner split a hot (plan, div/sub) over several tasks.
+    partitioner split a hot (plan, div/sub) over several tasks.  ``by_date`` sorts
+    by date first, as a sink partitioned by date stores it.
     """
     rows, lists = _div_sub_lists(t, count_method, narrow=True, prefilter=prefilter)
     rows = FL.div_sub_not_in(rows)
     if not sort:
         return _div_sub_finish(J.unfold(rows, lists), as_of)
-    y = C.report_date(as_of, 1)
-    ranged = rows.repartitionByRange(
-        F.desc(C.blank_to_sentinel("plan_number")), F.desc(C.blank_to_sentinel("div_sub_id")),
-        F.asc(C.sentinel("client_id")), F.asc(F.coalesce(F.col(D), y)))
-    return _div_sub_finish(J.unfold(ranged, lists), as_of).sortWithinPartitions(
-        F.desc("plan_number"), F.desc("div_sub_id"), F.asc("client_id"), F.asc(D), F.asc("life_valuation_date"))
+    date = F.asc(F.coalesce(F.col(D), C.report_date(as_of, 1)))
+    keys = [F.desc(C.blank_to_sentinel("plan_number")), F.desc(C.blank_to_sentinel("div_sub_id")), F.asc(C.sentinel("client_id"))]
+    ranged = rows.repartitionByRange(*([date, *keys] if by_date else [*keys, date]))
+    order = [F.desc("plan_number"), F.desc("div_sub_id"), F.asc("client_id"), F.asc("life_valuation_date")]
+    order.insert(0 if by_date else 3, F.asc(D))
+    return _div_sub_finish(J.unfold(ranged, lists), as_of).sortWithinPartitions(*order)

@@ -1,12 +1,14 @@
 """Batch job: build and write a set of reports.
 
     python -m ledgerline.plans.runner --input <root> --output <root> \
-        [--database db] [--as-of YYYY-MM-DD] [--reports name,name,...]
+        [--database db] [--as-of YYYY-MM-DD] [--reports name,name,...] [--publish]
 
 Inputs are read either from Parquet datasets under ``--input`` (one directory
 per table name) or from catalog tables in ``--database``.  Each report is
 written to ``<output>/<report>``, partitioned by snapshot date, so a run
-replaces the dates it computes and leaves all others as they are.  Every
+replaces the dates it computes and leaves all others as they are.  With
+``--publish`` that happens for all reports at once, through a manifest
+(``publication``), and a run that fails changes nothing.  Every
 report, the status-filtered ones included, is built from this run's inputs
 alone, never from what earlier runs have written.
 """
@@ -19,8 +21,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure, size_for_input, stored_bytes, tables_bytes, today
-from ..sources.sinks import write_report
+from ..sources.sinks import write_ordered, write_report
 from ..sources.tables import BalanceTables, read_catalog_tables, read_parquet_tables
+from . import publication
 from . import reports as R
 
 
@@ -38,7 +41,7 @@ def report_builders(as_of: _dt.date | None) -> dict[str, object]:
 
 STATUS_REPORTS = {f"participant_{c}_status": f"participant_{c}" for c in R.CADENCES}
 ALL_REPORTS = list(report_builders(None)) + list(STATUS_REPORTS)
-# Order of rows inside the written files.
+# Order of a date's rows on disk, across its files.
 SORTED_BY = {"div_sub_daily_sorted": ("plan_number", "div_sub_id")}
 
 
@@ -68,26 +71,33 @@ def register_report_views(spark: SparkSession, tables: BalanceTables, as_of: _dt
     return registered
 
 
+def write(name: str, tables: BalanceTables, as_of: _dt.date, path: str) -> None:
+    if name in SORTED_BY:
+        write_ordered(R.div_sub_report(tables, as_of, sort=True, by_date=True), path, SORTED_BY[name])
+    else:
+        write_report(build_report(name, tables, as_of), path)
+
+
 def run(spark: SparkSession, tables: BalanceTables, output: str, names: list[str] | None = None,
-        as_of: _dt.date | None = None) -> dict[str, str]:
+        as_of: _dt.date | None = None, publish: bool = False) -> dict[str, str]:
     """Write each requested report; returns report name -> output path.
 
     With ``as_of=None`` the date is fixed once for the whole run (the
     session's current date), so every report of the run agrees on "today" and
-    "yesterday".
+    "yesterday".  With ``publish``, the reports are written to a folder of this run
+    and become visible together, when all are written (``publication``).
     """
     as_of = as_of or today(spark)
     names = names or ALL_REPORTS
     unknown = set(names) - set(ALL_REPORTS)
     if unknown:
         raise ValueError(f"unknown reports: {sorted(unknown)}")
-    written: dict[str, str] = {}
-    for name in names:
-        written[name] = f"{output}/{name}"
-        # The sink orders rows inside its files, so the report need not be sorted as a whole.
-        report = (R.div_sub_report(tables, as_of, sort=False) if name == "div_sub_daily_sorted"
-                  else build_report(name, tables, as_of))
-        write_report(report, written[name], order=SORTED_BY.get(name, ()))
+    root = publication.new_run(output) if publish else output
+    written = {name: f"{root}/{name}" for name in names}
+    for name, path in written.items():
+        write(name, tables, as_of, path)
+    if publish:
+        publication.commit(spark, output, written)
     return written
 
 
@@ -99,11 +109,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--output", required=True)
     ap.add_argument("--as-of", type=_dt.date.fromisoformat, default=None)
     ap.add_argument("--reports", default=",".join(ALL_REPORTS))
+    ap.add_argument("--publish", action="store_true", help="make all reports of the run visible together")
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.getOrCreate())
     tables = read_parquet_tables(spark, args.input) if args.input else read_catalog_tables(spark, args.database)
     size_for_input(spark, stored_bytes(spark, args.input) if args.input else tables_bytes(spark, tables))
-    for name, path in run(spark, tables, args.output, args.reports.split(","), args.as_of).items():
+    for name, path in run(spark, tables, args.output, args.reports.split(","), args.as_of, args.publish).items():
         print(f"{name}\t{path}")
 
 

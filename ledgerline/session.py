@@ -29,6 +29,13 @@ SQL_CONF = {
     # row-count-checked hint in the plans).
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    # Reports that keep some participants meet balances behind their sums.  Spark's runtime Bloom filter
+    # takes the kept keys to the balance scans, in front of the sums, where the balances are large
+    # (10 GB, Spark's default) and the filtered participants at most this large.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(256 * 1024 * 1024),
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(32 * 1024 * 1024),
     # ANSI stays on: a DECIMAL(13,2) overflow must fail loudly, not become NULL.
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from ledgerline.plans import reports as R
 from ledgerline.plans.runner import run
 from tests.helpers import AS_OF, multiset
@@ -154,3 +156,78 @@ def test_runner_reads_a_catalog_database_like_parquet(spark, fixture_tables, tmp
         spark.sql("DROP DATABASE balances_db CASCADE")
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def test_ordered_report_is_in_order_across_its_files(spark, fixture_tables, tmp_path):
+    # Several files a date; by name they give plan DESC, div_sub DESC, and their key ranges follow each other.
+    import glob
+    import pyarrow.parquet as pq
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "9")
+        path = run(spark, fixture_tables, str(tmp_path), ["div_sub_daily_sorted"], AS_OF)["div_sub_daily_sorted"]
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    ranges = {r["file"].rsplit("/", 1)[1] + str(r["source_cycle_date"]): r for r in spark.read.parquet(f"{path}/_key_ranges").collect()}
+    n, several = 0, 0
+    for folder in glob.glob(f"{path}/source_cycle_date=*"):
+        files, keys = sorted(glob.glob(f"{folder}/*.parquet")), []
+        for f in files:
+            rows = pq.read_table(f, columns=["plan_number", "div_sub_id"]).to_pylist()
+            here = [(r["plan_number"], r["div_sub_id"]) for r in rows]
+            r = ranges[f.rsplit("/", 1)[1] + folder.rsplit("=", 1)[1]]
+            assert (tuple(r["first"]), tuple(r["last"]), r["rows"]) == (here[0], here[-1], len(here))
+            keys += here
+        assert keys == sorted(keys, reverse=True)
+        n, several = n + len(keys), several + (len(files) > 1)
+    assert several and n == R.div_sub_report(fixture_tables, AS_OF, sort=False).count()
+    got = spark.read.parquet(path).select(*R.DIV_SUB_COLUMNS)
+    assert multiset(got.collect()) == multiset(R.div_sub_report(fixture_tables, AS_OF, sort=False).collect())
+
+
+def test_a_run_is_published_whole_or_not_at_all(spark, fixture_tables, tmp_path, monkeypatch):
+    import pytest
+    from ledgerline.plans import publication as P
+    from ledgerline.plans import runner
+    names, out = ["client_monthly", "plan_quarterly_count"], str(tmp_path)
+    run(spark, fixture_tables, out, names, AS_OF, publish=True)
+    first = {n: multiset(P.read_report(spark, out, n).collect()) for n in names}
+    assert multiset(P.read_report(spark, out, "client_monthly").select(*R.CLIENT_COLUMNS).collect()) == \
+        multiset(R.client_report(fixture_tables, "monthly", AS_OF).collect())
+    # The next run has one month only, and fails between its two reports: readers still see the run before.
+    month = F.col("source_cycle_date") == F.lit(dt.date(1998, 3, 31))
+    less = fixture_tables.with_(core_monthly=fixture_tables.core_monthly.where(month).withColumn("cash_value_amount", F.col("cash_value_amount") * 0 + 1),
+                                loan=fixture_tables.loan.where(month))
+    write, done = runner.write, []
+
+    def failing(name, *args):
+        if done:
+            raise RuntimeError("lost")
+        write(name, *args)
+        done.append(name)
+
+    monkeypatch.setattr(runner, "write", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        run(spark, less, out, names, AS_OF, publish=True)
+    monkeypatch.undo()
+    assert done == ["client_monthly"]
+    assert {n: multiset(P.read_report(spark, out, n).collect()) for n in names} == first
+    # Run again: its date is replaced in all reports at once, the other dates stay.
+    run(spark, less, out, names, AS_OF, publish=True)
+    assert P.manifest(spark, out)[0] == 2
+    new, old = P.read_report(spark, out, "client_monthly"), spark.read.parquet(P.manifest(spark, out)[1]["client_monthly"]["source_cycle_date=1998-02-28"])
+    want = multiset(R.client_report(less, "monthly", AS_OF).collect())
+    assert multiset(new.where(month).select(*R.CLIENT_COLUMNS).collect()) == want
+    february = F.col("source_cycle_date") == F.lit(dt.date(1998, 2, 28))
+    assert new.where(february).count() == old.where(february).count() > 0
+
+
+def test_two_writers_publish_one_after_the_other(spark, tmp_path):
+    from ledgerline.plans import publication as P
+    for n, report in enumerate(("a", "b", "a"), 1):
+        path = f"{P.new_run(str(tmp_path))}/{report}"
+        spark.range(n).write.parquet(path)
+        assert P.commit(spark, str(tmp_path), {report: path}) == n
+    assert P.read_report(spark, str(tmp_path), "a").count() == 3 and P.read_report(spark, str(tmp_path), "b").count() == 2
