@@ -1,0 +1,284 @@
+"""Prefix trie, Merkle manifest and projected neighbours against brute force, on hand-made rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import common, merkle, prefix_trie, projected_knn
+from tests.llm import helpers as H
+
+CONVERSATIONS = "conv_id long, turn long, role string, text string"
+DOCUMENTS = H.DOCUMENTS
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# --- prefix trie ---------------------------------------------------------------------------------------------------------
+
+def conversations(spark, rows):
+    return spark.createDataFrame(rows, CONVERSATIONS).selectExpr("*", "'x' AS node", "1 AS depth", "2 AS words")
+
+
+def brute_trie(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            own[conv].append((turn is not None, turn or 0, bytes.fromhex(sha(f"{len(role.encode())}:{role}{text}"))[:16], (role, text)))
+    own = {c: [x[3] for x in sorted(t, key=lambda x: x[:3])] for c, t in own.items()}
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - int(abs(c) % 20) * (1 if c >= 0 else -1)
+        rebuilt[c] = own.get(base, [])[:h] + turns[h:]
+    members = defaultdict(list)
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    kids = Counter(k[:-1] for k in members if k)
+    leaves, saved = Counter(), Counter()
+    for k, m in members.items():
+        own_saved = (len(m) - 1) * len(H.words(k[-1][1])) if k else 0
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += kids[k] == 0
+            saved[k[:d]] += own_saved
+    return Counter((min(m), len(k), min(members[k[:-1]]) if k else None, len(m), kids[k], leaves[k], saved[k],
+                    sha(",".join(str(c) for c in sorted(m) if len(rebuilt[c]) == len(k)))) for k, m in members.items())
+
+
+def trie_rows(n=260):
+    rng, rows = random.Random(3), []
+    for c in range(n):
+        first = "shared first turn" if c % 3 else f"opening {c % 7}"
+        for t in range(rng.randrange(0, 7)):
+            rows.append((c, t, ("user", "assistant")[t % 2], first if t == 0 else f"words {rng.randrange(2)} at {t}"))
+    rows += [(1000 + c, t, "user", f"same {t}") for c in range(90) for t in range(3)]       # copies of one conversation
+    rows += [(2000, t, "user", f"long {t} " + "w " * (5000 if t == 5 else 1)) for t in range(300)]
+    rows += [(2001, t, "user", f"long {t} " + "w " * (5000 if t == 5 else 1)) for t in range(300)]
+    return rows + [(-7, 0, "user", "minus"), (-7, 1, None, None), (0, None, "user", None), (3001, 0, None, ""), (3002, 1, "user", "tie b"),
+                   (3002, 1, "user", "tie a"), (3002, 1, "user", "tie a"), (3002, None, "user", "first"), (None, 0, "user", "nobody"),
+                   (3003, 5, "user", "later only"), (3004, 0, "us:er", "a"), (3005, 0, "us", "er:a"), (3020, 0, "é", "漢字 🙂 x")]
+
+
+@pytest.mark.parametrize("width,queue,piece", [(64, 100_000, 32_768), (3, 2, 20)])
+def test_trie_equals_brute_force(spark, width, queue, piece):
+    # Null and empty roles, texts, turns and ids, ties, repeated rows, a long text, a long conversation, a hot first turn.
+    rows = trie_rows()
+    got = prefix_trie.trie(conversations(spark, rows), width, queue, piece).collect()
+    assert Counter(tuple(r) for r in got) == brute_trie(rows)
+
+
+def test_shards_are_bounded_by_the_width(spark):
+    rows = trie_rows()
+    own = common.staged(prefix_trie.own_turns(conversations(spark, rows)), "t")
+    nodes = prefix_trie.nodes_of(prefix_trie.named(prefix_trie.rebuilt(own)), width=4).collect()
+    level = Counter((n.band, n.shard, n.depth) for n in nodes)
+    assert max(level.values()) <= 4 and max(n.band for n in nodes) >= 3
+    assert sum(n.shard == n.node for n in nodes) == len({(n.band, n.shard) for n in nodes})
+
+
+def test_no_conversations_make_no_nodes(spark):
+    assert prefix_trie.trie(conversations(spark, [])).count() == 0
+    assert prefix_trie.trie(conversations(spark, [(None, 1, "user", "x")])).count() == 0
+
+
+def test_spilling_queue_is_a_priority_queue():
+    rng = random.Random(1)
+    queue, kept = prefix_trie.SpillingQueue(limit=50), []
+    for step in range(6000):
+        if rng.random() < 0.55 or not kept:
+            item = (rng.randrange(1000), step)
+            queue.push(item)
+            kept.append(item)
+        else:
+            kept.sort()
+            assert queue.least() == kept[0] and queue.pop() == kept.pop(0)
+    assert queue.spilled > 20 and [queue.pop() for _ in kept] == sorted(kept) and not len(queue)
+
+
+# --- Merkle manifest -----------------------------------------------------------------------------------------------------
+
+def brute_manifest(rows):
+    def h(*parts):
+        return sha("".join(parts))
+
+    def leaf(doc, n_chars):
+        values = (doc[0], doc[3], doc[2], n_chars, doc[1])
+        return h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([h(*levels[-1][i:i + 2]) for i in range(0, len(levels[-1]), 2)])
+        return levels
+
+    def path(levels, at):
+        out = []
+        for level in levels[:-1]:
+            run = level[at // 2 * 2:at // 2 * 2 + 2]
+            out.append((at % 2, [x for i, x in enumerate(run) if i != at % 2]))
+            at //= 2
+        return out
+
+    langs = defaultdict(list)
+    for doc in rows:
+        langs[doc[2]].append(doc)
+    order = sorted(langs, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang in order:
+        docs = sorted(((d[0] is not None, d[0] or 0, leaf(d, d[4])), d) for d in langs[lang])
+        trees[lang] = ([d for _, d in docs], tree([k[2] for k, _ in docs]))
+    top = tree([trees[x][1][-1][0] for x in order])
+    out = []
+    for g, lang in enumerate(order):
+        docs, levels = trees[lang]
+        for i, d in enumerate(docs):
+            steps = path(levels, i) + path(top, g)
+            tampered = d[0] is not None and zlib.crc32(str(d[0]).encode()) % 7 == 0 and d[4] is not None
+            node = leaf(d, d[4] + 1) if tampered else levels[0][i]
+            for right, others in steps:
+                node = h(*(others + [node] if right else [node] + others))
+            out.append((d[0], levels[0][i], levels[-1][0], top[-1][0], sha("".join(x for _, o in steps for x in o)), node, node == top[-1][0]))
+    return Counter(out)
+
+
+def document_rows():
+    rng = random.Random(8)
+    rows = [(i, f"text {i} " + "é" * (i % 3), rng.choice(["en", "en", "en", "fr", "", None, "漢", "Z"]), rng.choice(["s", None, ""]), i * 3) for i in range(150)]
+    rows += [(7, "again", "en", "s", 1)] * 3 + [(7, "other", "en", "s", None), (None, None, None, None, None), (None, "", "en", "s", 0)]
+    return rows + [(-5, "x" * 300_000, "fr", "s", 300_000), (900, "alone", "one", "s", 5)]
+
+
+def manifest_of(spark, rows, height):
+    docs = spark.createDataFrame([(d, t, la, s, n) for d, t, la, s, n in rows], DOCUMENTS).selectExpr("*", "'x' AS digest", "1 AS pos", "2 AS grp")
+    tampered = ~common.is_learned(F.col("doc_id"), merkle.TAMPER, 0) & F.col("doc_id").isNotNull()
+    return merkle.manifest(merkle.document_leaves(docs, tampered), height)
+
+
+@pytest.mark.parametrize("height", [1, 3, 10])
+def test_manifest_equals_brute_force(spark, height):
+    # Superblocks of 2, 8 and 1024 leaves: many tiers, odd ends, null and lone groups, null and repeated ids, a long text.
+    rows = document_rows()
+    got = manifest_of(spark, rows, height).drop("siblings").collect()
+    assert Counter(tuple(r) for r in got) == brute_manifest(rows)
+
+
+def test_proofs_hold_for_the_leaf_only(spark):
+    rows = document_rows()[:40]
+    for r in manifest_of(spark, rows, 2).collect():
+        assert sha("".join(r.siblings)) == r.proof_sha256
+        assert r.verified == (r.folded_root == r.root)
+    one = manifest_of(spark, rows[:1], 10).collect()
+    assert len(one) == 1 and one[0].leaf == one[0].subroot == one[0].root and one[0].siblings == [] and one[0].proof_sha256 == sha("")
+    assert manifest_of(spark, [], 10).count() == 0
+
+
+# --- projected neighbours ------------------------------------------------------------------------------------------------
+
+def exact_neighbours(rows, queries, top=10):
+    kept = {}
+    for i, v in rows:
+        if i is not None and v is not None and any(v) and all(x is not None and np.isfinite(x) for x in v):
+            kept.setdefault((i, tuple(np.float32(v).tolist())), None)
+    dim = max((len(v) for _, v in kept), default=0)
+    pad = [(i, np.array(v + (0.0,) * (dim - len(v)))) for i, v in kept]
+    out = {}
+    for q in queries:
+        mine = [(len(v), v) for i, v in kept if i == q]
+        if mine:
+            a = np.array(min(v for _, v in mine) + (0.0,) * dim)[:dim]
+            out[q] = sorted((float(np.sqrt(((a - v) ** 2).sum())), i) for i, v in pad if i != q)[:top]
+    return out
+
+
+def test_neighbours_reach_the_recall_of_the_test(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(20, 24))
+    points = np.float32(centres[rng.integers(0, 20, 3000)] + 0.3 * rng.normal(size=(3000, 24)))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(points)]
+    rows += [(5000 + i, [0.5] * 24) for i in range(900)]                                    # one hot vector
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS cell", "'x' AS score", "3 AS label")
+    vectors = common.staged(projected_knn.finite_vectors(df), "t")
+    found = projected_knn.search(vectors, vectors.filter("vec_id % 50 = 0"), block=256).collect()
+    want = exact_neighbours(rows, [i for i, _ in rows if i % 50 == 0])
+    got = defaultdict(list)
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.score, r.vec_id))
+    assert set(got) == set(want) and all(len(v) == 10 for v in got.values())
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+    for q, near in got.items():
+        assert near == sorted(near)
+        for score, i in near:
+            a, b = (np.float64(np.float32(dict(rows)[x])) for x in (q, i))
+            assert score == pytest.approx(float(np.sqrt(((a - b) ** 2).sum())), rel=1e-12)
+    # Equal vectors: the smallest other ids, exactly.
+    assert [i for _, i in got[5050]] == list(range(5000, 5010)) and [i for _, i in got[5000]] == list(range(5001, 5011))
+
+
+def test_neighbours_of_odd_rows(spark):
+    rows = [(0, [1.0, 2.0]), (100, [1.0]), (100, [3.0]), (200, None), (300, [0.0, 0.0]), (400, [float("nan"), 1.0]), (500, [float("inf"), 1.0]),
+            (600, [None, 1.0]), (None, [1.0, 1.0]), (7, [1.0, 2.0]), (7, [1.0, 2.0]), (8, [1e30, -1e30]), (9, []), (0, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors = common.staged(projected_knn.finite_vectors(df), "t")
+    found = projected_knn.search(vectors, vectors.filter("vec_id % 100 = 0")).collect()
+    want = exact_neighbours(rows, [0, 100])
+    got = {q: [(r.score, r.vec_id) for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] for q in (0, 100)}
+    assert set(r.query_id for r in found) == {0, 100}
+    for q in want:
+        assert [i for _, i in got[q]] == [i for _, i in want[q]]
+        assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in want[q]])
+    none = projected_knn.finite_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"))
+    assert projected_knn.search(none, none).count() == 0
+
+
+def test_chi_square_quantile_is_exact():
+    # Two degrees of freedom: 1 - exp(-x / 2); eight: against drawn sums of squares.
+    assert projected_knn.chi2_quantile(0.9, 2) == pytest.approx(-2 * np.log(0.1))
+    drawn = (np.random.default_rng(4).standard_normal((200_000, 8)) ** 2).sum(axis=1)
+    assert (drawn <= projected_knn.chi2_quantile(0.9, 8)).mean() == pytest.approx(0.9, abs=0.004)
+
+
+def test_search_moves_visited_blocks_only(spark):
+    # Rows that meet queries are those of visited blocks, once for each part of the block's queries.
+    rows = [(i, [float(i % 16) * 50 + 0.01 * (i % 7), float(i // 16 % 9)]) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors = common.staged(projected_knn.finite_vectors(df), "t")
+    projection, index, cells = projected_knn.build_index(vectors, block=100)
+    assert len(cells) >= 8
+    asked = vectors.filter("vec_id < 3").selectExpr("vec_id AS query_id", "v AS q", "cast(null AS double) AS bound")
+    routed = common.map_arrow(asked, projected_knn._route(projection, cells, 0, 1), "cell int, block int, query_id long, q array<float>, bound double")
+    moved, visitors = projected_knn.visited(index, common.staged(routed, "t"))
+    assert visitors.count() == routed.count() > 0
+    blocks = {(r.cell, r.block) for r in routed.collect()}
+    assert moved.count() == sum((r.cell, r.block) in blocks for r in index.collect()) < 800
+    twice, _ = projected_knn.visited(index, common.staged(routed, "t"), queries=1)
+    assert twice.count() >= moved.count()
+
+
+def test_query_of_projected_neighbours_against_brute_force(spark):
+    from ledgerline.llm import queries
+    sf = "/root/testdata/sf0.1"
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").toArrow()
+    ids, v = table.column("vec_id").to_numpy(), projected_knn.matrix(table.column("embedding"), 64)
+    got = defaultdict(list)
+    for r in queries.QUERIES["op13_projected_knn"](spark, sf).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert set(got) == set(ids[ids % 100 == 0].tolist())
+    hits = 0
+    for q, rows in got.items():
+        distance = np.sqrt(((v - v[ids == q]) ** 2).sum(axis=1))
+        assert [r for r, _, _ in sorted(rows)] == list(range(1, 11))
+        assert all(s == pytest.approx(distance[ids == i][0], rel=1e-12) for _, i, s in rows)
+        distance[ids == q] = np.inf
+        hits += len({i for _, i, _ in rows} & set(ids[np.lexsort((ids, distance))[:10]].tolist()))
+    assert hits >= 0.9 * 10 * len(got)
