@@ -12,8 +12,14 @@ cannot reach its k-th score so far: the result is exact.
 
 An annulus is stored in blocks of at most about ``BLOCK`` rows (a hash of the id),
 and a round meets queries and rows by (pivot, annulus, block, query block), so a
-vector that a third of all rows share is spread over many tasks.  What reaches
-the driver is bounded by parameters: the sample, the pivots and the annuli.
+vector that a third of all rows share is spread over many tasks.  Only blocks that
+queries visit are moved, once for each block of queries that visits them.  Pivots grow with the
+rows, from ``PIVOTS`` to ``MOST_PIVOTS``.  What reaches the driver is bounded by
+parameters: the sample, the pivots and the annuli.
+
+Integers are exact whatever their size: products that may pass 2^53 are summed in 64-bit integers, those that
+may pass 2^63 in Python's.  A result whose score does not fit its 64-bit column fails the
+query instead of wrapping.
 
 Vectors that are null or hold null or non-finite components take no part, nor
 do rows without an id.  Shorter vectors count as padded by zeros.  Ties of the
@@ -37,32 +43,36 @@ from . import common
 
 # The scale of components, and the result's depth.
 SCALE, TOP = 1024, 10
-# Bounds of the index: pivots, annuli a pivot, rows a block, queries a block, rows of the sample.
-PIVOTS, RINGS, BLOCK, QUERY_BLOCK, SAMPLE = 32, 8, 2048, 2048, 4096
+# Bounds of the index: pivots at least and at most, annuli a pivot, rows a block, queries a block, rows of the sample.
+PIVOTS, MOST_PIVOTS, RINGS, BLOCK, QUERY_BLOCK, SAMPLE = 32, 512, 8, 2048, 2048, 8192
+# Rows for which there is one more pivot.
+PIVOT_ROWS = 20_000
 # Annuli that a query has met after each round (the last round meets all that its bound leaves).
 EXPAND = (4, 24, None)
 RESULT = "query_id long, vec_id long, score long"
 
 
 def integer_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id, v (integers) and n2 (squared length) of the rows that take part."""
+    """vec_id, v (integers, as doubles, which hold them exactly) and n2 (squared length) of the rows that take part."""
     e = F.col("embedding")
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    ints = F.transform(e, lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
+    # A double from 2^52 on is an integer already; its floor would not fit 64 bits from 2^63 on.
+    ints = F.transform(e, lambda x: F.when(F.abs(x.cast("double") * SCALE) < float(2 ** 52), F.floor(x.cast("double") * SCALE).cast("double"))
+                       .otherwise(x.cast("double") * SCALE))
     rows = embeddings.filter(F.col("vec_id").isNotNull() & e.isNotNull() & finite)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("v"))
-    return rows.withColumn("n2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    return rows.withColumn("n2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
     """Rows of an Arrow list column, padded by zeros to ``dim``."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    values = np.asarray(column.flatten(), dtype=np.int64)
+    values = np.asarray(column.flatten(), dtype=np.float64)
     if len(values) == len(column) * dim:
         return values.reshape(len(column), dim)
     sizes = np.asarray(pc.list_value_length(column), dtype=np.int64)
-    out = np.zeros((len(column), dim), dtype=np.int64)
+    out = np.zeros((len(column), dim))
     out[np.arange(dim) < sizes[:, None]] = values
     return out
 
@@ -70,11 +80,13 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
 class Geometry:
     """Pivots in the space with one more coordinate, and annulus borders by pivot."""
 
-    def __init__(self, dim: int, longest2: float, sample: np.ndarray, exact: bool):
-        self.dim, self.longest2, self.exact = dim, longest2, exact
+    def __init__(self, dim: int, longest2: float, sample: np.ndarray, largest: float, rows: int):
+        self.dim, self.longest2 = dim, longest2
+        bound = int(largest) ** 2 * dim  # no sum of products passes it
+        self.sums_in = np.float64 if bound < 2 ** 53 else np.int64 if bound < 2 ** 63 else object
         points = self.lift(sample)
         rng = np.random.default_rng(7)
-        k = min(PIVOTS, len(points))
+        k = min(max(PIVOTS, min(MOST_PIVOTS, rows // PIVOT_ROWS)), len(points))
         self.pivots = points[rng.choice(len(points), k, replace=False)]
         for _ in range(8):
             near = self.distances(points).argmin(axis=1)
@@ -97,9 +109,10 @@ class Geometry:
         return np.sqrt(np.maximum(0.0, square))
 
     def scores(self, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        if self.exact:  # every partial sum is an integer below 2^53
-            return (queries.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
-        return queries @ rows.T
+        if self.sums_in is object:
+            queries, rows = (np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape) for m in (queries, rows))
+            return queries @ rows.T
+        return (queries.astype(self.sums_in) @ rows.astype(self.sums_in).T).astype(np.int64)
 
 
 def _keys(geometry: Geometry):
@@ -158,15 +171,15 @@ def _meet(geometry: Geometry, top: int):
                 part = queries.slice(start, 256)
                 own = part.column("query_id").to_numpy()
                 found = geometry.scores(matrix(part.column("q"), geometry.dim), v)
-                lowest = np.iinfo(np.int64).min
-                floor = np.array([lowest if f is None else f for f in part.column("floor").to_pylist()], dtype=np.int64)
-                allowed = (ids != own[:, None]) & (found >= floor[:, None])
-                order = np.argsort(np.where(allowed, -found, np.iinfo(np.int64).max), axis=1, kind="stable")[:, :top]
-                line = np.arange(len(own))[:, None]
-                keep = allowed[line, order]
-                out["query_id"].append(np.broadcast_to(own[:, None], order.shape)[keep])
-                out["vec_id"].append(ids[order][keep])
-                out["score"].append(found[line, order][keep])
+                floor = part.column("floor").to_pylist()
+                for i, scores in enumerate(found):
+                    allowed = np.flatnonzero((ids != own[i]) & ((scores >= floor[i]) if floor[i] is not None else True))
+                    order = allowed[np.argsort(-scores[allowed], kind="stable")[:top]]
+                    if len(order) and not -2 ** 63 <= min(scores[order]) <= max(scores[order]) < 2 ** 63:
+                        raise OverflowError(f"a score of query {own[i]} does not fit 64 bits")
+                    out["query_id"].append(np.full(len(order), own[i]))
+                    out["vec_id"].append(ids[order])
+                    out["score"].append(scores[order].astype(np.int64))
         return pa.table({k: pa.array(np.concatenate(x) if x else np.zeros(0, dtype=np.int64), pa.int64()) for k, x in out.items()})
 
     return run
@@ -186,16 +199,21 @@ def build_index(vectors: DataFrame) -> tuple[Geometry, DataFrame, list[tuple]] |
         return None
     dim = max(1, facts[1])
     sample = vectors.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
-    exact = (facts[3] or 0) ** 2 * dim < 2 ** 53
-    geometry = Geometry(dim, facts[2], matrix(sample.column("v"), dim), exact)
+    geometry = Geometry(dim, facts[2], matrix(sample.column("v"), dim), facts[3] or 0, facts[0])
     keyed = common.staged(common.map_arrow(
-        vectors.select("vec_id", "v"), _keys(geometry), "vec_id long, v array<long>, pivot int, ring int, dist double"), "pivot-index")
+        vectors.select("vec_id", "v"), _keys(geometry), "vec_id long, v array<double>, pivot int, ring int, dist double"), "pivot-index")
     rings = [(r["pivot"], r["ring"], r["lo"], r["hi"], r["n"], math.ceil(r["n"] / BLOCK))
              for r in keyed.groupBy("pivot", "ring").agg(F.min("dist").alias("lo"), F.max("dist").alias("hi"),
                                                          F.count(F.lit(1)).alias("n")).orderBy("pivot", "ring").collect()]
-    blocks = F.create_map(*[x for p, r, _, _, _, b in rings for x in (F.lit(p * RINGS + r), F.lit(b))])
-    block = F.pmod(F.xxhash64("vec_id"), F.element_at(blocks, F.col("pivot") * RINGS + F.col("ring"))).cast("int")
-    return geometry, keyed.withColumn("block", block), rings
+    blocks = vectors.sparkSession.createDataFrame([(p, r, b) for p, r, _, _, _, b in rings], "pivot int, ring int, blocks int")
+    index = keyed.join(F.broadcast(blocks), ["pivot", "ring"])  # MOST_PIVOTS * RINGS rows at most
+    return geometry, index.withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int")).drop("blocks"), rings
+
+
+def visited(index: DataFrame, routed: DataFrame) -> DataFrame:
+    """Rows of the blocks that a round visits, a copy for each block of queries that does."""
+    keys = routed.select("pivot", "ring", "block", F.col("query_block").alias("query_block")).distinct()
+    return index.join(keys, ["pivot", "ring", "block"])
 
 
 def search(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
@@ -209,7 +227,6 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     asked = common.staged(queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q")), "pivot-queries")
     n_blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
     asked = asked.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int"))
-    rows = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
 
     found, first = None, 0
     for last in EXPAND:
@@ -217,10 +234,10 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         if found is not None:
             kth = found.filter(F.col("rank") == top).select("query_id", F.col("score").alias("floor"))
             floors = asked.join(kth, "query_id", "left")
-        routed = common.map_arrow(
+        routed = common.staged(common.map_arrow(
             floors.select("query_id", "q", "floor", "query_block"), _route(geometry, rings, first, last),
-            "pivot int, ring int, block int, query_id long, q array<long>, floor long, query_block int")
-        met = rows.groupBy(*keys).cogroup(routed.groupBy(*keys)).applyInArrow(_meet(geometry, top), RESULT)
+            "pivot int, ring int, block int, query_id long, q array<double>, floor long, query_block int"), "pivot-routed")
+        met = visited(index, routed).groupBy(*keys).cogroup(routed.groupBy(*keys)).applyInArrow(_meet(geometry, top), RESULT)
         if found is not None:
             met = met.unionByName(found.select("query_id", "vec_id", "score"))
         found, first = common.staged(best(met, top), "pivot-found"), last

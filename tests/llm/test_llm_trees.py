@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import common, merkle, prefix_trie, projected_knn
+from ledgerline.llm import common, merkle, pivot_index, prefix_trie, projected_knn
 from tests.llm import helpers as H
 
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
@@ -282,3 +282,34 @@ def test_query_of_projected_neighbours_against_brute_force(spark):
         distance[ids == q] = np.inf
         hits += len({i for _, i, _ in rows} & set(ids[np.lexsort((ids, distance))[:10]].tolist()))
     assert hits >= 0.9 * 10 * len(got)
+
+
+# --- pivot index: blocks that are visited, and integers of any size --------------------------------------------------------
+
+def test_a_round_moves_visited_blocks_only(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=6) + 9 * (i % 8)]) for i in range(3000)]
+    vectors = common.staged(pivot_index.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), "t")
+    geometry, index, rings = pivot_index.build_index(vectors)
+    asked = vectors.filter("vec_id < 5").selectExpr("vec_id AS query_id", "v AS q", "cast(null AS long) AS floor", "cast(vec_id % 3 AS int) AS query_block")
+    routed = common.staged(common.map_arrow(asked, pivot_index._route(geometry, rings, 0, 4),
+                                            "pivot int, ring int, block int, query_id long, q array<double>, floor long, query_block int"), "t")
+    size = Counter((r.pivot, r.ring, r.block) for r in index.select("pivot", "ring", "block").collect())
+    keys = {(r.pivot, r.ring, r.block, r.query_block) for r in routed.collect()}
+    assert pivot_index.visited(index, routed).count() == sum(size[k[:3]] for k in keys) < 3 * 3000 / 4
+
+
+def test_large_products_are_exact_or_fail(spark):
+    # Products beyond 2^53 and partial sums beyond 2^63; clashing extra columns ride along.
+    def top(rows):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS pivot", "'x' AS score", "2 AS rank")
+        vectors = common.staged(pivot_index.integer_vectors(df), "t")
+        return [(r["rank"], r.vec_id, r.score) for r in pivot_index.search(vectors, vectors.filter("vec_id = 0")).orderBy("rank").collect()]
+
+    for rows in ([(0, [3e5, 1.0]), (1, [3e5, -1.0]), (2, [3e5, 2.0]), (3, [-3e5, 2.0]), (4, [3e5, 2.0])],
+                 [(0, [3e6, -3e6, 1.0]), (1, [3e6, 3e6, 5.0]), (2, [2e6, 2e6, 1 / 1024]), (3, [1e17, 1e17, 0.0]), (4, [0.0, 0.0, 7.5])]):
+        ints = {i: [int(np.floor(x * 1024)) for x in v] for i, v in rows}
+        scores = sorted((-sum(a * b for a, b in zip(ints[0], v)), i) for i, v in ints.items() if i)
+        assert top(rows) == [(k, i, -s) for k, (s, i) in enumerate(scores, 1)]
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        top([(0, [3e6, 1.0]), (1, [3e6, 1.0])])
