@@ -13,7 +13,9 @@ So of two equal windows of ``WINDOW`` words, every symbol at least ``REACH``
 words inside is the same.  The longest of these (ties: largest name, then the
 leftmost) is the window's key symbol, at the same offset in both.  Windows with the same key symbol
 occurrence travel as one row under its name; rows meet by name, and windows of
-equal offset and equal 48-bit fingerprint are equal.  Those that also start in
+equal offset and equal 48-bit fingerprint count as equal: 112 bits of name and fingerprint are compared, not the words.
+Names are made where a slice of the input is read; one shuffle by name is what makes them
+meet, and there is no shuffle a round.  Those that also start in
 a document of a smaller id are removed with all words they cover.
 
 Skew: rows of equal name and windows inside one slice of the input travel once
@@ -25,8 +27,8 @@ memory.  Nothing is dropped.
 Nulls: a null text has no words; a document without id is never smaller, so it
 removes nothing, and loses nothing.  Rows that repeat an id are told apart by their text and are never
 smaller than each other.  Texts of fewer than ``WINDOW`` words are left alone.
-An empty table gives an empty result.  Columns other than those carried are
-not read.
+Very long texts are read whole, one at a time.  An empty table gives an empty result.  Columns other than
+those carried are not read.
 """
 
 from __future__ import annotations
@@ -242,61 +244,64 @@ def _found(doc: np.ndarray, text_hash: np.ndarray, first: np.ndarray, last: np.n
                                        pa.array(last.astype(np.int32)), keys], names=FOUND_NAMES)
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by name and id -> runs of removed windows, and open windows (with a key) of very large groups."""
-    held: list[pa.RecordBatch] = []  # rows of the last name so far
-    open_name: int | None = None  # a name that has outgrown memory
+def _settle(group_rows: int):
+    """Rows sorted by name and id -> runs of removed windows, and open windows (with a key) of names with more rows than that."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the last name so far
+        open_name: int | None = None  # a name that has outgrown memory
+
+        def whole(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            rows = Rows(part)
+            new = np.append(True, rows.name[1:] != rows.name[:-1])
+            group = np.cumsum(new) - 1
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(new)) - 1
+            shared = (rows.doc[first] < rows.doc[last])[group]  # ids are sorted inside a name
+            chosen = np.flatnonzero(shared)
+            if len(chosen):
+                row, inside, prints = rows.windows(chosen)
+                key = rows.keys(row, inside, prints)
+                order = np.argsort(key, kind="stable")  # rows stay sorted by id
+                head = np.append(True, key[order][1:] != key[order][:-1])
+                smallest = rows.doc[row[order]][np.flatnonzero(head)][np.cumsum(head) - 1]
+                removed = np.zeros(len(row), dtype=bool)
+                removed[order] = rows.doc[row[order]] > smallest
+                yield rows.found(row[removed], inside[removed])
+
+        def unsettled(part: pa.RecordBatch) -> pa.RecordBatch:
+            rows = Rows(part)
+            row, inside, prints = rows.windows(np.arange(part.num_rows))
+            at = rows.place[row] + inside
+            return _found(rows.doc[row], rows.text_hash[row], at, at + rows.equal[row] - 1, rows.keys(row, inside, prints))
+
+        for batch in batches:
+            settled = batch.column(6)
+            done = batch.filter(settled)
+            if done.num_rows:
+                place, count = (np.asarray(done.column(k), dtype=np.int64) for k in (3, 4))
+                yield _found(np.asarray(done.column(1)), np.asarray(done.column(2)), place, place + count - 1, None)
+            batch = batch.filter(pc.invert(settled))
+            if open_name is not None and batch.num_rows:
+                lead = int(np.searchsorted(np.asarray(batch.column(0)), open_name, side="right"))
+                if lead:
+                    yield unsettled(batch.slice(0, lead))
+                    batch = batch.slice(lead)
+            if not batch.num_rows:
+                continue
+            open_name = None
+            batch = _joined([*held, batch])
+            names = np.asarray(batch.column(0))
+            tail = int(np.searchsorted(names, names[-1]))
+            if tail:
+                yield from whole(batch.slice(0, tail))
+            held = [batch.slice(tail)]
+            if held[0].num_rows > group_rows:
+                yield unsettled(held[0])
+                held, open_name = [], int(names[-1])
+        if held:
+            yield from whole(held[0])
 
-    def whole(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = Rows(part)
-        new = np.append(True, rows.name[1:] != rows.name[:-1])
-        group = np.cumsum(new) - 1
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(new)) - 1
-        shared = (rows.doc[first] < rows.doc[last])[group]  # ids are sorted inside a name
-        chosen = np.flatnonzero(shared)
-        if len(chosen):
-            row, inside, prints = rows.windows(chosen)
-            key = rows.keys(row, inside, prints)
-            order = np.argsort(key, kind="stable")  # rows stay sorted by id
-            head = np.append(True, key[order][1:] != key[order][:-1])
-            smallest = rows.doc[row[order]][np.flatnonzero(head)][np.cumsum(head) - 1]
-            removed = np.zeros(len(row), dtype=bool)
-            removed[order] = rows.doc[row[order]] > smallest
-            yield rows.found(row[removed], inside[removed])
-
-    def unsettled(part: pa.RecordBatch) -> pa.RecordBatch:
-        rows = Rows(part)
-        row, inside, prints = rows.windows(np.arange(part.num_rows))
-        at = rows.place[row] + inside
-        return _found(rows.doc[row], rows.text_hash[row], at, at + rows.equal[row] - 1, rows.keys(row, inside, prints))
-
-    for batch in batches:
-        settled = batch.column(6)
-        done = batch.filter(settled)
-        if done.num_rows:
-            place, count = (np.asarray(done.column(k), dtype=np.int64) for k in (3, 4))
-            yield _found(np.asarray(done.column(1)), np.asarray(done.column(2)), place, place + count - 1, None)
-        batch = batch.filter(pc.invert(settled))
-        if open_name is not None and batch.num_rows:
-            lead = int(np.searchsorted(np.asarray(batch.column(0)), open_name, side="right"))
-            if lead:
-                yield unsettled(batch.slice(0, lead))
-                batch = batch.slice(lead)
-        if not batch.num_rows:
-            continue
-        open_name = None
-        batch = _joined([*held, batch])
-        names = np.asarray(batch.column(0))
-        tail = int(np.searchsorted(names, names[-1]))
-        if tail:
-            yield from whole(batch.slice(0, tail))
-        held = [batch.slice(tail)]
-        if held[0].num_rows > GROUP:
-            yield unsettled(held[0])
-            held, open_name = [], int(names[-1])
-    if held:
-        yield from whole(held[0])
+    return run
 
 
 def _joined(parts: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
@@ -304,13 +309,17 @@ def _joined(parts: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
     return table.to_batches()[0] if table.num_rows else parts[0]
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, first, last: runs of windows (by the place of their first word) to remove."""
+def key_rows(docs: DataFrame) -> DataFrame:
+    """Windows under the names of their key symbols, with the rows of a name together."""
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     symbols = common.map_arrow(rows, _symbols, ROW)
-    sorted_ = symbols.repartition("name").sortWithinPartitions("name", "doc_id")
-    found = common.staged(common.map_arrow(sorted_, _settle, FOUND), "repeats")
+    return symbols.repartition("name").sortWithinPartitions("name", "doc_id")
+
+
+def repeated_windows(docs: DataFrame, group_rows: int = GROUP) -> DataFrame:
+    """doc_id, text_hash, first, last: runs of windows (by the place of their first word) to remove."""
+    found = common.staged(common.map_arrow(key_rows(docs), _settle(group_rows), FOUND), "repeats")
     unsettled = found.filter("key is not null")
     smallest = unsettled.groupBy("key").agg(F.min("doc_id").alias("_least"))
     late = unsettled.join(smallest, "key").filter(F.col("doc_id") > F.col("_least"))
@@ -341,11 +350,11 @@ def _cut(carry: Sequence[str]):
     return run
 
 
-def remove_repeats(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: Sequence[str] = ("doc_id",), group_rows: int = GROUP) -> DataFrame:
     """The carried columns, ``kept`` (words left, joined by a space), ``n_words`` and ``n_removed`` of each document."""
     if {"kept", "n_words", "n_removed"} & set(carry):
         raise ValueError("rename carried columns called kept, n_words or n_removed")
-    found = repeated_windows(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+    found = repeated_windows(docs, group_rows).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.collect_list(F.struct("first", "last")).alias("_runs"))
     rows = docs.select(*carry, F.col("text").alias("_text"), F.col("doc_id").cast("long").alias("_doc"),
                        F.xxhash64("text").alias("_text_hash"))

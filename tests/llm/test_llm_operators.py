@@ -329,15 +329,23 @@ def test_search_equals_brute_force(spark, monkeypatch):
 # --- substring dedup -------------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("group", [20_000, 3])
-def test_substring_dedup_equals_brute_force(spark, odd_rows, monkeypatch, group):
-    monkeypatch.setattr(recompression, "GROUP", group)        # 3: names are settled window by window
+def test_substring_dedup_equals_brute_force(spark, odd_rows, group):
     rows = odd_rows + [(None, odd_rows[0][1]), (300, "b " * 70 + " ".join(prose(2, 80))), (301, "b " * 90), (302, " ".join(prose(2, 80)[:49]))]
+    rows += [(400 + k, " ".join(prose(50 + k, 30) + prose(2, 80) + prose(90 + k, 30))) for k in range(24)]     # a passage in every slice
     flags = H.removed_words(rows)
     want = Counter()
     for (d, t), gone in zip(rows, flags):
         want[(d, len(gone), sum(gone), " ".join(w for w, g in zip(H.words(t), gone) if not g))] += 1
-    docs = H.frame(spark, rows).repartition(5)
-    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in recompression.remove_repeats(docs).collect())
+    docs = H.frame(spark, rows).repartition(8)
+    # 3 (and batches of 2 rows): names with more rows are settled window by window, by Spark.
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2" if group == 3 else batch)
+        found = common.map_arrow(recompression.key_rows(docs), recompression._settle(group), recompression.FOUND)
+        assert (found.filter("key is not null").count() > 0) == (group == 3)
+        got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in recompression.remove_repeats(docs, group_rows=group).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     assert got == want
 
 

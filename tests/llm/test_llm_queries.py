@@ -59,7 +59,7 @@ def test_pipeline_stage_by_stage(spark):
     assert sum(right) > 0.8 * len(right)
 
     before, after, _ = rows[names[1]]
-    component = H.near_components([(r[0], r[1]) for r in before])
+    component = H.near_components([(r[0], r[1]) for r in before], 5, 80)     # what stages on word shingles take
     assert sorted(r.doc_id for r in after) == sorted(d for d, (_, c) in component.items() if c == d)
 
     before, after, _ = rows[names[2]]
@@ -90,3 +90,38 @@ def test_pipeline_stage_by_stage(spark):
 def test_pipeline_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 100 and out.filter("not round_trip").count() == 0
+
+
+def odd_table(spark, path, rows):
+    """A documents table with clashing extra columns, and labels for some rows."""
+    H.frame(spark, rows).write.parquet(f"{path}/documents.parquet")
+    labels = [(r[0], int(r[0] % 2), 0) for r in rows if r[0] is not None and r[1]]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path, monkeypatch):
+    # Nulls in any column, empty and very long texts, repeated rows and ids; a classifier that keeps all rows, so every stage meets them.
+    words = lambda seed, n: " ".join(f"w{(seed * 7919 + k * (seed + 3)) % 5003}" for k in range(n))
+    passage = words(91, 60)
+    rows = [(1, words(1, 200), "a"), (2, words(1, 200), "b"), (3, None, "a"), (4, "", "a"), (5, " \n\t", None), (6, words(2, 90) + " " + passage, None),
+            (7, words(3, 90) + " " + passage, "b"), (None, words(4, 70), "a"), (None, None, None), (8, words(5, 60_000), "c"),
+            (9, words(6, 80), "a"), (9, words(6, 80), "a"), (9, words(7, 80), "a"), (-3, "one", "a"), (10, "é 漢字 🙂 " * 40, "b")]
+    odd_table(spark, str(tmp_path / "odd"), rows)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("all", lambda s, d, f: d.select(*common.DOCUMENT_COLUMNS)), *corpus_pipeline.STAGES[1:]])
+    out = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    assert all(r.round_trip for r in out) and set(out[0].asDict()) == {*common.DOCUMENT_COLUMNS, "ids", "n_tokens", "round_trip"}
+    texts = {d: t for d, t, _ in rows}
+    ids = Counter(r.doc_id for r in out)
+    assert 2 not in ids and {1, 6, 7, 8, None, 10, -3} <= {r[0] for r in rows} and not {3, 4, 5} & set(ids)
+    assert all(passage not in r.text for r in out if r.doc_id == 7)
+    long = [r for r in out if r.doc_id == 8]
+    assert all(texts[8].startswith(r.text) for r in long)
+    # The classifier itself on the same table, trained on its labels: any decision, no crash, whole rows.
+    kept = corpus_pipeline.quality(spark, common.read_table(spark, str(tmp_path / "odd"), "documents"), str(tmp_path / "odd")).collect()
+    assert not Counter(tuple(r) for r in kept) - Counter((d, t, "en", s, None if t is None else len(t)) for d, t, s in rows)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    odd_table(spark, str(tmp_path / "none"), [])
+    out = corpus_pipeline.run(spark, str(tmp_path / "none"))
+    assert out.count() == 0 and {"doc_id", "text", "ids", "n_tokens", "round_trip"} <= set(out.columns)
