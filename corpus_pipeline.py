@@ -1,4 +1,11 @@
-"""Corpus pipeline: the stages from raw documents to tokens, each one operator of ``ledgerline.llm``."""
+"""Corpus pipeline: the stages from raw documents to tokens, each one operator of ``ledgerline.llm``.
+
+Nulls and odd rows go through all stages: a null or empty text is scored like any other by the classifier, has no shingles (so
+it is nobody's near copy), no windows, and no words, so the mix leaves it out.  Rows without id stay in
+near-dedup; repeated rows of an id are one document there.  Texts of any length are
+handled whole.  Only the columns of documents are read, whatever others there are.  An empty table
+gives an empty result with the same columns.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +16,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import byte_bpe, common, fm_classifier, minhash_join, mixing, recompression
 
+# Near copies: words a shingle, least similarity in percent.
+SHINGLE, PERCENT = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -20,8 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of the smallest id."""
-    return minhash_join.one_of_each(docs)
+    """One document of each group of near copies (five-word shingles, similarity 0.8), the one of the smallest id."""
+    return minhash_join.one_of_each(docs, shingle=SHINGLE, percent=PERCENT)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
