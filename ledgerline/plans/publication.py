@@ -62,18 +62,27 @@ def _dates(spark: SparkSession, path: str) -> list[str]:
     """Partition folders of a written report; the undated key if it has none."""
     fs, at = _fs(spark, path)
     names = [f.getPath().getName() for f in fs.listStatus(at)]
-    return [n for n in names if n.startswith(f"{DATE_COLUMN}=")] or [UNDATED]
+    dated = [n for n in names if n.startswith(f"{DATE_COLUMN}=")]
+    return dated or ([UNDATED] if any(n.endswith(".parquet") for n in names) else [])
 
 
-def commit(spark: SparkSession, output: str, written: dict[str, str]) -> int:
-    """Publish ``written`` (report -> folder); returns the number of the new manifest."""
+def commit(spark: SparkSession, output: str, written: dict[str, str],
+           replaced: dict[str, set | None] | None = None, notes: dict[str, dict[str, str]] | None = None) -> int:
+    """Publish ``written`` (report -> folder); returns the number of the new manifest.
+
+    Dates in ``replaced`` (report -> dates, None for all) that the run wrote no rows for are gone from the
+    report.  ``notes`` are entries that are kept as they are.
+    """
     fs, folder = _fs(spark, f"{output}/{FOLDER}")
     fs.mkdirs(folder)
     found = {name: {date: path for date in _dates(spark, path)} for name, path in written.items()}
     for _ in range(ATTEMPTS):
         number, entries = manifest(spark, output)
         for name, dates in found.items():
-            entries[name] = {**entries.get(name, {}), **dates}
+            gone = (replaced or {}).get(name, set())
+            kept = {} if gone is None else {d: p for d, p in entries.get(name, {}).items() if d not in {f"{DATE_COLUMN}={x}" for x in gone}}
+            entries[name] = {**kept, **dates}
+        entries.update(notes or {})
         draft = _path(spark, f"{output}/{FOLDER}/.{uuid.uuid4().hex}")
         stream = fs.create(draft, False)
         stream.write(bytearray(json.dumps(entries, sort_keys=True).encode()))

@@ -265,7 +265,7 @@ def plan_with_life(t: BalanceTables, cadence: str, as_of: _dt.date | None = None
 
 
 def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
-                  count_method: str = "two_step", narrow: bool = False) -> DataFrame:
+                  count_method: str | K.CountMaps = "two_step", narrow: bool = False) -> DataFrame:
     """Plan rows with life totals and participant counts attached.
 
     Daily: life and counts both match on the plan alone.  Periods: life
@@ -292,6 +292,8 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
                             _cols("client_id", D), _hot_plans(t))
     y = C.report_date(as_of, 1)
     counts = K.participant_counts(part_in.where(F.col(D).isNotNull()), ["plan_number", "client_id", D], count_method)
+    if isinstance(count_method, K.CountMaps):  # stored maps hold all rows
+        counts = counts.where(F.col(D).isNotNull())
     return J.attach_all(merged, plan + [F.coalesce(F.col(D), y)], [
         (life, plan + [F.coalesce(F.col("valuation_date"), y)], life_payload),
         (counts, plan + [F.col(D)], list(K.COUNT_COLUMNS), F.col(D).isNotNull()),
@@ -299,7 +301,7 @@ def plan_enriched(t: BalanceTables, cadence: str, as_of: _dt.date | None = None,
 
 
 def plan_report(t: BalanceTables, cadence: str, as_of: _dt.date | None = None, prefilter: bool = True,
-                count_method: str = "two_step") -> DataFrame:
+                count_method: str | K.CountMaps = "two_step") -> DataFrame:
     """Plan balances: ``daily``, ``monthly`` or ``quarterly`` (rows)."""
     m = plan_enriched(t, cadence, as_of, prefilter, count_method, narrow=True)
     y = C.report_date(as_of, 1)
@@ -553,7 +555,7 @@ def div_sub_with_life(t: BalanceTables, narrow: bool = False) -> DataFrame:
                           hot=_hot_divisions(t), spread=_cols("client_id", D))
 
 
-def participant_counts_div_sub(t: BalanceTables, count_method: str = "two_step") -> DataFrame:
+def participant_counts_div_sub(t: BalanceTables, count_method: str | K.CountMaps = "two_step") -> DataFrame:
     """Counts per (plan, client, defaulted div/sub)."""
     return K.participant_counts(
         t.participant, ["plan_number", "client_id", ("div_sub_id", C.blank_to_sentinel("div_sub_id"))],
@@ -572,7 +574,7 @@ def _div_sub_lists(t: BalanceTables, count_method: str, narrow: bool, prefilter:
         (counts, keys(), list(K.COUNT_COLUMNS))], _cols("client_id", D), _hot_divisions(t, prefilter))
 
 
-def div_sub_enriched(t: BalanceTables, count_method: str = "two_step", narrow: bool = False) -> DataFrame:
+def div_sub_enriched(t: BalanceTables, count_method: str | K.CountMaps = "two_step", narrow: bool = False) -> DataFrame:
     """Merged div/sub rows with life totals (one row per valuation date) and
     counts (grouped per client but matched without it: one row per client).
 
@@ -605,7 +607,7 @@ def _div_sub_finish(m: DataFrame, as_of: _dt.date | None) -> DataFrame:
 
 
 def div_sub_report(t: BalanceTables, as_of: _dt.date | None = None, sort: bool = True,
-                   count_method: str = "two_step", prefilter: bool = True, by_date: bool = False) -> DataFrame:
+                   count_method: str | K.CountMaps = "two_step", prefilter: bool = True, by_date: bool = False) -> DataFrame:
     """Division / sub-division balances (daily), optionally sorted descending.
 
     The exclusion test reads the merged, un-defaulted division, so NULL, ``''``

@@ -1,7 +1,7 @@
 """Batch job: build and write a set of reports.
 
     python -m ledgerline.plans.runner --input <root> --output <root> \
-        [--database db] [--as-of YYYY-MM-DD] [--reports name,name,...] [--publish]
+        [--database db] [--as-of YYYY-MM-DD] [--reports name,name,...] [--publish | --changed]
 
 Inputs are read either from Parquet datasets under ``--input`` (one directory
 per table name) or from catalog tables in ``--database``.  Each report is
@@ -109,11 +109,21 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--output", required=True)
     ap.add_argument("--as-of", type=_dt.date.fromisoformat, default=None)
     ap.add_argument("--reports", default=",".join(ALL_REPORTS))
+    ap.add_argument("--changed", action="store_true",
+                    help="with --input: compute and publish only dates that changed input partitions can reach")
     ap.add_argument("--publish", action="store_true", help="make all reports of the run visible together")
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.getOrCreate())
     tables = read_parquet_tables(spark, args.input) if args.input else read_catalog_tables(spark, args.database)
     size_for_input(spark, stored_bytes(spark, args.input) if args.input else tables_bytes(spark, tables))
+    if args.changed:
+        if not args.input:
+            ap.error("--changed compares the files under --input")
+        from .incremental import run_changed
+
+        for name, dates in run_changed(spark, args.input, args.output, args.reports.split(","), args.as_of).items():
+            print(f"{name}\t{'all dates' if dates is None else ','.join(sorted(map(str, dates)))}")
+        return
     for name, path in run(spark, tables, args.output, args.reports.split(","), args.as_of, args.publish).items():
         print(f"{name}\t{path}")
 
