@@ -302,6 +302,58 @@ def test_large_buckets_are_dealt_to_several_tasks(spark, monkeypatch):
         assert r.base_score == pytest.approx(dealt[d].base_score) and r.score == pytest.approx(dealt[d].score, rel=0.1)
 
 
+# --- licences by name and further notices ------------------------------------------------------------------------------------
+
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version."""
+AGPL3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU Affero General Public License as
+    published by the Free Software Foundation, either version 3 of the
+    License, or (at your option) any later version."""
+MPL2 = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+UNLICENSE = "This is free and unencumbered software released into the public domain."
+
+
+@pytest.mark.parametrize("text,licences,verdict", [
+    (GPL2, "GPL-2.0", "copyleft"), (AGPL3, "AGPL-3.0", "copyleft"), (MPL2, "MPL-2.0", "copyleft"), (ISC, "ISC", "permissive"),
+    (UNLICENSE, "Unlicense", "permissive"), ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0", "copyleft"),
+    ("# SPDX-License-Identifier: MIT", "MIT", "permissive"), ("Licensed under the MIT License.", "MIT", "permissive"),
+    ("This project is released under the MIT License.", "MIT", "permissive"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0", "copyleft"),
+    ("SPDX-License-Identifier: (Apache-2.0 OR MIT)", "MIT,Apache-2.0", "permissive"),
+    ("The code is licensed under the Apache License, Version 2.0 and the MIT licence.", "MIT,Apache-2.0", "permissive"),
+    ("The data are available under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0", "noncommercial"),
+    # Near misses.
+    ("The MIT license is nice.", "", "none"), ("He was released under the Boost bridge.", "", "none"), ("Licensed under the Made-up License.", "", "none"),
+    ("We spoke of what is licensed under the MIT License yesterday.", "", "none"), ("SPDX-License-Identifier: NONE", "", "none"),
+    ("Permission to use, copy, modify, and/or distribute this hardware is hereby granted.", "", "none")])
+def test_licences_are_known_by_notice_and_by_name(spark, text, licences, verdict):
+    out = license_rules.scan(H.frame(spark, [(1, "Some words before.\n\n" + text + "\nand words behind")])).first()
+    assert (out.licenses, out.verdict) == (licences, verdict)
+
+
+def test_names_in_sql_are_the_same(spark):
+    import duckdb
+    rows = [(k, t) for k, t in enumerate([
+        "Licensed under the MIT License.", "SPDX-License-Identifier: GPL-3.0-only WITH Classpath-exception-2.0", "SPDX-License-Identifier: (Apache-2.0 OR MIT)",
+        "Released under the MIT License. This dataset is published under the terms of the EUPL-1.2 licence!", None, "", "spdx license identifier", UNLICENSE,
+        "x spdx license identifier 0bsd and isc\nlicensed under mit or later", "Licensed under CC BY 4.0.", "Provided under the license license."])]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cur = con.execute(license_rules.ORACLE)
+    names = [d[0] for d in cur.description]
+    got = license_rules.scan(H.frame(spark, rows)).select(*names).collect()
+    assert Counter(tuple(r) for r in got) == Counter(cur.fetchall())
+    assert len({i for _, i in license_rules.NAMES.items()}) == len(license_rules.NAMED) >= 30
+
+
 # --- top-k search ----------------------------------------------------------------------------------------------------------
 
 def test_search_equals_brute_force(spark, monkeypatch):
