@@ -2,13 +2,13 @@
 
 Each document is measured inside its own row (no shuffle of words).  Failures
 of each rule are then summed by host (the ``source`` column), each rule's rates
-get a beta prior fitted to the hosts by moments, a host's rate is shrunk to
+get a beta prior fitted to the hosts by beta-binomial moments, a host's rate is shrunk to
 that prior, and a host whose shrunk rate of any rule is above
 ``HOST_THRESHOLD`` is rejected: the verdict joins back to its documents.
 
 Nulls: a null text has no words and fails the length rule; a null source is a
 host of its own.  Empty texts count 0 everywhere.  Repeated rows are judged one
-by one; an empty table gives an empty result.  Other columns are not read.
+by one; an empty table gives an empty result.  Very long texts are measured whole.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -94,15 +94,29 @@ def host_failures(measured: DataFrame) -> DataFrame:
 
 
 def prior(hosts: DataFrame) -> dict[str, tuple[float, float]]:
-    """Rule -> (alpha, beta): moments of the hosts' rates, one global row of two numbers a rule."""
-    found: Row = hosts.agg(*[f(F.col(r) / F.col("n")).alias(f"{r}_{k}") for r in RULES
-                             for k, f in (("mean", F.avg), ("var", F.var_pop))]).first()
+    """Rule -> (alpha, beta) by the moments of beta-binomial counts, from one global row of sums.
+
+    Hosts weigh by their documents.  With rate p over all documents, S = sum of n (a/n - p)^2 over k hosts and N documents,
+    sampling alone gives p (1-p) (k-1); what is above it is the spread between hosts,
+
+        rho = (S - p (1-p) (k-1)) / (p (1-p) (N - sum n^2 / N - (k-1))),
+
+    and alpha + beta = 1/rho - 1.  So many hosts of one document each do not look like hosts that differ.
+    """
+    n = F.col("n").cast("double")
+    found: Row = hosts.agg(F.count(F.lit(1)).alias("k"), F.sum(n).alias("n"), F.sum(n * n).alias("nn"),
+                           *[f(F.col(r)).alias(f"{r}_{k}") for r in RULES for k, f in
+                             (("a", lambda a: F.sum(a.cast("double"))), ("aa", lambda a: F.sum(a * a / n)))]).first()
     out = {}
     for rule in RULES:
-        mean, var = found[f"{rule}_mean"] or 0.0, found[f"{rule}_var"] or 0.0
-        weight = mean * (1 - mean) / var - 1 if var > 1e-12 else PRIOR_MOST
+        total = found["n"] or 0.0
+        p = found[f"{rule}_a"] / total if total else 0.0
+        noise, free = p * (1 - p) * (found["k"] - 1), total - found["nn"] / total - (found["k"] - 1) if total else 0.0
+        between = found[f"{rule}_aa"] - total * p * p - noise if total else 0.0
+        most = p * (1 - p) * free
+        weight = most / between - 1 if between > 1e-9 and most > 0 else PRIOR_MOST
         weight = min(PRIOR_MOST, max(PRIOR_LEAST, weight))
-        out[rule] = (mean * weight, (1 - mean) * weight)
+        out[rule] = (p * weight, (1 - p) * weight)
     return out
 
 
@@ -149,8 +163,11 @@ m AS (SELECT wl.rid, doc_id, source, len(w)::BIGINT AS n_words,
 f AS (SELECT *, n_words < 50 AS f1, 100 * n_repeat_words > 50 * n_words AS f2, n_symbols > n_words AS f3, n_dup_lines > 20 AS f4 FROM m),
 h AS (SELECT source, count(*) AS n, sum(f1::INT) AS a1, sum(f2::INT) AS a2, sum(f3::INT) AS a3, sum(f4::INT) AS a4 FROM f GROUP BY source),
 u AS (SELECT source, n, unnest([1, 2, 3, 4]) AS r, unnest([a1, a2, a3, a4]) AS a FROM h),
-mo AS (SELECT r, avg(a / n) AS mean, var_pop(a / n) AS v FROM u GROUP BY r),
-pr AS (SELECT r, mean, least(1e6, greatest(1.0, CASE WHEN v > 1e-12 THEN mean * (1 - mean) / v - 1 ELSE 1e6 END)) AS k FROM mo),
+mo AS (SELECT r, count(*) AS hosts, sum(n)::DOUBLE AS docs, sum(n * n)::DOUBLE AS nn, sum(a)::DOUBLE / sum(n) AS mean, sum(a * a / n)::DOUBLE AS aa
+       FROM u GROUP BY r),
+bt AS (SELECT r, mean, aa - docs * mean * mean - mean * (1 - mean) * (hosts - 1) AS between_hosts,
+              mean * (1 - mean) * (docs - nn / docs - (hosts - 1)) AS most FROM mo),
+pr AS (SELECT r, mean, least(1e6, greatest(1.0, CASE WHEN between_hosts > 1e-9 AND most > 0 THEN most / between_hosts - 1 ELSE 1e6 END)) AS k FROM bt),
 ve AS (SELECT source, max((a + mean * k) / (n + k)) > 0.75 AS bad FROM u JOIN pr USING (r) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1 OR f2) AS base_failed,
        NOT (f1 OR f2) AND NOT bad AS kept

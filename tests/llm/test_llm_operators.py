@@ -108,6 +108,22 @@ def test_bad_host_is_rejected_and_small_hosts_are_shrunk(spark):
     assert all(out[i].kept for i in range(900))
 
 
+def test_prior_tells_spread_between_hosts_from_sampling(spark):
+    rng = np.random.default_rng(9)
+    def weight(rows):
+        hosts = spark.createDataFrame([(f"h{i}", int(n), *[int(a)] * 4) for i, (n, a) in enumerate(rows)],
+                                      "source string, n long, short long, repeats long, symbols long, lines long")
+        alpha, beta = host_rules.prior(hosts)["short"]
+        return alpha / (alpha + beta), alpha + beta
+    # Hosts of one document each say nothing about hosts: rates 0 and 1 are sampling.
+    mean, total = weight([(1, rng.random() < 0.3) for _ in range(2000)] + [(100, 30)])
+    assert mean == pytest.approx(0.3, abs=0.04) and total > 50
+    # Rates drawn from a beta of weight 5, hosts of 2 to 200 documents.
+    n = rng.integers(2, 200, 3000)
+    mean, total = weight(zip(n, rng.binomial(n, rng.beta(2, 3, 3000))))
+    assert mean == pytest.approx(0.4, abs=0.02) and total == pytest.approx(5, rel=0.15)
+
+
 # --- licences --------------------------------------------------------------------------------------------------------------
 
 def test_license_rules_match_in_order(spark):
