@@ -15,18 +15,21 @@ weight w = (s + d T) * P_parent(token) of a new table, T and P_parent those of t
 tables have odds S(c, t) w^t (S: generalised Stirling numbers).  These are the odds that
 steps of one customer, who leaves and joins tables with c - d t or a new one with w, settle at.  The
 parent's customers, the tables, are seated anew likewise.  Probabilities are averaged
-over ``SAMPLES`` seatings after ``BURN`` sweeps.
-
-Everything a token needs (its counts in all contexts, its seating, its parent
-part) is in one bucket of tokens, so a bucket is seated in one task, in
-parallel with all others; totals of restaurants over all buckets are summed by
-Spark (a fixed number of them).  Two passes: the first counts and seats, giving
-the totals; the second sends counts and positions to the buckets, seats again
-(the same draws) and returns sums per document.  Counts are pre-aggregated by
-slice of the input, positions stream through and are never held, and a bucket
+over the last ``SAMPLES`` of ``SWEEPS`` seatings.
+
+Counts go to buckets of tokens, where all contexts of a token meet, and the pairs with more than one
+customer are staged, a row a bucket.  A sweep is one Spark job over them: restaurants' tables and the
+parent's customers and tables are summed over all buckets, so every sweep uses the exact totals of the
+one before.  A draw is a hash of token, context and sweep put through the quantiles of its odds.  So a seating
+follows from counts and totals alone: tasks repeat it instead of storing it, and neither the number of buckets nor
+the order of rows changes a score (beyond rounding).  The totals are a table of fixed size.
+
+Counts are pre-aggregated by slice of the input and merged as they arrive, so a task holds the
+distinct pairs of its bucket and no more (a token has at most ``CONTEXTS`` of them).  The last pass sends counts and
+positions to the buckets and returns sums per document; positions stream through and are never held, and a bucket
 with a very frequent token is dealt to several tasks, each with the counts.
 
-Null texts are empty: one end token.  Rows without id are learned from and
+Texts of any length are handled whole.  Null texts are empty: one end token.  Rows without id are learned from and
 scored like others.  Repeated rows get equal scores and count as often as they
 appear.  An empty table gives an empty result; where nothing is learned, every
 token is unknown.  Columns other than doc_id and text are not read.
@@ -36,10 +39,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,14 +52,16 @@ from . import common
 
 # The fold that is held out.
 FOLDS, HELD = 7, 2
-# Restaurants, and discount and strength of contexts and parent.
-CONTEXTS = 4096
+# Restaurants (a context has 16 bits), and discount and strength of contexts and parent.
+CONTEXTS = 65_536
 DISCOUNT, STRENGTH = 0.8, 20.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 10.0
-# Sweeps before the first sample, samples, and sweeps between them.
-BURN, SAMPLES, BETWEEN = 6, 3, 2
+# Sweeps, and how many of the last ones are samples.
+SWEEPS, SAMPLES = 8, 3
 # Tokens a bucket, characters a slice, rows a slice (places in a slice have 16 bits).
 BUCKET_TOKENS, SLICE_CHARS, SLICE_ROWS = 3_000_000, 8_000_000, 60_000
+# Counts waiting to be merged (or as many as are merged already, if those are more).
+WAITING = 4_000_000
 # Up to so many customers odds come from Stirling numbers, above from their limits.
 STIRLING = 128
 # Buckets with more than this share of all tokens may be dealt to several tasks; there are at most 1024.
@@ -85,43 +91,68 @@ def bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
     return (common.mix64(tokens ^ START) >> np.uint64(11)).astype(np.int64) % buckets
 
 
+class _Places(dict):
+    """Places of words in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
+
+
 class _Slice:
-    """Tokens of a slice of documents, sorted by bucket, token and context."""
+    """Tokens of a slice of documents: keys (place of the token, context), with tokens placed by bucket."""
 
-    def __init__(self, part: pa.RecordBatch, cache: common.WordHashes):
-        arrays = []
+    def __init__(self, part: pa.RecordBatch, buckets: int):
+        places, arrays = _Places(), []
+        places[None] = 0  # the end
+        end = np.zeros(1, dtype=np.int64)
         for text in part.column(2).to_pylist():
             words = _WORDS(text.encode("utf-8", "surrogatepass").lower()) if text else []
-            arrays += [cache.array(words), END[None]]
+            arrays += [np.fromiter(map(places.__getitem__, words), dtype=np.int64, count=len(words)), end]
         token = np.concatenate(arrays)
-        lengths = np.fromiter(map(len, arrays), dtype=np.int64, count=len(arrays)).reshape(-1, 2).sum(axis=1)
-        self.lengths = lengths
+        self.lengths = np.fromiter(map(len, arrays), dtype=np.int64, count=len(arrays)).reshape(-1, 2).sum(axis=1)
         self.learned = np.asarray(part.column(1).to_numpy(zero_copy_only=False), dtype=bool)
-        before = np.append(START, token[:-1])
-        before[(np.cumsum(lengths) - lengths)] = START
-        self.token, self.doc = token, np.repeat(np.arange(len(lengths)), lengths)
-        self.context = (common.mix64(before) >> np.uint64(17)).astype(np.int64) % CONTEXTS
-
-    def sort(self, buckets: int) -> None:
-        bucket = bucket_of(self.token, buckets)
-        order = np.lexsort((self.context, self.token, bucket))
-        self.bucket, self.token, self.doc, self.context = (x[order] for x in (bucket, self.token, self.doc, self.context))
-
-    def counts(self) -> list[tuple[int, bytes]]:
-        """(bucket, counts of the learned tokens by context) for each bucket."""
-        use = self.learned[self.doc]
-        bucket, token, context = self.bucket[use], self.token[use], self.context[use]
-        if not len(token):
-            return []
-        new = np.append(True, (token[1:] != token[:-1]) | (context[1:] != context[:-1]))
+        del places[None]
+        word = np.append(END, np.fromiter(map(xxhash.xxh3_64_intdigest, places), dtype=np.uint64, count=len(places)))
+        bucket = bucket_of(word, buckets)
+        order = np.argsort(bucket, kind="stable")
+        self.word, self.bucket, rank = word[order], bucket[order], np.empty(len(word), dtype=np.int64)
+        rank[order] = np.arange(len(word))
+        restaurant = (common.mix64(np.append(word, START)) >> np.uint64(17)).astype(np.int64) % CONTEXTS
+        before = np.append(len(word), token[:-1])
+        before[np.cumsum(self.lengths) - self.lengths] = len(word)  # the start
+        self.key = rank[token] * CONTEXTS + restaurant[before]
+
+    def order(self) -> tuple[np.ndarray, np.ndarray]:
+        """(keys in order, their documents)."""
+        order = np.argsort(self.key)
+        return self.key[order], np.repeat(np.arange(len(self.lengths)), self.lengths)[order]
+
+    def learned_keys(self) -> np.ndarray:
+        return np.sort(self.key[np.repeat(self.learned, self.lengths)])
+
+    def counts(self, key: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """(bucket, counts of tokens by context) for each bucket, of learned keys in order."""
+        new = np.append(True, key[1:] != key[:-1])[:len(key)]
         new[::60_000] = True  # a count has 16 bits; entries that repeat are summed later
         first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(token))).astype("<u2")
-        return [(b, pack(*_runs(token[first][x]), context[first][x].astype("<u2"), count[x])) for b, x in _parts(bucket[first])]
+        count, key = np.diff(np.append(first, len(key))).astype("<u2"), key[first]
+        for b, x in self._parts(key):
+            yield b, pack(*self._tokens(key[x]), (key[x] % CONTEXTS).astype("<u2"), count[x])
 
-    def positions(self) -> list[tuple[int, bytes]]:
-        return [(b, pack(*_runs(self.token[x]), self.context[x].astype("<u2"), self.doc[x].astype("<u2")))
-                for b, x in _parts(self.bucket)]
+    def positions(self, key: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        for b, x in self._parts(key):
+            yield b, pack(*self._tokens(key[x]), (key[x] % CONTEXTS).astype("<u2"), doc[x].astype("<u2"))
+
+    def _tokens(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _runs(self.word[key // CONTEXTS])
+
+    def _parts(self, key: np.ndarray) -> Iterator[tuple[int, slice]]:
+        first = np.flatnonzero(np.append(True, self.bucket[1:] != self.bucket[:-1]))
+        ends = np.searchsorted(key, np.append(first[1:], len(self.bucket)) * CONTEXTS).tolist()
+        for b, start, end in zip(self.bucket[first].tolist(), [0, *ends], ends):
+            if end > start:
+                yield b, slice(start, end)
 
 
 def _runs(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,12 +160,6 @@ def _runs(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return token[first].astype("<u8"), np.diff(np.append(first, len(token))).astype("<u4")
 
 
-def _parts(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
-    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
-        yield int(bucket[a]), slice(a, b)
-
-
 def _sent(rows: Sequence[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * 5
     types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
@@ -145,36 +170,30 @@ def _send(buckets: int, tasks: dict[int, int] | None):
     """(doc_id, learned, text) -> counts by bucket; with ``tasks`` (tasks of large buckets) positions and headers as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, ordinal = common.WordHashes(), 0
+        ordinal = 0
         here = TaskContext.get().partitionId() << 32  # the same again when a task is repeated
         for large in common.slices(batches, SLICE_CHARS):
             for start in range(0, large.num_rows, SLICE_ROWS):
                 part = large.slice(start, SLICE_ROWS)
-                tokens, name = _Slice(part, cache), here + ordinal
-                tokens.sort(buckets)
+                tokens, name = _Slice(part, buckets), here + ordinal
                 ordinal += 1
-                rows = []
-                for b, data in tokens.counts():
-                    rows += [(b, k, COUNTS, name, data) for k in range((tasks or {}).get(b, 1))]
-                if tasks is not None:
-                    rows += [(b, name % tasks.get(b, 1), POSITIONS, name, data) for b, data in tokens.positions()]
+                if tasks is None:
+                    yield _sent([(b, 0, COUNTS, name, data) for b, data in tokens.counts(tokens.learned_keys())])
+                else:
+                    key, doc = tokens.order()
+                    rows = []
+                    for b, data in tokens.counts(key[tokens.learned[doc]]):
+                        rows += [(b, k, COUNTS, name, data) for k in range(tasks.get(b, 1))]
+                    rows += [(b, name % tasks.get(b, 1), POSITIONS, name, data) for b, data in tokens.positions(key, doc)]
                     ids = part.column(0)
                     known = np.asarray(ids.is_valid().to_numpy(zero_copy_only=False), dtype=np.uint8)
                     header = pack(np.asarray(ids.fill_null(0), dtype="<i8"), known, tokens.lengths.astype("<i8"))
                     rows.append((-1 - name, 0, HEADER, name, header))
-                yield _sent(rows)
+                    yield _sent(rows)
 
     return run
 
 
-def single_odds(c: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
-    """Probability that a customer drawn from t tables of c sits alone: S(c-1, t-1) / S(c, t)."""
-    table = _stirling_odds(discount)
-    small = c <= STIRLING
-    limit = np.minimum(1.0, discount * (t - 1) / np.maximum(1, c - 1))
-    return np.where(small, table[np.where(small, c, 0), np.where(small, np.minimum(t, STIRLING), 0)], limit)
-
-
 def _stirling(discount: float, known: dict = {}) -> np.ndarray:  # noqa: B006  (remembered by discount)
     """Logarithms of the generalised Stirling numbers S(c, t)."""
     if discount not in known:
@@ -189,18 +208,14 @@ def _stirling(discount: float, known: dict = {}) -> np.ndarray:  # noqa: B006  (
     return known[discount]
 
 
-def _stirling_odds(discount: float, known: dict = {}) -> np.ndarray:  # noqa: B006  (remembered by discount)
-    if discount not in known:
-        log = _stirling(discount)
-        odds = np.zeros_like(log)
-        with np.errstate(invalid="ignore"):
-            odds[1:, 1:] = np.nan_to_num(np.exp(log[:-1, :-1] - log[1:, 1:]))
-        known[discount] = np.clip(odds, 0.0, 1.0)
-    return known[discount]
+def draws(word: np.ndarray, context: np.ndarray | int, step: int) -> np.ndarray:
+    """Numbers in (0, 1) by token, context (-1: the parent) and sweep."""
+    place = common.mix64(np.atleast_1d(context).astype(np.int64).astype(np.uint64) * np.uint64(1024) + np.uint64(step))
+    return ((common.mix64(word ^ place) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
 
 
-def seat(rng: np.random.Generator, c: np.ndarray, weight: np.ndarray, discount: float) -> np.ndarray:
-    """Tables of c customers, drawn with odds S(c, t) weight^t: exactly up to ``STIRLING`` customers.
+def seat(draw: np.ndarray, c: np.ndarray, weight: np.ndarray, discount: float) -> np.ndarray:
+    """Tables of c customers at quantile ``draw`` of the odds S(c, t) weight^t: exactly up to ``STIRLING`` customers.
 
     Above, the limit: S(c, t) weight^t / c! is the part x^c of (weight g(x))^t / t! with g(x) = (1 -
     (1-x)^d) / d, so beside one customer's table there are about Poisson(weight g(x)) others, with the x
@@ -215,7 +230,7 @@ def seat(rng: np.random.Generator, c: np.ndarray, weight: np.ndarray, discount:
             use = order[start:min(start + 2_000_000 // n, ends[n - 1])]
             odds = log + np.log(weight[use])[:, None] * places
             odds = np.cumsum(np.exp(odds - odds.max(axis=1, keepdims=True)), axis=1)
-            t[use] = 1 + (odds < (rng.random(len(use)) * odds[:, -1])[:, None]).sum(axis=1)
+            t[use] = 1 + (odds < (draw[use] * odds[:, -1])[:, None]).sum(axis=1)
     use = order[ends[-1]:]
     if len(use):
         n, w = c[use].astype(float), weight[use]
@@ -226,123 +241,158 @@ def seat(rng: np.random.Generator, c: np.ndarray, weight: np.ndarray, discount:
             low, high = np.where(more, middle, low), np.where(more, high, middle)
         x, rest = -np.expm1(high), np.exp(high)
         mean = -w * np.expm1(discount * high) / discount
-        p = np.clip(n * rest / (rest + x * (1 - discount)) / mean, 0.0, 1.0)
-        tries = np.maximum(1, np.round(mean / np.maximum(p, 0.01)))
-        others = np.where(p < 0.01, rng.poisson(mean), rng.binomial(tries.astype(np.int64), np.minimum(1.0, mean / tries)))
-        t[use] = np.minimum(c[use], 1 + others)
+        p = np.clip(n * rest / (rest + x * (1 - discount)) / mean, 0.0, 1.0)  # spread lost
+        t[use] = np.minimum(c[use], 1 + _others(draw[use], mean, p))
     return t
 
 
-class Seating:
-    """Counts and sampled tables of one bucket."""
-
-    def __init__(self, bucket: int, buckets: int, blobs: Sequence[bytes]):
-        parts = [unpack(b, "<u8", "<u4", "<u2", "<u2") for b in blobs]
-        token = np.concatenate([np.repeat(w, r) for w, r, _, _ in parts]) if parts else np.zeros(0, dtype=np.uint64)
-        context = np.concatenate([u for _, _, u, _ in parts]).astype(np.int64) if parts else np.zeros(0, dtype=np.int64)
-        count = np.concatenate([n for *_, n in parts]).astype(np.int64) if parts else np.zeros(0, dtype=np.int64)
-        self.words, word = np.unique(token, return_inverse=True)
-        key = word * CONTEXTS + context
-        order = np.argsort(key, kind="stable")
-        key, count = key[order], count[order]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
-        self.key = key[first]
-        self.c = np.add.reduceat(count, first) if len(first) else count[:0]
-        self.word, self.context = self.key // CONTEXTS, self.key % CONTEXTS
-        self.total = np.bincount(self.word, weights=self.c, minlength=len(self.words)).astype(np.int64)
-        self.samples: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self._sample(np.random.default_rng([bucket, buckets]), buckets)
-
-    def _sample(self, rng: np.random.Generator, buckets: int) -> None:
-        """Sweeps; totals of restaurants are those of this bucket, times the number of buckets (tokens are dealt by hash)."""
-        n_words = len(self.words)
-        many = np.flatnonzero(self.c > 1)
-        c, word, context = self.c[many], self.word[many], self.context[many]
-        t_all = np.ones(len(self.c), dtype=np.int64)
-        t = np.minimum(c, np.maximum(1, np.round(c ** (DISCOUNT / 2)).astype(np.int64)))
-        once = np.bincount(self.word[self.c == 1], minlength=n_words)
-        parent_t = np.ones(n_words, dtype=np.int64)
-        single = np.bincount(self.context[self.c == 1], minlength=CONTEXTS)
-        uniform = 1.0 / (n_words * buckets + 1)
-        for step in range(BURN + SAMPLES * BETWEEN - BETWEEN + 1):
-            customers = once + np.bincount(word, weights=t, minlength=n_words).astype(np.int64)
-            tables = (single + np.bincount(context, weights=t, minlength=CONTEXTS)) * buckets
-            everyone, parent_tables = customers.sum() * buckets, parent_t.sum() * buckets
-            new = (PARENT_STRENGTH + PARENT_DISCOUNT * parent_tables) * uniform
-            # The parent's customers, the tables of all contexts, are seated anew.
-            parent_t = seat(rng, customers, np.full(n_words, new), PARENT_DISCOUNT)
-            new = (PARENT_STRENGTH + PARENT_DISCOUNT * parent_t.sum() * buckets) * uniform
-            parent = (customers - PARENT_DISCOUNT * parent_t + new) / (PARENT_STRENGTH + everyone)
-            # So are all customers of every token and context with more than one.
-            t = seat(rng, c, (STRENGTH + DISCOUNT * tables[context]) * parent[word], DISCOUNT)
-            if step >= BURN and (step - BURN) % BETWEEN == 0:
-                sampled = t_all.copy()
-                sampled[many] = t
-                sat = np.bincount(self.word, weights=sampled, minlength=n_words).astype(np.int64)
-                self.samples.append((sampled.astype(np.int32), sat, np.minimum(parent_t, np.maximum(1, sat))))
-
-    def totals(self, bucket: int) -> list[tuple[int, int, int]]:
-        """(kind, place, value): customers and sampled tables by context, words, and the parent's customers and tables."""
-        out = [(0, u, v) for u, v in enumerate(np.bincount(self.context, weights=self.c, minlength=CONTEXTS).astype(int).tolist()) if v]
-        for s, (t, sat, parent_t) in enumerate(self.samples):
-            out += [(1 + s, u, v) for u, v in enumerate(np.bincount(self.context, weights=t, minlength=CONTEXTS).astype(int).tolist()) if v]
-            out += [(-1, 2 * s, int(sat.sum())), (-1, 2 * s + 1, int(parent_t.sum()))]
-        out += [(-2, 0, len(self.words)), (-3, bucket, int(self.c.sum()))]
-        return out
+def _others(draw: np.ndarray, mean: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Quantiles of a binomial of this mean and odds p (Poisson where p is small), of its normal limit above a mean of 50."""
+    whole = np.floor(draw * 2.0 ** 24)
+    angle = draw * 2.0 ** 24 - whole
+    normal = np.sqrt(-2 * np.log((whole + 0.5) / 2.0 ** 24)) * np.cos(2 * np.pi * angle)
+    out = np.maximum(0, np.rint(mean + normal * np.sqrt(mean * (1 - p)))).astype(np.int64)
+    few = np.flatnonzero(mean <= 50)
+    mean, p, draw = mean[few], p[few], draw[few]
+    poisson = p < 0.01
+    tries = np.where(poisson, np.inf, np.maximum(1, np.round(mean / np.maximum(p, 0.01))))
+    p = np.where(poisson, 0.0, np.minimum(0.999, mean / tries))
+    with np.errstate(invalid="ignore"):
+        term = np.exp(np.where(poisson, -mean, np.where(poisson, 0.0, tries) * np.log1p(-p)))
+        below, t, k = term.copy(), np.zeros(len(few), dtype=np.int64), 0
+        while (more := (below < draw) & (k < tries)).any() and k < 1000:
+            term = np.where(poisson, term * mean / (k + 1), np.where(more, term * (tries - k) / (k + 1) * p / (1 - p), 0.0))
+            below, t, k = below + term, t + more, k + 1
+    out[few] = t
+    return out
 
 
 class Totals:
-    """What is known over all buckets: a fixed number of sums."""
-
-    def __init__(self, rows: Sequence[tuple[int, int, int]]):
-        self.customers = np.zeros(CONTEXTS)
-        self.tables = np.zeros((SAMPLES, CONTEXTS))
-        self.parent = np.zeros((SAMPLES, 2))
-        self.words = 0
-        for kind, place, value in rows:
-            if kind == 0:
-                self.customers[place] = value
-            elif kind > 0:
-                self.tables[kind - 1, place] = value
-            elif kind == -1:
-                self.parent[place // 2, place % 2] = value
-            elif kind == -2:
-                self.words = value
-        self.tokens = int(self.customers.sum())
-        self.back = (STRENGTH + DISCOUNT * self.tables) / (STRENGTH + self.customers)  # by sample and context
-        self.unknown = (PARENT_STRENGTH + PARENT_DISCOUNT * self.parent[:, 1]) / (PARENT_STRENGTH + self.parent[:, 0]) / (self.words + 1)
+    """What is known over all buckets after a sweep: a fixed number of sums."""
+
+    def __init__(self, customers: np.ndarray, tables: np.ndarray, parent: tuple[int, int], words: int):
+        self.customers, self.tables, self.parent, self.words = customers, tables, parent, words
+        self.tokens = int(customers.sum())
+        self.uniform = 1.0 / (words + 1)
+        # A new table's weight in the parent, the parent's denominator, and the share of the parent by context.
+        self.new = (PARENT_STRENGTH + PARENT_DISCOUNT * parent[1]) * self.uniform
+        self.everyone = PARENT_STRENGTH + parent[0]
+        self.back = (STRENGTH + DISCOUNT * tables) / (STRENGTH + customers)
+
+    def next(self, tables: np.ndarray, parent: tuple[int, int]) -> Totals:
+        return Totals(self.customers, tables, parent, self.words)
+
+
+class Counts:
+    """Distinct (token, context) pairs of one bucket with their customers, merged as they arrive."""
+
+    def __init__(self, blobs: Iterable[bytes] = ()):
+        self.words, self.key, self.c = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self._waiting, self._size = [], 0
+        for blob in blobs:
+            self.add(blob)
+
+    def add(self, blob: bytes) -> None:
+        word, runs, context, count = unpack(blob, "<u8", "<u4", "<u2", "<u2")
+        self._waiting.append((word, runs, context, count))
+        self._size += len(context)
+        if self._size > max(WAITING, len(self.key)):
+            self.merge()
+
+    def merge(self) -> Counts:
+        if not self._waiting:
+            return self
+        old = np.bincount(self.key // CONTEXTS, minlength=len(self.words))
+        words, runs, context, count = (np.concatenate(x) for x in zip(
+            (self.words, old, self.key % CONTEXTS, self.c), *((w, r, u, n.astype(np.int64)) for w, r, u, n in self._waiting)))
+        self._waiting, self._size = [], 0
+        self.words, word = np.unique(words, return_inverse=True)
+        key = np.repeat(word, runs.astype(np.int64)) * CONTEXTS + context.astype(np.int64)
+        order = np.argsort(key)
+        key, count = key[order], count[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        self.key, self.c = key[first], np.add.reduceat(count, first)
+        return self
+
+
+def start(c: np.ndarray, discount: float) -> np.ndarray:
+    """Tables before the first sweep."""
+    return np.minimum(c, np.maximum(1, np.round(c ** (discount / 2)).astype(np.int64)))
+
+
+class Seating:
+    """Sampled tables of one bucket: of the pairs with more than one customer, the others have one table."""
+
+    def __init__(self, words: np.ndarray, once: np.ndarray, word: np.ndarray, context: np.ndarray, c: np.ndarray):
+        self.words, self.once, self.word, self.context, self.c = words, once.astype(np.int64), word, context, c
+        self.t = start(c, DISCOUNT)
+        self.sat = self._sat()
+        self.parent_t = start(self.sat, PARENT_DISCOUNT)
+
+    @staticmethod
+    def of(counts: Counts) -> Seating:
+        many, word = counts.c > 1, counts.key // CONTEXTS
+        return Seating(counts.words, np.bincount(word[~many], minlength=len(counts.words)), word[many],
+                       counts.key[many] % CONTEXTS, counts.c[many])
+
+    def more(self) -> np.ndarray:
+        """Tables by context beyond those before the first sweep."""
+        return np.bincount(self.context, weights=self.t - start(self.c, DISCOUNT), minlength=CONTEXTS).astype(np.int64)
+
+    def _sat(self) -> np.ndarray:
+        return self.once + np.bincount(self.word, weights=self.t, minlength=len(self.words)).astype(np.int64)
+
+    def sweeps(self, history: Sequence[Totals]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(tables of the pairs, the parent's customers and tables) after each sweep, each by the totals before it."""
+        for step, totals in enumerate(history):
+            parent = (self.sat - PARENT_DISCOUNT * self.parent_t + totals.new) / totals.everyone
+            weight = (STRENGTH + DISCOUNT * totals.tables[self.context]) * parent[self.word]
+            self.t = seat(draws(self.words[self.word], self.context, step), self.c, weight, DISCOUNT)
+            self.sat = self._sat()
+            self.parent_t = seat(draws(self.words, -1, step), self.sat, np.full(len(self.words), totals.new), PARENT_DISCOUNT)
+            yield self.t, self.sat, self.parent_t
 
 
 class Scorer:
     """Average probabilities of one bucket's tokens."""
 
-    def __init__(self, seating: Seating, totals: Totals):
-        self.words, self.key, self.total, self.totals = seating.words, seating.key, seating.total, totals
-        self.own = np.zeros(len(seating.key))
-        self.parent = np.zeros((SAMPLES, len(seating.words)))
-        for s, (t, sat, parent_t) in enumerate(seating.samples):
-            self.own += (seating.c - DISCOUNT * t) / (STRENGTH + totals.customers[seating.context]) / SAMPLES
-            self.parent[s] = (sat - PARENT_DISCOUNT * parent_t) / (PARENT_STRENGTH + totals.parent[s, 0]) + totals.unknown[s]
+    def __init__(self, counts: Counts, history: Sequence[Totals]):
+        """``history``: totals before the first sweep and after each."""
+        self.words, self.key, self.last = counts.words, counts.key, history[-1]
+        word, context = counts.key // CONTEXTS, counts.key % CONTEXTS
+        self.total = np.bincount(word, weights=counts.c, minlength=len(self.words)).astype(np.int64)
+        self.samples = history[-SAMPLES:]
+        self.unknown = np.array([s.new / s.everyone for s in self.samples])
+        self.parent = np.zeros((SAMPLES, len(self.words)))
+        tables, many = np.ones(len(counts.c)), counts.c > 1
+        tables[many] = 0
+        for step, (t, sat, parent_t) in enumerate(Seating.of(counts).sweeps(history[:-1])):
+            k = step - (len(history) - 1 - SAMPLES)
+            if k >= 0:
+                tables[many] += t / SAMPLES
+                self.parent[k] = (sat - PARENT_DISCOUNT * parent_t) / self.samples[k].everyone + self.unknown[k]
+        self.own = (counts.c - DISCOUNT * tables) / (STRENGTH + self.last.customers[context])
 
     def sums(self, data: bytes) -> bytes:
         """Packed (places of documents, known tokens, base sums, score sums) of one slice's positions."""
         word, runs, context, doc = unpack(data, "<u8", "<u4", "<u2", "<u2")
         context = context.astype(np.int64)
-        at = np.minimum(np.searchsorted(self.words, word), max(0, len(self.words) - 1))
-        seen = self.words[at] == word if len(self.words) else np.zeros(len(word), dtype=bool)
-        count = np.where(seen, self.total[at], 0) if len(self.words) else np.zeros(len(word), dtype=np.int64)
-        parent = np.where(seen, self.parent[:, at], self.totals.unknown[:, None]) if len(self.words) else np.repeat(
-            self.totals.unknown[:, None], len(word), axis=1)
+        at, seen = np.zeros(len(word), dtype=np.int64), np.zeros(len(word), dtype=bool)
+        count, parent = np.zeros(len(word), dtype=np.int64), np.repeat(self.unknown[:, None], len(word), axis=1)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+            seen = self.words[at] == word
+            count, parent = np.where(seen, self.total[at], 0), np.where(seen, self.parent[:, at], parent)
         index = np.repeat(np.arange(len(word)), runs)
         p = np.zeros(len(index))
-        for s in range(SAMPLES):
-            p += self.totals.back[s][context] * parent[s][index]
+        for s, sample in enumerate(self.samples):
+            p += sample.back[context] * parent[s][index]
         p /= SAMPLES
         if len(self.key):
             key = at[index] * CONTEXTS + context
             place = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
             p += np.where(seen[index] & (self.key[place] == key), self.own[place], 0.0)
-        base = np.log10((count + 1) / (self.totals.tokens + self.totals.words + 1))[index]
+        base = np.log10((count + 1) / (self.last.tokens + self.last.words + 1))[index]
         docs = doc.astype(np.int64)
         n = int(docs.max()) + 1
         there = np.flatnonzero(np.bincount(docs, minlength=n))
@@ -350,34 +400,92 @@ class Scorer:
         return pack(there.astype("<u2"), sums[0].astype("<u4"), sums[1].astype("<f8"), sums[2].astype("<f8"))
 
 
-def _seat(buckets: int):
-    """Counts sorted by bucket -> totals."""
+SUMS = "kind int, place long, value long"
+# Kinds of sums: customers and tables by context (tables of sweeps: beyond the first), the parent's both and words, tokens of a bucket.
+CUSTOMERS, TABLES, PARENT, SIZE = range(4)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, blobs = None, []
 
-        def done() -> pa.RecordBatch:
-            rows = Seating(name, buckets, blobs).totals(name)
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["kind", "place", "value"])
+def _sums(kind: int, values: np.ndarray, places: np.ndarray | None = None) -> pa.RecordBatch:
+    places = np.flatnonzero(values) if places is None else places
+    values = values[places] if len(values) != len(places) else values
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(places), kind, dtype=np.int32)), pa.array(places.astype(np.int64)),
+                                       pa.array(values.astype(np.int64))], names=["kind", "place", "value"])
 
-        for batch in batches:
-            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if bucket != name and blobs:
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts sorted by bucket -> a row a bucket, with what its sweeps and the first totals need."""
+    name, counts = None, None
+
+    def done() -> pa.RecordBatch:
+        counts.merge()
+        s = Seating.of(counts)
+        pairs = counts.key % CONTEXTS
+        by_context = (np.bincount(pairs, weights=x, minlength=CONTEXTS).astype(np.int64) for x in (counts.c, start(counts.c, DISCOUNT)))
+        data = pack(s.words, s.once.astype("<u4"), s.word.astype("<u4"), s.context.astype("<u2"), s.c.astype("<i8"))
+        first = pack(*by_context, np.array([s.sat.sum(), s.parent_t.sum(), len(s.words), counts.c.sum()]))
+        return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([first], pa.binary()), pa.array([data], pa.binary())],
+                                          names=["bucket", "first", "data"])
+
+    for batch in batches:
+        for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if bucket != name:
+                if counts is not None:
                     yield done()
-                    blobs = []
-                name = bucket
-                blobs.append(data)
-        if blobs:
-            yield done()
+                name, counts = bucket, Counts()
+            counts.add(data.as_py())
+    if counts is not None:
+        yield done()
+
+
+def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, first) -> sums before the first sweep, added up over the buckets of a task."""
+    by_context, parent = np.zeros((2, CONTEXTS), dtype=np.int64), np.zeros(3, dtype=np.int64)
+    for batch in batches:
+        for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            *two, (*sums, tokens) = unpack(data.as_py(), "<i8", "<i8", "<i8")
+            by_context += two
+            parent += sums
+            yield _sums(SIZE, np.array([tokens]), np.array([bucket]))
+    yield _sums(CUSTOMERS, by_context[0])
+    yield _sums(TABLES, by_context[1])
+    yield _sums(PARENT, parent)
+
+
+def _sweep(history: Sequence[Totals]):
+    """Staged buckets -> sums after one more sweep, added up over the buckets of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, parent = np.zeros(CONTEXTS, dtype=np.int64), np.zeros(3, dtype=np.int64)
+        for batch in batches:
+            for data in batch.column(0):
+                words, once, word, context, c = unpack(data.as_py(), "<u8", "<u4", "<u4", "<u2", "<i8")
+                context = context.astype(np.int64)
+                seating = Seating(words, once, word.astype(np.int64), context, c)
+                for _ in seating.sweeps(history):
+                    pass
+                tables += seating.more()
+                parent += seating.sat.sum(), seating.parent_t.sum(), 0
+        yield _sums(TABLES, tables)
+        yield _sums(PARENT, parent)
 
     return run
 
 
-def _score(buckets: int, totals: Totals):
+def _collected(sums: DataFrame) -> dict[int, np.ndarray]:
+    """Sums by kind, of a fixed number of places."""
+    out = {CUSTOMERS: np.zeros(CONTEXTS, dtype=np.int64), TABLES: np.zeros(CONTEXTS, dtype=np.int64), PARENT: np.zeros(3, dtype=np.int64)}
+    got = sums.groupBy("kind", "place").agg(F.sum("value").alias("value")).toArrow()
+    kind, place, value = (c.to_numpy() for c in got.columns)
+    for k, array in out.items():
+        array[place[kind == k]] = value[kind == k]
+    return out
+
+
+def _score(history: Sequence[Totals]):
     """Rows sorted by bucket, part and kind -> (slice, kind, data): headers and sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, blobs, scorer = None, [], None
+        name, counts, scorer = None, None, None
         for batch in batches:
             out = []
             for k, (bucket, part, kind, slice_) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)))):
@@ -386,13 +494,12 @@ def _score(buckets: int, totals: Totals):
                     out.append((slice_, 0, data))
                     continue
                 if (bucket, part) != name:
-                    name, blobs, scorer = (bucket, part), [], None
+                    name, counts, scorer = (bucket, part), Counts(), None
                 if kind == COUNTS:
-                    blobs.append(data)
+                    counts.add(data)
                     continue
                 if scorer is None:
-                    scorer = Scorer(Seating(bucket, buckets, blobs), totals)
-                    blobs = []
+                    scorer, counts = Scorer(counts.merge(), history), None
                 out.append((slice_, 1, scorer.sums(data)))
             columns = list(zip(*out)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary()))],
@@ -424,28 +531,37 @@ def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
+def learn(rows: DataFrame, buckets: int) -> tuple[list[Totals], dict[int, int]]:
+    """Totals before the first sweep and after each, and the number of tasks of large buckets."""
+    counts = common.map_arrow(rows, _send(buckets, None), SENT).select("bucket", "slice", "data")
+    counts = counts.repartition("bucket").sortWithinPartitions("bucket", "slice").select("bucket", "data")
+    merged = common.staged(common.map_arrow(counts, _merge, "bucket long, first binary, data binary"), "buckets")
+    first = common.staged(common.map_arrow(merged.select("bucket", "first"), _first, SUMS), "restaurants")
+    got = _collected(first.filter(F.col("kind") != SIZE))
+    history = [Totals(got[CUSTOMERS], got[TABLES], tuple(got[PARENT][:2].tolist()), int(got[PARENT][2]))]
+    for _ in range(SWEEPS):
+        got = _collected(common.map_arrow(merged.select("data"), _sweep(history), SUMS))
+        history.append(history[0].next(history[0].tables + got[TABLES], tuple(got[PARENT][:2].tolist())))
+    large = first.filter(F.col("kind") == SIZE).filter(
+        (F.col("value") > 2 * BUCKET_TOKENS) & (F.col("value") * LARGE > history[0].tokens))
+    return history, {r["place"]: math.ceil(r["value"] / BUCKET_TOKENS) for r in large.collect()}
+
+
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
     learned = common.is_learned(F.col("doc_id"), FOLDS, HELD)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), learned.alias("learned"), "text")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(chars / 6 / BUCKET_TOKENS))
-
-    counts = common.map_arrow(rows, _send(buckets, None), SENT).select("bucket", "slice", "data")
-    counts = counts.repartition("bucket").sortWithinPartitions("bucket", "slice").select("bucket", "data")
-    sums = common.staged(common.map_arrow(counts, _seat(buckets), "kind long, place long, value long")
-                         .groupBy("kind", "place").agg(F.sum("value").alias("value")), "restaurants")
-    totals = Totals([tuple(r) for r in sums.filter("kind > -3").collect()])
-    large = sums.filter(F.col("kind") == -3).filter((F.col("value") > 2 * BUCKET_TOKENS) & (F.col("value") * LARGE > totals.tokens))
-    tasks = {r["place"]: math.ceil(r["value"] / BUCKET_TOKENS) for r in large.collect()}
+    history, tasks = learn(rows, buckets)
 
     sent = common.map_arrow(rows, _send(buckets, tasks), SENT).repartition("bucket", "part")
     sent = sent.sortWithinPartitions("bucket", "part", "kind", "slice")
-    back = common.map_arrow(sent, _score(buckets, totals), "slice long, kind int, data binary")
+    back = common.map_arrow(sent, _score(history), "slice long, kind int, data binary")
     back = back.repartition("slice").sortWithinPartitions("slice", "kind")
     out = common.map_arrow(back, _collect, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", (~common.is_learned(F.col("doc_id"), FOLDS, HELD)).alias("held_out"), "n_tokens", "n_known",
-                      F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+                      F.lit(history[0].tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

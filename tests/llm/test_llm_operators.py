@@ -251,19 +251,40 @@ def test_language_model_counts_and_held_out_gain(spark, monkeypatch):
     assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held)
 
 
-def test_language_model_probabilities_sum_to_one():
-    rng = np.random.default_rng(0)
-    token, context = rng.zipf(1.3, 4000).astype(np.uint64) % 300, rng.integers(0, 5, 4000)
+def packed(token, context):
+    """Counts of tokens by context as the tasks send them."""
     order = np.lexsort((context, token))
     token, context = token[order], context[order]
     new = np.append(True, (token[1:] != token[:-1]) | (context[1:] != context[:-1]))
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(token))).astype("<u2")
-    seating = pyp_lm.Seating(0, 1, [pyp_lm.pack(*pyp_lm._runs(token[first]), context[first].astype("<u2"), count)])
-    assert seating.c.sum() == 4000 and all((t >= 1).all() and (t <= seating.c).all() for t, _, _ in seating.samples)
-    totals = pyp_lm.Totals(seating.totals(0))
+    return pyp_lm.pack(*pyp_lm._runs(token[first]), context[first].astype("<u2"), count)
+
+
+def learned_history(counts):
+    """Totals before the first sweep and after each, from one bucket alone."""
+    place = counts.key % pyp_lm.CONTEXTS
+    customers, tables = (np.bincount(place, weights=x, minlength=pyp_lm.CONTEXTS).astype(int)
+                         for x in (counts.c, pyp_lm.start(counts.c, pyp_lm.DISCOUNT)))
+    s = pyp_lm.Seating.of(counts)
+    history = [pyp_lm.Totals(customers, tables, (int(s.sat.sum()), int(s.parent_t.sum())), len(counts.words))]
+    for _ in range(pyp_lm.SWEEPS):
+        s = pyp_lm.Seating.of(counts)
+        *_, (t, sat, parent_t) = s.sweeps(history)
+        history.append(history[0].next(tables + s.more(), (int(sat.sum()), int(parent_t.sum()))))
+    return history
+
+
+def test_language_model_probabilities_sum_to_one():
+    rng = np.random.default_rng(0)
+    token, context = rng.zipf(1.3, 4000).astype(np.uint64) % 300, rng.integers(0, 5, 4000)
+    counts = pyp_lm.Counts([packed(token, context)]).merge()
+    history = learned_history(counts)
+    assert counts.c.sum() == 4000
+    for t, sat, parent_t in pyp_lm.Seating.of(counts).sweeps(history[:-1]):
+        assert (t >= 1).all() and (t <= counts.c[counts.c > 1]).all() and (parent_t <= sat).all()
     words = np.unique(token)
-    scorer = pyp_lm.Scorer(seating, totals)
+    scorer = pyp_lm.Scorer(counts, history)
     for u in (0, 3, 4000):
         known = np.append(words, np.uint64(10 ** 9))          # the last stands for the unknown
         data = pyp_lm.pack(known.astype("<u8"), np.ones(len(known), dtype="<u4"), np.full(len(known), u, dtype="<u2"),
@@ -272,11 +293,92 @@ def test_language_model_probabilities_sum_to_one():
         assert (10 ** score).sum() == pytest.approx(1.0)
 
 
-def test_single_table_odds_are_exact():
-    # Three customers, discount d: S(3,2) = S(2,1) + (2 - 2d) S(2,2) with S(2,1) = 1 - d and S(2,2) = 1.
-    d = 0.25
-    got = pyp_lm.single_odds(np.array([3]), np.array([2]), d)[0]
-    assert got == pytest.approx((1 - d) / ((1 - d) + (2 - 2 * d)))
+def test_counts_are_merged_as_they_arrive(monkeypatch):
+    rng = np.random.default_rng(1)
+    blobs = [packed(rng.integers(0, 40, 500).astype(np.uint64), rng.integers(0, 7, 500)) for _ in range(20)]
+    whole = pyp_lm.Counts(blobs).merge()
+    monkeypatch.setattr(pyp_lm, "WAITING", 300)
+    pieces, most = pyp_lm.Counts(), 0
+    for blob in blobs:
+        pieces.add(blob)
+        most = max(most, pieces._size)
+    pieces.merge()
+    assert most <= 300 and whole.c.sum() == 10_000
+    for a, b in ((whole.words, pieces.words), (whole.key, pieces.key), (whole.c, pieces.c)):
+        assert (a == b).all()
+
+
+def one_by_one(pairs, words, sweeps, rng):
+    """An independent sampler: every customer in turn leaves and sits down again, in context and parent.
+
+    Returns mean tables of each pair and the mean probability of each pair over the sweeps after the first third.
+    """
+    d, s, d0, s0 = pyp_lm.DISCOUNT, pyp_lm.STRENGTH, pyp_lm.PARENT_DISCOUNT, pyp_lm.PARENT_STRENGTH
+    seats = {(u, w): [1] * c for (u, w), c in pairs.items()}       # customers by table
+    parent = {w: [1] * sum(len(t) for (_, x), t in seats.items() if x == w) for w in words}
+    n_tables = {u: sum(len(t) for (x, _), t in seats.items() if x == u) for u, _ in seats}
+    total = Counter()
+    for (u, _), c in pairs.items():
+        total[u] += c
+
+    def leave(tables):
+        k = rng.choices(range(len(tables)), tables)[0]
+        tables[k] -= 1
+        if not tables[k]:
+            del tables[k]
+            return True
+        return False
+
+    def sit(tables, discount, new):
+        k = rng.choices(range(len(tables) + 1), [n - discount for n in tables] + [new])[0]
+        if k == len(tables):
+            tables.append(1)
+            return True
+        tables[k] += 1
+        return False
+
+    def uniform():
+        return (s0 + d0 * sum(map(len, parent.values()))) / (len(words) + 1)
+
+    def odds(w):
+        everyone = sum(map(sum, parent.values()))
+        return (sum(parent[w]) - d0 * len(parent[w]) + uniform()) / (s0 + everyone)
+
+    tables, p, samples = Counter(), Counter(), 0
+    for step in range(sweeps):
+        for (u, w), mine in seats.items():
+            for _ in range(pairs[u, w]):
+                if leave(mine):
+                    n_tables[u] -= 1
+                    leave(parent[w])
+                if sit(mine, d, (s + d * n_tables[u]) * odds(w)):
+                    n_tables[u] += 1
+                    sit(parent[w], d0, uniform())
+        if step >= sweeps // 3:
+            samples += 1
+            for (u, w), mine in seats.items():
+                tables[u, w] += len(mine)
+                p[u, w] += (pairs[u, w] - d * len(mine) + (s + d * n_tables[u]) * odds(w)) / (s + total[u])
+    return {k: v / samples for k, v in tables.items()}, {k: v / samples for k, v in p.items()}
+
+
+def test_probabilities_are_those_of_an_independent_sampler(monkeypatch):
+    monkeypatch.setattr(pyp_lm, "SWEEPS", 80)                  # long enough to compare means
+    monkeypatch.setattr(pyp_lm, "SAMPLES", 60)
+    rng = random.Random(3)
+    pairs = Counter((rng.randrange(3), min(7, int(rng.expovariate(0.5)))) for _ in range(150))
+    words = sorted({w for _, w in pairs})
+    tables, p = one_by_one(pairs, words, 300, rng)
+    token = np.array([w for (_, w), c in pairs.items() for _ in range(c)], dtype=np.uint64)
+    context = np.array([u for (u, _), c in pairs.items() for _ in range(c)])
+    counts = pyp_lm.Counts([packed(token, context)]).merge()
+    history = learned_history(counts)
+    scorer = pyp_lm.Scorer(counts, history)
+    got = sum(h.tables.sum() for h in history[-pyp_lm.SAMPLES:]) / pyp_lm.SAMPLES
+    assert got == pytest.approx(sum(tables.values()), rel=0.05)
+    for (u, w), expected in p.items():
+        data = pyp_lm.pack(np.array([w], dtype="<u8"), np.array([1], dtype="<u4"), np.array([u], dtype="<u2"), np.array([0], dtype="<u2"))
+        assert 10 ** pyp_lm.unpack(scorer.sums(data), "<u2", "<u4", "<f8", "<f8")[3][0] == pytest.approx(expected, rel=0.05, abs=0.002)
 
 
 @pytest.mark.parametrize("c, w", [(10, 3.0), (100, 20.0), (1000, 150.0), (100_000, 480.0)])
@@ -293,29 +395,40 @@ def test_tables_have_the_odds_of_seating_one_by_one(c, w):
     odds = np.exp(log - log.max())
     mean = (odds * t).sum() / odds.sum()
     spread = math.sqrt((odds * (t - mean) ** 2).sum() / odds.sum())
-    got = pyp_lm.seat(np.random.default_rng(5), np.full(20_000, c), np.full(20_000, w), d)
+    got = pyp_lm.seat(np.random.default_rng(5).random(20_000), np.full(20_000, c), np.full(20_000, w), d)
     assert got.mean() == pytest.approx(mean, rel=0.01) and got.std() == pytest.approx(spread, rel=0.05)
     assert (got >= 1).all() and (got <= c).all()
 
 
 def test_sweeps_seat_all_customers():
     """Sampled tables follow from counts and weights at any count, not from where they start."""
-    context, words = np.arange(50, dtype="<u2"), np.arange(1, 41, dtype="<u8")
-    blob = pyp_lm.pack(words, np.full(40, 50, dtype="<u4"), np.tile(context, 40), np.full(2000, 60_000, dtype="<u2"))
-    (last, sat, parent_t), (t, *_) = pyp_lm.Seating(0, 1, [blob]).samples[-2:]
-    weight = np.full(len(t), (pyp_lm.STRENGTH + pyp_lm.DISCOUNT * last.sum() / 50) / 40)
-    assert t.mean() == pytest.approx(pyp_lm.seat(np.random.default_rng(5), np.full(len(t), 60_000), weight, pyp_lm.DISCOUNT).mean(), rel=0.2)
+    words = np.arange(1, 41, dtype="<u8")
+    blob = pyp_lm.pack(words, np.full(40, 50, dtype="<u4"), np.tile(np.arange(50, dtype="<u2"), 40), np.full(2000, 60_000, dtype="<u2"))
+    counts = pyp_lm.Counts([blob]).merge()
+    history = learned_history(counts)
+    *_, (t, sat, parent_t) = pyp_lm.Seating.of(counts).sweeps(history[:-1])
+    weight = np.full(len(t), (pyp_lm.STRENGTH + pyp_lm.DISCOUNT * history[-2].tables.sum() / 50) / 40)
+    expected = pyp_lm.seat(np.random.default_rng(5).random(len(t)), np.full(len(t), 60_000), weight, pyp_lm.DISCOUNT).mean()
+    assert t.mean() == pytest.approx(expected, rel=0.2)
     assert t.mean() > round(60_000 ** 0.4) + 11 and parent_t.max() > 12
 
 
-def test_large_buckets_are_dealt_to_several_tasks(spark, monkeypatch):
+def test_scores_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    """Buckets of one, three and ten; a frequent token's bucket is dealt to several tasks; odd rows among them."""
     rows = [(i, "the " * 50 + f"word{i % 7} other{i}") for i in range(300)]
-    plain = {r.doc_id: r for r in pyp_lm.score(H.frame(spark, rows)).collect()}
-    monkeypatch.setattr(pyp_lm, "BUCKET_TOKENS", 5_000)
-    dealt = {r.doc_id: r for r in pyp_lm.score(H.frame(spark, rows)).collect()}
-    for d, r in plain.items():
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (dealt[d].n_tokens, dealt[d].n_known, dealt[d].train_tokens)
-        assert r.base_score == pytest.approx(dealt[d].base_score) and r.score == pytest.approx(dealt[d].score, rel=0.1)
+    rows += [(1000, None), (1001, ""), (None, "the word1 the"), (None, None), (5, rows[5][1]), (5, rows[5][1]), (1002, "The wOrd2 the\n" * 4000)]
+    chars, out = sum(len(t or "") for _, t in rows), []
+    for buckets in (1, 3, 10):
+        monkeypatch.setattr(pyp_lm, "BUCKET_TOKENS", math.ceil(chars / 6 / buckets))
+        got = [tuple(r) for r in pyp_lm.score(H.frame(spark, rows)).collect()]
+        out.append(sorted(got, key=lambda r: (r[0] is None, r[0] or 0, r[2])))
+        assert len(got) == len(rows)
+    for a, b, c in zip(*out):
+        assert a[:5] == b[:5] == c[:5]
+        assert a[5:] == pytest.approx(b[5:], rel=1e-6) and a[5:] == pytest.approx(c[5:], rel=1e-6)
+    by_id = {r[0]: r for r in out[0]}
+    assert by_id[1000][2:] == by_id[1001][2:] and by_id[1000][2] == 1 and by_id[1002][2] == 12_001
+    assert len({r[2:] for r in out[0] if r[0] == 5}) == 1 and sum(r[0] is None for r in out[0]) == 2
 
 
 # --- licences by name and further notices ------------------------------------------------------------------------------------
