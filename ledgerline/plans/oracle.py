@@ -9,14 +9,13 @@ what makes it an oracle.
 
 from __future__ import annotations
 
-from ..functions import columns as C
 from ..sources.fixtures import FIXTURE_AS_OF, fixture_ctes_sql
 
 TODAY = f"DATE '{FIXTURE_AS_OF.isoformat()}'"
 YESTERDAY = f"(DATE '{FIXTURE_AS_OF.isoformat()}' - INTERVAL 1 DAY)"
 YESTERDAY = f"CAST({YESTERDAY} AS DATE)"
-Q = "(" + ", ".join(str(m) for m in C.QUARTER_END_MONTHS) + ")"
-S = f"'{C.SENTINEL}'"
+Q = "(3, 6, 9, 12)"
+S = "'-9999'"
 
 CORE_D, CORE_M = "participant_core_balance", "participant_core_balance_monthly"
 LOAN, LIFE, PART = "participant_loan", "participant_life_fund_monthly", "participant"
@@ -48,19 +47,19 @@ def s_on(left: str, right: str, keys: list[str]) -> str:
     return on([(sk(f"{left}.{k}"), sk(f"{right}.{k}")) for k in keys])
 
 
-# --- Row-level amounts (fixed values come from functions.columns) -----------------
+# --- Row-level amounts (fixed values are written out here, apart from those of the plans) -----------------
 
 def lit(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-FUNDS = ", ".join(lit(f) for f in C.EXCLUDED_FUNDS)
+FUNDS = "'70', '90', '91'"
 
 
 def core_expr(exclude: bool) -> str:
     if not exclude:
         return "coalesce(cash_value_amount, 0.00)"
-    return (f"CASE WHEN fund_iv IN ({FUNDS}) AND client_id <> {lit(C.EXEMPT_CLIENT)} THEN 0.0 "
+    return (f"CASE WHEN fund_iv IN ({FUNDS}) AND client_id <> 'NG' THEN 0.0 "
             "ELSE coalesce(cash_value_amount, 0.00) END")
 
 
@@ -68,13 +67,13 @@ def money_type_expr(money_type: str) -> str:
     return f"CASE WHEN money_type_description = {lit(money_type)} THEN cash_value_amount END"
 
 
-EE_EXPR = f"coalesce({money_type_expr(C.EE)}, 0.00)"
-ER_EXPR = f"coalesce({money_type_expr(C.ER)}, 0.00)"
-LOAN_EXPR = (f"CASE WHEN source_system = {lit(C.PREMIER)} THEN outstanding_principal_balance "
+EE_EXPR = f"coalesce({money_type_expr('EE')}, 0.00)"
+ER_EXPR = f"coalesce({money_type_expr('ER')}, 0.00)"
+LOAN_EXPR = (f"CASE WHEN source_system = 'PREMIER' THEN outstanding_principal_balance "
              "ELSE loan_balance END")
-ALLOC_ID = (f"CASE WHEN source_system = {lit(C.VRP_PB)} OR source_system = {lit(C.VRP_SP_ALT)} THEN "
-            f"CASE WHEN account_type_code = {lit(C.ALLOCATED_ACCOUNT)} THEN participant_id END "
-            f"WHEN source_system = {lit(C.PREMIER)} THEN participant_id END")
+ALLOC_ID = (f"CASE WHEN source_system = 'VRP-PB' OR source_system = 'VRP_SP' THEN "
+            f"CASE WHEN account_type_code = 'ALLOC' THEN participant_id END "
+            f"WHEN source_system = 'PREMIER' THEN participant_id END")
 # The status code as a whole number, written without the engine's expression: a sign, digits and a dot are the only
 # characters, a digit comes first, and there is one dot at most; what stands before the dot is the number.
 _CODE = "trim(participant_status_code)"
@@ -82,10 +81,10 @@ _DIGITS = f"ltrim({_CODE}, '+-')"
 STATUS_NUMBER = (f"CASE WHEN length({_CODE}) - length({_DIGITS}) <= 1 AND {_DIGITS} <> '' AND translate({_DIGITS}, '0123456789.', '') = '' "
                  f"AND substr({_DIGITS}, 1, 1) <> '.' AND length({_DIGITS}) - length(replace({_DIGITS}, '.', '')) <= 1 "
                  f"THEN try_cast(split_part({_CODE}, '.', 1) AS INTEGER) END")
-ACTIVE_ID = (f"CASE WHEN source_system = {lit(C.VRP_PB)} OR source_system = {lit(C.VRP_SP)} THEN "
-             f"CASE WHEN {STATUS_NUMBER} <= {C.ACTIVE_STATUS_MAX} "
-             f"THEN participant_id END WHEN source_system = {lit(C.PREMIER)} THEN "
-             f"CASE WHEN participant_status_code = {lit(C.PREMIER_ACTIVE_STATUS)} THEN participant_id END END")
+ACTIVE_ID = (f"CASE WHEN source_system = 'VRP-PB' OR source_system = 'VRP-SP' THEN "
+             f"CASE WHEN {STATUS_NUMBER} <= 16 "
+             f"THEN participant_id END WHEN source_system = 'PREMIER' THEN "
+             f"CASE WHEN participant_status_code = 'A' THEN participant_id END END")
 
 
 def core_sums(name: str, table: str, keys: list[str], exclude: bool = True, shares: bool = False,
@@ -232,7 +231,7 @@ def _status_predicate() -> str:
     amounts = ["r.core_cash_value_amount", "r.life_cash_value_amount_monthly", "r.sdba_cash_value_amount",
                "r.loan_cash_value_amount", "r.noncore_cash_value_amount"]
     core, life, sdba, loan, noncore = amounts
-    active, inactive = f"b.part_status_desc = {lit(C.ACTIVE_DESC)}", f"b.part_status_desc <> {lit(C.ACTIVE_DESC)}"
+    active, inactive = f"b.part_status_desc = 'ACTIVE'", f"b.part_status_desc <> 'ACTIVE'"
     zero = " AND ".join(f"{a} = 0" for a in amounts)
     nonzero_all = " AND ".join(f"{a} <> 0" for a in amounts)
     nonzero_any = " OR ".join(f"{a} <> 0" for a in amounts)

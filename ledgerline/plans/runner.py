@@ -20,7 +20,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import configure, size_for_input, stored_bytes, tables_bytes, today
+from ..session import configure, database_bytes, size_for_input, stored_bytes, today
 from ..sources.sinks import write_ordered, write_report
 from ..sources.tables import BalanceTables, read_catalog_tables, read_parquet_tables
 from . import publication
@@ -115,7 +115,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.getOrCreate())
     tables = read_parquet_tables(spark, args.input) if args.input else read_catalog_tables(spark, args.database)
-    size_for_input(spark, stored_bytes(spark, args.input) if args.input else tables_bytes(spark, tables))
+    size_for_input(spark, stored_bytes(spark, args.input) if args.input else database_bytes(spark, args.database, tables))
     if args.changed:
         if not args.input:
             ap.error("--changed compares the files under --input")

@@ -16,6 +16,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.tables import TABLE_NAMES
+
 # Settings the report plans are designed around.
 SQL_CONF = {
     # Runtime re-planning: coalesce small shuffle partitions, split skewed
@@ -78,10 +80,10 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
-def tables_bytes(spark: SparkSession, tables) -> int:
-    """Total size of the files behind a ``BalanceTables`` bundle (each file once)."""
+def frames_bytes(spark: SparkSession, frames: list[DataFrame]) -> int:
+    """Total size of the folders that hold the files behind ``frames`` (each folder once)."""
     jvm, total = spark.sparkContext._jvm, 0
-    files = {f for name in tables.__dataclass_fields__ for f in getattr(tables, name).inputFiles()}
+    files = {f for frame in frames for f in frame.inputFiles()}
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in files}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -89,6 +91,24 @@ def tables_bytes(spark: SparkSession, tables) -> int:
     return total
 
 
+def database_bytes(spark: SparkSession, database: str, tables) -> int:
+    """Stored size of a database's input tables, without a list of their files.
+
+    A table counts with its catalog statistics (``ANALYZE TABLE``) where it has them, else with
+    what its location holds.  Only a view has neither and is sized by the files behind it.
+    """
+    total = 0
+    for field, name in TABLE_NAMES.items():
+        facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}").collect()}
+        if facts.get("Statistics"):
+            total += int(facts["Statistics"].split(" bytes")[0])
+        elif facts.get("Location"):
+            total += stored_bytes(spark, facts["Location"])
+        else:
+            total += frames_bytes(spark, [getattr(tables, field)])
+    return total
+
+
 def today(spark: SparkSession) -> _dt.date:
     """The session's current date (its time zone, not the driver machine's)."""
     return spark.sql("SELECT current_date()").first()[0]
