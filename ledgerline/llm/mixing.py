@@ -13,8 +13,9 @@ more, the document on the cut in part, those behind it not at all.
 
 Nulls: a null source is a source of its own (ordered last), a null text has
 size 0, a null id is keyed as the empty text.  Repeated rows count one by one.
-Documents without words take 0 words and are kept out of the mix.  An empty
-table gives an empty result.  Columns other than those named are not read.
+Documents without words take 0 words and are kept out of the mix.  Texts of any
+length are counted whole; a cut falls between words.  An empty table gives an
+empty result.  Columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -103,12 +104,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     others = [c for c in common.DOCUMENT_COLUMNS if c not in ("doc_id", "source")]
     plan = mix(docs, n_words(F.col("text")), carry=others)
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(common.WORD), F.lit(0)), 1, F.col("part").cast("int")), " ")
-    whole = plan.filter(F.col("size") > 0).withColumn(
-        "_copies", F.col("epochs") + F.when(F.col("part") == F.col("size"), 1).otherwise(0))
-    copies = whole.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    parts = whole.filter("part > 0 and part < size").withColumn("text", cut)
-    parts = parts.withColumn("n_chars", F.char_length("text").cast("long"))
-    return copies.select(*common.DOCUMENT_COLUMNS).unionByName(parts.select(*common.DOCUMENT_COLUMNS))
+    whole = F.col("epochs") + F.when(F.col("part") == F.col("size"), 1).otherwise(0)
+    some = F.when((F.col("part") > 0) & (F.col("part") < F.col("size")), 1).otherwise(0)
+    taken = plan.filter(F.col("size") > 0).withColumn("_whole", whole).withColumn("_copies", whole + some).filter("_copies > 0")
+    copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    in_part = F.col("_copy") > F.col("_whole")
+    copies = copies.withColumn("n_chars", F.when(in_part, F.char_length(cut).cast("long")).otherwise(F.col("n_chars")))
+    return copies.withColumn("text", F.when(in_part, cut).otherwise(F.col("text"))).select(*common.DOCUMENT_COLUMNS)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
