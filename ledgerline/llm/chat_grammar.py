@@ -15,7 +15,7 @@ In roles, a backslash and a line end are written as ``\\\\`` and ``\\n`` as well
 
 Spans of the loss mask cover the assistant texts as they stand in the output.
 
-Nulls: a null text or role is the empty one; rows without a conv_id form one
+Texts of any length are handled whole.  Nulls: a null text or role is the empty one; rows without a conv_id form one
 conversation of their own.  Rows of a conversation are ordered by turn (nulls
 first), ties by role and text, so repeated rows stay.  An empty table gives an
 empty result.  Columns other than conv_id, turn, role and text are not read.

@@ -13,7 +13,7 @@ The machine is fitted on a bounded sample: at most ``TRAIN_ROWS`` labelled rows
 open to learning, taken in hash order.  Scoring reads every whole text, in one
 pass without shuffle.  Labels, language, source and id are no features.
 
-Null texts count as empty; empty texts are scored by their structure; a null
+Texts of any length are read whole.  Null texts count as empty; empty texts are scored by their structure; a null
 n_chars counts as matching.  Rows without a quality label teach nothing; a
 document labelled twice counts once, by its lowest label; without any labelled
 row every score is 0.5.  Repeated rows get equal scores; an empty table gives

@@ -29,7 +29,7 @@ No link between different components is lost.
 
 Components are found by alternating star contraction on staged links.
 
-Nulls: a null or empty text has the empty set and is linked with nothing; a
+Texts of any length are shingled whole.  Nulls: a null or empty text has the empty set and is linked with nothing; a
 row without id is linked with nothing, has no component and is kept.  Rows that
 repeat an id share no more than their texts do.  Repeated rows are copies.  An
 empty table gives an empty result.  Columns other than those named are not
