@@ -117,6 +117,18 @@ def left_join_on(left: DataFrame, right: DataFrame, left_keys: Sequence[Column],
     return lhs.join(rhs, on=names, how=how).drop(*names)
 
 
+def left_join_raw(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """LEFT join of many raw rows on equal ``keys`` (NULL never matches), adding ``right``'s other columns.
+
+    For a lookup with far fewer rows than ``left``, few of them a key: the left
+    rows stream past a hash table of their partition's lookup rows and are not
+    sorted, so what a task holds grows with the lookup alone.  The keys are the
+    rows' own columns, so they move once.
+    """
+    added = [c for c in right.columns if c not in keys]
+    return left.join(right.hint("shuffle_hash"), on=list(keys), how="left").select(*left.columns, *added)
+
+
 def attach_lists(left: DataFrame, left_keys: Sequence[Column], lookups: Sequence[tuple],
                  spread: Sequence[Column] = (), hot: Column | None = None) -> tuple[DataFrame, list[tuple[str, list[str]]]]:
     """Several LEFT lookups on the same key in one join, without their fan-out.

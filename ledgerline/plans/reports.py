@@ -441,8 +441,7 @@ def core_rows_with_div_sub(t: BalanceTables) -> DataFrame:
     a participant with several rows repeats the balance row.
     """
     div = t.participant.select(*_ACCOUNT, "div_sub_id")
-    return J.left_join_on(t.core_daily, div, [F.col(k) for k in _ACCOUNT], [F.col(k) for k in _ACCOUNT],
-                          ["div_sub_id"])
+    return J.left_join_raw(t.core_daily, div, _ACCOUNT)
 
 
 def usable_division(c: str | Column) -> Column:

@@ -117,8 +117,12 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> BalanceTables:
     customer, orders, lineitem, nation = (read(n) for n in ("customer", "orders", "lineitem", "nation"))
     acct = _acct(customer)
 
-    line_orders = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    line_acct = line_orders.join(acct, F.col("a.c_custkey") == F.col("o_custkey"))
+    # Lines are by far the most rows.  They stream past hash tables of their partition's orders and customers and
+    # are not sorted, so a task holds a share of those; the account attributes are computed behind the joins, so
+    # the tables' rows are a few numbers wide.
+    lines = (lineitem.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+             .join(customer.hint("shuffle_hash"), F.col("c_custkey") == F.col("o_custkey")))
+    line_acct = lines.select("*", *[F.expr(e).alias(n) for n, e in ACCT_COLUMNS if n != e]).alias("a")
     order_acct = orders.join(acct, F.col("a.c_custkey") == F.col("o_custkey"))
 
     month_end = F.expr(ORDER_MONTH_END)
