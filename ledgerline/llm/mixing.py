@@ -14,8 +14,8 @@ more, the document on the cut in part, those behind it not at all.
 Nulls: a null source is a source of its own (ordered last), a null text has
 size 0, a null id is keyed as the empty text.  Repeated rows count one by one.
 Documents without words take 0 words and are kept out of the mix.  Texts of any
-length are counted whole; a cut falls between words.  An empty table gives an
-empty result.  Columns other than those named are not read.
+length are counted whole, in memory for a few copies of the text; a cut falls
+between words.  An empty table gives an empty result.  Columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +35,19 @@ RANGE_DIGITS = 3
 
 
 def n_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(common.WORD)), F.lit(0)).cast("long")
+    """Number of words (null: 0).
+
+    Each word and the white space behind it become one letter, and the letters are counted.  ``regexp_count`` would hold
+    an array of all words of a text, several times the text's size.
+    """
+    letters = F.regexp_replace(text, F.lit(f"{common.WORD}{common.SPACE}*"), F.lit("w"))
+    return F.coalesce(F.char_length(F.ltrim(letters, F.lit(common.SPACES))), F.lit(0)).cast("long")
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The first ``n`` words (n: at least 1, less than there are) joined by a space, without an array of all words."""
+    spaced = F.ltrim(F.regexp_replace(text, F.lit(f"{common.SPACE}+"), F.lit(" ")))
+    return F.call_function("substring_index", spaced, F.lit(" "), n.cast("int"))
 
 
 def _source_key(source: Column) -> Column:
@@ -103,7 +115,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mixed documents: a row for each copy taken; a copy taken in part has its first words, joined by a space."""
     others = [c for c in common.DOCUMENT_COLUMNS if c not in ("doc_id", "source")]
     plan = mix(docs, n_words(F.col("text")), carry=others)
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(common.WORD), F.lit(0)), 1, F.col("part").cast("int")), " ")
+    cut = first_words(F.col("text"), F.col("part"))
     whole = F.col("epochs") + F.when(F.col("part") == F.col("size"), 1).otherwise(0)
     some = F.when((F.col("part") > 0) & (F.col("part") < F.col("size")), 1).otherwise(0)
     taken = plan.filter(F.col("size") > 0).withColumn("_whole", whole).withColumn("_copies", whole + some).filter("_copies > 0")

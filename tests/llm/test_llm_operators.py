@@ -83,6 +83,20 @@ def test_mix_cuts_at_the_exact_word(spark):
     assert mixing.mixed_documents(docs).columns == list(common.DOCUMENT_COLUMNS)
 
 
+def test_words_are_counted_and_cut_without_an_array_of_them(spark):
+    texts = [None, "", "   ", "\x0b\x0c\r\n", "a", " a", "a ", "\t a\n\nb\x0b c\r\n", "\x1c\x1f\x85\u00a0 \u2003x\u3000", "\U0001f600 \U0001f600\U0001f600",
+             "\x00 w $1 \\1 w", "ww www", "x" * 5000, " x" * 5000, "é\n" * 3 + " " * 100]
+    docs = H.frame(spark, list(enumerate(texts)))
+    counted = docs.select("doc_id", mixing.n_words(F.col("text")).alias("n"))
+    assert {r.doc_id: r.n for r in counted.collect()} == {i: len(H.words(t)) for i, t in enumerate(texts)}
+    parts = docs.crossJoin(spark.range(1, 7).select(F.col("id").alias("part"))).withColumn("size", mixing.n_words(F.col("text"))).filter("part < size")
+    cut = parts.select("doc_id", "part", mixing.first_words(F.col("text"), F.col("part")).alias("cut")).collect()
+    assert len(cut) > 12 and all(r.cut == " ".join(H.words(texts[r.doc_id])[:r.part]) for r in cut)
+    # All words of a text in one array take several times its size.
+    for df in (counted, mixing.mixed_documents(docs)):
+        assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 # --- host rules ------------------------------------------------------------------------------------------------------------
 
 def test_measures_equal_brute_force(spark, odd_rows):
